@@ -1,0 +1,21 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded probe has proven its row count:
+``limit(max_rows + 1).count()`` reads no more than ``max_rows + 1`` rows,
+so the probe itself stays cheap on a large input. Beyond the bound the
+caller keeps a shuffled plan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else None."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else None
