@@ -163,6 +163,7 @@ def relation_as_of(rows: DataFrame, relations: DataFrame,
     in_range = ((F.col("r._seq") >= F.col("v._from")) &
                 (F.col("v._to").isNull() | (F.col("r._seq") < F.col("v._to"))))
     out_cols = [F.col(f"r.{c}") for c in rows.columns] + [
+        F.col("v._from").alias("_rel_seq"),
         F.col("v.namespace").alias("namespace"), F.col("v.name").alias("table"),
         F.col("v.cols").alias("cols"), F.col("v.keys").alias("keys")]
     small = bounded_broadcast(vers, max_broadcast)
@@ -173,11 +174,9 @@ def relation_as_of(rows: DataFrame, relations: DataFrame,
     # Bucketed fallback: bucket width from the position range, bounded
     # number of buckets per version.
     nb = 4096
-    lo_hi = rows.agg(F.min("_seq").alias("lo"), F.max("_seq").alias("hi"))
-    width = lo_hi.select(
-        F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / nb))
-        .cast("bigint")).scalar()
-    lo = lo_hi.select("lo").scalar()
+    lo, hi = rows.agg(F.min("_seq"), F.max("_seq")).first()
+    lo, hi = (lo or 0), (hi or 0)
+    width = max(1, -(-(hi - lo + 1) // nb))
     bucket = lambda c: F.floor((c - lo) / width)
     first = F.greatest(bucket(F.col("_from")), F.lit(0))
     last = F.coalesce(bucket(F.col("_to")), F.lit(nb))
