@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.binary import (ascii_bytes, be_bytes, cstring_bytes,
                                 int32_bytes, utf8_bytes)
+from ..operators.partitioning import spread
 from .feeds import employee_changes, table
 
 # Fixed values of the derived capture (shared with the oracle SQL).
@@ -53,31 +54,18 @@ def _text(c: Column) -> Column:
                     utf8_bytes(c))
 
 
-def _order(version: Column) -> Column:
-    out = None
-    for v, order in VERSION_COLUMNS.items():
-        arr = F.array(*[F.lit(c) for c in order])
-        out = F.when(version == v, arr) if out is None else out.when(version == v, arr)
-    return out
-
-
-def _tuple(order: Column, values: dict[str, Column],
+def _tuple(order: list[str], values: dict[str, Column],
            unchanged: dict[str, Column] | None = None) -> Column:
-    """Tuple bytes for the columns in ``order`` (an array of names).
-    ``values``: column -> text (NULL is sent as 'n'); ``unchanged``:
-    column -> flag, sent as 'u'."""
-    vmap = F.create_map(*[x for c, v in values.items() for x in (F.lit(c), v)])
-    umap = F.create_map(*[x for c in values for x in (
-        F.lit(c), (unchanged or {}).get(c, F.lit(False)))])
-
-    def item(c: Column) -> Column:
-        v = F.element_at(vmap, c)
-        return (F.when(F.element_at(umap, c), ascii_bytes("u"))
-                .when(v.isNull(), ascii_bytes("n")).otherwise(_text(v)))
-
-    body = F.aggregate(order, F.unhex(F.lit("")),
-                       lambda acc, c: F.concat(acc, item(c)))
-    return F.concat(be_bytes(F.size(order), 2), body)
+    """Tuple bytes for the columns in ``order``. ``values``: column ->
+    text (NULL is sent as 'n'); ``unchanged``: column -> flag, sent as 'u'."""
+    parts = [be_bytes(F.lit(len(order)), 2)]
+    for c in order:
+        v = values[c]
+        item = F.when(v.isNull(), ascii_bytes("n")).otherwise(_text(v))
+        if unchanged and c in unchanged:
+            item = F.when(unchanged[c], ascii_bytes("u")).otherwise(item)
+        parts.append(item)
+    return F.concat(*parts)
 
 
 def _relation(order: list[str]) -> Column:
@@ -93,9 +81,7 @@ def _relation(order: list[str]) -> Column:
 
 def captured_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts")
-    ch = employee_changes(spark, sf_dir).join(ev.withColumnRenamed(
-        "event_id", "_seq"), "_seq")
-    order = _order(_day(F.col("ts")) % 2)
+    ch = spread(employee_changes(spark, sf_dir, keep=("ts",)))
     seq = F.col("_seq")
     op = F.col("_op")
     text = {"id": F.col("id").cast("string"), "name": F.col("name"),
@@ -107,16 +93,28 @@ def captured_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     unchanged = {"name": F.col("name") == F.lit(UNCHANGED_EVENT)}
     oid = int32_bytes(F.lit(OID))
     N, K, O = ascii_bytes("N"), ascii_bytes("K"), ascii_bytes("O")
-    payload = (
-        F.when(op == "I", F.concat(ascii_bytes("I"), oid, N, _tuple(order, text)))
-        .when(key_move, F.concat(ascii_bytes("U"), oid,
-                                 K, _tuple(order, key_only),
-                                 N, _tuple(order, moved)))
-        .when(op == "U", F.concat(ascii_bytes("U"), oid, N,
-                                  _tuple(order, text, unchanged)))
-        .when(seq % 2 == 0, F.concat(ascii_bytes("D"), oid, O, _tuple(order, text)))
-        .otherwise(F.concat(ascii_bytes("D"), oid, K, _tuple(order, key_only))))
-    rows = ch.select((seq * 4 + 2).alias("_seq"), payload.alias("payload"))
+
+    def payload(order: list[str]) -> Column:
+        return (
+            F.when(op == "I", F.concat(ascii_bytes("I"), oid, N, _tuple(order, text)))
+            .when(key_move, F.concat(ascii_bytes("U"), oid,
+                                     K, _tuple(order, key_only),
+                                     N, _tuple(order, moved)))
+            .when(op == "U", F.concat(ascii_bytes("U"), oid, N,
+                                      _tuple(order, text, unchanged)))
+            .when(seq % 2 == 0, F.concat(ascii_bytes("D"), oid, O,
+                                         _tuple(order, text)))
+            .otherwise(F.concat(ascii_bytes("D"), oid, K, _tuple(order, key_only))))
+
+    # One projection per relation version: each row is encoded with the
+    # column order of its day's relation (the branches stay small enough
+    # to compile).
+    version = _day(F.col("ts")) % 2
+    rows = None
+    for v, order in VERSION_COLUMNS.items():
+        part = ch.where(version == v).select((seq * 4 + 2).alias("_seq"),
+                                              payload(order).alias("payload"))
+        rows = part if rows is None else rows.unionByName(part)
 
     days = (ev.groupBy(_day(F.col("ts")).alias("day"))
             .agg(F.min("event_id").alias("first"), F.max("event_id").alias("last")))

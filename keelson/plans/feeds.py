@@ -39,9 +39,11 @@ def op_expr() -> F.Column:
             .otherwise(F.lit(UPDATE)))
 
 
-def employee_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def employee_changes(spark: SparkSession, sf_dir: str,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
+        *keep,
         F.col("event_id").alias("_seq"),
         F.lit(0).alias("_sub"),
         op_expr().alias("_op"),

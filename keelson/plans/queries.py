@@ -25,8 +25,8 @@ from ..operators.route import (check_source_identity, read_from_position,
 from ..operators.unchanged import apply_with_unchanged
 from ..session import scratch_path
 from ..sinks.target import CsvTarget, FileTarget
-from ..sources.messages import (decode_messages, parse_relations, parse_rows,
-                                relation_as_of)
+from ..sources.messages import (collect_versions, decode_messages,
+                                parse_relations, parse_rows, relation_as_of)
 from ..sources.snapshot import copy_lines_to_rows, read_snapshot, to_copy_lines
 from ..streaming.replicate import run_available
 from . import capture, feeds
@@ -55,8 +55,16 @@ def _max_seq(spark, sf):
     return table(spark, sf, "events").select(F.max("event_id")).scalar()
 
 
+def _landed_capture(spark, sf) -> DataFrame:
+    """The capture as it would arrive: written once to the shared folder,
+    then read like any landed feed (the decoder reads it more than once)."""
+    path = scratch_path(spark, "capture")
+    capture.captured_messages(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _decoded(spark, sf):
-    return decode_messages(capture.captured_messages(spark, sf), EMPLOYEE)
+    return decode_messages(_landed_capture(spark, sf), EMPLOYEE)
 
 
 def _decoded_out(df: DataFrame) -> DataFrame:
@@ -105,8 +113,11 @@ def pgoutput_decode(spark, sf):
 def relation_as_of_q(spark, sf):
     """Per row message: its position, and the position, table and column
     list of the relation version in force there."""
-    msgs = capture.captured_messages(spark, sf)
-    att = relation_as_of(parse_rows(msgs), parse_relations(msgs))
+    msgs = _landed_capture(spark, sf)
+    rels = parse_relations(msgs)
+    vers = collect_versions(rels)
+    width = max([len(r.cols) for r in vers.collect()], default=0)
+    att = relation_as_of(parse_rows(msgs, width), rels, versions=vers)
     return att.select("_seq", F.col("_rel_seq").alias("rel_seq"), "table",
                       F.array_join("cols", ",").alias("cols"))
 
@@ -344,7 +355,7 @@ def stream_resume(spark, sf):
 
 
 def source_identity(spark, sf):
-    msgs = capture.captured_messages(spark, sf)
+    msgs = _landed_capture(spark, sf)
     sid = check_source_identity(msgs, None)
     return msgs.select("system_id").distinct().where(F.col("system_id") == sid)
 

@@ -26,7 +26,7 @@ import os
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
@@ -60,6 +60,7 @@ class FileTarget:
         self.keys = list(keys)
         self.schema = schema
         self.columns = [f.name for f in schema.fields]
+        self._cache: list | None = None  # ledger rows seen by this driver
 
     # -- ledger -------------------------------------------------------
     def _p(self, *parts: str) -> str:
@@ -72,27 +73,32 @@ class FileTarget:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
     def _entries(self) -> list:
-        # One row per batch / generation: small by construction.
-        return sorted(self.ledger().collect(), key=lambda r: r.entry)
+        """Ledger rows (one per batch / generation: small by construction),
+        read from storage once per driver, then kept up to date here."""
+        if self._cache is None:
+            self._cache = [r.asDict() for r in self.ledger().collect()]
+        return sorted(self._cache, key=lambda r: r["entry"])
 
     def _record(self, **row) -> None:
         entry = row["entry"]
         full = {f.name: row.get(f.name) for f in LEDGER_SCHEMA.fields}
         (self.spark.createDataFrame([full], LEDGER_SCHEMA).coalesce(1).write
          .mode("overwrite").parquet(self._p("ledger", f"entry={entry}")))
+        if self._cache is not None:
+            self._cache = [r for r in self._cache if r["entry"] != entry] + [full]
 
     def state(self) -> dict:
         """Current generation, last folded batch, last batch, system id."""
         gen, through, last_batch, system_id, snap = None, -1, -1, None, False
         for r in self._entries():
-            if r.kind in ("snapshot", "compact"):
-                gen, through = r.gen, (r.through_batch if r.through_batch
-                                       is not None else -1)
+            if r["kind"] in ("snapshot", "compact"):
+                gen = r["gen"]
+                through = r["through_batch"] if r["through_batch"] is not None else -1
                 snap = True
-            if r.kind == "batch":
-                last_batch = max(last_batch, r.batch_id)
-            if r.system_id:
-                system_id = r.system_id
+            if r["kind"] == "batch":
+                last_batch = max(last_batch, r["batch_id"])
+            if r["system_id"]:
+                system_id = r["system_id"]
         return {"gen": gen, "through_batch": through, "last_batch": last_batch,
                 "system_id": system_id, "snapshot_done": snap}
 
@@ -122,10 +128,12 @@ class FileTarget:
         net = net_changes(changes, self.keys).select(
             SEQ, OP, *[F.col(c) for c in self.columns])
         out = self._p("log", f"batch_id={batch_id}")
+        # Batch statistics ride along with the write (no second pass).
+        obs = Observation(f"keelson_batch_{batch_id}")
+        net = net.observe(obs, F.count(F.lit(1)).alias("n"),
+                          F.min(SEQ).alias("lo"), F.max(SEQ).alias("hi"))
         net.write.mode("overwrite").parquet(out)
-        stats = (self.spark.read.parquet(out)
-                 .agg(F.count(F.lit(1)).alias("n"), F.min(SEQ).alias("lo"),
-                      F.max(SEQ).alias("hi")).first())
+        stats = obs.get
         self._record(entry=1_000_000_000 + batch_id * 2, kind="batch",
                      batch_id=batch_id, n_rows=stats["n"], first_seq=stats["lo"],
                      last_seq=stats["hi"], system_id=system_id)

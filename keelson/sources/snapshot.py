@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.copytext import decode_fields, encode_line
+from ..operators.partitioning import spread
 
 
 def read_snapshot(spark: SparkSession, source: str, fmt: str = "parquet",
@@ -56,7 +57,7 @@ def copy_lines_to_rows(lines: DataFrame, schema: StructType,
         typed = c.cast(f.dataType) if strict else c.try_cast(f.dataType)
         out.append(typed.alias(f.name))
     keep = [c for c in lines.columns if c != line_col]
-    return lines.select(*keep, *out)
+    return spread(lines).select(*keep, *out)
 
 
 def read_copy_text(spark: SparkSession, path: str, schema: StructType,
@@ -70,8 +71,8 @@ def read_copy_text(spark: SparkSession, path: str, schema: StructType,
 def to_copy_lines(df: DataFrame, delimiter: str = ",", name: str = "value"
                   ) -> DataFrame:
     """Rows -> COPY text lines (the inverse of ``copy_lines_to_rows``)."""
-    return df.select(encode_line([F.col(c) for c in df.columns], delimiter)
-                     .alias(name))
+    return spread(df).select(encode_line([F.col(c) for c in df.columns], delimiter)
+                             .alias(name))
 
 
 def write_copy_text(df: DataFrame, path: str, delimiter: str = ",",
