@@ -178,21 +178,23 @@ class FileTarget:
         cols = self.columns + ([SEQ] if with_seq else [])
         return m.select(*cols)
 
-    def compact(self, keep_tombstones_after: int | None = None) -> int:
-        """Fold staged batches into a new base generation. Tombstones newer
-        than ``keep_tombstones_after`` are kept so a late older change
-        still loses to the delete; by default none are kept."""
+    def compact(self, purge_tombstones_through: int | None = None) -> int:
+        """Fold staged batches into a new base generation.
+
+        Tombstones (deleted keys, with the position of the delete) are
+        kept, so a late change older than the delete still loses to it.
+        ``purge_tombstones_through``: a position no late change can
+        precede any more (the lateness bound); tombstones at or before it
+        are dropped."""
         st = self.state()
         through = st["last_batch"]
         if through <= st["through_batch"]:
             return st["gen"]
         gen = st["gen"] + 1
         merged = self._merged(st, through)
-        if keep_tombstones_after is None:
-            merged = merged.where(~F.col("_deleted"))
-        else:
+        if purge_tombstones_through is not None:
             merged = merged.where(~F.col("_deleted") |
-                                  (F.col(SEQ) > F.lit(keep_tombstones_after)))
+                                  (F.col(SEQ) > F.lit(purge_tombstones_through)))
         merged.write.mode("overwrite").parquet(self._p("base", f"gen={gen}"))
         self._record(entry=1_000_000_000 + through * 2 + 1, kind="compact",
                      gen=gen, through_batch=through)

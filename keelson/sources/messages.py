@@ -256,14 +256,6 @@ def relation_as_of(rows: DataFrame, relations: DataFrame,
                    "left").select(*out_cols)
 
 
-def _pick(cols: Column, vals: Column, name: str) -> Column:
-    return F.element_at(vals, F.array_position(cols, F.lit(name)).cast("int"))
-
-
-def _unchanged(cols: Column, kinds: Column) -> Column:
-    return F.filter(cols, lambda c, i: F.get(kinds, i) == "u")
-
-
 def to_changes(attached: DataFrame, schema: StructType,
                keys: list[str] | None = None, table: str | None = None
                ) -> DataFrame:
@@ -299,7 +291,9 @@ def to_changes(attached: DataFrame, schema: StructType,
         pos.setdefault(k, F.array_position(rel_cols, F.lit(k)).cast("int"))
 
     def val(tup: str, n: str) -> Column:
-        return F.element_at(F.col(f"{tup}.vals"), pos[n])
+        # get() is 0-based and NULL out of range: a column the relation
+        # version does not list (position 0) reads as NULL.
+        return F.get(F.col(f"{tup}.vals"), pos[n] - 1)
 
     kind = F.col("kind")
     same_key = F.lit(True)
@@ -308,7 +302,7 @@ def to_changes(attached: DataFrame, schema: StructType,
     key_change = (kind == "U") & F.col("old").isNotNull() & ~same_key
     new_vals = [val("new", n).alias(n) for n in names]
     unchanged = F.array_compact(F.array(*[
-        F.when(F.element_at(F.col("new.kinds"), pos[n]) == "u", F.lit(n))
+        F.when(F.get(F.col("new.kinds"), pos[n] - 1) == "u", F.lit(n))
         for n in names])) if names else F.array().cast("array<string>")
     none = F.array().cast("array<string>")
     key_set = set(keys)
