@@ -12,6 +12,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .changes import META, net_changes
 
+UNCHANGED = "_unchanged"
+
 
 def ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
@@ -31,12 +33,18 @@ def require(rows: DataFrame, fields: Sequence[str], mode: str = "all"
 
     ``mode='all'``: every required field must be set (what a NOT NULL
     column needs). ``mode='any'``: keep a row when at least one is set,
-    which is what the reference's filter does.
+    which is what the reference's filter does. A field the change marks
+    unchanged (``_unchanged``) keeps its earlier value, so it counts as set.
     """
     fields = list(fields)
     if not fields:
         return rows
-    checks = [F.col(f).isNotNull() for f in fields]
+    if UNCHANGED in rows.columns:
+        checks = [F.col(f).isNotNull() |
+                  F.coalesce(F.array_contains(F.col(UNCHANGED), F.lit(f)),
+                             F.lit(False)) for f in fields]
+    else:
+        checks = [F.col(f).isNotNull() for f in fields]
     if mode == "all":
         cond = reduce(lambda a, b: a & b, checks)
     elif mode == "any":
@@ -58,7 +66,7 @@ def conform(rows: DataFrame, schema: StructType, mode: str = "strict",
     have = set(rows.columns)
     cols: list[Column] = []
     if keep_meta:
-        cols += [F.col(c) for c in META if c in have]
+        cols += [F.col(c) for c in (*META, UNCHANGED) if c in have]
     bad: list[Column] = []
     for f in schema.fields:
         if f.name not in have:

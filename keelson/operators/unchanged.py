@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .changes import DELETE, OP, order_columns
+from .changes import DELETE, OP, SEQ, order_columns
 
 UNCHANGED = "_unchanged"
 
@@ -33,16 +33,23 @@ def _order(changes: DataFrame) -> Column:
 
 
 def net_with_unchanged(changes: DataFrame, keys: Sequence[str],
-                       columns: Sequence[str]) -> DataFrame:
+                       columns: Sequence[str], with_seq: bool = False
+                       ) -> DataFrame:
     """One row per key: ``_last_op`` and, per column, ``_set_<c>`` =
-    struct(deleted, v) of the change that last set it (NULL if none)."""
+    struct(deleted, v) of the change that last set it (NULL if none).
+    ``with_seq`` adds ``_last_seq`` and the setting change's ``seq``."""
     order = _order(changes)
     is_del = F.col(OP) == DELETE
     aggs = [F.max_by(F.col(OP), order).alias("_last_op")]
+    if with_seq:
+        aggs.append(F.max(F.col(SEQ)).alias("_last_seq"))
     for c in columns:
         touch = is_del | ~F.coalesce(F.array_contains(F.col(UNCHANGED), F.lit(c)),
                                      F.lit(False))
-        val = F.struct(is_del.alias("deleted"), F.col(c).alias("v"))
+        fields = [is_del.alias("deleted"), F.col(c).alias("v")]
+        if with_seq:
+            fields.append(F.col(SEQ).alias("seq"))
+        val = F.struct(*fields)
         aggs.append(F.max_by(F.when(touch, val), F.when(touch, order))
                     .alias(f"_set_{c}"))
     return changes.groupBy(*keys).agg(*aggs)

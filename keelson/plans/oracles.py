@@ -265,6 +265,7 @@ SELECT _seq, _sub, _op, id, name, salary FROM (
 WHERE rn = 1""",
 
     "unchanged_fill": _unchanged_fill(),
+    "stream_decode_apply": _unchanged_fill(),
 
     "file_sink_rows": f"""WITH {CH}
 SELECT seq AS _seq, op AS _op, id, name FROM ch""",

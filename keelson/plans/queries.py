@@ -28,6 +28,7 @@ from ..sinks.target import CsvTarget, FileTarget
 from ..sources.messages import (collect_versions, decode_messages,
                                 parse_relations, parse_rows, relation_as_of)
 from ..sources.snapshot import copy_lines_to_rows, read_snapshot, to_copy_lines
+from ..streaming.messages import replicate_messages
 from ..streaming.replicate import run_available
 from . import capture, feeds
 from .feeds import EMPLOYEE_KEYS, table
@@ -354,6 +355,35 @@ def stream_resume(spark, sf):
     return t.current()
 
 
+def stream_decode_apply(spark, sf):
+    """Captured messages landed as STREAM_FILES files in position order,
+    streamed one file per batch through decode into a file target seeded
+    from ``customer``; unchanged columns keep their last value."""
+    msgs = capture.captured_messages(spark, sf)
+    top = _max_seq(spark, sf)
+    part = F.floor(F.col("_seq") * STREAM_FILES / (top * 4 + 4)).cast("int")
+    path = scratch_path(spark, "capture_feed")
+    staged = msgs.withColumn("_part", part)
+    # Files land in feed order, one write after the other (the stream
+    # picks them up oldest first).
+    for i in range(STREAM_FILES):
+        (staged.where(F.col("_part") == i).drop("_part").repartition(1)
+         .sortWithinPartitions("_seq").write.parquet(
+             os.path.join(path, f"part={i:03d}")))
+    t = FileTarget(spark, scratch_path(spark, "target"), EMPLOYEE_KEYS,
+                   EMPLOYEE_KEYED, unchanged=True)
+    t.seed(_base(spark, sf))
+    feed = (spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1)
+            .option("recursiveFileLookup", "true").parquet(path))
+    q = replicate_messages(feed, t, EMPLOYEE_KEYS, EMPLOYEE_KEYED,
+                           checkpoint=scratch_path(spark, "ckpt"),
+                           trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return t.current()
+
+
 def source_identity(spark, sf):
     msgs = _landed_capture(spark, sf)
     sid = check_source_identity(msgs, None)
@@ -428,6 +458,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_apply": stream_apply,
     "stream_apply_direct": stream_apply_direct,
     "stream_resume": stream_resume,
+    "stream_decode_apply": stream_decode_apply,
     "source_identity": source_identity,
     "target_filter_scan": target_filter_scan,
     "select_where_limit": select_where_limit,

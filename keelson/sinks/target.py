@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.changes import DELETE, OP, SEQ, net_changes
+from ..operators.changes import DELETE, OP, SEQ, SUB, net_changes
+from ..operators.unchanged import UNCHANGED, net_with_unchanged
 
 MIN_SEQ = -(2 ** 63)
 LEDGER_SCHEMA = StructType([
@@ -53,8 +54,14 @@ def _key_match(left: str, right: str, keys: Sequence[str]):
 
 
 class FileTarget:
+    """``unchanged=True``: changes may carry ``_unchanged`` (columns the
+    source did not send); such a column keeps its last known value. The
+    logs then keep every change of a batch (a column's value may come from
+    an earlier change than the key's last one)."""
+
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 schema: StructType):
+                 schema: StructType, unchanged: bool = False):
+        self.unchanged = unchanged
         self.spark = spark
         self.path = path
         self.keys = list(keys)
@@ -125,8 +132,16 @@ class FileTarget:
         Idempotent per ``batch_id``."""
         if not self.state()["snapshot_done"]:
             self.seed(self.spark.createDataFrame([], self.schema))
-        net = net_changes(changes, self.keys).select(
-            SEQ, OP, *[F.col(c) for c in self.columns])
+        if self.unchanged:
+            sub = F.col(SUB) if SUB in changes.columns else F.lit(0)
+            unch = (F.col(UNCHANGED) if UNCHANGED in changes.columns
+                    else F.array().cast("array<string>"))
+            net = changes.select(SEQ, sub.cast("int").alias(SUB), OP,
+                                 *[F.col(c) for c in self.columns],
+                                 unch.alias(UNCHANGED))
+        else:
+            net = net_changes(changes, self.keys).select(
+                SEQ, OP, *[F.col(c) for c in self.columns])
         out = self._p("log", f"batch_id={batch_id}")
         # Batch statistics ride along with the write (no second pass).
         obs = Observation(f"keelson_batch_{batch_id}")
@@ -158,6 +173,8 @@ class FileTarget:
         logs = self._logs(st["through_batch"], through)
         if logs is None:
             return base
+        if self.unchanged:
+            return self._merged_unchanged(base, logs)
         net = net_changes(logs, self.keys)
         b, n = base.alias("b"), net.alias("n")
         match = _key_match("b", "n", self.keys)
@@ -172,6 +189,38 @@ class FileTarget:
                                (F.col(OP) == DELETE).alias("_deleted"))
         return kept.select(*self.columns, SEQ, "_deleted").unionByName(changed)
 
+    def _merged_unchanged(self, base: DataFrame, logs: DataFrame) -> DataFrame:
+        """Like ``_merged``, column by column: a column takes the value of
+        the newest change that sent it (or deleted the row) if that change
+        is newer than the base row, else the base value."""
+        data = [c for c in self.columns if c not in self.keys]
+        net = net_with_unchanged(logs, self.keys, data, with_seq=True)
+        b, n = base.alias("b"), net.alias("n")
+        match = _key_match("b", "n", self.keys)
+        newer = F.col("n._last_seq") > F.col("b._seq")
+        kept = b.join(n, match & newer, "left_anti")
+        hit = b.join(n, match, "inner")
+
+        def pick(c: str, from_base: bool):
+            s = F.col(f"n._set_{c}")
+            sent = F.when(s["deleted"], F.lit(None)).otherwise(s["v"])
+            if not from_base:
+                return sent.alias(c)
+            return F.when(s.isNotNull() & (s["seq"] > F.col("b._seq")), sent) \
+                .otherwise(F.col(f"b.{c}")).alias(c)
+
+        keys_n = [F.col(f"n.{k}").alias(k) for k in self.keys]
+        last_del = (F.col("n._last_op") == DELETE).alias("_deleted")
+        updated = hit.where(newer).select(
+            *keys_n, *[pick(c, True) for c in data],
+            F.col("n._last_seq").alias(SEQ), last_del)
+        fresh = net.join(hit.select(*keys_n), self.keys, "left_anti").alias("n")
+        fresh = fresh.select(*keys_n, *[pick(c, False) for c in data],
+                             F.col("n._last_seq").alias(SEQ), last_del)
+        cols = [*self.columns, SEQ, "_deleted"]
+        return (kept.select(*cols).unionByName(updated.select(*cols))
+                .unionByName(fresh.select(*cols)))
+
     def current(self, with_seq: bool = False) -> DataFrame:
         """The target table as of the last staged batch."""
         m = self._merged(self.state()).where(~F.col("_deleted"))

@@ -296,6 +296,14 @@ def to_changes(attached: DataFrame, schema: StructType,
         return F.get(F.col(f"{tup}.vals"), pos[n] - 1)
 
     kind = F.col("kind")
+    # A row message whose relation has not been seen cannot be read; fail
+    # the batch rather than drop or misread it.
+    df = df.withColumn("cols", F.when(
+        F.col("cols").isNull(),
+        F.raise_error(F.concat(F.lit("no relation message for oid "),
+                               F.col("oid").cast("string"), F.lit(" before position "),
+                               F.col("_seq").cast("string"))).cast("array<string>"))
+        .otherwise(F.col("cols")))
     same_key = F.lit(True)
     for k in keys:
         same_key = same_key & val("old", k).eqNullSafe(val("new", k))

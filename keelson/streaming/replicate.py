@@ -54,11 +54,12 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
               schema: StructType | None = None, checkpoint: str | None = None,
               trigger: dict | None = None, direct: bool = False,
               required_mode: str = "all", cast_mode: str = "strict",
-              transform: Callable[[DataFrame], DataFrame] | None = None,
+              transform: Callable[[DataFrame, int], DataFrame] | None = None,
               query_name: str | None = None) -> StreamingQuery:
     """Start replicating a streaming change feed into ``target``.
 
-    ``transform`` runs first on each micro-batch (e.g. message decode).
+    ``transform(batch, batch_id)`` runs first on each micro-batch (e.g.
+    message decode).
     ``checkpoint`` defaults to a fresh folder under the session's shared
     checkpoint directory; pass the same one to resume.
     """
@@ -67,7 +68,7 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
     checkpoint = checkpoint or scratch_path(spark, "streams")
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch) if transform else batch
+        rows = transform(batch, batch_id) if transform else batch
         sys_id = None
         if "system_id" in rows.columns:
             expected = getattr(target, "state", lambda: {})().get("system_id")
