@@ -27,19 +27,20 @@ def required_fields(schema: StructType, keys: Sequence[str] | None = None
     return req if req else list(keys or [])
 
 
-def require(rows: DataFrame, fields: Sequence[str], mode: str = "all"
-            ) -> DataFrame:
+def require(rows: DataFrame, fields: Sequence[str], mode: str = "all",
+            unchanged_ok: bool = False) -> DataFrame:
     """Drop rows missing required fields.
 
     ``mode='all'``: every required field must be set (what a NOT NULL
     column needs). ``mode='any'``: keep a row when at least one is set,
-    which is what the reference's filter does. A field the change marks
-    unchanged (``_unchanged``) keeps its earlier value, so it counts as set.
+    which is what the reference's filter does. With ``unchanged_ok``, a
+    field the change marks unchanged (``_unchanged``) keeps its earlier
+    value and so counts as set.
     """
     fields = list(fields)
     if not fields:
         return rows
-    if UNCHANGED in rows.columns:
+    if unchanged_ok and UNCHANGED in rows.columns:
         checks = [F.col(f).isNotNull() |
                   F.coalesce(F.array_contains(F.col(UNCHANGED), F.lit(f)),
                              F.lit(False)) for f in fields]

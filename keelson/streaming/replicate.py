@@ -45,9 +45,10 @@ def prepare_batch(batch: DataFrame, schema: StructType, keys: Sequence[str],
     req = required_fields(schema, keys)
     if "_op" in rows.columns:
         dels = require(rows.where(F.col("_op") == "D"), keys, "all")
-        rest = require(rows.where(F.col("_op") != "D"), req, required_mode)
+        rest = require(rows.where(F.col("_op") != "D"), req, required_mode,
+                       unchanged_ok=True)
         return rest.unionByName(dels)
-    return require(rows, req, required_mode)
+    return require(rows, req, required_mode, unchanged_ok=True)
 
 
 def replicate(feed: DataFrame, target, keys: Sequence[str],
