@@ -27,6 +27,25 @@ def required_fields(schema: StructType, keys: Sequence[str] | None = None
     return req if req else list(keys or [])
 
 
+def required_condition(rows: DataFrame, fields: Sequence[str],
+                       mode: str = "all", unchanged_ok: bool = False) -> Column:
+    """The row condition ``require`` filters on."""
+    fields = list(fields)
+    if not fields:
+        return F.lit(True)
+    if unchanged_ok and UNCHANGED in rows.columns:
+        checks = [F.col(f).isNotNull() |
+                  F.coalesce(F.array_contains(F.col(UNCHANGED), F.lit(f)),
+                             F.lit(False)) for f in fields]
+    else:
+        checks = [F.col(f).isNotNull() for f in fields]
+    if mode == "all":
+        return reduce(lambda a, b: a & b, checks)
+    if mode == "any":
+        return reduce(lambda a, b: a | b, checks)
+    raise ValueError(f"unknown mode {mode!r}")
+
+
 def require(rows: DataFrame, fields: Sequence[str], mode: str = "all",
             unchanged_ok: bool = False) -> DataFrame:
     """Drop rows missing required fields.
@@ -37,22 +56,9 @@ def require(rows: DataFrame, fields: Sequence[str], mode: str = "all",
     field the change marks unchanged (``_unchanged``) keeps its earlier
     value and so counts as set.
     """
-    fields = list(fields)
-    if not fields:
+    if not list(fields):
         return rows
-    if unchanged_ok and UNCHANGED in rows.columns:
-        checks = [F.col(f).isNotNull() |
-                  F.coalesce(F.array_contains(F.col(UNCHANGED), F.lit(f)),
-                             F.lit(False)) for f in fields]
-    else:
-        checks = [F.col(f).isNotNull() for f in fields]
-    if mode == "all":
-        cond = reduce(lambda a, b: a & b, checks)
-    elif mode == "any":
-        cond = reduce(lambda a, b: a | b, checks)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    return rows.where(cond)
+    return rows.where(required_condition(rows, fields, mode, unchanged_ok))
 
 
 def conform(rows: DataFrame, schema: StructType, mode: str = "strict",

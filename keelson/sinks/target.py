@@ -68,6 +68,7 @@ class FileTarget:
         self.schema = schema
         self.columns = [f.name for f in schema.fields]
         self._cache: list | None = None  # ledger rows seen by this driver
+        self.batch_stats: dict[int, dict] = {}  # batches staged by this driver
 
     # -- ledger -------------------------------------------------------
     def _p(self, *parts: str) -> str:
@@ -94,9 +95,20 @@ class FileTarget:
         if self._cache is not None:
             self._cache = [r for r in self._cache if r["entry"] != entry] + [full]
 
+    def staged_batches(self) -> list[int]:
+        """Batch ids present in the log (the log directories are the truth:
+        a batch directory is complete once its write has committed)."""
+        try:
+            logs = self.spark.read.parquet(self._p("log"))
+        except AnalysisException:
+            return []
+        return sorted(r[0] for r in logs.select("batch_id").distinct().collect())
+
     def state(self) -> dict:
         """Current generation, last folded batch, last batch, system id."""
         gen, through, last_batch, system_id, snap = None, -1, -1, None, False
+        if self.batch_stats:
+            last_batch = max(self.batch_stats)
         for r in self._entries():
             if r["kind"] in ("snapshot", "compact"):
                 gen = r["gen"]
@@ -149,9 +161,16 @@ class FileTarget:
                           F.min(SEQ).alias("lo"), F.max(SEQ).alias("hi"))
         net.write.mode("overwrite").parquet(out)
         stats = obs.get
-        self._record(entry=1_000_000_000 + batch_id * 2, kind="batch",
-                     batch_id=batch_id, n_rows=stats["n"], first_seq=stats["lo"],
-                     last_seq=stats["hi"], system_id=system_id)
+        self.batch_stats[batch_id] = {"n_rows": stats["n"], "first_seq": stats["lo"],
+                                      "last_seq": stats["hi"]}
+        # The ledger records events that change how the table is read
+        # (snapshot, compaction, the source identity) - not every batch,
+        # whose own directory already says it is complete.
+        if system_id and self.state()["system_id"] != system_id:
+            self._record(entry=1_000_000_000 + batch_id * 2, kind="batch",
+                         batch_id=batch_id, n_rows=stats["n"],
+                         first_seq=stats["lo"], last_seq=stats["hi"],
+                         system_id=system_id)
 
     # -- reads --------------------------------------------------------
     def _base(self, gen: int) -> DataFrame:
@@ -236,7 +255,8 @@ class FileTarget:
         precede any more (the lateness bound); tombstones at or before it
         are dropped."""
         st = self.state()
-        through = st["last_batch"]
+        staged = self.staged_batches()
+        through = staged[-1] if staged else -1
         if through <= st["through_batch"]:
             return st["gen"]
         gen = st["gen"] + 1

@@ -27,7 +27,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.route import check_source_identity
-from ..operators.rows import conform, require, required_fields
+from functools import reduce
+
+from ..operators.rows import (conform, require, required_condition,
+                              required_fields)
 from ..session import scratch_path
 
 DEFAULT_TRIGGER = {"processingTime": "120 seconds"}  # fixed value: upload interval
@@ -44,10 +47,13 @@ def prepare_batch(batch: DataFrame, schema: StructType, keys: Sequence[str],
         rows = rows.where(~F.col("_rejected")).drop("_rejected")
     req = required_fields(schema, keys)
     if "_op" in rows.columns:
-        dels = require(rows.where(F.col("_op") == "D"), keys, "all")
-        rest = require(rows.where(F.col("_op") != "D"), req, required_mode,
-                       unchanged_ok=True)
-        return rest.unionByName(dels)
+        # One filter: a delete needs its key, anything else the required
+        # fields (one scan of the batch, not one per branch).
+        keys_set = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]) \
+            if keys else F.lit(True)
+        rest_ok = required_condition(rows, req, required_mode, unchanged_ok=True)
+        is_del = F.col("_op") == "D"
+        return rows.where((is_del & keys_set) | (~is_del & rest_ok))
     return require(rows, req, required_mode, unchanged_ok=True)
 
 
