@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from .changes import DELETE, OP, SEQ, order_columns
 
 UNCHANGED = "_unchanged"
@@ -56,10 +57,17 @@ def net_with_unchanged(changes: DataFrame, keys: Sequence[str],
 
 
 def apply_with_unchanged(base: DataFrame, changes: DataFrame,
-                         keys: Sequence[str]) -> DataFrame:
+                         keys: Sequence[str], materialize: bool = True
+                         ) -> DataFrame:
+    """``materialize``: the per-key result feeds two joins; with an
+    expensive input (decoded messages) it is checkpointed once to the
+    shared folder instead of decoding twice (and the lineage is cut)."""
     keys = list(keys)
     cols = [c for c in base.columns if c not in keys]
     net = net_with_unchanged(changes, keys, cols)
+    if materialize:
+        shared_dir(changes.sparkSession)
+        net = net.checkpoint(eager=True)
     live = net.where(F.col("_last_op") != DELETE).alias("n")
     b = base.alias("b")
     # Live keys only need base values for columns never sent since; the

@@ -360,14 +360,17 @@ def stream_decode_apply(spark, sf):
     streamed one file per batch through decode into a file target seeded
     from ``customer``; unchanged columns keep their last value."""
     msgs = capture.captured_messages(spark, sf)
-    top = _max_seq(spark, sf)
-    part = F.floor(F.col("_seq") * STREAM_FILES / (top * 4 + 4)).cast("int")
-    path = scratch_path(spark, "capture_feed")
-    staged = msgs.withColumn("_part", part)
+    top = table(spark, sf, "events").select(F.max("event_id")).first()[0]
     # Files land in feed order, one write after the other (the stream
-    # picks them up oldest first).
-    for i in range(STREAM_FILES):
-        (staged.where(F.col("_part") == i).drop("_part").repartition(1)
+    # picks them up oldest first); a file holds at most ~1M messages.
+    parts = max(STREAM_FILES, top // 1_000_000 + 1)
+    part = F.floor(F.col("_seq") * parts / (top * 4 + 4)).cast("int")
+    path = scratch_path(spark, "capture_feed")
+    stage = scratch_path(spark, "capture_stage")
+    msgs.withColumn("_part", part).write.partitionBy("_part").parquet(stage)
+    for i in range(parts):
+        src = os.path.join(stage, f"_part={i}")
+        (spark.read.schema(msgs.schema).parquet(src).repartition(1)
          .sortWithinPartitions("_seq").write.parquet(
              os.path.join(path, f"part={i:03d}")))
     t = FileTarget(spark, scratch_path(spark, "target"), EMPLOYEE_KEYS,

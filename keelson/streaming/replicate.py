@@ -62,28 +62,34 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
               trigger: dict | None = None, direct: bool = False,
               required_mode: str = "all", cast_mode: str = "strict",
               transform: Callable[[DataFrame, int], DataFrame] | None = None,
-              query_name: str | None = None) -> StreamingQuery:
+              query_name: str | None = None,
+              compact_every: int | None = None) -> StreamingQuery:
     """Start replicating a streaming change feed into ``target``.
 
     ``transform(batch, batch_id)`` runs first on each micro-batch (e.g.
     message decode).
     ``checkpoint`` defaults to a fresh folder under the session's shared
-    checkpoint directory; pass the same one to resume.
+    checkpoint directory; pass the same one to resume. ``compact_every``
+    folds the staged logs into a new base generation every N batches, so
+    reading the current table never has to merge an unbounded log.
     """
     spark = feed.sparkSession
     schema = schema or getattr(target, "schema", None)
     checkpoint = checkpoint or scratch_path(spark, "streams")
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch, batch_id) if transform else batch
+        # Identity is checked on the raw batch: cheap, and before any
+        # decoding work is spent on a feed from the wrong system.
         sys_id = None
-        if "system_id" in rows.columns:
+        if "system_id" in batch.columns:
             expected = getattr(target, "state", lambda: {})().get("system_id")
-            sys_id = check_source_identity(rows, expected)
+            sys_id = check_source_identity(batch, expected)
+        rows = transform(batch, batch_id) if transform else batch
         if schema is not None:
             rows = prepare_batch(rows, schema, keys, required_mode, cast_mode)
         target.write_batch(rows, batch_id, system_id=sys_id)
-        if direct and hasattr(target, "compact"):
+        due = compact_every and (batch_id + 1) % compact_every == 0
+        if (direct or due) and hasattr(target, "compact"):
             target.compact()
 
     writer = (feed.writeStream.foreachBatch(apply_batch)

@@ -116,3 +116,13 @@ def test_processing_time_trigger_starts(spark, tmp):
     finally:
         q.stop()
     assert sorted(map(tuple, t.current().collect())) == expected(spark)
+
+
+def test_periodic_compaction(spark, tmp):
+    feed, ckpt = os.path.join(tmp, "feed"), os.path.join(tmp, "ckpt")
+    for i, lo in enumerate(range(0, 1000, 250)):
+        land(spark, feed, (F.col("_seq") >= lo) & (F.col("_seq") < lo + 250), f"p{i}")
+    t = target(spark, tmp)
+    run_available(stream(spark, feed), t, ["id"], checkpoint=ckpt, compact_every=2)
+    assert t.state()["gen"] >= 1
+    assert sorted(map(tuple, t.current().collect())) == expected(spark)
