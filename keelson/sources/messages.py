@@ -30,6 +30,7 @@ from ..functions.binary import (byte_at, char_at, cstring_end, int16_be,
 from ..operators.changes import DELETE, INSERT, UPDATE
 from ..operators.joins import bounded_broadcast
 from ..operators.partitioning import spread
+from ..session import shared_dir
 
 ROW_KINDS = ("I", "U", "D")
 # Relation versions are few (one per table per session or schema change);
@@ -202,14 +203,14 @@ def relation_versions(relations: DataFrame) -> DataFrame:
 
 def collect_versions(relations: DataFrame,
                      max_rows: int = MAX_BROADCAST_RELATIONS) -> DataFrame | None:
-    """Relation versions as a local, broadcastable frame - read once - or
-    None when there are more than ``max_rows`` of them."""
-    vers = relation_versions(relations)
-    rows = vers.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    """Relation versions, materialised once in the shared checkpoint folder
+    (the relation messages are read a single time), or None when there
+    are more than ``max_rows`` of them (then they must not be broadcast)."""
+    shared_dir(relations.sparkSession)
+    vers = relation_versions(relations).checkpoint(eager=True)
+    if vers.limit(max_rows + 1).count() > max_rows:
         return None
-    spark = relations.sparkSession
-    return spark.createDataFrame(rows, vers.schema)
+    return vers
 
 
 def relation_as_of(rows: DataFrame, relations: DataFrame,
