@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from .changes import SEQ, order_columns
 
 SEGMENT_BYTES = 10 * 1024 * 1024  # fixed value: the reference's segment cap
@@ -44,9 +45,13 @@ def _bucket_expr(seq: Column, bounds: list[float]) -> Column:
 
 
 def plan_batches(changes: DataFrame, size_col: str, cap: int = SEGMENT_BYTES,
-                 buckets: int | None = None, rel_error: float = 0.001
-                 ) -> DataFrame:
-    """Add ``_running`` (bytes through this row) and ``_batch`` to each row."""
+                 buckets: int | None = None, rel_error: float = 0.001,
+                 materialize: bool = True) -> DataFrame:
+    """Add ``_running`` (bytes through this row) and ``_batch`` to each row.
+
+    The rows are read for the range totals and again for the running sums;
+    ``materialize`` checkpoints them once (with their range) in the shared
+    folder, so an expensive size expression is evaluated a single time."""
     spark = changes.sparkSession
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -56,6 +61,9 @@ def plan_batches(changes: DataFrame, size_col: str, cap: int = SEGMENT_BYTES,
         qs = [i / buckets for i in range(1, buckets)]
         bounds = sorted(set(changes.approxQuantile(SEQ, qs, rel_error)))
     b = changes.withColumn("_bucket", _bucket_expr(F.col(SEQ), bounds))
+    if materialize:
+        shared_dir(spark)
+        b = b.checkpoint(eager=True)
     totals = b.groupBy("_bucket").agg(F.sum(size_col).alias("_bucket_bytes"))
     # Bounded by the number of ranges: one small window and a broadcast.
     offsets = totals.select(

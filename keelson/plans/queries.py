@@ -22,6 +22,7 @@ from ..operators.batches import batch_summary, plan_batches
 from ..operators.changes import net_changes, tombstones
 from ..operators.route import (check_source_identity, read_from_position,
                                route_by_op, route_by_table)
+from ..operators.partitioning import spread
 from ..operators.unchanged import apply_with_unchanged
 from ..session import scratch_path
 from ..sinks.target import CsvTarget, FileTarget
@@ -240,7 +241,7 @@ def duplicate_keys(spark, sf):
 
 
 def _doc_lines(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"))
     line = encode_line([F.col(c) for c in docs.columns])
     return docs.select(F.col("doc_id").alias("_seq"),
                        (F.octet_length(line) + 1).cast("bigint").alias("_bytes"))
