@@ -126,3 +126,61 @@ def test_periodic_compaction(spark, tmp):
     run_available(stream(spark, feed), t, ["id"], checkpoint=ckpt, compact_every=2)
     assert t.state()["gen"] >= 1
     assert sorted(map(tuple, t.current().collect())) == expected(spark)
+
+
+def test_hard_kill_and_resume(spark, tmp):
+    """SIGKILL the driver process mid-stream; a new driver resumes from the
+    same checkpoint and target and the result counts every change once."""
+    import signal
+    import subprocess
+    import sys
+    import time
+
+    feed, ckpt = os.path.join(tmp, "feed"), os.path.join(tmp, "ckpt")
+    tpath = os.path.join(tmp, "target")
+    for i, lo in enumerate(range(0, 1000, 100)):
+        land(spark, feed, (F.col("_seq") >= lo) & (F.col("_seq") < lo + 100), f"p{i:02d}")
+    here = os.path.dirname(os.path.abspath(__file__))
+    env = dict(os.environ, PYTHONPATH=here)
+    child = subprocess.Popen(
+        [sys.executable, os.path.join(here, "helpers", "stream_child.py"),
+         feed, tpath, ckpt, os.path.join(tmp, "child-ckdir")],
+        env=env, stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL,
+        start_new_session=True)
+    try:
+        deadline = time.time() + 240
+        logs = os.path.join(tpath, "log")
+        while time.time() < deadline:
+            done = [d for d in os.listdir(logs)] if os.path.isdir(logs) else []
+            if len(done) >= 3:
+                break
+            if child.poll() is not None:
+                break
+            time.sleep(0.2)
+        assert child.poll() is None, "child finished before it could be killed"
+        os.killpg(child.pid, signal.SIGKILL)
+        child.wait(30)
+    finally:
+        if child.poll() is None:
+            os.killpg(child.pid, signal.SIGKILL)
+    t = FileTarget(spark, tpath, ["id"], SCHEMA)
+    assert t.state()["snapshot_done"]
+    run_available(stream(spark, feed), t, ["id"], checkpoint=ckpt)
+    assert sorted(map(tuple, t.current().collect())) == expected(spark)
+    assert len(t.staged_batches()) == 10
+
+
+def test_csv_stream_sink_exactly_once(spark, tmp):
+    from keelson.sinks.target import CsvTarget
+    feed, ckpt = os.path.join(tmp, "feed"), os.path.join(tmp, "ckpt")
+    land(spark, feed, F.col("_seq") < 500, "a")
+    sink = CsvTarget(spark, os.path.join(tmp, "csv"))
+    cols = stream(spark, feed).select("_seq", "_op", "id", "name")
+    q = sink.stream_sink(cols, ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    land(spark, feed, F.col("_seq") >= 500, "b")
+    q = sink.stream_sink(cols, ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    back = sink.spark.read.schema("_seq long, _op string, id long, name string") \
+        .csv(os.path.join(tmp, "csv"))
+    assert back.count() == 1000 and back.select("_seq").distinct().count() == 1000
