@@ -28,7 +28,6 @@ from pyspark.sql.types import StructType
 from ..functions.binary import (byte_at, char_at, cstring_end, int16_be,
                                 int32_be, latin1, uint_be, utf8_at)
 from ..operators.changes import DELETE, INSERT, UPDATE
-from ..operators.joins import bounded_broadcast
 from ..operators.partitioning import spread
 from ..session import shared_dir
 
