@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Lineage cuts (checkpoint()) are removed once their DataFrame is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
