@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from .changes import DELETE, OP, net_changes
 
 
@@ -69,7 +70,7 @@ def delete(base: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str],
-                  order: str = "feed") -> DataFrame:
+                  order: str = "feed", materialize: bool = False) -> DataFrame:
     """Bring ``base`` up to date with a change frame.
 
     ``order='feed'`` (O2): the state after applying every change in
@@ -77,11 +78,19 @@ def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str],
     ``order='append_then_delete'`` (O3): what one upload pass of the
     reference does - the last insert/update per key is upserted, then every
     key deleted anywhere in the batch is removed.
+
+    The net change feeds both the anti join and the union. For a change
+    frame that is cheap to recompute (a parquet feed) the two reads cost
+    less than a write; for an expensive one (decoded messages) pass
+    ``materialize=True`` to checkpoint it once in the shared folder.
     """
     keys = list(keys)
     cols = base.columns
     if order == "feed":
         last = net_changes(changes, keys)
+        if materialize:
+            shared_dir(changes.sparkSession)
+            last = last.checkpoint(eager=True)
         kept = base.join(last.select(*keys), keys, "left_anti")
         return kept.unionByName(_project(last.where(F.col(OP) != DELETE), cols))
     if order == "append_then_delete":

@@ -83,3 +83,11 @@ def test_purged_tombstone_is_gone(spark, tmp):
     t.write_batch(mk([(10, "D", 1, None)]), 0)
     t.compact(purge_tombstones_through=10)
     assert spark.read.parquet(t._p("base", "gen=1")).count() == 0
+
+
+def test_materialized_apply_matches(spark):
+    ch = feed(5)
+    base = spark.createDataFrame(BASE, SCHEMA)
+    changes = spark.createDataFrame(ch, "_seq long, _op string, id long, v string")
+    got = sorted(map(tuple, apply_changes(base, changes, ["id"], materialize=True).collect()))
+    assert got == replay(BASE, ch)
