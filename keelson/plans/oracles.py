@@ -129,6 +129,7 @@ SELECT seq AS _seq, op AS _op, id, name, salary FROM ch
 WHERE seq > (SELECT CAST(FLOOR(MAX(event_id) / 2) AS BIGINT) FROM events)""",
 
     "copy_text_decode": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "snapshot_copy_dump": "SELECT doc_id, text, lang, source, n_chars FROM documents",
 
     "pgoutput_decode": f"""WITH {CH}, {DEC}
 SELECT * FROM dec""",
@@ -280,6 +281,7 @@ SELECT seq AS _seq, op AS _op, id, name, salary FROM (
 
     "stream_apply": APPLY_IN_ORDER,
     "stream_apply_direct": APPLY_IN_ORDER,
+    "stream_apply_buffered": APPLY_IN_ORDER,
     "stream_resume": APPLY_IN_ORDER,
 
     "target_filter_scan": f"""SELECT * FROM ({APPLY_IN_ORDER}) t

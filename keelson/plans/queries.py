@@ -18,7 +18,7 @@ from ..functions.positions import format_position, parse_position
 from ..functions.render import render_row
 from ..operators import apply as A
 from ..operators import rows as R
-from ..operators.batches import batch_summary, plan_batches
+from ..operators.batches import SEGMENT_BYTES, batch_summary, plan_batches
 from ..operators.changes import net_changes, tombstones
 from ..operators.route import (check_source_identity, read_from_position,
                                route_by_op, route_by_table)
@@ -28,7 +28,8 @@ from ..session import scratch_path
 from ..sinks.target import CsvTarget, FileTarget
 from ..sources.messages import (collect_versions, decode_messages,
                                 parse_relations, parse_rows, relation_as_of)
-from ..sources.snapshot import copy_lines_to_rows, read_snapshot, to_copy_lines
+from ..sources.snapshot import (copy_lines_to_rows, read_snapshot, to_copy_lines,
+                                write_copy_text)
 from ..streaming.messages import replicate_messages
 from ..streaming.replicate import run_available
 from . import capture, feeds
@@ -108,6 +109,15 @@ def copy_text_decode(spark, sf):
     return copy_lines_to_rows(lines, schema)
 
 
+def snapshot_copy_dump(spark, sf):
+    """A COPY text dump of ``documents`` landed as text files, read back
+    as the snapshot of a table (S1 + S2 through files)."""
+    docs = table(spark, sf, "documents")
+    path = scratch_path(spark, "dump")
+    write_copy_text(docs, path)
+    return read_snapshot(spark, path, fmt="copy", schema=docs.schema)
+
+
 def pgoutput_decode(spark, sf):
     return _decoded_out(_decoded(spark, sf))
 
@@ -323,6 +333,18 @@ def stream_apply(spark, sf):
     return t.current()
 
 
+def stream_apply_buffered(spark, sf):
+    """Buffered flush (T2): micro-batches bounded by bytes - the 10 MB
+    segment cap - rather than by file count."""
+    path = _landed_feed(spark, sf)
+    t = _seeded_target(spark, sf)
+    feed = (spark.readStream.schema(FEED_SCHEMA)
+            .option("maxBytesPerTrigger", SEGMENT_BYTES)
+            .option("recursiveFileLookup", "true").parquet(path))
+    run_available(feed, t, EMPLOYEE_KEYS, checkpoint=scratch_path(spark, "ckpt"))
+    return t.current()
+
+
 def stream_apply_direct(spark, sf):
     path = _landed_feed(spark, sf)
     t = _seeded_target(spark, sf)
@@ -433,6 +455,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_by_op": route_by_op_q,
     "read_from_position": read_from_position_q,
     "copy_text_decode": copy_text_decode,
+    "snapshot_copy_dump": snapshot_copy_dump,
     "pgoutput_decode": pgoutput_decode,
     "relation_as_of": relation_as_of_q,
     "lsn_parse": lsn_parse,
@@ -461,6 +484,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staged_log": staged_log,
     "stream_apply": stream_apply,
     "stream_apply_direct": stream_apply_direct,
+    "stream_apply_buffered": stream_apply_buffered,
     "stream_resume": stream_resume,
     "stream_decode_apply": stream_decode_apply,
     "source_identity": source_identity,
