@@ -95,14 +95,17 @@ class FileTarget:
         if self._cache is not None:
             self._cache = [r for r in self._cache if r["entry"] != entry] + [full]
 
-    def staged_batches(self) -> list[int]:
-        """Batch ids present in the log (the log directories are the truth:
-        a batch directory is complete once its write has committed)."""
+    def last_staged_batch(self, after: int = -1) -> int:
+        """Highest batch id in the log (the log directories are the truth:
+        a batch directory is complete once its write has committed); only
+        directories after ``after`` are considered. -1 when there is none."""
         try:
             logs = self.spark.read.parquet(self._p("log"))
         except AnalysisException:
-            return []
-        return sorted(r[0] for r in logs.select("batch_id").distinct().collect())
+            return -1
+        top = (logs.where(F.col("batch_id") > F.lit(after))
+               .agg(F.max("batch_id")).first()[0])
+        return -1 if top is None else int(top)
 
     def state(self) -> dict:
         """Current generation, last folded batch, last batch, system id."""
@@ -255,8 +258,7 @@ class FileTarget:
         precede any more (the lateness bound); tombstones at or before it
         are dropped."""
         st = self.state()
-        staged = self.staged_batches()
-        through = staged[-1] if staged else -1
+        through = self.last_staged_batch(after=st["through_batch"])
         if through <= st["through_batch"]:
             return st["gen"]
         gen = st["gen"] + 1
