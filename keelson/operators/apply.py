@@ -1,12 +1,12 @@
 """Row-level table changes: upsert, delete, apply in order.
 
-Every operator is an anti join plus a union. The change side is the small
-one in a replication job (one micro-batch against a large target), so AQE
-turns the anti join into a broadcast once it has measured that side; when
-the change side is large the plan stays a sort-merge anti join shuffled
-on the key. Keys in a keyed target are unique, and the change side is
-reduced to one row per key (``net_changes``) or to distinct keys before
-it is shuffled, so no key group is larger than one row on the change side.
+Every operator is an anti join plus a union - never a full outer join of
+the target. The change side is reduced first (one row per key, or
+distinct keys), materialised once in the shared checkpoint folder, and
+broadcast when a bounded count proves it small (``sizing``): the target
+is then streamed through a hash lookup and never shuffled. Beyond the
+bound the join is a sort-merge join on the key; a hot key cannot reach it
+because the change side has one row per key.
 """
 
 from __future__ import annotations
@@ -17,60 +17,88 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
 from .changes import DELETE, OP, net_changes
+from .sizing import BROADCAST_ROWS, materialize, small_side
 
 
 def _project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c) for c in columns])
 
 
-def upsert(base: DataFrame, rows: DataFrame, keys: Sequence[str] | None = None
+def _once(df: DataFrame, enabled: bool) -> DataFrame:
+    return materialize(df) if enabled else df
+
+
+def upsert(base: DataFrame, rows: DataFrame, keys: Sequence[str] | None = None,
+           broadcast_rows: int | None = BROADCAST_ROWS, once: bool = True
            ) -> DataFrame:
     """Replace base rows whose key is in ``rows``; insert the rest.
 
     ``rows`` must hold one row per key (see ``rows.check_duplicates``).
     With no keys, every column is the key (J2, ``insert_if_absent``).
+    ``once``: materialise ``rows`` so the size check, the join and the
+    union read it once computed.
     """
     if not keys:
-        return insert_if_absent(base, rows)
+        return insert_if_absent(base, rows, broadcast_rows, once)
     keys = list(keys)
     cols = base.columns
-    kept = base.join(rows.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(_project(rows, cols))
+    rows = _once(_project(rows, cols), once)
+    keyset, _ = small_side(rows.select(*keys), broadcast_rows)
+    kept = base.join(keyset, keys, "left_anti")
+    return kept.unionByName(rows)
+
+
+def _null_safe(left: str, right: str, cols: Sequence[str]):
+    return reduce(lambda a, b: a & b,
+                  [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+                   for c in cols])
 
 
-def insert_if_absent(base: DataFrame, rows: DataFrame) -> DataFrame:
+def insert_if_absent(base: DataFrame, rows: DataFrame,
+                     broadcast_rows: int | None = BROADCAST_ROWS,
+                     once: bool = True) -> DataFrame:
     """Key = all columns: append source rows that are not already there.
 
-    NULL equals NULL here, as it does for a whole-row key. Both sides are
-    made distinct first: distinct aggregates partially before its shuffle,
-    so a group of identical copies - however large - collapses to one row
-    per input split, and the null-safe anti join then sees distinct rows
-    only.
+    NULL equals NULL here, as it does for a whole-row key. The source rows
+    are made distinct first (partial aggregation: a group of identical
+    copies collapses map-side). When they are proven small they are
+    broadcast and the target is streamed past them to find the ones it
+    already holds - the target is never shuffled; otherwise the target is
+    made distinct too and a shuffled null-safe anti join decides.
     """
     cols = base.columns
-    new = _project(rows, cols).distinct().alias("n")
-    have = base.select(*cols).distinct().alias("b")
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(f"n.{c}").eqNullSafe(F.col(f"b.{c}")) for c in cols])
-    missing = new.join(have, cond, "left_anti").select(
-        *[F.col(f"n.{c}").alias(c) for c in cols])
-    return base.unionByName(missing)
-
-
-def delete(base: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    new = _once(_project(rows, cols).distinct(), once)
+    side, small = small_side(new, broadcast_rows)
+    if small:
+        present = (base.alias("b").join(side.alias("n"), _null_safe("n", "b", cols),
+                                        "inner")
+                   .select(*[F.col(f"n.{c}").alias(c) for c in cols]).distinct())
+        missing = new.alias("n").join(F.broadcast(present).alias("p"),
+                                      _null_safe("n", "p", cols), "left_anti")
+    else:
+        have = base.select(*cols).distinct().alias("p")
+        missing = new.alias("n").join(have, _null_safe("n", "p", cols), "left_anti")
+    return base.unionByName(missing.select(*[F.col(f"n.{c}").alias(c) for c in cols]))
+
+
+def delete(base: DataFrame, rows: DataFrame, keys: Sequence[str],
+           broadcast_rows: int | None = BROADCAST_ROWS, once: bool = True
+           ) -> DataFrame:
     """Remove base rows whose key appears in ``rows`` (J3, J4 composite).
 
     Equality is SQL equality: a NULL key matches nothing, as in a
     ``col = value`` filter.
     """
     keys = list(keys)
-    return base.join(rows.select(*keys).distinct(), keys, "left_anti")
+    keyset = _once(rows.select(*keys).distinct(), once)
+    keyset, _ = small_side(keyset, broadcast_rows)
+    return base.join(keyset, keys, "left_anti")
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str],
-                  order: str = "feed", materialize: bool = False) -> DataFrame:
+                  order: str = "feed", broadcast_rows: int | None = BROADCAST_ROWS,
+                  once: bool = True) -> DataFrame:
     """Bring ``base`` up to date with a change frame.
 
     ``order='feed'`` (O2): the state after applying every change in
@@ -79,29 +107,26 @@ def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str],
     reference does - the last insert/update per key is upserted, then every
     key deleted anywhere in the batch is removed.
 
-    The net change feeds both the anti join and the union. For a change
-    frame that is cheap to recompute (a parquet feed) the two reads cost
-    less than a write; for an expensive one (decoded messages) pass
-    ``materialize=True`` to checkpoint it once in the shared folder.
+    The net change feeds the size check, the anti join and the union;
+    ``once`` checkpoints it so the feed is read and reduced a single time.
     """
     keys = list(keys)
     cols = base.columns
     if order == "feed":
-        last = net_changes(changes, keys)
-        if materialize:
-            shared_dir(changes.sparkSession)
-            last = last.checkpoint(eager=True)
-        kept = base.join(last.select(*keys), keys, "left_anti")
+        last = _once(net_changes(changes, keys), once)
+        keyset, _ = small_side(last.select(*keys), broadcast_rows)
+        kept = base.join(keyset, keys, "left_anti")
         return kept.unionByName(_project(last.where(F.col(OP) != DELETE), cols))
     if order == "append_then_delete":
         ups = net_changes(changes.where(F.col(OP) != DELETE), keys)
-        merged = upsert(base, _project(ups, cols), keys)
-        return delete(merged, changes.where(F.col(OP) == DELETE), keys)
+        merged = upsert(base, _project(ups, cols), keys, broadcast_rows, once)
+        return delete(merged, changes.where(F.col(OP) == DELETE), keys,
+                      broadcast_rows, once)
     raise ValueError(f"unknown order {order!r}")
 
 
 def bootstrap(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str],
-              snapshot_seq: int | None = None) -> DataFrame:
+              snapshot_seq: int | None = None, **kwargs) -> DataFrame:
     """Seed from a snapshot, then follow the feed.
 
     The snapshot was taken after the feed's slot was created, so changes
@@ -114,4 +139,4 @@ def bootstrap(snapshot: DataFrame, changes: DataFrame, keys: Sequence[str],
     feed = changes
     if snapshot_seq is not None:
         feed = changes.where(F.col("_seq") > F.lit(snapshot_seq))
-    return apply_changes(snapshot, feed, keys, order="feed")
+    return apply_changes(snapshot, feed, keys, order="feed", **kwargs)

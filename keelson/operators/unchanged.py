@@ -23,8 +23,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from functools import reduce
+
 from .changes import DELETE, OP, SEQ, order_columns
+from .sizing import BROADCAST_ROWS, materialize, small_side
 
 UNCHANGED = "_unchanged"
 
@@ -57,25 +59,48 @@ def net_with_unchanged(changes: DataFrame, keys: Sequence[str],
 
 
 def apply_with_unchanged(base: DataFrame, changes: DataFrame,
-                         keys: Sequence[str], materialize: bool = True
-                         ) -> DataFrame:
-    """``materialize``: the per-key result feeds two joins; with an
-    expensive input (decoded messages) it is checkpointed once to the
-    shared folder instead of decoding twice (and the lineage is cut)."""
+                         keys: Sequence[str],
+                         broadcast_rows: int | None = BROADCAST_ROWS,
+                         once: bool = True) -> DataFrame:
+    """Apply changes that may leave columns unchanged.
+
+    The per-key result feeds the size check and two joins; ``once``
+    checkpoints it so an expensive input (decoded messages) is computed a
+    single time. Proven small, it is broadcast: the target is streamed
+    past it twice (rows to drop, and base values for columns never sent)
+    and never shuffled. Otherwise both joins shuffle on the key.
+    """
     keys = list(keys)
     cols = [c for c in base.columns if c not in keys]
     net = net_with_unchanged(changes, keys, cols)
-    if materialize:
-        shared_dir(changes.sparkSession)
-        net = net.checkpoint(eager=True)
-    live = net.where(F.col("_last_op") != DELETE).alias("n")
-    b = base.alias("b")
-    # Live keys only need base values for columns never sent since; the
-    # join brings them (AQE broadcasts the change side when it is small).
-    filled = live.join(b, keys, "left").select(
-        *[F.col(k) for k in keys],
-        *[F.when(F.col(f"n._set_{c}").isNull(), F.col(f"b.{c}"))
-          .when(F.col(f"n._set_{c}.deleted"), F.lit(None))
-          .otherwise(F.col(f"n._set_{c}.v")).alias(c) for c in cols])
-    kept = base.join(net.select(*keys), keys, "left_anti")
+    if once:
+        net = materialize(net)
+    side, small = small_side(net, broadcast_rows)
+    live = net.where(F.col("_last_op") != DELETE)
+    kept = base.join(side.select(*keys), keys, "left_anti")
+
+    def fill(has_base: bool) -> list:
+        out = []
+        for c in cols:
+            sent = (F.when(F.col(f"n._set_{c}.deleted"), F.lit(None))
+                    .otherwise(F.col(f"n._set_{c}.v")))
+            base_val = F.col(f"b.{c}") if has_base else F.lit(None)
+            out.append(F.when(F.col(f"n._set_{c}").isNull(), base_val)
+                       .otherwise(sent).alias(c))
+        return out
+
+    nk = [F.col(f"n.{k}").alias(k) for k in keys]
+    if small:
+        live_b = F.broadcast(live).alias("n")
+        match = reduce(lambda a, b: a & b,
+                       [F.col(f"b.{k}") == F.col(f"n.{k}") for k in keys])
+        hit = base.alias("b").join(live_b, match, "inner")
+        with_base = hit.select(*nk, *fill(True))
+        hit_keys = F.broadcast(hit.select(*nk))
+        without = live.join(hit_keys, keys, "left_anti").alias("n").select(
+            *nk, *fill(False))
+        filled = with_base.unionByName(without)
+    else:
+        filled = live.alias("n").join(base.alias("b"), keys, "left").select(
+            *[F.col(k) for k in keys], *fill(True))
     return kept.unionByName(filled.select(*base.columns))

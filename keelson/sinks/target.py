@@ -32,6 +32,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.changes import DELETE, OP, SEQ, SUB, net_changes
+from ..operators.sizing import materialize, small_side
 from ..operators.unchanged import UNCHANGED, net_with_unchanged
 
 MIN_SEQ = -(2 ** 63)
@@ -197,8 +198,9 @@ class FileTarget:
             return base
         if self.unchanged:
             return self._merged_unchanged(base, logs)
-        net = net_changes(logs, self.keys)
-        b, n = base.alias("b"), net.alias("n")
+        net = materialize(net_changes(logs, self.keys))
+        side, small = small_side(net)
+        b, n = base.alias("b"), side.alias("n")
         match = _key_match("b", "n", self.keys)
         # Base rows with no newer change survive.
         kept = b.join(n, match & (F.col("n._seq") > F.col("b._seq")), "left_anti")
@@ -206,7 +208,9 @@ class FileTarget:
         # join streams the base against the (usually broadcast) net changes.
         stale = (b.join(n, match & (F.col("b._seq") >= F.col("n._seq")), "inner")
                  .select(*[F.col(f"n.{k}").alias(k) for k in self.keys]))
-        fresh = net.join(stale, self.keys, "left_anti")
+        # stale has at most as many rows as the (proven small) net change
+        fresh = net.join(F.broadcast(stale) if small else stale, self.keys,
+                         "left_anti")
         changed = fresh.select(*[F.col(c) for c in self.columns], SEQ,
                                (F.col(OP) == DELETE).alias("_deleted"))
         return kept.select(*self.columns, SEQ, "_deleted").unionByName(changed)
@@ -216,8 +220,9 @@ class FileTarget:
         the newest change that sent it (or deleted the row) if that change
         is newer than the base row, else the base value."""
         data = [c for c in self.columns if c not in self.keys]
-        net = net_with_unchanged(logs, self.keys, data, with_seq=True)
-        b, n = base.alias("b"), net.alias("n")
+        net = materialize(net_with_unchanged(logs, self.keys, data, with_seq=True))
+        side, small = small_side(net)
+        b, n = base.alias("b"), side.alias("n")
         match = _key_match("b", "n", self.keys)
         newer = F.col("n._last_seq") > F.col("b._seq")
         kept = b.join(n, match & newer, "left_anti")
@@ -236,7 +241,9 @@ class FileTarget:
         updated = hit.where(newer).select(
             *keys_n, *[pick(c, True) for c in data],
             F.col("n._last_seq").alias(SEQ), last_del)
-        fresh = net.join(hit.select(*keys_n), self.keys, "left_anti").alias("n")
+        hit_keys = hit.select(*keys_n)
+        fresh = net.join(F.broadcast(hit_keys) if small else hit_keys, self.keys,
+                         "left_anti").alias("n")
         fresh = fresh.select(*keys_n, *[pick(c, False) for c in data],
                              F.col("n._last_seq").alias(SEQ), last_del)
         cols = [*self.columns, SEQ, "_deleted"]

@@ -85,9 +85,10 @@ def test_purged_tombstone_is_gone(spark, tmp):
     assert spark.read.parquet(t._p("base", "gen=1")).count() == 0
 
 
-def test_materialized_apply_matches(spark):
+def test_shuffled_apply_matches(spark):
     ch = feed(5)
     base = spark.createDataFrame(BASE, SCHEMA)
     changes = spark.createDataFrame(ch, "_seq long, _op string, id long, v string")
-    got = sorted(map(tuple, apply_changes(base, changes, ["id"], materialize=True).collect()))
+    got = sorted(map(tuple, apply_changes(base, changes, ["id"], once=False,
+                                          broadcast_rows=None).collect()))
     assert got == replay(BASE, ch)

@@ -72,3 +72,29 @@ def test_hot_key_is_correct(spark):
     for seq, _, k, v in rows:
         want[k] = v
     assert got == want
+
+
+def _executed(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return plan(df)
+
+
+def test_change_side_broadcast_without_planner_estimates(spark):
+    """Even with the planner's size-based broadcast switched off, a proven
+    small change side is broadcast and the target is not shuffled."""
+    from keelson.operators.apply import delete, insert_if_absent
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = feeds.employee_base(spark, SMOKE)
+        ch = feeds.employee_changes(spark, SMOKE)
+        for df in (apply_changes(base, ch, ["id"]),
+                   delete(base, ch.where("_op = 'D'"), ["id"]),
+                   insert_if_absent(base, ch.select("id", "name", "salary"))):
+            p = _executed(df)
+            assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+        # beyond the bound the join stays shuffled
+        p = _executed(apply_changes(base, ch, ["id"], broadcast_rows=10))
+        assert "SortMergeJoin" in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
