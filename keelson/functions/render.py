@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SEPARATOR = "|"
+SEPARATOR = "|"  # fixed value: column separator of rendered rows
 
 
 def render_row(cols: list[Column], sep: str = SEPARATOR) -> Column:
