@@ -78,16 +78,25 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
     checkpoint = checkpoint or scratch_path(spark, "streams")
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        # Identity is checked on the raw batch: cheap, and before any
-        # decoding work is spent on a feed from the wrong system.
-        sys_id = None
-        if "system_id" in batch.columns:
-            expected = getattr(target, "state", lambda: {})().get("system_id")
-            sys_id = check_source_identity(batch, expected)
-        rows = transform(batch, batch_id) if transform else batch
-        if schema is not None:
-            rows = prepare_batch(rows, schema, keys, required_mode, cast_mode)
-        target.write_batch(rows, batch_id, system_id=sys_id)
+        # A transform reads the batch more than once (relations, rows):
+        # keep it for the duration of this batch only. A lost cached block
+        # is recomputed from the source files.
+        if transform is not None:
+            batch = batch.persist()
+        try:
+            # Identity is checked on the raw batch: cheap, and before any
+            # decoding work is spent on a feed from the wrong system.
+            sys_id = None
+            if "system_id" in batch.columns:
+                expected = getattr(target, "state", lambda: {})().get("system_id")
+                sys_id = check_source_identity(batch, expected)
+            rows = transform(batch, batch_id) if transform else batch
+            if schema is not None:
+                rows = prepare_batch(rows, schema, keys, required_mode, cast_mode)
+            target.write_batch(rows, batch_id, system_id=sys_id)
+        finally:
+            if transform is not None:
+                batch.unpersist()
         due = compact_every and (batch_id + 1) % compact_every == 0
         if (direct or due) and hasattr(target, "compact"):
             target.compact()
