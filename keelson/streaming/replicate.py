@@ -37,11 +37,18 @@ DEFAULT_TRIGGER = {"processingTime": "120 seconds"}  # fixed value: upload inter
 
 
 def prepare_batch(batch: DataFrame, schema: StructType, keys: Sequence[str],
-                  required_mode: str = "all", cast_mode: str = "strict"
+                  required_mode: str = "all", cast_mode: str = "strict",
+                  rejects_path: str | None = None, batch_id: int | None = None
                   ) -> DataFrame:
     """Cast to the target schema, then drop rows missing required fields.
-    Deletes only need their key."""
+    Deletes only need their key.
+
+    ``cast_mode='try'``: text that does not cast becomes a reject instead
+    of failing the batch; with ``rejects_path`` the raw rows are kept in
+    ``<rejects_path>/batch_id=N`` (overwritten on replay)."""
     from pyspark.sql import functions as F
+    if cast_mode == "try" and rejects_path is not None:
+        _rejected_rows(batch, schema).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
     rows = conform(batch, schema, mode=cast_mode)
     if cast_mode == "try":
         rows = rows.where(~F.col("_rejected")).drop("_rejected")
@@ -57,13 +64,25 @@ def prepare_batch(batch: DataFrame, schema: StructType, keys: Sequence[str],
     return require(rows, req, required_mode, unchanged_ok=True)
 
 
+def _rejected_rows(batch: DataFrame, schema: StructType) -> DataFrame:
+    """Raw rows with a non-NULL value that does not cast to its column."""
+    from pyspark.sql import functions as F
+    bad = F.lit(False)
+    for f in schema.fields:
+        if f.name in batch.columns:
+            c = F.col(f.name)
+            bad = bad | (c.isNotNull() & c.try_cast(f.dataType).isNull())
+    return batch.where(bad)
+
+
 def replicate(feed: DataFrame, target, keys: Sequence[str],
               schema: StructType | None = None, checkpoint: str | None = None,
               trigger: dict | None = None, direct: bool = False,
               required_mode: str = "all", cast_mode: str = "strict",
               transform: Callable[[DataFrame, int], DataFrame] | None = None,
               query_name: str | None = None,
-              compact_every: int | None = None) -> StreamingQuery:
+              compact_every: int | None = None,
+              rejects_path: str | None = None) -> StreamingQuery:
     """Start replicating a streaming change feed into ``target``.
 
     ``transform(batch, batch_id)`` runs first on each micro-batch (e.g.
@@ -92,7 +111,8 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
                 sys_id = check_source_identity(batch, expected)
             rows = transform(batch, batch_id) if transform else batch
             if schema is not None:
-                rows = prepare_batch(rows, schema, keys, required_mode, cast_mode)
+                rows = prepare_batch(rows, schema, keys, required_mode, cast_mode,
+                                     rejects_path, batch_id)
             target.write_batch(rows, batch_id, system_id=sys_id)
         finally:
             if transform is not None:
