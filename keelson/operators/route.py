@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .changes import DELETE, INSERT, OP, SEQ, UPDATE
@@ -26,16 +26,15 @@ def read_from_position(changes: DataFrame, position: int) -> DataFrame:
     return changes.where(F.col(SEQ) > F.lit(position))
 
 
-def _known(spark: SparkSession, names: Iterable[str], col: str) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in names], f"{col} string")
-
-
 def unknown_tables(changes: DataFrame, tables: Iterable[str],
                    table_col: str = "_table") -> DataFrame:
-    """Distinct table names in the feed that are not being replicated."""
-    known = _known(changes.sparkSession, tables, table_col)
-    return (changes.select(table_col).distinct()
-            .join(F.broadcast(known), table_col, "left_anti"))
+    """Distinct table names in the feed that are not being replicated. The
+    table list is the job's configuration, so it is a literal ``IN`` list;
+    distinct aggregates partially, so the probe moves one row per name and
+    input split."""
+    known = F.col(table_col).isin(list(tables))
+    return (changes.select(table_col).where(~known | F.col(table_col).isNull())
+            .distinct())
 
 
 def route_by_table(changes: DataFrame, tables: Iterable[str],
@@ -43,13 +42,11 @@ def route_by_table(changes: DataFrame, tables: Iterable[str],
                    ) -> dict[str, DataFrame]:
     """Split a multi-table feed by table (F2).
 
-    The table list is the job's configuration - a handful of names - so it
-    is broadcast. ``strict`` fails when the feed names a table outside the
-    list; the probe reads the distinct table names only (partial
-    aggregation), never the rows.
+    ``strict`` fails when the feed names a table outside the list; the
+    probe reads the distinct table names only, never the rows.
     """
     tables = list(tables)
-    if strict:
+    if strict:  # one bounded probe job
         bad = unknown_tables(changes, tables, table_col).limit(5).collect()
         if bad:
             raise ValueError(f"feed names unknown tables: "
