@@ -288,7 +288,16 @@ class CatalogTarget:
         self.spark = spark
         self.name = name
         self.keys = list(keys)
-        self.columns = spark.table(name).columns
+        self.schema = spark.table(name).schema
+        self.columns = [f.name for f in self.schema.fields]
+
+    def seed(self, snapshot: DataFrame) -> bool:
+        """Load a snapshot once (T6): only into an empty table. The probe
+        reads at most one row."""
+        if self.spark.table(self.name).limit(1).count() > 0:
+            return False
+        snapshot.select(*self.columns).writeTo(self.name).append()
+        return True
 
     def write_batch(self, changes: DataFrame, batch_id: int,
                     system_id: str | None = None) -> None:

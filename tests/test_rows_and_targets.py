@@ -123,3 +123,16 @@ def test_catalog_target_builds_merge(spark, tmp):
     with pytest.raises(Exception) as err:
         target.write_batch(ch, 0)
     assert "MERGE" in str(err.value).upper()
+
+
+def test_catalog_target_seed_once(spark, tmp):
+    name = "keelson_seed_probe"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, name STRING) USING parquet "
+              f"LOCATION '{tmp}/s'")
+    t = CatalogTarget(spark, name, ["id"])
+    snap = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    assert t.seed(snap) is True
+    assert t.seed(snap) is False
+    assert t.current().count() == 2
+    assert [f.name for f in t.schema.fields] == ["id", "name"]
