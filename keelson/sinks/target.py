@@ -296,7 +296,7 @@ class CatalogTarget:
         reads at most one row."""
         if self.spark.table(self.name).limit(1).count() > 0:
             return False
-        snapshot.select(*self.columns).writeTo(self.name).append()
+        snapshot.select(*self.columns).write.insertInto(self.name)
         return True
 
     def write_batch(self, changes: DataFrame, batch_id: int,
