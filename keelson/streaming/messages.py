@@ -14,6 +14,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from ..sources.messages import decode_messages, parse_relations
 from .replicate import replicate
@@ -23,9 +24,17 @@ def decode_batch(batch: DataFrame, batch_id: int, schema: StructType,
                  relations_path: str, table: str | None = None,
                  keys: list[str] | None = None) -> DataFrame:
     spark = batch.sparkSession
-    parse_relations(batch).write.mode("overwrite").parquet(
-        os.path.join(relations_path, f"batch_id={batch_id}"))
-    rels = spark.read.parquet(relations_path).drop("batch_id")
+    new = parse_relations(batch)
+    # Most batches carry no relation message: write a directory only for
+    # those that do (a one-row probe), so the table grows with sessions
+    # and schema changes, not with batches. Replays overwrite the same one.
+    if new.limit(1).count() > 0:
+        new.write.mode("overwrite").parquet(
+            os.path.join(relations_path, f"batch_id={batch_id}"))
+    try:
+        rels = spark.read.parquet(relations_path).drop("batch_id")
+    except AnalysisException:
+        rels = new.limit(0)
     return decode_messages(batch, schema, table=table, keys=keys, relations=rels)
 
 
