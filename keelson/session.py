@@ -22,6 +22,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Partition sizing: scans split at 128 MB; after a shuffle AQE merges
+    # small partitions up to 128 MB and splits skewed ones, so the initial
+    # shuffle partition count only has to be large enough (see README).
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Lineage cuts (checkpoint()) are removed once their DataFrame is gone.
