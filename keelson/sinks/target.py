@@ -88,8 +88,13 @@ class FileTarget:
             self._cache = [r.asDict() for r in self.ledger().collect()]
         return sorted(self._cache, key=lambda r: r["entry"])
 
+    def _next_entry(self) -> int:
+        """Entries are numbered in write order (one writing driver per
+        target), so the latest snapshot or compaction always wins."""
+        return max((r["entry"] for r in self._entries()), default=-1) + 1
+
     def _record(self, **row) -> None:
-        entry = row["entry"]
+        entry = row.setdefault("entry", self._next_entry())
         full = {f.name: row.get(f.name) for f in LEDGER_SCHEMA.fields}
         (self.spark.createDataFrame([full], LEDGER_SCHEMA).coalesce(1).write
          .mode("overwrite").parquet(self._p("ledger", f"entry={entry}")))
@@ -138,7 +143,7 @@ class FileTarget:
                                F.lit(seq).cast("bigint").alias(SEQ),
                                F.lit(False).alias("_deleted"))
         rows.write.mode("overwrite").parquet(self._p("base", "gen=0"))
-        self._record(entry=0, kind="snapshot", gen=0, through_batch=-1,
+        self._record(kind="snapshot", gen=0, through_batch=-1,
                      last_seq=snapshot_seq)
         return True
 
@@ -171,7 +176,7 @@ class FileTarget:
         # (snapshot, compaction, the source identity) - not every batch,
         # whose own directory already says it is complete.
         if system_id and self.state()["system_id"] != system_id:
-            self._record(entry=1_000_000_000 + batch_id * 2, kind="batch",
+            self._record(kind="batch",
                          batch_id=batch_id, n_rows=stats["n"],
                          first_seq=stats["lo"], last_seq=stats["hi"],
                          system_id=system_id)
@@ -274,8 +279,7 @@ class FileTarget:
             merged = merged.where(~F.col("_deleted") |
                                   (F.col(SEQ) > F.lit(purge_tombstones_through)))
         merged.write.mode("overwrite").parquet(self._p("base", f"gen={gen}"))
-        self._record(entry=1_000_000_000 + through * 2 + 1, kind="compact",
-                     gen=gen, through_batch=through)
+        self._record(kind="compact", gen=gen, through_batch=through)
         return gen
 
 

@@ -64,3 +64,14 @@ def test_compaction_keeps_result(spark, tmp):
     # a fresh driver reading the same folder sees the same table
     t2 = FileTarget(spark, tmp, ["id"], SCHEMA)
     assert sorted(map(tuple, t2.current().collect())) == before
+
+
+def test_forced_resnapshot_after_compaction(spark, tmp):
+    t = _target(spark, tmp)
+    t.write_batch(_changes(spark, INSERT, "I", 1), 0)
+    t.compact()
+    fresh = spark.createDataFrame([(9, "Nine", 9.0)], SCHEMA)
+    assert t.seed(fresh, force=True) is True
+    assert t.state()["gen"] == 0
+    # the staged batch is applied again on top of the new snapshot
+    assert sorted(r.id for r in t.current().collect()) == [1, 2, 3, 9]
