@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
@@ -22,9 +23,18 @@ from .replicate import replicate
 
 def decode_batch(batch: DataFrame, batch_id: int, schema: StructType,
                  relations_path: str, table: str | None = None,
-                 keys: list[str] | None = None) -> DataFrame:
+                 keys: list[str] | None = None,
+                 tables: list[str] | None = None) -> DataFrame:
+    """Decode one micro-batch. ``tables``: the tables being replicated; a
+    relation message for any other table fails the batch (F2)."""
     spark = batch.sparkSession
     new = parse_relations(batch)
+    if tables is not None:
+        bad = (new.where(~F.col("name").isin(list(tables)))
+               .select("namespace", "name").distinct().limit(5).collect())
+        if bad:
+            raise ValueError(f"relation for an unknown table: "
+                             f"{[f'{r.namespace}.{r.name}' for r in bad]}")
     # Most batches carry no relation message: write a directory only for
     # those that do (a one-row probe), so the table grows with sessions
     # and schema changes, not with batches. Replays overwrite the same one.
@@ -40,12 +50,17 @@ def decode_batch(batch: DataFrame, batch_id: int, schema: StructType,
 
 def replicate_messages(feed: DataFrame, target, keys: list[str],
                        schema: StructType, table: str | None = None,
-                       relations_path: str | None = None, **kwargs
+                       relations_path: str | None = None,
+                       tables: list[str] | None = None, **kwargs
                        ) -> StreamingQuery:
-    """``feed``: a stream of (system_id, _seq, _lsn, payload) rows."""
+    """``feed``: a stream of (system_id, _seq, _lsn, payload) rows.
+    ``table``: the relation whose rows go to ``target``; ``tables``: every
+    table the feed may name (others fail the batch)."""
     relations_path = relations_path or os.path.join(target.path, "relations")
+    if tables is None and table is not None:
+        tables = [table]
     return replicate(
         feed, target, keys, schema=schema,
         transform=lambda b, i: decode_batch(b, i, schema, relations_path,
-                                            table, keys),
+                                            table, keys, tables),
         **kwargs)

@@ -135,3 +135,23 @@ def test_disagreeing_keys_fail(spark):
     with pytest.raises(ValueError):
         decoded(spark, [rel(["id", "name", "salary"], ["id"]), ins([1, "a", 1.0]),
                         rel(["id", "name", "salary"], ["name"]), ins([2, "b", 1.0])])
+
+
+def test_stream_rejects_unknown_table(spark, tmp):
+    import os
+
+    from keelson.sinks.target import FileTarget
+    from keelson.streaming.messages import replicate_messages
+    feed = os.path.join(tmp, "feed")
+    frame(spark, [rel(["id", "name", "salary"], ["id"], name="emp"),
+                  ins([1, "a", 1.0]),
+                  rel(["x"], ["x"], name="other", oid=99)]).write.parquet(feed)
+    t = FileTarget(spark, os.path.join(tmp, "t"), ["id"],
+                   StructType([StructField("id", LongType(), False)] + SCHEMA.fields[1:]))
+    s = spark.readStream.schema(MSG).parquet(feed)
+    q = replicate_messages(s, t, ["id"], t.schema, table="emp",
+                           checkpoint=os.path.join(tmp, "ck"),
+                           trigger={"availableNow": True})
+    with pytest.raises(Exception) as err:
+        q.awaitTermination()
+    assert "unknown table" in str(err.value)
