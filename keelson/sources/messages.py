@@ -355,6 +355,10 @@ def decode_messages(messages: DataFrame, schema: StructType,
             if len(found) > 1:
                 raise ValueError(f"relation versions disagree on the key: {found}")
             keys = list(found.pop()) if found else []
+            if not keys:
+                # No key announced (replica identity full or nothing): every
+                # target column is the key, as for a key-less target.
+                keys = [f.name for f in schema.fields]
     else:
         max_cols = rels.agg(F.max(F.size("cols"))).first()[0] or 0
     rows = parse_rows(messages, max_cols)

@@ -155,3 +155,9 @@ def test_stream_rejects_unknown_table(spark, tmp):
     with pytest.raises(Exception) as err:
         q.awaitTermination()
     assert "unknown table" in str(err.value)
+
+
+def test_no_announced_key_uses_all_columns(spark):
+    got = decoded(spark, [rel(["id", "name", "salary"], []), ins([1, "a", 1.0]),
+                          dele([1, "a", 1.0], tag=b"O")])
+    assert got == [(1, 0, "I", 1, "a", 1.0, ()), (2, 0, "D", 1, "a", 1.0, ())]
