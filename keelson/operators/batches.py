@@ -9,61 +9,64 @@ across tasks; this rule can.)
 
 The running sum is a distributed prefix sum, not one global window:
 
-1. cut the feed into ``buckets`` position ranges at approximate quantiles
-   of ``_seq`` - positions are unique, so the ranges hold about the same
-   number of rows whatever the position distribution;
-2. sum bytes per range (partial aggregation; ``buckets`` rows come out);
-3. prefix-sum those totals - a bounded table, broadcast back;
-4. a running sum inside each range, partitioned by range.
-
-Ranges are decided once, on the driver, as literal boundaries in the plan,
-so a retried task reproduces the same assignment.
+1. cut the positions into ranges at approximate quantiles of ``_seq``
+   (a scan of that one column; the ranges hold about the same number of
+   rows whatever the position distribution), assign each row its range
+   with ``Bucketizer`` (a binary search on the JVM, any number of
+   ranges), and checkpoint - the assignment is made once, and the size
+   expression evaluated once, for both passes below;
+2. sum bytes per range (partial aggregation; one row per range);
+3. prefix-sum those totals - a table bounded by the range count,
+   broadcast back;
+4. a running sum inside each range (a window partitioned by range).
+
+Pass a narrow frame (position columns and the size): it is what moves.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from pyspark.ml.feature import Bucketizer
+
 from .changes import SEQ, order_columns
+from .sizing import materialize
 
 SEGMENT_BYTES = 10 * 1024 * 1024  # fixed value: the reference's segment cap
 
 
-def _bucket_expr(seq: Column, bounds: list[float]) -> Column:
-    """Index of the range holding ``seq``: a balanced tree of comparisons,
-    O(log n) per row, all inside generated code."""
-    def build(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]; bounds[i] separates range i and i+1
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(seq <= F.lit(bounds[mid]), build(lo, mid)).otherwise(
-            build(mid + 1, hi))
-    return build(0, len(bounds))
+def range_buckets(changes: DataFrame, buckets: int,
+                  rel_error: float = 0.001) -> DataFrame:
+    """Add ``_bucket``: the index of the position range holding the row,
+    ranges in feed order and of about equal row counts. Materialised.
+
+    Boundaries are ``buckets - 1`` quantiles (a bounded list on the driver,
+    literal in the plan). The lookup runs on ``double(_seq)``: rounding is
+    monotonic, so ranges stay contiguous in feed order."""
+    qs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(changes.approxQuantile(SEQ, qs, rel_error))) if qs else []
+    splits = [float("-inf")] + bounds + [float("inf")]
+    tagged = changes.withColumn("_seq_d", F.col(SEQ).cast("double"))
+    ranged = Bucketizer(splits=splits, inputCol="_seq_d", outputCol="_b",
+                        handleInvalid="keep").transform(tagged)
+    ranged = (ranged.withColumn("_bucket", F.col("_b").cast("int"))
+              .drop("_b", "_seq_d"))
+    return materialize(ranged)
 
 
 def plan_batches(changes: DataFrame, size_col: str, cap: int = SEGMENT_BYTES,
-                 buckets: int | None = None, rel_error: float = 0.001,
-                 materialize: bool = True) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Add ``_running`` (bytes through this row) and ``_batch`` to each row.
 
-    The rows are read for the range totals and again for the running sums;
-    ``materialize`` checkpoints them once (with their range) in the shared
-    folder, so an expensive size expression is evaluated a single time."""
+    ``buckets``: number of position ranges (default: the shuffle partition
+    count); each range's running sum is one task, so at scale choose it so
+    a range holds a task's worth of rows."""
     spark = changes.sparkSession
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = order_columns(changes) or [SEQ]
-    bounds: list[float] = []
-    if buckets > 1:
-        qs = [i / buckets for i in range(1, buckets)]
-        bounds = sorted(set(changes.approxQuantile(SEQ, qs, rel_error)))
-    b = changes.withColumn("_bucket", _bucket_expr(F.col(SEQ), bounds))
-    if materialize:
-        shared_dir(spark)
-        b = b.checkpoint(eager=True)
+    b = range_buckets(changes, buckets)
     totals = b.groupBy("_bucket").agg(F.sum(size_col).alias("_bucket_bytes"))
     # Bounded by the number of ranges: one small window and a broadcast.
     offsets = totals.select(
