@@ -37,8 +37,9 @@ NOTES = {
     "unchanged_fill": "One grouped max_by aggregate per key (partial "
     "SortAggregate before the exchange), checkpointed once, broadcast into "
     "two passes over the streamed target.",
-    "segment_plan": "Quantile ranges (literal boundaries), per-range totals "
-    "(partial aggregate), broadcast offsets, running sum per range.",
+    "segment_plan": "Quantile ranges (literal boundaries, JVM binary search), "
+    "checkpointed once; per-range totals (partial aggregate), broadcast "
+    "offsets, running sum per range.",
 }
 
 
