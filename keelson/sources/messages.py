@@ -335,19 +335,24 @@ def to_changes(attached: DataFrame, schema: StructType,
 
 def decode_messages(messages: DataFrame, schema: StructType,
                     table: str | None = None, keys: list[str] | None = None,
-                    relations: DataFrame | None = None) -> DataFrame:
+                    relations: DataFrame | None = None,
+                    versions: DataFrame | None = None,
+                    local_versions: list | None = None) -> DataFrame:
     """Captured messages -> typed change rows for one target schema.
 
     ``relations`` may come from an earlier batch's relation table (a
     relation message can precede its rows by many batches); by default
-    the relation messages in ``messages`` are used.
+    the relation messages in ``messages`` are used. ``versions`` /
+    ``local_versions``: relation versions already materialised and
+    collected (``collect_versions``) - a stream reuses them until a batch
+    brings a new relation message.
     """
     rels = relations if relations is not None else parse_relations(messages)
-    vers = collect_versions(rels)
+    vers = versions if versions is not None else collect_versions(rels)
     if vers is not None:
         # One read of the relation messages serves the walk bound, the
         # key set and the broadcast.
-        local = vers.collect()
+        local = local_versions if local_versions is not None else vers.collect()
         max_cols = max([len(r.cols) for r in local], default=0)
         if not keys:
             found = {tuple(r.keys) for r in local

@@ -17,35 +17,59 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
-from ..sources.messages import decode_messages, parse_relations
+from ..sources.messages import (collect_versions, decode_messages,
+                                parse_relations)
 from .replicate import replicate
 
 
+class RelationTable:
+    """Relation messages seen so far, stored under ``path`` (one directory
+    per batch that carried any) and kept, as materialised versions, in
+    the driver between batches. A restarted driver rebuilds them from the
+    stored table on its first batch."""
+
+    def __init__(self, path: str, tables: list[str] | None = None):
+        self.path = path
+        self.tables = tables
+        self.versions: DataFrame | None = None
+        self.local: list | None = None
+
+    def update(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        new = parse_relations(batch)
+        # One probe: the tables this batch announces (a few rows at most).
+        names = [(r.namespace, r.name) for r in
+                 new.select("namespace", "name").distinct().limit(1000).collect()]
+        if self.tables is not None:
+            bad = [f"{ns}.{n}" for ns, n in names if n not in self.tables]
+            if not bad and len(names) == 1000:  # probe was cut: check exactly
+                bad = [f"{r.namespace}.{r.name}" for r in
+                       new.where(~F.col("name").isin(list(self.tables)))
+                       .select("namespace", "name").distinct().limit(5).collect()]
+            if bad:
+                raise ValueError(f"relation for an unknown table: {bad[:5]}")
+        if names:
+            # Replays overwrite the same directory.
+            new.write.mode("overwrite").parquet(
+                os.path.join(self.path, f"batch_id={batch_id}"))
+        try:
+            rels = spark.read.parquet(self.path).drop("batch_id")
+        except AnalysisException:
+            rels = new.limit(0)
+        if names or self.versions is None:
+            self.versions = collect_versions(rels)
+            self.local = self.versions.collect() if self.versions is not None else None
+        return rels
+
+
 def decode_batch(batch: DataFrame, batch_id: int, schema: StructType,
-                 relations_path: str, table: str | None = None,
-                 keys: list[str] | None = None,
-                 tables: list[str] | None = None) -> DataFrame:
-    """Decode one micro-batch. ``tables``: the tables being replicated; a
-    relation message for any other table fails the batch (F2)."""
-    spark = batch.sparkSession
-    new = parse_relations(batch)
-    if tables is not None:
-        bad = (new.where(~F.col("name").isin(list(tables)))
-               .select("namespace", "name").distinct().limit(5).collect())
-        if bad:
-            raise ValueError(f"relation for an unknown table: "
-                             f"{[f'{r.namespace}.{r.name}' for r in bad]}")
-    # Most batches carry no relation message: write a directory only for
-    # those that do (a one-row probe), so the table grows with sessions
-    # and schema changes, not with batches. Replays overwrite the same one.
-    if new.limit(1).count() > 0:
-        new.write.mode("overwrite").parquet(
-            os.path.join(relations_path, f"batch_id={batch_id}"))
-    try:
-        rels = spark.read.parquet(relations_path).drop("batch_id")
-    except AnalysisException:
-        rels = new.limit(0)
-    return decode_messages(batch, schema, table=table, keys=keys, relations=rels)
+                 relations: RelationTable, table: str | None = None,
+                 keys: list[str] | None = None) -> DataFrame:
+    """Decode one micro-batch against every relation seen so far."""
+    rels = relations.update(batch, batch_id)
+    return decode_messages(batch, schema, table=table, keys=keys, relations=rels,
+                           versions=relations.versions,
+                           local_versions=relations.local)
 
 
 def replicate_messages(feed: DataFrame, target, keys: list[str],
@@ -59,8 +83,8 @@ def replicate_messages(feed: DataFrame, target, keys: list[str],
     relations_path = relations_path or os.path.join(target.path, "relations")
     if tables is None and table is not None:
         tables = [table]
+    rel_table = RelationTable(relations_path, tables)
     return replicate(
         feed, target, keys, schema=schema,
-        transform=lambda b, i: decode_batch(b, i, schema, relations_path,
-                                            table, keys, tables),
+        transform=lambda b, i: decode_batch(b, i, schema, rel_table, table, keys),
         **kwargs)
