@@ -199,7 +199,9 @@ class FileTarget:
         """Base + newer logs, with tombstones and ``_seq`` kept."""
         base = self._base(st["gen"])
         logs = self._logs(st["through_batch"], through)
-        if logs is None:
+        # Nothing staged since the base (e.g. right after a compaction): a
+        # one-row probe over the pruned log partitions saves the merge.
+        if logs is None or logs.limit(1).count() == 0:
             return base
         if self.unchanged:
             return self._merged_unchanged(base, logs)
