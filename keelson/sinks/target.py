@@ -285,6 +285,41 @@ class FileTarget:
         return gen
 
 
+    def vacuum(self, keep_generations: int = 1) -> dict:
+        """Delete what the current generation has made obsolete: log
+        directories already folded into it and base generations older than
+        the newest ``keep_generations``. Like a table format's vacuum, a
+        reader still scanning a deleted generation fails - run it after
+        readers have moved on. Listing and deleting are directory
+        operations on the driver (Hadoop FileSystem API), no data moves."""
+        st = self.state()
+        if st["gen"] is None:
+            return {"logs": 0, "generations": 0}
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+
+        def children(sub: str):
+            path = jvm.org.apache.hadoop.fs.Path(self._p(sub))
+            fs = path.getFileSystem(conf)
+            if not fs.exists(path):
+                return fs, []
+            return fs, [(s.getPath(), s.getPath().getName()) for s in fs.listStatus(path)]
+
+        removed = {"logs": 0, "generations": 0}
+        fs, logs = children("log")
+        for path, name in logs:
+            if name.startswith("batch_id=") and int(name.split("=")[1]) <= st["through_batch"]:
+                fs.delete(path, True)
+                removed["logs"] += 1
+        oldest_kept = st["gen"] - max(1, keep_generations) + 1
+        fs, gens = children("base")
+        for path, name in gens:
+            if name.startswith("gen=") and int(name.split("=")[1]) < oldest_kept:
+                fs.delete(path, True)
+                removed["generations"] += 1
+        return removed
+
+
 class CatalogTarget:
     """A catalog table with row-level changes. It must exist (K5)."""
 

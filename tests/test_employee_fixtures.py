@@ -75,3 +75,18 @@ def test_forced_resnapshot_after_compaction(spark, tmp):
     assert t.state()["gen"] == 0
     # the staged batch is applied again on top of the new snapshot
     assert sorted(r.id for r in t.current().collect()) == [1, 2, 3, 9]
+
+
+def test_vacuum_after_compaction(spark, tmp):
+    import os
+    t = _target(spark, tmp)
+    t.write_batch(_changes(spark, INSERT, "I", 1), 0)
+    t.write_batch(_changes(spark, ["2,Masiza Omota,2309"], "D", 10), 1)
+    t.compact()
+    t.write_batch(_changes(spark, ["5,Eve,1"], "I", 20), 2)
+    before = sorted(map(tuple, t.current().collect()))
+    assert t.vacuum() == {"logs": 2, "generations": 1}
+    assert sorted(os.listdir(os.path.join(tmp, "base"))) == ["gen=1"]
+    assert [d for d in os.listdir(os.path.join(tmp, "log")) if d.startswith("batch_id")] \
+        == ["batch_id=2"]
+    assert sorted(map(tuple, t.current().collect())) == before
