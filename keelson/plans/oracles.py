@@ -282,6 +282,7 @@ SELECT seq AS _seq, op AS _op, id, name, salary FROM (
     "stream_apply": APPLY_IN_ORDER,
     "stream_apply_direct": APPLY_IN_ORDER,
     "stream_apply_buffered": APPLY_IN_ORDER,
+    "stream_compact_vacuum": APPLY_IN_ORDER,
     "stream_resume": APPLY_IN_ORDER,
 
     "target_filter_scan": f"""SELECT * FROM ({APPLY_IN_ORDER}) t

@@ -345,6 +345,17 @@ def stream_apply_buffered(spark, sf):
     return t.current()
 
 
+def stream_compact_vacuum(spark, sf):
+    """The 10-file stream with a compaction every 3 batches, then a vacuum
+    of folded logs and old generations; the table must be unchanged."""
+    path = _landed_feed(spark, sf)
+    t = _seeded_target(spark, sf)
+    run_available(_stream(spark, path), t, EMPLOYEE_KEYS,
+                  checkpoint=scratch_path(spark, "ckpt"), compact_every=3)
+    t.vacuum()
+    return t.current()
+
+
 def stream_apply_direct(spark, sf):
     path = _landed_feed(spark, sf)
     t = _seeded_target(spark, sf)
@@ -485,6 +496,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_apply": stream_apply,
     "stream_apply_direct": stream_apply_direct,
     "stream_apply_buffered": stream_apply_buffered,
+    "stream_compact_vacuum": stream_compact_vacuum,
     "stream_resume": stream_resume,
     "stream_decode_apply": stream_decode_apply,
     "source_identity": source_identity,
