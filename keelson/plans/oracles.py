@@ -271,6 +271,9 @@ WHERE rn = 1""",
     "file_sink_rows": f"""WITH {CH}
 SELECT seq AS _seq, op AS _op, id, name FROM ch""",
 
+    "stream_csv_sink": f"""WITH {CH}
+SELECT seq AS _seq, op AS _op, id, name FROM ch""",
+
     "staged_log": f"""WITH {CH},
 m AS (SELECT MAX(event_id) AS top FROM events),
 p AS (SELECT ch.*, CAST(FLOOR(seq * 10 / (m.top + 1)) AS INTEGER) AS part

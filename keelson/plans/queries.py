@@ -293,6 +293,23 @@ def file_sink_rows(spark, sf):
                                    StructField("name", StringType())]))
 
 
+def stream_csv_sink(spark, sf):
+    """K1 in a stream: the landed feed appended to CSV through the file
+    sink, whose own log makes a replayed micro-batch write once."""
+    path = _landed_feed(spark, sf)
+    target = CsvTarget(spark, scratch_path(spark, "csv_stream"))
+    cols = _stream(spark, path).select("_seq", "_op", "id", "name")
+    q = (target.stream_sink(cols, scratch_path(spark, "ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return target.read(StructType([StructField("_seq", LongType()),
+                                   StructField("_op", StringType()),
+                                   StructField("id", LongType()),
+                                   StructField("name", StringType())]))
+
+
 def _landed_feed(spark, sf) -> str:
     """Write the derived feed as STREAM_FILES files cut by position."""
     ch = _ch(spark, sf)
@@ -492,6 +509,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_change_update": key_change_update,
     "unchanged_fill": unchanged_fill,
     "file_sink_rows": file_sink_rows,
+    "stream_csv_sink": stream_csv_sink,
     "staged_log": staged_log,
     "stream_apply": stream_apply,
     "stream_apply_direct": stream_apply_direct,
