@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import pieces, token_count
+from keelson.llm import byte_bpe, pieces, token_count, wavelet
 from keelson.llm.common import id_text, table
 
 MAX_TOKENS = 2048
@@ -35,8 +35,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
 
 
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = byte_bpe.BpeFile(public_tokenizers.path("byte_bpe_50k.json"))
+    manifest = wavelet.write_shards(table(spark, sf_dir, "documents"), facts,
+                                    wavelet.shard_folder(spark))
+    return wavelet.read_documents(spark, manifest)
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_counts": op3_token_counts,
+    "op10_token_shards": op10_token_shards,
 }
 ORACLES: dict[str, str] = {}
