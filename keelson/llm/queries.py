@@ -10,12 +10,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, pieces, token_count, wavelet
+from keelson.llm import byte_bpe, pieces, quality, token_count, wavelet
 from keelson.llm.common import id_text, table
+from keelson.llm.samples import labelled_sample
 
 MAX_TOKENS = 2048
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality"))
+    return quality.score(docs, model)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
     docs = id_text(table(spark, sf_dir, "documents"))
@@ -43,6 +50,7 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_counts": op3_token_counts,
     "op10_token_shards": op10_token_shards,
