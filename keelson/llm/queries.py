@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, pieces, quality, token_count, wavelet
+from keelson.llm import byte_bpe, licenses, pieces, quality, token_count, wavelet
 from keelson.llm.common import id_text, table
 from keelson.llm.samples import labelled_sample
 
@@ -42,6 +42,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = byte_bpe.BpeFile(public_tokenizers.path("byte_bpe_50k.json"))
     manifest = wavelet.write_shards(table(spark, sf_dir, "documents"), facts,
@@ -53,6 +57,9 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_counts": op3_token_counts,
+    "op9_license_scan": op9_license_scan,
     "op10_token_shards": op10_token_shards,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_license_scan": licenses.scan_sql(),
+}
