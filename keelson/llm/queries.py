@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, licenses, pieces, quality, token_count, wavelet
+from keelson.llm import byte_bpe, licenses, pieces, quality, substrings, token_count, wavelet
 from keelson.llm.common import id_text, table
 from keelson.llm.samples import labelled_sample
 
@@ -42,6 +42,29 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_tokens") > MAX_TOKENS).alias("over_limit"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+           FROM documents),
+w AS (SELECT r, doc_id, i, array_to_string(ws[i:i + 12], ' ') AS s
+      FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d)),
+m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS i FROM w JOIN m USING (s)
+         WHERE doc_id > least),
+word AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n
+         FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -57,9 +80,11 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_counts": op3_token_counts,
+    "op4_substring_dedup": op4_substring_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_token_shards": op10_token_shards,
 }
 ORACLES: dict[str, str] = {
+    "op4_substring_dedup": OP4_SQL,
     "op9_license_scan": licenses.scan_sql(),
 }

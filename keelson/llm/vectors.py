@@ -49,6 +49,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def byte_sums(raw: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_VALUES[raw] * powers(BASE, len(raw)), out=sums[1:])
+    return sums
+
+
+def range_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Mixed hash of the byte ranges [start, end) of ``byte_sums``' bytes."""
+    h = (sums[end] - sums[start]) * powers(INVERSE, len(sums))[start]
+    return mix(h + (end - start).astype(np.uint64))
+
+
+def gathered(raw: np.ndarray, start: np.ndarray, end: np.ndarray,
+             mark: int | None = 0x20) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of the ranges one after another, offset of each range); with
+    ``mark``, that byte follows each range."""
+    size = end - start + (mark is not None)
+    at = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(size, out=at[1:])
+    index = np.arange(at[-1]) + np.repeat(start - at[:-1], size)
+    if mark is None:
+        return raw[index], at
+    out = raw[np.minimum(index, max(len(raw) - 1, 0))] if len(raw) else np.zeros(0, np.uint8)
+    out[at[1:] - 1] = mark
+    return out, at
+
+
 class Texts:
     """The texts of one Arrow slice.
 
@@ -84,11 +111,8 @@ class Texts:
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Mixed hash of the byte ranges [start, end)."""
         if self._sums is None:
-            n = len(self.raw)
-            self._sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(_VALUES[self.raw] * powers(BASE, n), out=self._sums[1:])
-        h = (self._sums[end] - self._sums[start]) * powers(INVERSE, len(self.raw) + 1)[start]
-        return mix(h + (end - start).astype(np.uint64))
+            self._sums = byte_sums(self.raw)
+        return range_hashes(self._sums, start, end)
 
     def words(self) -> np.ndarray:
         return self.hashes(self.start, self.end)
@@ -96,12 +120,10 @@ class Texts:
     def windows(self, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash of the window at each word, whether it fits its text)."""
         n = len(words)
-        out = np.zeros(n, np.uint64)
-        for j in range(min(size, n)):
-            out[:n - j] = out[:n - j] * np.uint64(STEP) + words[j:]
+        out = window_hashes(words, size)
         last = np.repeat(self.first[1:], np.diff(self.first))
         fits = np.arange(n) + size <= last
-        return mix(out), fits
+        return out, fits
 
     def per_text(self, values: np.ndarray) -> np.ndarray:
         """Sum over the words of each text of a value for each word."""
@@ -109,6 +131,15 @@ class Texts:
         return sums[self.first[1:]] - sums[self.first[:-1]]
 
 
+def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of ``size`` words from each word on (partial ones at the end)."""
+    n = len(words)
+    out = np.zeros(n, np.uint64)
+    for j in range(min(size, n)):
+        out[:n - j] = out[:n - j] * np.uint64(STEP) + words[j:]
+    return mix(out)
+
+
 def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
     """Which of n words lie in a window of ``size`` words from ``starts``."""
     change = np.zeros(n + 1, np.int32)
