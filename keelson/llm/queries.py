@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, licenses, pieces, quality, substrings, token_count, wavelet
+from keelson.llm import byte_bpe, licenses, pieces, quality, substrings, token_count, toxicity, wavelet
 from keelson.llm.common import id_text, table
 from keelson.llm.samples import labelled_sample
 
@@ -65,6 +65,14 @@ FROM d LEFT JOIN kept USING (r)
 """
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -81,6 +89,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_counts": op3_token_counts,
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_toxicity": op6_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_token_shards": op10_token_shards,
 }

@@ -13,13 +13,14 @@ SAMPLE_BYTES = 48 << 20
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, *,
                     rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES,
-                    where=None) -> list:
+                    ones: int | None = None, where=None) -> list:
     """At most ``rows`` labelled texts of at most ``most_bytes`` together.
 
     Rows are taken in the order of a hash of doc_id, so the sample is spread
-    evenly and is the same in every run. Rows without id or label do not
-    count; a document with two labels keeps the smaller. ``where`` is a
-    condition on ``doc_id``. Returns Row(label, text) sorted by that hash.
+    evenly and is the same in every run. With ``ones``, at most that many have
+    label 1 and the rest label 0 (for rare labels). Rows without id or label
+    do not count; a document with two labels keeps the smaller. ``where`` is a
+    condition on ``doc_id``. Returns Row(label, text) in that order.
     """
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                            F.col(label_col).cast("int").alias("label"))
@@ -27,11 +28,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, *,
     if where is not None:
         marks = marks.where(where)
     marks = (marks.groupBy("doc_id").agg(F.min("label").alias("label"))
-             .withColumn("h", F.xxhash64("doc_id", F.lit(7))).orderBy("h", "doc_id").limit(rows))
+             .withColumn("h", F.xxhash64("doc_id", F.lit(7))))
+
+    def first(df, n):
+        return df.orderBy("h", "doc_id").limit(n)
+    if ones is None:
+        marks = first(marks, rows)
+    else:
+        marks = first(marks.where("label = 1"), ones).unionByName(
+            first(marks.where("label = 0"), rows - ones))
     # at most `rows` narrow rows, so the broadcast is bounded
     found = (id_text(docs).join(F.broadcast(marks), "doc_id")
              .withColumn("size", F.octet_length("text").cast("long"))
              .orderBy("h", "doc_id", "text").limit(rows))
     order = Window.orderBy("h", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
     return (found.withColumn("total", F.sum("size").over(order))  # bounded rows
-            .where(F.col("total") <= most_bytes).select("label", "text").collect())
+            .where(F.col("total") <= most_bytes).orderBy("h", "doc_id", "text")
+            .select("label", "text").collect())
+
+
+def label_odds(labels: DataFrame, label_col: str, where=None) -> float:
+    """Rows with label 1 for each row with label 0."""
+    rows = labels if where is None else labels.where(where)
+    one, zero = rows.agg(F.count_if(F.col(label_col) == 1),
+                         F.count_if(F.col(label_col) == 0)).first()
+    return one / zero if zero else float("inf")
