@@ -1,6 +1,6 @@
 """Operator 6: toxicity by a bidirectional gated recurrent network.
 
-Input of a word: its embedding (words seen ``MIN_COUNT`` times in the training
+Input of a word: its embedding (words in ``MIN_COUNT`` documents of the training
 sample have one of their own, all others share one) plus the mean of its byte
 trigrams' embeddings. Two gated recurrent layers, one in each direction, run
 over a window of words; attention pooling and a linear layer give the window's
@@ -35,10 +35,10 @@ HIDDEN = 12
 WIDTH = 16
 ATTEND = 8
 CHAR_SLOTS = 1 << 13
-MIN_COUNT = 3
+MIN_COUNT = 4
 SHARP = 3.0
 #: Bound of the training sample, and how many of its rows may be toxic.
-TRAIN_ROWS = 2400
+TRAIN_ROWS = 3000
 TRAIN_TOXIC = 800
 CHUNK = 2048
 SLICE = 4 << 20
@@ -238,7 +238,7 @@ def _gradients(model: ToxicityModel, words: Words, docs: np.ndarray, label: np.n
     return g
 
 
-def train(rows: list, odds: float | None = None, *, epochs: int = 5, batch: int = 96,
+def train(rows: list, odds: float | None = None, *, epochs: int = 7, batch: int = 96,
           rate: float = 0.01) -> ToxicityModel:
     """Fit on Row(label, text); a single label gives a constant score.
 
@@ -253,7 +253,9 @@ def train(rows: list, odds: float | None = None, *, epochs: int = 5, batch: int
         model.p["b"][:] = -8 if not len(label) or label[0] == 0 else 8
         return model
     every = Words(pa.array(texts, pa.large_string()))
-    seen = np.bincount(every.place, minlength=len(every.key))
+    owner = np.repeat(np.arange(len(texts)), np.diff(every.first))
+    pairs = np.unique(every.place.astype(np.int64) << 32 | owner)
+    seen = np.bincount(pairs >> 32, minlength=len(every.key))
     model = ToxicityModel(every.key[seen >= MIN_COUNT])
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
     r = np.random.default_rng(5)
