@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, licenses, pieces, quality, substrings, token_count, toxicity, wavelet
+from keelson.llm import byte_bpe, leaks, licenses, pieces, quality, substrings, token_count, toxicity, wavelet
 from keelson.llm.common import id_text, table
 from keelson.llm.samples import labelled_sample
 
@@ -65,6 +65,10 @@ FROM d LEFT JOIN kept USING (r)
 """
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -89,6 +93,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_token_counts": op3_token_counts,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_token_shards": op10_token_shards,
