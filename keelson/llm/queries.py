@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, leaks, licenses, pieces, quality, substrings, token_count, toxicity, wavelet
+from keelson.llm import byte_bpe, leaks, licenses, near, pieces, quality, substrings, token_count, toxicity, wavelet
 from keelson.llm.common import id_text, table
 from keelson.llm.samples import labelled_sample
 
@@ -77,6 +77,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -95,6 +99,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_license_scan": op9_license_scan,
     "op10_token_shards": op10_token_shards,
 }
