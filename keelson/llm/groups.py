@@ -92,10 +92,12 @@ def linked_classes(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     return roots
 
 
-def sieve(nodes: DataFrame) -> np.ndarray:
+def sieve(nodes: DataFrame, hashed: bool = False) -> np.ndarray:
     """A table of ``2**SIEVE_BITS`` flags that is set for every node (and, by
-    chance, for some others). Its size does not depend on the data."""
-    slot = F.xxhash64("node").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+    chance, for some others). Its size does not depend on the data. Nodes that
+    are hashes already (``hashed``) take the slot of their low bits."""
+    slot = F.col("node").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1)) if hashed \
+        else sieve_slot("node").cast("long")
     rows = (nodes.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits")).collect())
     flags = np.zeros(1 << (SIEVE_BITS - 6), np.int64)

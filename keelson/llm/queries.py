@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, leaks, licenses, near, pieces, quality, substrings, token_count, toxicity, wavelet
+from keelson.llm import byte_bpe, leaks, licenses, lines, near, pieces, quality, substrings, token_count, toxicity, wavelet
 from keelson.llm.common import id_text, table
 from keelson.llm.samples import labelled_sample
 
@@ -77,6 +77,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.remove(id_text(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_lines", "n_removed", "n_near",
+                      F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.classes(table(spark, sf_dir, "documents"))
 
@@ -99,6 +105,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
+    "op7_line_dedup": op7_line_dedup,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_license_scan": op9_license_scan,
     "op10_token_shards": op10_token_shards,

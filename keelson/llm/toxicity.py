@@ -38,7 +38,7 @@ CHAR_SLOTS = 1 << 13
 MIN_COUNT = 4
 SHARP = 3.0
 #: Bound of the training sample, and how many of its rows may be toxic.
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2400
 TRAIN_TOXIC = 800
 CHUNK = 2048
 SLICE = 4 << 20
@@ -238,7 +238,7 @@ def _gradients(model: ToxicityModel, words: Words, docs: np.ndarray, label: np.n
     return g
 
 
-def train(rows: list, odds: float | None = None, *, epochs: int = 7, batch: int = 96,
+def train(rows: list, odds: float | None = None, *, epochs: int = 5, batch: int = 96,
           rate: float = 0.01) -> ToxicityModel:
     """Fit on Row(label, text); a single label gives a constant score.
 
