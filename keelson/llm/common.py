@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +85,11 @@ def int_lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+
+
+def filled(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with the text, NULL as empty, added as ``__text``."""
+    def added():
+        for b in batches:
+            yield b.append_column("__text", pc.fill_null(b.column(text), ""))
+    return slices(added(), "__text")

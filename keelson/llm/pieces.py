@@ -22,9 +22,10 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.llm.common import int_lists
+from keelson.llm.common import filled, id_text, int_lists
 
 TABLE_ROWS = 700_000
 MARK = "▁"
@@ -115,9 +116,8 @@ def encode(docs: DataFrame, model: PieceModel, *, text_col: str = "text",
         + ([T.StructField(decoded_col, T.StringType())] if decoded_col else []))
 
     def run(batches):
-        from keelson.llm.token_count import _filled
         table = _chunks(model)
-        for b in _filled(batches, text_col):
+        for b in filled(batches, text_col):
             rows = [table.encode(t) for t in b.column("__text").to_pylist()]
             flat = np.frombuffer(b"".join(rows), np.int32)
             cols = [b.column(c) for c in rest]
@@ -151,3 +151,12 @@ def decode(df: DataFrame, model: PieceModel, *, ids_col: str = "ids",
                 names=[*rest, out_col])
 
     return kept.mapInArrow(run, schema)
+
+
+def digests(docs: DataFrame, model: PieceModel) -> DataFrame:
+    """doc_id, n_tokens, SHA-256 of the ids joined by commas and of the decoded text."""
+    out = encode(id_text(docs), model, decoded_col="decoded")
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, leaks, licenses, lines, near, pieces, quality, substrings, token_count, toxicity, wavelet
+from keelson.llm import (byte_bpe, leaks, licenses, lines, near, pieces, quality, substrings,
+                         token_count, toxicity, wavelet)
 from keelson.llm.common import id_text, table
 from keelson.llm.samples import labelled_sample
 
@@ -25,12 +26,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
-    docs = id_text(table(spark, sf_dir, "documents"))
-    out = pieces.encode(docs, model, decoded_col="decoded")
-    return out.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    return pieces.digests(table(spark, sf_dir, "documents"), model)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import slices
+from keelson.llm.common import filled
 
 TABLE_ROWS = 1_000_000
 #: Characters up to here may take the fast cut (each is checked).
@@ -154,19 +154,9 @@ def count_tokens(docs: DataFrame, facts: WholeTokens, *, text_col: str = "text",
             _counters.clear()
             _counters[key] = _Counter(facts)
         count = _counters[key].count
-        for b in _filled(batches, text_col):
+        for b in filled(batches, text_col):
             n = pa.array([count(t) for t in b.column("__text").to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column(c) for c in rest] + [n], names=[*rest, out_col])
 
     return kept.mapInArrow(run, schema)
-
-
-def _filled(batches, text_col: str):
-    import pyarrow.compute as pc
-
-    def add():
-        for b in batches:
-            yield b.append_column("__text", pc.fill_null(b.column(text_col), ""))
-
-    return slices(add(), "__text")

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keelson.llm.common import id_text, slices
+from keelson.llm.common import filled, id_text, slices
 from keelson.llm.samples import label_odds, labelled_sample
 from keelson.llm.vectors import Texts, mix
 
@@ -293,13 +294,23 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """doc_id and score of every row of ``docs``."""
+def scored(docs: DataFrame, model: ToxicityModel, out_col: str = "score",
+           text_col: str = "text") -> DataFrame:
+    """``docs`` with the score of ``text_col`` as ``out_col`` (replaced if there)."""
+    rest = [c for c in docs.columns if c != out_col]
+    kept = docs.select(*rest)
+    schema = T.StructType([*kept.schema.fields, T.StructField(out_col, T.DoubleType())])
 
     def run(batches):
-        for b in slices(batches, most=SLICE):
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(model.scores(b.column("text")), pa.float64())],
-                names=["doc_id", "score"])
+        for b in filled(batches, text_col):
+            s = pa.array(np.concatenate([
+                model.scores(p.column("__text")) for p in slices([b], "__text", SLICE)]))
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in rest] + [s],
+                                             names=[*rest, out_col])
+
+    return kept.mapInArrow(run, schema)
 
-    return id_text(docs).mapInArrow(run, "doc_id long, score double")
+
+def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """doc_id and score of every row of ``docs``."""
+    return scored(id_text(docs), model)
