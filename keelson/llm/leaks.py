@@ -5,8 +5,8 @@ is small whatever the benchmark's size. For each block:
 
 1. one pass over the corpus counts, for each word trigram of the items, the
    documents that hold it (summed inside a task, then over tasks);
-2. each item keeps the rarer half of its trigrams (at least ``LEAST_SEEDS``)
-   as seeds. Rarity is relative to the item's own trigrams, so an item that
+2. each item keeps the rarer half of its trigrams that the corpus holds (at
+   least ``LEAST_SEEDS``) as seeds. Rarity is relative to the item's own trigrams, so an item that
    has leaked a million times keeps its seeds too;
 3. a second pass joins passages to items by their seeds. A seed at word p of a
    text and word q of an item speaks for a copy that begins near p - q; such
@@ -74,9 +74,11 @@ class Items:
         self.sieve[self.key >> np.uint64(64 - SIEVE_BITS)] = True
 
     def keep_rare(self, seen: dict[int, int]) -> None:
-        """Keep the rarer half of each item's trigrams."""
+        """Keep the rarer half of each item's trigrams that occur at all."""
         count = np.array([seen.get(int(k), 0) for k in self.seeds.view(np.int64)], np.int64)
         n = count[np.searchsorted(self.seeds, self.key)]
+        self.item, self.place, self.key, n = (
+            x[n > 0] for x in (self.item, self.place, self.key, n))
         order = np.lexsort((self.key, n, self.item))
         rank = np.arange(len(order)) - np.searchsorted(self.item[order], self.item[order])
         total = np.bincount(self.item, minlength=len(self.ids))

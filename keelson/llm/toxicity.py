@@ -41,6 +41,8 @@ SHARP = 3.0
 #: Bound of the training sample, and how many of its rows may be toxic.
 TRAIN_ROWS = 2400
 TRAIN_TOXIC = 800
+#: Small samples are gone through again until so many steps are made.
+LEAST_STEPS = 120
 CHUNK = 2048
 SLICE = 4 << 20
 
@@ -261,7 +263,9 @@ def train(rows: list, odds: float | None = None, *, epochs: int = 5, batch: int
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
     r = np.random.default_rng(5)
     some = np.flatnonzero(np.diff(every.first) > 0)
-    step, total = 0, epochs * -(-len(some) // batch)
+    turns = -(-len(some) // batch)
+    epochs = max(epochs, -(-LEAST_STEPS // turns))
+    step, total = 0, epochs * turns
     for _ in range(epochs):
         order = r.permutation(some)
         for i in range(0, len(order), batch):
@@ -302,9 +306,9 @@ def scored(docs: DataFrame, model: ToxicityModel, out_col: str = "score",
     schema = T.StructType([*kept.schema.fields, T.StructField(out_col, T.DoubleType())])
 
     def run(batches):
-        for b in filled(batches, text_col):
-            s = pa.array(np.concatenate([
-                model.scores(p.column("__text")) for p in slices([b], "__text", SLICE)]))
+        for b, texts in filled(batches, text_col):
+            parts = slices([pa.RecordBatch.from_arrays([texts], names=["t"])], "t", SLICE)
+            s = pa.array(np.concatenate([model.scores(p.column(0)) for p in parts]))
             yield pa.RecordBatch.from_arrays([b.column(c) for c in rest] + [s],
                                              names=[*rest, out_col])
 
