@@ -37,7 +37,7 @@ WINDOW = 13
 GROUP = 3
 SLICE = 4 << 20
 #: Text bytes of a task that are cut up before their payloads are sent.
-FLUSH = 32 << 20
+FLUSH = 16 << 20
 BUCKETS_PER_PARTITION = 3
 
 
@@ -139,7 +139,6 @@ class _Cut:
         to = ((key[kept] >> np.uint64(7)) % np.uint64(buckets)).astype(np.int64)
         kept = kept[np.argsort(to, kind="stable")]
         to = np.sort(to)
-        bytes_, at = gathered(text, start[kept], stop[kept], None)
         out = []
         edges = np.searchsorted(to, np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(edges)):
@@ -148,7 +147,8 @@ class _Cut:
             mine = flagged if b == to[0] else flagged[:0]
             out.append((int(b), _zip(
                 doc[k], word[k].astype(np.int32), count[k].astype(np.int32),
-                np.diff(at[lo:hi + 1]).astype(np.int32), bytes_[at[lo]:at[hi]],
+                (stop[k] - start[k]).astype(np.int32),
+                gathered(text, start[k], stop[k], None)[0],
                 doc[mine], word[mine].astype(np.int32), count[mine].astype(np.int32))))
         return out
 
