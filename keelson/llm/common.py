@@ -87,9 +87,20 @@ def int_lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
 
 
-def filled(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with the text, NULL as empty, added as ``__text``."""
-    def added():
-        for b in batches:
-            yield b.append_column("__text", pc.fill_null(b.column(text), ""))
-    return slices(added(), "__text")
+def filled(batches: Iterator[pa.RecordBatch], text: str
+           ) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """(slice, its texts with NULL as empty)."""
+    for b in batches:
+        done = 0
+        column = pc.fill_null(b.column(text), "")
+        for part in slices([pa.RecordBatch.from_arrays([column], names=["t"])], "t"):
+            yield b.slice(done, part.num_rows), part.column(0)
+            done += part.num_rows
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.llm import groups
-from keelson.llm.common import id_text, persisted, slices
+from keelson.llm.common import free_name, id_text, persisted, slices
 from keelson.llm.substrings import _unzip, _zip
 from keelson.llm.vectors import BASE, mix, powers, range_hashes
 
@@ -300,22 +300,22 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with the repeated lines cut out of the text, and three columns:
     lines, removed lines, and removed lines that had no equal line before."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    own, lost_lines, near = (free_name(docs.columns, c) for c in ("__id", "__gone", "__near"))
     gone = (repeats(source, limit=limit, least=least).distinct()
-            .groupBy(F.col("doc_id").alias("__id"))
-            .agg(F.collect_list("line").alias("__gone"),
-                 F.count_if("near").alias("__near")))
+            .groupBy(F.col("doc_id").alias(own))
+            .agg(F.collect_list("line").alias(lost_lines), F.count_if("near").alias(near)))
     gone = persisted(gone, "removed-lines")
     added = ["n_lines", "n_removed", "n_near"]
     kept = [c for c in docs.columns if c not in added]
-    joined = docs.select(*kept).join(gone, docs[id_col].cast("long") == F.col("__id"), "left")
-    joined = joined.select(*kept, "__gone", F.coalesce("__near", F.lit(0)).alias("__near"))
+    joined = docs.select(*kept).join(gone, docs[id_col].cast("long") == F.col(own), "left")
+    joined = joined.select(*kept, lost_lines, F.coalesce(near, F.lit(0)).alias(near))
     schema = T.StructType([f for f in docs.select(*kept).schema.fields]
                           + [T.StructField(c, T.LongType()) for c in added])
 
     def run(batches):
         for b in batches:
             texts, total, lost = [], [], []
-            for t, g in zip(b.column(text_col).to_pylist(), b.column("__gone").to_pylist()):
+            for t, g in zip(b.column(text_col).to_pylist(), b.column(lost_lines).to_pylist()):
                 parts = t.split("\n") if t else []
                 total.append(len(parts))
                 if g:
@@ -329,6 +329,6 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             cols = [pa.array(texts, pa.string()) if c == text_col else b.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays(
                 cols + [pa.array(total, pa.int64()), pa.array(lost, pa.int64()),
-                        b.column("__near")], names=kept + added)
+                        b.column(near)], names=kept + added)
 
     return joined.mapInArrow(run, schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm import groups
-from keelson.llm.common import id_text, persisted, slices
+from keelson.llm.common import free_name, id_text, persisted, slices
 from keelson.llm.vectors import Texts, mix, window_hashes
 
 SHINGLE = 5
@@ -183,7 +183,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Rows without a doc_id stay.
     """
+    name = free_name(docs.columns, "gone")
     gone = (classes(docs, threshold).where("doc_id <> class_id")
-            .select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone"), "left_anti") \
-        .select(*docs.columns)
+            .select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")

@@ -117,8 +117,8 @@ def encode(docs: DataFrame, model: PieceModel, *, text_col: str = "text",
 
     def run(batches):
         table = _chunks(model)
-        for b in filled(batches, text_col):
-            rows = [table.encode(t) for t in b.column("__text").to_pylist()]
+        for b, texts in filled(batches, text_col):
+            rows = [table.encode(t) for t in texts.to_pylist()]
             flat = np.frombuffer(b"".join(rows), np.int32)
             cols = [b.column(c) for c in rest]
             cols.append(int_lists(flat, [len(r) // 4 for r in rows]))

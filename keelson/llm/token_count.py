@@ -154,8 +154,8 @@ def count_tokens(docs: DataFrame, facts: WholeTokens, *, text_col: str = "text",
             _counters.clear()
             _counters[key] = _Counter(facts)
         count = _counters[key].count
-        for b in filled(batches, text_col):
-            n = pa.array([count(t) for t in b.column("__text").to_pylist()], pa.int64())
+        for b, texts in filled(batches, text_col):
+            n = pa.array([count(t) for t in texts.to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column(c) for c in rest] + [n], names=[*rest, out_col])
 
