@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.llm import leaks, lines, near, pieces, toxicity
-from keelson.llm.common import persisted, table
+from keelson.llm.common import free_name, persisted, table
 
 TOXIC = 0.5
 
@@ -31,16 +31,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns from the labelled rows of the stored table.
     """
     model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model, "__toxicity").where(
-        (F.col("__toxicity") < TOXIC) | (F.length(F.coalesce("text", F.lit(""))) == 0)
-    ).drop("__toxicity")
+    score = free_name(docs.columns, "__toxicity")
+    return toxicity.scored(docs, model, score).where(
+        (F.col(score) < TOXIC) | (F.length(F.coalesce("text", F.lit(""))) == 0)).drop(score)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated lines; documents left without a line go."""
-    marks = {"n_lines", "n_removed", "n_near"} & set(docs.columns)
-    if marks:
-        docs = docs.withColumnsRenamed({c: f"__own_{c}" for c in marks})
+    own = {c: free_name(docs.columns, f"__{c}") for c in ("n_lines", "n_removed", "n_near")
+           if c in docs.columns}
+    docs = docs.withColumnsRenamed(own)
     out = lines.remove(docs)
     empty = (F.col("n_removed") > 0) & (F.trim("text", F.lit(" \t\n\x0b\x0c\r")) == "")
     out = out.where(~F.coalesce(empty, F.lit(False)))
@@ -49,7 +49,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         out = out.withColumn("n_chars", F.when(
             F.col("n_removed") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
     out = out.drop("n_lines", "n_removed", "n_near")
-    return out.withColumnsRenamed({f"__own_{c}": c for c in marks})
+    return out.withColumnsRenamed({new: c for c, new in own.items()})
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
