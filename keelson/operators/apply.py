@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .changes import DELETE, OP, net_changes
-from .sizing import BROADCAST_ROWS, materialize, small_side
+from .sizing import materialize
 
 
 def _project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -30,8 +30,7 @@ def _once(df: DataFrame, enabled: bool) -> DataFrame:
 
 
 def upsert(base: DataFrame, rows: DataFrame, keys: Sequence[str] | None = None,
-           broadcast_rows: int | None = BROADCAST_ROWS, once: bool = True
-           ) -> DataFrame:
+           once: bool = True) -> DataFrame:
     """Replace base rows whose key is in ``rows``; insert the rest.
 
     ``rows`` must hold one row per key (see ``rows.check_duplicates``).
@@ -40,12 +39,11 @@ def upsert(base: DataFrame, rows: DataFrame, keys: Sequence[str] | None = None,
     union read it once computed.
     """
     if not keys:
-        return insert_if_absent(base, rows, broadcast_rows, once)
+        return insert_if_absent(base, rows, once)
     keys = list(keys)
     cols = base.columns
     rows = _once(_project(rows, cols), once)
-    keyset, _ = small_side(rows.select(*keys), broadcast_rows)
-    kept = base.join(keyset, keys, "left_anti")
+    kept = base.join(rows.select(*keys), keys, "left_anti")
     return kept.unionByName(rows)
 
 
@@ -56,35 +54,25 @@ def _null_safe(left: str, right: str, cols: Sequence[str]):
 
 
 def insert_if_absent(base: DataFrame, rows: DataFrame,
-                     broadcast_rows: int | None = BROADCAST_ROWS,
                      once: bool = True) -> DataFrame:
     """Key = all columns: append source rows that are not already there.
 
     NULL equals NULL here, as it does for a whole-row key. The source rows
     are made distinct first (partial aggregation: a group of identical
-    copies collapses map-side). When they are proven small they are
-    broadcast and the target is streamed past them to find the ones it
-    already holds - the target is never shuffled; otherwise the target is
-    made distinct too and a shuffled null-safe anti join decides.
+    copies collapses map-side). An inner join finds the ones the target
+    already holds: when the source side is small the target is streamed past
+    it and never shuffled.
     """
     cols = base.columns
     new = _once(_project(rows, cols).distinct(), once)
-    side, small = small_side(new, broadcast_rows)
-    if small:
-        present = (base.alias("b").join(side.alias("n"), _null_safe("n", "b", cols),
-                                        "inner")
-                   .select(*[F.col(f"n.{c}").alias(c) for c in cols]).distinct())
-        missing = new.alias("n").join(F.broadcast(present).alias("p"),
-                                      _null_safe("n", "p", cols), "left_anti")
-    else:
-        have = base.select(*cols).distinct().alias("p")
-        missing = new.alias("n").join(have, _null_safe("n", "p", cols), "left_anti")
+    present = (base.alias("b").join(new.alias("n"), _null_safe("n", "b", cols), "inner")
+               .select(*[F.col(f"n.{c}").alias(c) for c in cols]).distinct())
+    missing = new.alias("n").join(present.alias("p"), _null_safe("n", "p", cols), "left_anti")
     return base.unionByName(missing.select(*[F.col(f"n.{c}").alias(c) for c in cols]))
 
 
 def delete(base: DataFrame, rows: DataFrame, keys: Sequence[str],
-           broadcast_rows: int | None = BROADCAST_ROWS, once: bool = True
-           ) -> DataFrame:
+           once: bool = True) -> DataFrame:
     """Remove base rows whose key appears in ``rows`` (J3, J4 composite).
 
     Equality is SQL equality: a NULL key matches nothing, as in a
@@ -92,13 +80,11 @@ def delete(base: DataFrame, rows: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     keyset = _once(rows.select(*keys).distinct(), once)
-    keyset, _ = small_side(keyset, broadcast_rows)
     return base.join(keyset, keys, "left_anti")
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str],
-                  order: str = "feed", broadcast_rows: int | None = BROADCAST_ROWS,
-                  once: bool = True) -> DataFrame:
+                  order: str = "feed", once: bool = True) -> DataFrame:
     """Bring ``base`` up to date with a change frame.
 
     ``order='feed'`` (O2): the state after applying every change in
@@ -114,14 +100,13 @@ def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str],
     cols = base.columns
     if order == "feed":
         last = _once(net_changes(changes, keys), once)
-        keyset, _ = small_side(last.select(*keys), broadcast_rows)
-        kept = base.join(keyset, keys, "left_anti")
+        kept = base.join(last.select(*keys), keys, "left_anti")
         return kept.unionByName(_project(last.where(F.col(OP) != DELETE), cols))
     if order == "append_then_delete":
         ups = net_changes(changes.where(F.col(OP) != DELETE), keys)
-        merged = upsert(base, _project(ups, cols), keys, broadcast_rows, once)
+        merged = upsert(base, _project(ups, cols), keys, once)
         return delete(merged, changes.where(F.col(OP) == DELETE), keys,
-                      broadcast_rows, once)
+                      once)
     raise ValueError(f"unknown order {order!r}")
 
 

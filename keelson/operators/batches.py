@@ -9,12 +9,9 @@ across tasks; this rule can.)
 
 The running sum is a distributed prefix sum, not one global window:
 
-1. cut the positions into ranges at approximate quantiles of ``_seq``
-   (a scan of that one column; the ranges hold about the same number of
-   rows whatever the position distribution), assign each row its range
-   with ``Bucketizer`` (a binary search on the JVM, any number of
-   ranges), and checkpoint - the assignment is made once, and the size
-   expression evaluated once, for both passes below;
+1. deal the rows into ranges of the feed order (Spark's range exchange; as
+   many ranges as the row count asks for) and stage them with their range
+   number - the size expression is evaluated once for both passes below;
 2. sum bytes per range (partial aggregation; one row per range);
 3. prefix-sum those totals - a table bounded by the range count,
    broadcast back;
@@ -28,47 +25,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark.ml.feature import Bucketizer
-
 from .changes import SEQ, order_columns
 from .sizing import materialize
 
+ROWS_PER_RANGE = 250_000
 SEGMENT_BYTES = 10 * 1024 * 1024  # fixed value: the reference's segment cap
 
 
-def range_buckets(changes: DataFrame, buckets: int,
-                  rel_error: float = 0.001) -> DataFrame:
-    """Add ``_bucket``: the index of the position range holding the row,
-    ranges in feed order and of about equal row counts. Materialised.
-
-    Boundaries are ``buckets - 1`` quantiles (a bounded list on the driver,
-    literal in the plan). The lookup runs on ``double(_seq)``: rounding is
-    monotonic, so ranges stay contiguous in feed order."""
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(changes.approxQuantile(SEQ, qs, rel_error))) if qs else []
-    splits = [float("-inf")] + bounds + [float("inf")]
-    tagged = changes.withColumn("_seq_d", F.col(SEQ).cast("double"))
-    ranged = Bucketizer(splits=splits, inputCol="_seq_d", outputCol="_b",
-                        handleInvalid="keep").transform(tagged)
-    ranged = (ranged.withColumn("_bucket", F.col("_b").cast("int"))
-              .drop("_b", "_seq_d"))
-    return materialize(ranged)
+def range_buckets(changes: DataFrame, buckets: int) -> DataFrame:
+    """Add ``_bucket``: the number of the range of feed order that holds the
+    row, ranges of about equal row counts. Staged."""
+    order = order_columns(changes) or [SEQ]
+    ranged = changes.repartitionByRange(buckets, *order)
+    return materialize(ranged.withColumn("_bucket", F.spark_partition_id()))
 
 
 def plan_batches(changes: DataFrame, size_col: str, cap: int = SEGMENT_BYTES,
                  buckets: int | None = None) -> DataFrame:
     """Add ``_running`` (bytes through this row) and ``_batch`` to each row.
 
-    ``buckets``: number of position ranges (default: the shuffle partition
-    count); each range's running sum is one task, so at scale choose it so
-    a range holds a task's worth of rows."""
-    spark = changes.sparkSession
+    ``buckets``: number of position ranges (default: one for every
+    ``ROWS_PER_RANGE`` rows); each range's running sum is one task."""
     if buckets is None:
-        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        buckets = max(1, -(-changes.count() // ROWS_PER_RANGE))
     order = order_columns(changes) or [SEQ]
     b = range_buckets(changes, buckets)
     totals = b.groupBy("_bucket").agg(F.sum(size_col).alias("_bucket_bytes"))
-    # Bounded by the number of ranges: one small window and a broadcast.
+    # One row for each range: a small window, and a join the planner sizes.
     offsets = totals.select(
         "_bucket",
         (F.sum("_bucket_bytes").over(Window.orderBy("_bucket")) -

@@ -2,22 +2,15 @@
 
 Decoding text or binary messages costs far more per row than reading it.
 When an input arrives in far fewer splits than the cluster has cores (one
-large unsplittable file, a small landed batch), such a stage would run on
-a handful of cores; ``spread`` then deals the rows round-robin over the
-cores first. An input that already keeps a good share of the cores busy
-(more than a quarter) is left alone: moving it would cost about as much as
-the work it parallelises.
+large unsplittable file, a small landed batch), the caller may deal its rows
+over more tasks first. It is the caller's choice: nothing is moved unless a
+number of partitions is given.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-UNDER_SPLIT = 4  # spread only when splits * 4 <= cores
-
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    target = partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * UNDER_SPLIT <= target:
-        return df.repartition(target)
-    return df
+    return df.repartition(partitions) if partitions else df

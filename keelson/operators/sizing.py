@@ -1,41 +1,24 @@
-"""Size-checked broadcast of the small side of a join.
+"""Computing a join side once, in a form whose size the planner can see.
 
 The change side of a replication join is small per batch, the target is
 huge. Broadcasting the change side means the target is streamed, never
-shuffled - but only a side whose size is proven may be broadcast. The
-proof is a bounded count, ``limit(max_rows + 1).count()``, on a side that
-has been materialised (checkpointed in the shared folder) so the count
-and the join read the same stored rows instead of computing them twice.
-Beyond the bound the caller keeps a shuffled join on the key.
-
-(Runtime re-planning is not relied on: with AQE an anti join stays a
-sort-merge join even when its right side turns out tiny.)
+shuffled - but only a side of a known size may be broadcast. So the change
+side is written as Parquet in the shared folder and read back: the planner
+then knows its bytes and broadcasts it up to
+``spark.sql.autoBroadcastJoinThreshold``; beyond that the same join is a
+shuffled join on the key. Nothing here counts rows or hints.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..session import shared_dir
 
-# Rows of the change side (keys, or net change rows) broadcast at most.
-BROADCAST_ROWS = 2_000_000
+from ..session import scratch_path
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once into the shared checkpoint folder (lineage cut)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int | None = BROADCAST_ROWS
-               ) -> tuple[DataFrame, bool]:
-    """(frame to join with, whether it is broadcast)."""
-    if max_rows is not None and fits(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+    """Compute once into the shared folder (lineage cut, known size)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "staged")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

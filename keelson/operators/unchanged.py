@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 
 from functools import reduce
 
-from .changes import DELETE, OP, SEQ, order_columns
-from .sizing import BROADCAST_ROWS, materialize, small_side
+from .changes import DELETE, OP, SEQ, SUB, order_columns
+from .sizing import materialize
 
 UNCHANGED = "_unchanged"
+MOVED_FROM = "_from"
 
 
 def _order(changes: DataFrame) -> Column:
@@ -59,25 +60,23 @@ def net_with_unchanged(changes: DataFrame, keys: Sequence[str],
 
 
 def apply_with_unchanged(base: DataFrame, changes: DataFrame,
-                         keys: Sequence[str],
-                         broadcast_rows: int | None = BROADCAST_ROWS,
-                         once: bool = True) -> DataFrame:
+                         keys: Sequence[str], once: bool = True) -> DataFrame:
     """Apply changes that may leave columns unchanged.
 
-    The per-key result feeds the size check and two joins; ``once``
-    checkpoints it so an expensive input (decoded messages) is computed a
-    single time. Proven small, it is broadcast: the target is streamed
-    past it twice (rows to drop, and base values for columns never sent)
-    and never shuffled. Otherwise both joins shuffle on the key.
+    ``once`` stages the per-key result as Parquet, so an expensive input
+    (decoded messages) is computed a single time and the planner knows its
+    size: small, it is broadcast and the target is streamed past it twice
+    (rows to drop, and base values for columns never sent); otherwise the
+    same joins shuffle on the key. Rows whose key moved (``_from``) are
+    completed first, see ``fill_moved``.
     """
     keys = list(keys)
     cols = [c for c in base.columns if c not in keys]
-    net = net_with_unchanged(changes, keys, cols)
+    net = net_with_unchanged(fill_moved(base, changes, keys), keys, cols)
     if once:
         net = materialize(net)
-    side, small = small_side(net, broadcast_rows)
     live = net.where(F.col("_last_op") != DELETE)
-    kept = base.join(side.select(*keys), keys, "left_anti")
+    kept = base.join(net.select(*keys), keys, "left_anti")
 
     def fill(has_base: bool) -> list:
         out = []
@@ -90,17 +89,65 @@ def apply_with_unchanged(base: DataFrame, changes: DataFrame,
         return out
 
     nk = [F.col(f"n.{k}").alias(k) for k in keys]
-    if small:
-        live_b = F.broadcast(live).alias("n")
-        match = reduce(lambda a, b: a & b,
-                       [F.col(f"b.{k}") == F.col(f"n.{k}") for k in keys])
-        hit = base.alias("b").join(live_b, match, "inner")
-        with_base = hit.select(*nk, *fill(True))
-        hit_keys = F.broadcast(hit.select(*nk))
-        without = live.join(hit_keys, keys, "left_anti").alias("n").select(
-            *nk, *fill(False))
-        filled = with_base.unionByName(without)
-    else:
-        filled = live.alias("n").join(base.alias("b"), keys, "left").select(
-            *[F.col(k) for k in keys], *fill(True))
-    return kept.unionByName(filled.select(*base.columns))
+    match = reduce(lambda a, b: a & b,
+                   [F.col(f"b.{k}") == F.col(f"n.{k}") for k in keys])
+    hit = base.alias("b").join(live.alias("n"), match, "inner")
+    with_base = hit.select(*nk, *fill(True))
+    without = live.join(hit.select(*nk).distinct(), keys, "left_anti").alias("n").select(
+        *nk, *fill(False))
+    return kept.unionByName(with_base.unionByName(without).select(*base.columns))
+
+
+def fill_moved(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Complete rows whose key moved and that left columns unchanged.
+
+    ``_from`` (struct of the keys) names the row an insert was moved from. A
+    column it did not send has the value which that row had just before: set
+    by the newest earlier change of the old key, else the base value. A row
+    moved several times is completed one move at a time, so the number of
+    rounds is the longest chain of moves that all leave a column out.
+    """
+    if MOVED_FROM not in changes.columns:
+        return changes
+    keys = list(keys)
+    cols = [c for c in base.columns if c not in keys]
+    rest = [c for c in changes.columns if c != MOVED_FROM]
+    open_ = F.col(MOVED_FROM).isNotNull() & (F.size(UNCHANGED) > 0)
+    if changes.where(open_).isEmpty():
+        return changes.select(*rest)
+    cur = materialize(changes)
+    order = F.struct(*[F.col(f"h.{c}") for c in order_columns(cur)])
+    while True:
+        wait = cur.where(open_)
+        if wait.isEmpty():
+            return cur.select(*rest)
+        m, h = wait.alias("m"), cur.alias("h")
+        before = reduce(lambda a, b: a & b, [
+            F.col(f"h.{k}") == F.col(f"m.{MOVED_FROM}.{k}") for k in keys]
+            + [F.col(f"h.{SEQ}") < F.col(f"m.{SEQ}")])
+        ident = [SEQ, *[c for c in (SUB,) if c in cur.columns]]
+        aggs = []
+        for c in cols:
+            sent = (F.col(f"h.{OP}") == DELETE) | ~F.array_contains(F.col(f"h.{UNCHANGED}"), c)
+            aggs.append(F.max_by(F.when(sent, F.struct(
+                (F.col(f"h.{OP}") == DELETE).alias("gone"), F.col(f"h.{c}").alias("v"))),
+                F.when(sent, order)).alias(f"_v_{c}"))
+        # an older move of the same row that still waits comes first
+        waits = F.max(F.coalesce(F.col(f"h.{MOVED_FROM}").isNotNull()
+                                 & (F.size(f"h.{UNCHANGED}") > 0), F.lit(False)))
+        found = (m.join(h, before, "left")
+                 .groupBy(*[F.col(f"m.{c}").alias(c) for c in ident],
+                          *[F.col(f"m.{MOVED_FROM}.{k}").alias(f"_k_{k}") for k in keys])
+                 .agg(waits.alias("_waits"), *aggs).where(~F.col("_waits")))
+        old = base.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                          *[F.col(c).alias(f"_b_{c}") for c in cols])
+        found = found.join(old, [f"_k_{k}" for k in keys], "left").drop(*[f"_k_{k}" for k in keys])
+        joined = cur.join(found.withColumn("_found", F.lit(True)), ident, "left")
+        ready = open_ & F.coalesce("_found", F.lit(False))
+        values = {c: F.when(ready & F.array_contains(UNCHANGED, c), F.when(
+            F.col(f"_v_{c}").isNull(), F.col(f"_b_{c}")).when(
+            ~F.col(f"_v_{c}.gone"), F.col(f"_v_{c}.v"))).otherwise(F.col(c)) for c in cols}
+        none = F.array().cast("array<string>")
+        cur = materialize(joined.withColumns(
+            {**values, UNCHANGED: F.when(ready, none).otherwise(F.col(UNCHANGED))})
+            .select(*changes.columns))

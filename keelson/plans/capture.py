@@ -81,7 +81,8 @@ def _relation(order: list[str]) -> Column:
 
 def captured_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts")
-    ch = spread(employee_changes(spark, sf_dir, keep=("ts",)))
+    ch = spread(employee_changes(spark, sf_dir, keep=("ts",)),
+                spark.sparkContext.defaultParallelism)
     seq = F.col("_seq")
     op = F.col("_op")
     text = {"id": F.col("id").cast("string"), "name": F.col("name"),

@@ -3,7 +3,8 @@
 The test data has no captured change log, so one is derived from
 ``events`` (one change per event, ordered by ``event_id``):
 
-* ``_seq`` = ``event_id``; key ``id`` = ``user_id``;
+* ``_seq`` = ``event_id``; key ``id`` = ``user_id``, or a key that no base row
+  has (``NEW_KEY`` more) where ``event_id % 5 = 0``;
 * ``_op`` = D when ``event_id % 97 = 0``, I for ``signup``, U otherwise;
 * ``name`` = ``event_type``, ``salary`` = ``value``.
 
@@ -26,7 +27,9 @@ ORDER_KEYS = ["o_orderkey"]
 # Fixed values of the derived feed (shared with the oracle SQL).
 DELETE_EVERY = 97       # event_id % 97 = 0 -> delete
 INSERT_EVENT = "signup"  # this event type is an insert, others update
-KEY_SPREAD = 7919       # wide key set: (event_id * 7919) % count(orders)
+KEY_SPREAD = 7919       # wide key set: (event_id * 7919) % (5/4 of count(orders))
+NEW_KEY_EVERY = 5       # every fifth change is of a key outside the base
+NEW_KEY = 1_000_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +50,8 @@ def employee_changes(spark: SparkSession, sf_dir: str,
         F.col("event_id").alias("_seq"),
         F.lit(0).alias("_sub"),
         op_expr().alias("_op"),
-        F.col("user_id").alias("id"),
+        F.when(F.col("event_id") % NEW_KEY_EVERY == 0, F.col("user_id") + NEW_KEY)
+        .otherwise(F.col("user_id")).alias("id"),
         F.col("event_type").alias("name"),
         F.col("value").alias("salary"),
     )
@@ -66,14 +70,14 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event rewritten as a change to one order row; the key spreads
-    the 10x-smaller event set over the whole order key space."""
+    the 10x-smaller event set over the order key space and a quarter more."""
     ev = table(spark, sf_dir, "events")
-    n = table(spark, sf_dir, "orders").select(F.count(F.lit(1))).scalar()
+    n = table(spark, sf_dir, "orders").count()
     return ev.select(
         F.col("event_id").alias("_seq"),
         F.lit(0).alias("_sub"),
         op_expr().alias("_op"),
-        ((F.col("event_id") * KEY_SPREAD) % n).alias("o_orderkey"),
+        ((F.col("event_id") * KEY_SPREAD) % (n + n // 4)).alias("o_orderkey"),
         F.col("user_id").alias("o_custkey"),
         F.substring("event_type", 1, 1).alias("o_orderstatus"),
         F.col("value").alias("o_totalprice"),

@@ -11,7 +11,8 @@ from __future__ import annotations
 # Shared pieces ----------------------------------------------------------------
 
 CH = """ch AS (
-  SELECT event_id AS seq, user_id AS id,
+  SELECT event_id AS seq,
+         CASE WHEN event_id % 5 = 0 THEN user_id + 1000000000 ELSE user_id END AS id,
          CASE WHEN event_id % 97 = 0 THEN 'D'
               WHEN event_type = 'signup' THEN 'I' ELSE 'U' END AS op,
          event_type AS name, value AS salary
@@ -189,7 +190,7 @@ oc AS (
   SELECT event_id AS seq,
          CASE WHEN event_id % 97 = 0 THEN 'D'
               WHEN event_type = 'signup' THEN 'I' ELSE 'U' END AS op,
-         (event_id * 7919) % n.n AS o_orderkey, user_id AS o_custkey,
+         (event_id * 7919) % (n.n + n.n // 4) AS o_orderkey, user_id AS o_custkey,
          substr(event_type, 1, 1) AS o_orderstatus, value AS o_totalprice,
          ts AS o_orderdate, event_type AS o_orderpriority
   FROM events, n),

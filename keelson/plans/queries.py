@@ -128,7 +128,7 @@ def relation_as_of_q(spark, sf):
     msgs = _landed_capture(spark, sf)
     rels = parse_relations(msgs)
     vers = collect_versions(rels)
-    width = max([len(r.cols) for r in vers.collect()], default=0)
+    width = vers.agg(F.max(F.size("cols"))).first()[0] or 0
     att = relation_as_of(parse_rows(msgs, width), rels, versions=vers)
     return att.select("_seq", F.col("_rel_seq").alias("rel_seq"), "table",
                       F.array_join("cols", ",").alias("cols"))
@@ -251,7 +251,7 @@ def duplicate_keys(spark, sf):
 
 
 def _doc_lines(spark, sf):
-    docs = spread(table(spark, sf, "documents"))
+    docs = spread(table(spark, sf, "documents"), spark.sparkContext.defaultParallelism)
     line = encode_line([F.col(c) for c in docs.columns])
     return docs.select(F.col("doc_id").alias("_seq"),
                        (F.octet_length(line) + 1).cast("bigint").alias("_bytes"))

@@ -3,13 +3,17 @@
 ``FileTarget`` - plain parquet kept current by merge-on-read:
 
     <path>/base/gen=G/        full table as of generation G (with _seq)
-    <path>/log/batch_id=M/    net change of micro-batch M (one row per key)
+    <path>/log/run=R/batch_id=M/   net change of micro-batch M of stream R
     <path>/ledger/entry=E/    one small row per snapshot, batch or compaction
 
-A batch overwrites its own log directory, so replaying a batch after a
-failure cannot duplicate rows. The current table is the base generation
-with every newer log applied in ``_seq`` order; ``compact`` folds the logs
-into the next generation. Rows keep their ``_seq`` so a late, older change
+A batch is named by its stream (``run``, from the stream's checkpoint) and
+its number, so a stream with a fresh checkpoint, whose numbers begin again,
+never meets an earlier stream's batches. A batch counts once its write has
+committed (the writer's ``_SUCCESS`` file): a half-written one is not read,
+and a committed one is not written again, so replaying a batch after a
+failure neither duplicates rows nor hides them from readers. The current
+table is the base generation with every log not yet folded into it applied
+in ``_seq`` order; ``compact`` folds the logs into the next generation. Rows keep their ``_seq`` so a late, older change
 never overrides a newer one, in the logs or in the base.
 
 ``CatalogTarget`` - a catalog table with row-level changes (e.g. Iceberg):
@@ -31,9 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.changes import DELETE, OP, SEQ, SUB, net_changes
-from ..operators.sizing import materialize, small_side
-from ..operators.unchanged import UNCHANGED, net_with_unchanged
+from ..operators.changes import DELETE, META, OP, SEQ, SUB, net_changes
+from ..functions.copytext import encode_line
+from ..operators.unchanged import MOVED_FROM, UNCHANGED, fill_moved, net_with_unchanged
+from ..sources.snapshot import read_copy_text
 
 MIN_SEQ = -(2 ** 63)
 LEDGER_SCHEMA = StructType([
@@ -41,7 +46,7 @@ LEDGER_SCHEMA = StructType([
     StructField("kind", StringType(), False),       # snapshot | batch | compact
     StructField("batch_id", LongType(), True),
     StructField("gen", LongType(), True),
-    StructField("through_batch", LongType(), True),
+    StructField("folded", StringType(), True),      # run/batch_id of all folded logs
     StructField("n_rows", LongType(), True),
     StructField("first_seq", LongType(), True),
     StructField("last_seq", LongType(), True),
@@ -101,34 +106,41 @@ class FileTarget:
         if self._cache is not None:
             self._cache = [r for r in self._cache if r["entry"] != entry] + [full]
 
-    def last_staged_batch(self, after: int = -1) -> int:
-        """Highest batch id in the log (the log directories are the truth:
-        a batch directory is complete once its write has committed); only
-        directories after ``after`` are considered. -1 when there is none."""
-        try:
-            logs = self.spark.read.parquet(self._p("log"))
-        except AnalysisException:
-            return -1
-        top = (logs.where(F.col("batch_id") > F.lit(after))
-               .agg(F.max("batch_id")).first()[0])
-        return -1 if top is None else int(top)
+    def staged_batches(self) -> list[tuple[str, int]]:
+        """(run, batch id) of every committed log, by listing directories."""
+        fs, path = self._fs("log")
+        out = []
+        if not fs.exists(path):
+            return out
+        for run in fs.listStatus(path):
+            if not run.getPath().getName().startswith("run="):
+                continue
+            for log in fs.listStatus(run.getPath()):
+                name = log.getPath().getName()
+                if name.startswith("batch_id=") and self._committed(fs, log.getPath()):
+                    out.append((run.getPath().getName()[4:], int(name[9:])))
+        return sorted(out)
+
+    def _fs(self, *parts: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self._p(*parts))
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _committed(self, fs, path) -> bool:
+        return fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
 
     def state(self) -> dict:
-        """Current generation, last folded batch, last batch, system id."""
-        gen, through, last_batch, system_id, snap = None, -1, -1, None, False
-        if self.batch_stats:
-            last_batch = max(self.batch_stats)
+        """Current generation, folded batches, system id."""
+        gen, folded, system_id, snap = None, set(), None, False
         for r in self._entries():
             if r["kind"] in ("snapshot", "compact"):
                 gen = r["gen"]
-                through = r["through_batch"] if r["through_batch"] is not None else -1
+                folded = set(filter(None, (r["folded"] or "").split(",")))
                 snap = True
-            if r["kind"] == "batch":
-                last_batch = max(last_batch, r["batch_id"])
             if r["system_id"]:
                 system_id = r["system_id"]
-        return {"gen": gen, "through_batch": through, "last_batch": last_batch,
-                "system_id": system_id, "snapshot_done": snap}
+        return {"gen": gen, "folded": folded, "system_id": system_id,
+                "snapshot_done": snap}
 
     # -- writes -------------------------------------------------------
     def seed(self, snapshot: DataFrame, snapshot_seq: int | None = None,
@@ -136,23 +148,32 @@ class FileTarget:
         """Write generation 0 from a snapshot - once (T6). Returns whether
         it wrote. ``snapshot_seq``: the feed position the snapshot is known
         to contain; changes at or before it lose to the snapshot rows."""
-        if self.state()["snapshot_done"] and not force:
+        done = self.state()["snapshot_done"]
+        if done and not force:
             return False
+        if not done and self.staged_batches():
+            raise ValueError("changes were staged before the snapshot")
         seq = MIN_SEQ if snapshot_seq is None else snapshot_seq
         rows = snapshot.select(*[F.col(c) for c in self.columns],
                                F.lit(seq).cast("bigint").alias(SEQ),
                                F.lit(False).alias("_deleted"))
         rows.write.mode("overwrite").parquet(self._p("base", "gen=0"))
-        self._record(kind="snapshot", gen=0, through_batch=-1,
-                     last_seq=snapshot_seq)
+        self._record(kind="snapshot", gen=0, last_seq=snapshot_seq)
         return True
 
     def write_batch(self, changes: DataFrame, batch_id: int,
-                    system_id: str | None = None) -> None:
-        """Stage one micro-batch: its net change per key, then a ledger row.
-        Idempotent per ``batch_id``."""
+                    system_id: str | None = None, run: str = "direct") -> None:
+        """Stage one micro-batch: its net change per key. Idempotent per
+        ``run`` and ``batch_id``. The target must have been seeded (with an
+        empty frame if it starts empty). Changes that leave columns unchanged
+        need a target with ``unchanged=True``."""
         if not self.state()["snapshot_done"]:
-            self.seed(self.spark.createDataFrame([], self.schema))
+            raise ValueError("seed the target before the first batch")
+        fs, path = self._fs("log", f"run={run}", f"batch_id={batch_id}")
+        if self._committed(fs, path):
+            return
+        if self.unchanged and MOVED_FROM in changes.columns:
+            changes = fill_moved(self.current(), changes, self.keys)
         if self.unchanged:
             sub = F.col(SUB) if SUB in changes.columns else F.lit(0)
             unch = (F.col(UNCHANGED) if UNCHANGED in changes.columns
@@ -161,9 +182,10 @@ class FileTarget:
                                  *[F.col(c) for c in self.columns],
                                  unch.alias(UNCHANGED))
         else:
+            changes = _refuse_unchanged(changes)
             net = net_changes(changes, self.keys).select(
                 SEQ, OP, *[F.col(c) for c in self.columns])
-        out = self._p("log", f"batch_id={batch_id}")
+        out = self._p("log", f"run={run}", f"batch_id={batch_id}")
         # Batch statistics ride along with the write (no second pass).
         obs = Observation(f"keelson_batch_{batch_id}")
         net = net.observe(obs, F.count(F.lit(1)).alias("n"),
@@ -185,39 +207,32 @@ class FileTarget:
     def _base(self, gen: int) -> DataFrame:
         return self.spark.read.parquet(self._p("base", f"gen={gen}"))
 
-    def _logs(self, after: int, through: int | None = None) -> DataFrame | None:
-        try:
-            logs = self.spark.read.parquet(self._p("log"))
-        except AnalysisException:
-            return None
-        logs = logs.where(F.col("batch_id") > F.lit(after))
-        if through is not None:
-            logs = logs.where(F.col("batch_id") <= F.lit(through))
-        return logs.drop("batch_id")
-
-    def _merged(self, st: dict, through: int | None = None) -> DataFrame:
-        """Base + newer logs, with tombstones and ``_seq`` kept."""
+    def _logs(self, batches: list[tuple[str, int]]) -> DataFrame:
+        return self.spark.read.parquet(
+            *[self._p("log", f"run={r}", f"batch_id={b}") for r, b in batches])
+
+    def _merged(self, st: dict, batches: list[tuple[str, int]] | None = None) -> DataFrame:
+        """Base + logs that are not folded, with tombstones and ``_seq`` kept.
+
+        Nothing is computed here: a filter on the keys reaches the scans of
+        the base and of the logs."""
         base = self._base(st["gen"])
-        logs = self._logs(st["through_batch"], through)
-        # Nothing staged since the base (e.g. right after a compaction): a
-        # one-row probe over the pruned log partitions saves the merge.
-        if logs is None or logs.limit(1).count() == 0:
+        if batches is None:
+            batches = [x for x in self.staged_batches() if f"{x[0]}/{x[1]}" not in st["folded"]]
+        if not batches:
             return base
+        logs = self._logs(batches)
         if self.unchanged:
             return self._merged_unchanged(base, logs)
-        net = materialize(net_changes(logs, self.keys))
-        side, small = small_side(net)
-        b, n = base.alias("b"), side.alias("n")
+        net = net_changes(logs, self.keys)
+        b, n = base.alias("b"), net.alias("n")
         match = _key_match("b", "n", self.keys)
         # Base rows with no newer change survive.
         kept = b.join(n, match & (F.col("n._seq") > F.col("b._seq")), "left_anti")
-        # Changes older than the base row for their key are stale. The inner
-        # join streams the base against the (usually broadcast) net changes.
+        # Changes older than the base row for their key are stale.
         stale = (b.join(n, match & (F.col("b._seq") >= F.col("n._seq")), "inner")
-                 .select(*[F.col(f"n.{k}").alias(k) for k in self.keys]))
-        # stale has at most as many rows as the (proven small) net change
-        fresh = net.join(F.broadcast(stale) if small else stale, self.keys,
-                         "left_anti")
+                 .select(*[F.col(f"n.{k}").alias(k) for k in self.keys]).distinct())
+        fresh = net.join(stale, self.keys, "left_anti")
         changed = fresh.select(*[F.col(c) for c in self.columns], SEQ,
                                (F.col(OP) == DELETE).alias("_deleted"))
         return kept.select(*self.columns, SEQ, "_deleted").unionByName(changed)
@@ -227,9 +242,8 @@ class FileTarget:
         the newest change that sent it (or deleted the row) if that change
         is newer than the base row, else the base value."""
         data = [c for c in self.columns if c not in self.keys]
-        net = materialize(net_with_unchanged(logs, self.keys, data, with_seq=True))
-        side, small = small_side(net)
-        b, n = base.alias("b"), side.alias("n")
+        net = net_with_unchanged(logs, self.keys, data, with_seq=True)
+        b, n = base.alias("b"), net.alias("n")
         match = _key_match("b", "n", self.keys)
         newer = F.col("n._last_seq") > F.col("b._seq")
         kept = b.join(n, match & newer, "left_anti")
@@ -248,9 +262,7 @@ class FileTarget:
         updated = hit.where(newer).select(
             *keys_n, *[pick(c, True) for c in data],
             F.col("n._last_seq").alias(SEQ), last_del)
-        hit_keys = hit.select(*keys_n)
-        fresh = net.join(F.broadcast(hit_keys) if small else hit_keys, self.keys,
-                         "left_anti").alias("n")
+        fresh = net.join(hit.select(*keys_n).distinct(), self.keys, "left_anti").alias("n")
         fresh = fresh.select(*keys_n, *[pick(c, False) for c in data],
                              F.col("n._last_seq").alias(SEQ), last_del)
         cols = [*self.columns, SEQ, "_deleted"]
@@ -272,16 +284,17 @@ class FileTarget:
         precede any more (the lateness bound); tombstones at or before it
         are dropped."""
         st = self.state()
-        through = self.last_staged_batch(after=st["through_batch"])
-        if through <= st["through_batch"]:
+        batches = [x for x in self.staged_batches() if f"{x[0]}/{x[1]}" not in st["folded"]]
+        if not batches:
             return st["gen"]
         gen = st["gen"] + 1
-        merged = self._merged(st, through)
+        merged = self._merged(st, batches)
         if purge_tombstones_through is not None:
             merged = merged.where(~F.col("_deleted") |
                                   (F.col(SEQ) > F.lit(purge_tombstones_through)))
         merged.write.mode("overwrite").parquet(self._p("base", f"gen={gen}"))
-        self._record(kind="compact", gen=gen, through_batch=through)
+        folded = st["folded"] | {f"{r}/{b}" for r, b in batches}
+        self._record(kind="compact", gen=gen, folded=",".join(sorted(folded)))
         return gen
 
 
@@ -295,20 +308,16 @@ class FileTarget:
         st = self.state()
         if st["gen"] is None:
             return {"logs": 0, "generations": 0}
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-
         def children(sub: str):
-            path = jvm.org.apache.hadoop.fs.Path(self._p(sub))
-            fs = path.getFileSystem(conf)
+            fs, path = self._fs(sub)
             if not fs.exists(path):
                 return fs, []
             return fs, [(s.getPath(), s.getPath().getName()) for s in fs.listStatus(path)]
 
         removed = {"logs": 0, "generations": 0}
-        fs, logs = children("log")
-        for path, name in logs:
-            if name.startswith("batch_id=") and int(name.split("=")[1]) <= st["through_batch"]:
+        for run, batch in self.staged_batches():
+            if f"{run}/{batch}" in st["folded"]:
+                fs, path = self._fs("log", f"run={run}", f"batch_id={batch}")
                 fs.delete(path, True)
                 removed["logs"] += 1
         oldest_kept = st["gen"] - max(1, keep_generations) + 1
@@ -320,6 +329,19 @@ class FileTarget:
         return removed
 
 
+IDENTITY = "keelson.system_id"
+
+
+def _refuse_unchanged(changes: DataFrame) -> DataFrame:
+    """Fail on a change that left a column out, where that cannot be honoured."""
+    if UNCHANGED not in changes.columns:
+        return changes
+    left = F.col(UNCHANGED)
+    return changes.where(F.when(F.size(left) > 0, F.raise_error(F.lit(
+        "a change leaves columns unchanged; use FileTarget(unchanged=True)")).cast("boolean"))
+        .otherwise(F.lit(True)))
+
+
 class CatalogTarget:
     """A catalog table with row-level changes. It must exist (K5)."""
 
@@ -341,53 +363,93 @@ class CatalogTarget:
         return True
 
     def write_batch(self, changes: DataFrame, batch_id: int,
-                    system_id: str | None = None) -> None:
+                    system_id: str | None = None, run: str = "direct") -> None:
         """One MERGE per batch: deletes, updates and inserts commit
         together. Net changes first, so each target row meets one source
-        row. Replaying a batch converges to the same table."""
-        net = net_changes(changes, self.keys).alias("s")
+        row. A column that no change of the batch sent keeps the table's
+        value. Replaying a batch converges to the same table. The source's
+        identity is kept as a table property."""
+        if MOVED_FROM in changes.columns:
+            changes = fill_moved(self.current(), changes, self.keys)
+        if UNCHANGED not in changes.columns:
+            changes = changes.withColumn(UNCHANGED, F.array().cast("array<string>"))
+        data = [c for c in self.columns if c not in self.keys]
+        net = net_with_unchanged(changes, self.keys, data)
+        fields = [F.when(~F.col(f"_set_{c}.deleted"), F.col(f"_set_{c}.v")).alias(c)
+                  for c in data]
+        sent = [F.col(f"_set_{c}").isNotNull().alias(f"_sent_{c}") for c in data]
+        net = net.select(*self.keys, F.col("_last_op").alias(OP), *fields, *sent)
+        self.merge(net.alias("s"))
+        if system_id and self.state()["system_id"] != system_id:
+            self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES "
+                           f"('{IDENTITY}' = '{system_id}')")
+
+    def merge(self, net: DataFrame) -> None:
+        """MERGE of ``net`` (alias s): keys, ``_op``, columns, ``_sent_<column>``."""
         cond = reduce(lambda a, b: a & b,
                       [F.col(f"s.{k}") == F.col(f"{self.name}.{k}")
                        for k in self.keys])
         values = {c: F.col(f"s.{c}") for c in self.columns}
+        update = {c: v if c in self.keys else
+                  F.when(F.col(f"s._sent_{c}"), v).otherwise(F.col(f"{self.name}.{c}"))
+                  for c, v in values.items()}
         (net.mergeInto(self.name, cond)
          .whenMatched(F.col(f"s.{OP}") == DELETE).delete()
-         .whenMatched().update(values)
+         .whenMatched().update(update)
          .whenNotMatched(F.col(f"s.{OP}") != DELETE).insert(values)
          .merge())
 
+    def state(self) -> dict:
+        """The recorded source identity."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
+        return {"system_id": {r["key"]: r["value"] for r in rows}.get(IDENTITY)}
+
     def current(self) -> DataFrame:
         return self.spark.table(self.name)
 
 
 class CsvTarget:
-    """Append-only delimited files (K1, K2)."""
+    """Append-only delimited text files (K1, K2).
+
+    Lines are COPY text: control characters, the delimiter and backslashes
+    are escaped and NULL is ``\\N``, so any text survives - line feeds and
+    empty text too. With ``keys``, a delete is written as its key only.
+    """
 
     def __init__(self, spark: SparkSession, path: str, sep: str = ",",
-                 with_op: bool = True):
+                 with_op: bool = True, keys: Sequence[str] | None = None):
         self.spark = spark
         self.path = path
         self.sep = sep
         self.with_op = with_op
+        self.keys = list(keys) if keys else None
 
-    def _rows(self, changes: DataFrame) -> DataFrame:
+    def _lines(self, changes: DataFrame) -> DataFrame:
+        changes = _refuse_unchanged(changes)
         drop = [c for c in changes.columns if c.startswith("_") and
                 not (self.with_op and c in (OP, SEQ))]
-        return changes.drop(*drop)
+        rows = changes
+        if self.keys is not None and OP in changes.columns:
+            keep = {*self.keys, *META}
+            rows = rows.select(*[
+                F.col(c) if c in keep else
+                F.when(F.col(OP) != DELETE, F.col(c)).alias(c) for c in rows.columns])
+        rows = rows.drop(*drop)
+        return rows.select(encode_line([F.col(c) for c in rows.columns], self.sep).alias("value"))
 
     def write_batch(self, changes: DataFrame, batch_id: int | None = None,
-                    system_id: str | None = None) -> None:
+                    system_id: str | None = None, run: str = "direct") -> None:
         """Batch append. In a stream use ``stream_sink`` instead: the file
         sink's own log makes a replayed micro-batch write once."""
-        self._rows(changes).write.mode("append").option("sep", self.sep).csv(self.path)
+        self._lines(changes).write.mode("append").option("lineSep", "\n").text(self.path)
 
     def stream_sink(self, changes: DataFrame, checkpoint: str):
-        return (self._rows(changes).writeStream.format("csv")
-                .option("sep", self.sep).option("path", self.path)
+        return (self._lines(changes).writeStream.format("text")
+                .option("lineSep", "\n").option("path", self.path)
                 .option("checkpointLocation", checkpoint))
 
     def read(self, schema: StructType) -> DataFrame:
-        return self.spark.read.schema(schema).option("sep", self.sep).csv(self.path)
+        return read_copy_text(self.spark, self.path, schema, self.sep)
 
 
 def target_schema(df: DataFrame, keys: Sequence[str]) -> StructType:

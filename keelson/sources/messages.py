@@ -13,10 +13,11 @@ header already removed). Layouts (all integers big-endian):
 * ``D`` delete: oid i32, ``K`` or ``O``, tuple.
 * tuple: column count i16, then per column a kind byte: ``t``/``b`` then
   length i32 and the bytes; ``n`` NULL; ``u`` unchanged (not sent).
-* ``B``/``C`` (transaction markers) and any other kind carry no rows.
+* ``B``/``C`` (transaction markers) and any other kind carry no rows;
+  ``T`` (truncate) cannot be applied as row changes and fails the job.
 
-Everything is a built-in expression: tuples are walked with
-``aggregate`` over ``sequence(1, n)``, carrying the byte offset.
+Everything is a built-in expression: tuples are walked with one projection
+for each column, carrying the byte offset.
 """
 
 from __future__ import annotations
@@ -29,37 +30,10 @@ from ..functions.binary import (byte_at, char_at, cstring_end, int16_be,
                                 int32_be, latin1, uint_be, utf8_at)
 from ..operators.changes import DELETE, INSERT, UPDATE
 from ..operators.partitioning import spread
-from ..session import shared_dir
+from ..operators.sizing import materialize
 
 ROW_KINDS = ("I", "U", "D")
-# Relation versions are few (one per table per session or schema change);
-# more than this many and the range lookup switches to a bucketed join.
-MAX_BROADCAST_RELATIONS = 100_000
-
-
-def _tuple(payload: Column, start: Column) -> Column:
-    """struct(end, kinds array<string>, vals array<string>) for the tuple
-    that starts at byte ``start``; ``end`` is the first byte after it."""
-    n = int16_be(payload, start)
-    idx = F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(
-        F.array().cast("array<int>"))
-    zero = F.struct((start + F.lit(2)).cast("bigint").alias("end"),
-                    F.array().cast("array<string>").alias("kinds"),
-                    F.array().cast("array<string>").alias("vals"))
-
-    def step(acc: Column, _i: Column) -> Column:
-        off = acc["end"]
-        kind = char_at(payload, off)
-        sized = kind.isin("t", "b")
-        ln = F.when(sized, int32_be(payload, off + 1)).otherwise(F.lit(0))
-        val = F.when(sized, utf8_at(payload, off + 5, ln))
-        nxt = F.when(sized, off + 5 + ln).otherwise(off + 1)
-        return F.struct(nxt.cast("bigint").alias("end"),
-                        F.concat(acc["kinds"], F.array(kind)).alias("kinds"),
-                        F.concat(acc["vals"], F.array(val.cast("string"))
-                                 ).alias("vals"))
-
-    return F.aggregate(idx, zero, step)
+TRUNCATE = "T"
 
 
 def _walk(df: DataFrame, payload: Column, start: Column, max_cols: int,
@@ -69,8 +43,7 @@ def _walk(df: DataFrame, payload: Column, start: Column, max_cols: int,
 
     Each projection computes one column's kind, value and the next offset
     from the previous offset; all of it is plain expressions, so the walk
-    compiles into the surrounding generated code (about 3x faster than the
-    interpreted ``aggregate`` walk of ``_tuple``).
+    compiles into the surrounding generated code.
     """
     p = f"_{name}_"
     n = int16_be(payload, start)
@@ -101,43 +74,32 @@ def _walk(df: DataFrame, payload: Column, start: Column, max_cols: int,
     return df.withColumn(name, out).drop(*temp)
 
 
-# Above this many columns the per-column projections make the plan too
-# large; the interpreted walk takes over.
-MAX_UNROLLED_COLUMNS = 200
-
-
-def parse_rows(messages: DataFrame, max_cols: int | None = None) -> DataFrame:
+def parse_rows(messages: DataFrame, max_cols: int,
+               partitions: int | None = None) -> DataFrame:
     """Row messages (I/U/D) with their tuples still as text arrays.
 
     Output: system_id?, _seq, _lsn?, kind, oid, old_tag, old (struct),
-    new (struct). Other message kinds are dropped here. ``max_cols`` - the
-    widest relation (from ``parse_relations``) - enables the compiled walk.
+    new (struct). Other message kinds are dropped here. ``max_cols``: the
+    widest relation (from ``parse_relations``). ``partitions``: deal the
+    messages over so many tasks first.
     """
     keep = [c for c in ("system_id", "_seq", "_lsn") if c in messages.columns]
     p = F.col("payload")
-    m = (spread(messages).select(*keep, p, char_at(p, 1).alias("kind"))
-         .where(F.col("kind").isin(*ROW_KINDS)))
+    kind = F.col("kind")
+    m = (spread(messages, partitions).select(*keep, p, char_at(p, 1).alias("kind"))
+         .where(F.when(kind == TRUNCATE, F.raise_error(F.concat(
+             F.lit("truncate message at position "), F.col("_seq").cast("string")))
+             .cast("boolean")).otherwise(kind.isin(*ROW_KINDS))))
     tag6 = char_at(p, 6)
     m = m.select(*keep, "kind", p,
                  uint_be(p, 2, 4).alias("oid"),
                  F.when(tag6.isin("K", "O"), tag6).alias("old_tag"))
     old_start = F.when(F.col("old_tag").isNotNull(), F.lit(7))
-    if max_cols is not None and max_cols <= MAX_UNROLLED_COLUMNS:
-        m = _walk(m, p, old_start, max_cols, "old")
-        new_start = F.when(F.col("kind") != "D", F.when(
-            F.col("old").isNotNull(), F.col("old.end")).otherwise(6) + 1)
-        m = _walk(m, p, new_start, max_cols, "new")
-        return m.drop("payload")
-    # Old tuple first; the new one starts right after it. Two projections,
-    # so the tuple walk is not repeated when the new tuple needs its end.
-    m = m.select(*keep, "kind", "oid", "old_tag", p,
-                 F.when(F.col("old_tag").isNotNull(),
-                        _tuple(p, F.lit(7))).alias("old"))
-    new_tag_pos = F.when(F.col("old").isNotNull(), F.col("old.end")).otherwise(6)
-    m = m.select(*keep, "kind", "oid", "old_tag", "old",
-                 F.when(F.col("kind") != "D",
-                        _tuple(p, new_tag_pos + 1)).alias("new"))
-    return m
+    m = _walk(m, p, old_start, max_cols, "old")
+    new_start = F.when(F.col("kind") != "D", F.when(
+        F.col("old").isNotNull(), F.col("old.end")).otherwise(6) + 1)
+    m = _walk(m, p, new_start, max_cols, "new")
+    return m.drop("payload")
 
 
 def parse_relations(messages: DataFrame) -> DataFrame:
@@ -200,65 +162,63 @@ def relation_versions(relations: DataFrame) -> DataFrame:
         "namespace", "name", "cols", "keys")
 
 
-def collect_versions(relations: DataFrame,
-                     max_rows: int = MAX_BROADCAST_RELATIONS) -> DataFrame | None:
-    """Relation versions, materialised once in the shared checkpoint folder
-    (the relation messages are read a single time), or None when there
-    are more than ``max_rows`` of them (then they must not be broadcast)."""
-    shared_dir(relations.sparkSession)
-    vers = relation_versions(relations).checkpoint(eager=True)
-    if vers.limit(max_rows + 1).count() > max_rows:
-        return None
-    return vers
+def collect_versions(relations: DataFrame) -> DataFrame:
+    """Relation versions, staged once in the shared folder: the relation
+    messages are read a single time and the planner knows their size."""
+    return materialize(relation_versions(relations))
 
 
 def relation_as_of(rows: DataFrame, relations: DataFrame,
-                   max_broadcast: int = MAX_BROADCAST_RELATIONS,
                    versions: DataFrame | None = None) -> DataFrame:
     """Attach to each row message the relation in force at its position.
 
-    Relation versions are collected once - after a bounded read proves
-    there are at most ``max_broadcast`` of them - and broadcast; the join
-    is then a hash lookup on oid plus a range check, with no shuffle of the
-    rows. Beyond the bound, each version is repeated over the position
-    buckets it spans and the rows are joined on (oid, bucket), which
-    spreads one busy table over many tasks.
+    One join for any number of versions: equal oid and a position range. The
+    staged versions are broadcast while their bytes allow it (then the rows
+    are not shuffled), else the join is shuffled on the oid.
     """
-    small = versions if versions is not None else collect_versions(
-        relations, max_broadcast)
-    r = rows.alias("r")
+    vers = versions if versions is not None else collect_versions(relations)
     in_range = ((F.col("r._seq") >= F.col("v._from")) &
                 (F.col("v._to").isNull() | (F.col("r._seq") < F.col("v._to"))))
     out_cols = [F.col(f"r.{c}") for c in rows.columns] + [
         F.col("v._from").alias("_rel_seq"),
         F.col("v.namespace").alias("namespace"), F.col("v.name").alias("table"),
         F.col("v.cols").alias("cols"), F.col("v.keys").alias("keys")]
-    if small is not None:
-        return r.join(F.broadcast(small).alias("v"),
-                      (F.col("r.oid") == F.col("v.oid")) & in_range,
-                      "left").select(*out_cols)
-    vers = relation_versions(relations)
-    # Bucketed fallback: bucket width from the position range, bounded
-    # number of buckets per version.
-    nb = 4096
-    lo, hi = rows.agg(F.min("_seq"), F.max("_seq")).first()
-    lo, hi = (lo or 0), (hi or 0)
-    width = max(1, -(-(hi - lo + 1) // nb))
-    bucket = lambda c: F.floor((c - lo) / width)
-    first = F.greatest(bucket(F.col("_from")), F.lit(0))
-    last = F.coalesce(bucket(F.col("_to")), F.lit(nb))
-    vb = vers.withColumn("_b", F.explode(F.sequence(first.cast("bigint"),
-                                                    last.cast("bigint"))))
-    rb = rows.withColumn("_b", bucket(F.col("_seq")).cast("bigint")).alias("r")
-    return rb.join(vb.alias("v"),
-                   (F.col("r.oid") == F.col("v.oid")) &
-                   (F.col("r._b") == F.col("v._b")) & in_range,
-                   "left").select(*out_cols)
+    return rows.alias("r").join(vers.alias("v"), (F.col("r.oid") == F.col("v.oid")) & in_range,
+                                "left").select(*out_cols)
+
+
+def _of_table(table: str | None, namespace: str | None, name_col: str) -> Column:
+    wanted = F.lit(True)
+    if table is not None:
+        wanted = wanted & (F.col(name_col) == F.lit(table))
+    if namespace is not None:
+        wanted = wanted & (F.col("namespace") == F.lit(namespace))
+    return wanted
+
+
+def resolve_keys(versions: DataFrame, schema: StructType, table: str | None = None,
+                 namespace: str | None = None) -> list[str]:
+    """The key columns that the relations of one table announce - the same
+    way for any number of them. None announced (replica identity full or
+    nothing): every target column is the key, as for a key-less target.
+
+    Relations of one name in several namespaces are different tables: then
+    ``namespace`` must say which one is meant.
+    """
+    mine = versions.where(_of_table(table, namespace, "name"))
+    if table is not None and namespace is None:
+        spaces = [r[0] for r in mine.select("namespace").distinct().limit(2).collect()]
+        if len(spaces) > 1:
+            raise ValueError(f"table {table!r} stands in several namespaces: {spaces}")
+    found = [tuple(r[0]) for r in mine.select("keys").distinct().limit(2).collect()]
+    if len(found) > 1:
+        raise ValueError(f"relation versions disagree on the key: {found}")
+    return list(found[0]) if found and found[0] else [f.name for f in schema.fields]
 
 
 def to_changes(attached: DataFrame, schema: StructType,
-               keys: list[str] | None = None, table: str | None = None
-               ) -> DataFrame:
+               keys: list[str], table: str | None = None,
+               namespace: str | None = None) -> DataFrame:
     """Rows with their relation -> the change-frame contract.
 
     * values are matched to target columns by name and cast to the
@@ -268,22 +228,17 @@ def to_changes(attached: DataFrame, schema: StructType,
     * an update whose old key differs from its new key becomes a delete of
       the old key (``_sub`` 0) and an insert of the new row (``_sub`` 1),
       both at the message's position (X1);
-    * ``_unchanged`` lists target columns the message did not send (X3).
+    * a column that the new tuple leaves unchanged takes the old tuple's value
+      where that was sent (all columns of ``O``, the keys of ``K``);
+    * ``_unchanged`` lists target columns whose value the message did not
+      send at all (X3); for a moved row ``_from`` holds the old key, so the
+      value can be looked up there.
 
-    ``keys``: the key columns - by default the ones the relations announce
-    (which must then agree across relation versions).
+    ``keys``: the key columns (``resolve_keys``).
     """
-    df = attached
-    if table is not None:
-        df = df.where(F.col("table") == F.lit(table))
+    # rows without a relation stay: they must fail below, not vanish
+    df = attached.where(F.col("cols").isNull() | _of_table(table, namespace, "table"))
     names = [f.name for f in schema.fields]
-    if not keys:
-        # Key sets of all relation versions: a handful of small arrays.
-        found = {tuple(r[0]) for r in df.select("keys").where(
-            F.col("keys").isNotNull()).distinct().limit(2).collect()}
-        if len(found) > 1:
-            raise ValueError(f"relation versions disagree on the key: {found}")
-        keys = list(found.pop()) if found else []
     rel_cols = F.col("cols")
     meta = [c for c in ("system_id", "_seq", "_lsn") if c in df.columns]
     pos = {n: F.array_position(rel_cols, F.lit(n)).cast("int") for n in names}
@@ -304,68 +259,70 @@ def to_changes(attached: DataFrame, schema: StructType,
                                F.col("oid").cast("string"), F.lit(" before position "),
                                F.col("_seq").cast("string"))).cast("array<string>"))
         .otherwise(F.col("cols")))
+    key_set = set(keys)
+
+    def left_out(n: str) -> Column:
+        return F.coalesce(F.get(F.col("new.kinds"), pos[n] - 1) == "u", F.lit(False))
+
+    def from_old(n: str) -> Column:
+        sent = F.get(F.col("old.kinds"), pos[n] - 1).isin("t", "b", "n")
+        tags = ["O", "K"] if n in key_set else ["O"]
+        return F.coalesce(left_out(n) & F.col("old_tag").isin(tags) & sent, F.lit(False))
+
+    def new_val(n: str) -> Column:
+        return F.when(from_old(n), val("old", n)).otherwise(val("new", n))
+
     same_key = F.lit(True)
     for k in keys:
-        same_key = same_key & val("old", k).eqNullSafe(val("new", k))
+        same_key = same_key & (val("old", k).eqNullSafe(new_val(k))
+                               | (left_out(k) & ~from_old(k)))
     key_change = (kind == "U") & F.col("old").isNotNull() & ~same_key
-    new_vals = [val("new", n).alias(n) for n in names]
+    new_vals = [new_val(n).alias(n) for n in names]
     unchanged = F.array_compact(F.array(*[
-        F.when(F.get(F.col("new.kinds"), pos[n] - 1) == "u", F.lit(n))
+        F.when(left_out(n) & ~from_old(n), F.lit(n))
         for n in names])) if names else F.array().cast("array<string>")
     none = F.array().cast("array<string>")
-    key_set = set(keys)
+    types = {f.name: f.dataType for f in schema.fields}
+    old_key = F.struct(*[val("old", k).cast(types.get(k, "string")).alias(k) for k in keys])
+    nowhere = F.when(F.lit(False), old_key)
     old_delete = F.struct(F.lit(0).alias("_sub"), F.lit(DELETE).alias("_op"),
                           *[(val("old", n) if n in key_set
                              else F.lit(None).cast("string")).alias(n)
                             for n in names],
-                          none.alias("_unchanged"))
+                          none.alias("_unchanged"), nowhere.alias("_from"))
     new_struct = F.struct(F.lit(0).alias("_sub"),
                           F.when(kind == "I", INSERT).when(kind == "U", UPDATE)
                           .alias("_op"),
-                          *new_vals, unchanged.alias("_unchanged"))
+                          *new_vals, unchanged.alias("_unchanged"), nowhere.alias("_from"))
     split_insert = F.struct(F.lit(1).alias("_sub"), F.lit(INSERT).alias("_op"),
-                            *new_vals, unchanged.alias("_unchanged"))
+                            *new_vals, unchanged.alias("_unchanged"), old_key.alias("_from"))
     parts = (F.when(kind == "D", F.array(old_delete))
              .when(key_change, F.array(old_delete, split_insert))
              .otherwise(F.array(new_struct)))
     out = df.select(*meta, F.inline(parts))
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return out.select(*meta, "_sub", "_op", *typed, "_unchanged")
+    return out.select(*meta, "_sub", "_op", *typed, "_unchanged", "_from")
 
 
 def decode_messages(messages: DataFrame, schema: StructType,
                     table: str | None = None, keys: list[str] | None = None,
                     relations: DataFrame | None = None,
                     versions: DataFrame | None = None,
-                    local_versions: list | None = None) -> DataFrame:
+                    namespace: str | None = None,
+                    partitions: int | None = None) -> DataFrame:
     """Captured messages -> typed change rows for one target schema.
 
     ``relations`` may come from an earlier batch's relation table (a
     relation message can precede its rows by many batches); by default
-    the relation messages in ``messages`` are used. ``versions`` /
-    ``local_versions``: relation versions already materialised and
-    collected (``collect_versions``) - a stream reuses them until a batch
-    brings a new relation message.
+    the relation messages in ``messages`` are used. ``versions``: relation
+    versions already staged (``collect_versions``) - a stream reuses them
+    until a batch brings a new relation message. ``table`` and ``namespace``
+    name the relation whose rows are wanted.
     """
     rels = relations if relations is not None else parse_relations(messages)
     vers = versions if versions is not None else collect_versions(rels)
-    if vers is not None:
-        # One read of the relation messages serves the walk bound, the
-        # key set and the broadcast.
-        local = local_versions if local_versions is not None else vers.collect()
-        max_cols = max([len(r.cols) for r in local], default=0)
-        if not keys:
-            found = {tuple(r.keys) for r in local
-                     if table is None or r.name == table}
-            if len(found) > 1:
-                raise ValueError(f"relation versions disagree on the key: {found}")
-            keys = list(found.pop()) if found else []
-            if not keys:
-                # No key announced (replica identity full or nothing): every
-                # target column is the key, as for a key-less target.
-                keys = [f.name for f in schema.fields]
-    else:
-        max_cols = rels.agg(F.max(F.size("cols"))).first()[0] or 0
-    rows = parse_rows(messages, max_cols)
+    widest = vers.agg(F.max(F.size("cols"))).first()[0] or 0
+    keys = keys or resolve_keys(vers, schema, table, namespace)
+    rows = parse_rows(messages, widest, partitions)
     return to_changes(relation_as_of(rows, rels, versions=vers), schema,
-                      keys=keys, table=table)
+                      keys=keys, table=table, namespace=namespace)

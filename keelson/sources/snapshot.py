@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.copytext import decode_fields, encode_line
+from ..functions.copytext import decode_fields, encode_line, field_count
 from ..operators.partitioning import spread
 
 
@@ -45,33 +45,50 @@ def read_snapshot(spark: SparkSession, source: str, fmt: str = "parquet",
 
 def copy_lines_to_rows(lines: DataFrame, schema: StructType,
                        line_col: str = "value", delimiter: str = ",",
-                       strict: bool = True) -> DataFrame:
+                       strict: bool = True, partitions: int | None = None) -> DataFrame:
     """COPY text lines -> typed rows, columns in the target's order.
 
-    ``strict`` casts with ``CAST`` (bad text fails the job); otherwise
-    ``try_cast`` (bad text becomes NULL).
+    ``strict`` casts with ``CAST`` (bad text fails the job) and fails on a
+    line with more or fewer fields than the schema; otherwise ``try_cast``
+    (bad text becomes NULL), and such lines are dropped - ``rejected_lines``
+    returns them. ``partitions``: deal the lines over so many tasks first.
     """
-    fields = decode_fields(F.col(line_col), len(schema.fields), delimiter)
+    n = len(schema.fields)
+    line = F.col(line_col)
+    fits = field_count(line, delimiter) == n
+    source = spread(lines, partitions)
+    if strict:
+        line = F.when(fits, line).when(line.isNotNull(), F.raise_error(F.concat(
+            F.lit(f"COPY line without {n} fields: "), F.substring(line, 1, 200))))
+    else:
+        source = source.where(fits)
     out = []
-    for f, c in zip(schema.fields, fields):
+    for f, c in zip(schema.fields, decode_fields(line, n, delimiter)):
         typed = c.cast(f.dataType) if strict else c.try_cast(f.dataType)
         out.append(typed.alias(f.name))
     keep = [c for c in lines.columns if c != line_col]
-    return spread(lines).select(*keep, *out)
+    return source.select(*keep, *out)
+
+
+def rejected_lines(lines: DataFrame, schema: StructType, line_col: str = "value",
+                   delimiter: str = ",") -> DataFrame:
+    """The lines whose number of fields is not the schema's."""
+    return lines.where(field_count(F.col(line_col), delimiter) != len(schema.fields))
 
 
 def read_copy_text(spark: SparkSession, path: str, schema: StructType,
-                   delimiter: str = ",", strict: bool = True) -> DataFrame:
+                   delimiter: str = ",", strict: bool = True,
+                   partitions: int | None = None) -> DataFrame:
     """Read a COPY text dump. Lines end with ``\\n`` only; embedded newlines
     are escaped, so a split file is still cut at row boundaries."""
     lines = spark.read.option("lineSep", "\n").text(path)
-    return copy_lines_to_rows(lines, schema, "value", delimiter, strict)
+    return copy_lines_to_rows(lines, schema, "value", delimiter, strict, partitions)
 
 
 def to_copy_lines(df: DataFrame, delimiter: str = ",", name: str = "value"
                   ) -> DataFrame:
     """Rows -> COPY text lines (the inverse of ``copy_lines_to_rows``)."""
-    return spread(df).select(encode_line([F.col(c) for c in df.columns], delimiter)
+    return df.select(encode_line([F.col(c) for c in df.columns], delimiter)
                              .alias(name))
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..sources.messages import (collect_versions, decode_messages,
                                 parse_relations)
+from ..session import scratch_path
 from .replicate import replicate
 
 
@@ -32,23 +33,19 @@ class RelationTable:
         self.path = path
         self.tables = tables
         self.versions: DataFrame | None = None
-        self.local: list | None = None
 
     def update(self, batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
         new = parse_relations(batch)
-        # One probe: the tables this batch announces (a few rows at most).
-        names = [(r.namespace, r.name) for r in
-                 new.select("namespace", "name").distinct().limit(1000).collect()]
         if self.tables is not None:
-            bad = [f"{ns}.{n}" for ns, n in names if n not in self.tables]
-            if not bad and len(names) == 1000:  # probe was cut: check exactly
-                bad = [f"{r.namespace}.{r.name}" for r in
-                       new.where(~F.col("name").isin(list(self.tables)))
-                       .select("namespace", "name").distinct().limit(5).collect()]
+            known = (F.col("name").isin(self.tables)
+                     | F.concat_ws(".", "namespace", "name").isin(self.tables))
+            bad = [f"{r.namespace}.{r.name}" for r in
+                   new.where(~known).select("namespace", "name").distinct().limit(5).collect()]
             if bad:
-                raise ValueError(f"relation for an unknown table: {bad[:5]}")
-        if names:
+                raise ValueError(f"relation for an unknown table: {bad}")
+        announced = not new.isEmpty()
+        if announced:
             # Replays overwrite the same directory.
             new.write.mode("overwrite").parquet(
                 os.path.join(self.path, f"batch_id={batch_id}"))
@@ -56,35 +53,38 @@ class RelationTable:
             rels = spark.read.parquet(self.path).drop("batch_id")
         except AnalysisException:
             rels = new.limit(0)
-        if names or self.versions is None:
+        if announced or self.versions is None:
             self.versions = collect_versions(rels)
-            self.local = self.versions.collect() if self.versions is not None else None
         return rels
 
 
 def decode_batch(batch: DataFrame, batch_id: int, schema: StructType,
                  relations: RelationTable, table: str | None = None,
-                 keys: list[str] | None = None) -> DataFrame:
+                 keys: list[str] | None = None, namespace: str | None = None) -> DataFrame:
     """Decode one micro-batch against every relation seen so far."""
     rels = relations.update(batch, batch_id)
     return decode_messages(batch, schema, table=table, keys=keys, relations=rels,
-                           versions=relations.versions,
-                           local_versions=relations.local)
+                           versions=relations.versions, namespace=namespace)
 
 
 def replicate_messages(feed: DataFrame, target, keys: list[str],
                        schema: StructType, table: str | None = None,
                        relations_path: str | None = None,
-                       tables: list[str] | None = None, **kwargs
-                       ) -> StreamingQuery:
+                       tables: list[str] | None = None,
+                       namespace: str | None = None, **kwargs) -> StreamingQuery:
     """``feed``: a stream of (system_id, _seq, _lsn, payload) rows.
-    ``table``: the relation whose rows go to ``target``; ``tables``: every
-    table the feed may name (others fail the batch)."""
-    relations_path = relations_path or os.path.join(target.path, "relations")
+    ``table`` (and ``namespace``): the relation whose rows go to ``target``;
+    ``tables``: every table the feed may name, as ``name`` or
+    ``namespace.name`` (others fail the batch). ``relations_path``: where
+    relation messages are kept; by default beside a file target, or below
+    the stream's checkpoint."""
+    checkpoint = kwargs.pop("checkpoint", None) or scratch_path(feed.sparkSession, "streams")
+    relations_path = relations_path or os.path.join(
+        getattr(target, "path", checkpoint), "relations")
     if tables is None and table is not None:
-        tables = [table]
+        tables = [f"{namespace}.{table}" if namespace else table]
     rel_table = RelationTable(relations_path, tables)
     return replicate(
-        feed, target, keys, schema=schema,
-        transform=lambda b, i: decode_batch(b, i, schema, rel_table, table, keys),
+        feed, target, keys, schema=schema, checkpoint=checkpoint,
+        transform=lambda b, i: decode_batch(b, i, schema, rel_table, table, keys, namespace),
         **kwargs)

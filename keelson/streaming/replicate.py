@@ -6,12 +6,14 @@
 * T2: buffered flush - ``trigger={'processingTime': '120 seconds'}`` plus a
   size bound on the source (``maxBytesPerTrigger``/``maxFilesPerTrigger``);
   ``{'availableNow': True}`` drains what has landed and stops.
-* T3: direct flush - the default trigger, and ``direct=True`` folds every
-  batch into the base at once instead of staging it.
+* T3: direct flush - ``direct=True`` uses the default trigger: a batch is
+  visible as soon as it has landed. It is staged like any other; the table
+  is never rewritten for a batch.
 * T4: staged logs - the file target's per-batch log directories.
-* T5: resume - the checkpoint holds source offsets; the target's ledger
-  holds what was applied. A restarted query replays at most the last
-  batch, whose write is idempotent per ``batch_id``.
+* T5: resume - the checkpoint holds source offsets. A restarted query
+  replays at most the last batch, whose write is idempotent per stream and
+  batch. A fresh checkpoint is another stream: its batches have names of
+  their own and are applied by position like all others.
 * T6: snapshot once - ``seed`` writes generation 0 only if the ledger has
   no snapshot.
 * T7: source identity - each batch's ``system_id`` must equal the one
@@ -20,6 +22,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -95,6 +98,7 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
     spark = feed.sparkSession
     schema = schema or getattr(target, "schema", None)
     checkpoint = checkpoint or scratch_path(spark, "streams")
+    run = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         # A transform reads the batch more than once (relations, rows):
@@ -113,12 +117,12 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
             if schema is not None:
                 rows = prepare_batch(rows, schema, keys, required_mode, cast_mode,
                                      rejects_path, batch_id)
-            target.write_batch(rows, batch_id, system_id=sys_id)
+            target.write_batch(rows, batch_id, system_id=sys_id, run=run)
         finally:
             if transform is not None:
                 batch.unpersist()
         due = compact_every and (batch_id + 1) % compact_every == 0
-        if (direct or due) and hasattr(target, "compact"):
+        if due and hasattr(target, "compact"):
             target.compact()
 
     writer = (feed.writeStream.foreachBatch(apply_batch)

@@ -16,8 +16,8 @@ from test_stream import FEED, SCHEMA  # noqa: E402
 
 
 class Slow(FileTarget):
-    def write_batch(self, df, batch_id, system_id=None):
-        super().write_batch(df, batch_id, system_id)
+    def write_batch(self, df, batch_id, system_id=None, run="direct"):
+        super().write_batch(df, batch_id, system_id, run)
         time.sleep(1.5)
 
 

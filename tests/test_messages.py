@@ -115,14 +115,6 @@ def test_relation_fields(spark):
         (OID, "s", "t1", "d", ["id", "name"], ["id"])
 
 
-def test_interpreted_walk_matches_compiled(spark):
-    msgs = frame(spark, [rel(["id", "name", "salary"], ["id"]), ins([1, "x", 2.0]),
-                         upd([5, U, None], old=[1, None, None]), dele([5, None, None])])
-    a = parse_rows(msgs, None).select("_seq", "old", "new").collect()
-    b = parse_rows(msgs, 3).select("_seq", "old", "new").collect()
-    assert sorted(map(str, a)) == sorted(map(str, b))
-
-
 def test_wide_relation(spark):
     cols = [f"c{i}" for i in range(40)]
     schema = StructType([StructField(c, LongType()) for c in cols])

@@ -89,6 +89,10 @@ def test_shuffled_apply_matches(spark):
     ch = feed(5)
     base = spark.createDataFrame(BASE, SCHEMA)
     changes = spark.createDataFrame(ch, "_seq long, _op string, id long, v string")
-    got = sorted(map(tuple, apply_changes(base, changes, ["id"], once=False,
-                                          broadcast_rows=None).collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted(map(tuple, apply_changes(base, changes, ["id"], once=False).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert got == replay(BASE, ch)

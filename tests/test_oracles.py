@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from keelson.plans.queries import QUERIES
 
 SMOKE = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events "
@@ -35,7 +36,7 @@ def canon(cols, rows):
 def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"source_identity"}
+    assert {n for n in set(q) - set(o) if n in QUERIES} == {"source_identity"}
 
 
 def test_entry(spark):

@@ -79,22 +79,39 @@ def _executed(df) -> str:
     return plan(df)
 
 
-def test_change_side_broadcast_without_planner_estimates(spark):
-    """Even with the planner's size-based broadcast switched off, a proven
-    small change side is broadcast and the target is not shuffled."""
+def test_change_side_join_follows_its_bytes(spark):
+    """Staged, the change side has a known size: below the planner's byte
+    threshold it is broadcast and the target is not shuffled, above it the
+    join is shuffled."""
     from keelson.operators.apply import delete, insert_if_absent
+    base = feeds.employee_base(spark, SMOKE)
+    ch = feeds.employee_changes(spark, SMOKE)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        base = feeds.employee_base(spark, SMOKE)
-        ch = feeds.employee_changes(spark, SMOKE)
-        for df in (apply_changes(base, ch, ["id"]),
-                   delete(base, ch.where("_op = 'D'"), ["id"]),
-                   insert_if_absent(base, ch.select("id", "name", "salary"))):
-            p = _executed(df)
-            assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
-        # beyond the bound the join stays shuffled
-        p = _executed(apply_changes(base, ch, ["id"], broadcast_rows=10))
-        assert "SortMergeJoin" in p
+        for limit, wanted, unwanted in (("10m", "BroadcastHashJoin", "SortMergeJoin"),
+                                        ("-1", "SortMergeJoin", "BroadcastHashJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            for df in (apply_changes(base, ch, ["id"]),
+                       delete(base, ch.where("_op = 'D'"), ["id"])):
+                p = _executed(df)
+                assert wanted in p and unwanted not in p
+            # the target is only in the first of these two joins
+            p = _executed(insert_if_absent(base, ch.select("id", "name", "salary")))
+            assert wanted in p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_key_filter_reaches_base_and_log(spark, tmp):
+    from keelson.sinks.target import FileTarget
+    t = FileTarget(spark, tmp + "/t", ["id"], feeds.employee_base(spark, SMOKE).schema)
+    t.seed(feeds.employee_base(spark, SMOKE))
+    t.write_batch(feeds.employee_changes(spark, SMOKE), 0)
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = t.current().where("id = 2")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    scans = plan.split("FileScan")[1:]
+    assert scans and all("id,2" in x.split("ReadSchema")[0] for x in scans), scans

@@ -50,13 +50,12 @@ def test_tuple_walk_reads_any_tuple(spark, rows):
     msgs = [(i, bytearray(b"I" + struct.pack(">i", 7) + b"N" + _tuple(list(r))))
             for i, r in enumerate(rows)]
     df = spark.createDataFrame(msgs, "_seq long, payload binary")
-    for width in (None, 3):  # interpreted and compiled walks
-        got = {r._seq: (list(r.new.kinds), list(r.new.vals))
-               for r in parse_rows(df, width).collect()}
-        for i, cells in enumerate(rows):
-            kinds = ["n" if c is None else "u" if c == "u" else "t" for c in cells]
-            vals = [c[1] if isinstance(c, tuple) else None for c in cells]
-            assert got[i] == (kinds, vals)
+    got = {r._seq: (list(r.new.kinds), list(r.new.vals))
+           for r in parse_rows(df, 3).collect()}
+    for i, cells in enumerate(rows):
+        kinds = ["n" if c is None else "u" if c == "u" else "t" for c in cells]
+        vals = [c[1] if isinstance(c, tuple) else None for c in cells]
+        assert got[i] == (kinds, vals)
 
 
 def _rel(oid, cols, keys):
@@ -66,7 +65,7 @@ def _rel(oid, cols, keys):
     return out
 
 
-def test_relation_lookup_fallback_matches_broadcast(spark):
+def test_relation_lookup_shuffled_matches_broadcast(spark):
     msgs = []
     for v in range(6):  # six relation versions, rows in between
         msgs.append((v * 100, bytearray(_rel(1, ["a", "b"] if v % 2 else ["b", "a"], ["a"]))))
@@ -76,10 +75,15 @@ def test_relation_lookup_fallback_matches_broadcast(spark):
     df = spark.createDataFrame(msgs, StructType([StructField("_seq", LongType()),
                                                  StructField("payload", BinaryType())]))
     rows, rels = parse_rows(df, 2), parse_relations(df)
-    fast = relation_as_of(rows, rels).select("_seq", "_rel_seq", "cols")
-    slow = relation_as_of(rows, rels, max_broadcast=2).select("_seq", "_rel_seq", "cols")
-    a = sorted(map(str, fast.collect()))
-    assert a == sorted(map(str, slow.collect()))
+    look = lambda: sorted(map(str, relation_as_of(rows, rels)
+                              .select("_seq", "_rel_seq", "cols").collect()))
+    a = look()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert a == look()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert all("_rel_seq=None" not in x for x in a)
 
 

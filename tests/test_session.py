@@ -11,9 +11,7 @@ def test_shared_dir_reads_the_session(spark):
     assert scratch_path(spark, "x") != p        # fresh per call
 
 
-def test_spread_only_under_split_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
+def test_spread_moves_rows_only_when_told(spark):
     one = spark.range(0, 1000, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(0, 1000, numPartitions=cores)
-    assert spread(many).rdd.getNumPartitions() == cores
+    assert spread(one).rdd.getNumPartitions() == 1
+    assert spread(one, 5).rdd.getNumPartitions() == 5
