@@ -230,8 +230,9 @@ class FileTarget:
         # Base rows with no newer change survive.
         kept = b.join(n, match & (F.col("n._seq") > F.col("b._seq")), "left_anti")
         # Changes older than the base row for their key are stale.
+        # (Keys are taken from the base side, so a key filter reaches its scan.)
         stale = (b.join(n, match & (F.col("b._seq") >= F.col("n._seq")), "inner")
-                 .select(*[F.col(f"n.{k}").alias(k) for k in self.keys]).distinct())
+                 .select(*[F.col(f"b.{k}").alias(k) for k in self.keys]).distinct())
         fresh = net.join(stale, self.keys, "left_anti")
         changed = fresh.select(*[F.col(c) for c in self.columns], SEQ,
                                (F.col(OP) == DELETE).alias("_deleted"))
