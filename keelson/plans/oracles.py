@@ -52,6 +52,13 @@ UNION ALL
 SELECT id, name, salary FROM base b
 WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.id = b.id)"""
 
+ALL_CHANGES = f"""WITH {CH}
+SELECT seq AS _seq, op AS _op, id, name, salary FROM ch"""
+
+LABELLED = """lab AS (
+  SELECT doc_id, CASE WHEN quality IS NOT NULL OR n_chars > 1000 THEN lang END AS lang,
+         quality, toxic FROM documents LEFT JOIN labels USING (doc_id))"""
+
 # COPY text escaping of one value, as SQL (backslash first, then controls,
 # then the delimiter; NULL as \\N).
 def _copy(col: str) -> str:
@@ -117,13 +124,28 @@ SELECT id, name, salary FROM touched"""
 ORACLES: dict[str, str] = {
     "snapshot_scan": "SELECT * FROM orders",
 
-    "feed_scan": f"""WITH {CH}
-SELECT op AS _op, COUNT(*) AS n FROM ch GROUP BY op""",
+    "feed_scan": ALL_CHANGES,
+    "feed_stream": ALL_CHANGES,
 
     "route_by_op": f"""WITH {CH}
 SELECT CASE WHEN op = 'D' THEN 'delete' ELSE 'append' END AS side,
-       op AS _op, COUNT(*) AS n
-FROM ch WHERE op IN ('I', 'U', 'D') GROUP BY 1, 2""",
+       seq AS _seq, op AS _op, id, name, salary
+FROM ch WHERE op IN ('I', 'U', 'D')""",
+
+    "clock_parse": """SELECT event_id,
+  CAST(epoch_us(ts) - 946684800000000 AS BIGINT) AS clock, ts FROM events""",
+
+    "positional_names": "SELECT * FROM customer",
+
+    "file_sink_deletes": f"""WITH {CH}
+SELECT seq AS _seq, op AS _op, id, CASE WHEN op <> 'D' THEN name END AS name,
+       CASE WHEN op <> 'D' THEN salary END AS salary FROM ch""",
+
+    "file_sink_text": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+
+    "stream_new_checkpoint": APPLY_IN_ORDER,
+
+    "snapshot_once": f"""WITH {BASE} SELECT id, name, salary, FALSE AS seeded_again FROM base""",
 
     "read_from_position": f"""WITH {CH}
 SELECT seq AS _seq, op AS _op, id, name, salary FROM ch
@@ -158,14 +180,14 @@ FROM events""",
     "route_by_table": f"""WITH {CH}
 SELECT 'employee' AS _table, seq AS _seq, op AS _op FROM ch""",
 
-    "required_any": f"""WITH {CH}, {DEC}
-SELECT * FROM dec WHERE name IS NOT NULL OR salary IS NOT NULL""",
+    "required_any": f"""WITH {LABELLED}
+SELECT * FROM lab WHERE lang IS NOT NULL OR quality IS NOT NULL""",
 
-    "required_all": f"""WITH {CH}, {DEC}
-SELECT * FROM dec WHERE name IS NOT NULL AND salary IS NOT NULL""",
+    "required_all": f"""WITH {LABELLED}
+SELECT * FROM lab WHERE lang IS NOT NULL AND quality IS NOT NULL""",
 
-    "required_default_keys": f"""WITH {CH}, {DEC}
-SELECT * FROM dec WHERE id IS NOT NULL AND name IS NOT NULL""",
+    "required_default_keys": f"""WITH {LABELLED}
+SELECT * FROM lab WHERE doc_id IS NOT NULL AND quality IS NOT NULL""",
 
     "latest_change_per_key": f"""WITH {CH}, {LATEST}
 SELECT seq AS _seq, op AS _op, id, name, salary FROM latest""",
@@ -295,8 +317,9 @@ WHERE name = 'purchase'""",
     "select_where_limit": """SELECT * FROM orders WHERE o_orderstatus = 'O'
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""",
 
-    "insert_from_range": """SELECT i - 1001 AS id, i AS k
-FROM generate_series(1002, 1002 + (SELECT COUNT(*) FROM customer) - 1) t(i)""",
+    "insert_from_range": """SELECT l_orderkey AS id,
+  unnest(generate_series(1::BIGINT, max(l_linenumber)::BIGINT)) AS k
+FROM lineitem GROUP BY l_orderkey""",
 
     "render_rows": """SELECT CAST(c_custkey AS VARCHAR) || '|' || c_name || '|'
        || c_mktsegment AS line FROM customer""",

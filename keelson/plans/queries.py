@@ -14,7 +14,8 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField,
                                StructType)
 
 from ..functions.copytext import encode_line
-from ..functions.positions import format_position, parse_position
+from ..functions.positions import (clock_to_timestamp, format_position,
+                                   parse_position, timestamp_to_clock)
 from ..functions.render import render_row
 from ..operators import apply as A
 from ..operators import rows as R
@@ -26,6 +27,7 @@ from ..operators.partitioning import spread
 from ..operators.unchanged import apply_with_unchanged
 from ..session import scratch_path
 from ..sinks.target import CsvTarget, FileTarget
+from ..sources.feed import read_feed, stream_feed
 from ..sources.messages import (collect_versions, decode_messages,
                                 parse_relations, parse_rows, relation_as_of)
 from ..sources.snapshot import (copy_lines_to_rows, read_snapshot, to_copy_lines,
@@ -81,25 +83,43 @@ def snapshot_scan(spark, sf):
     return read_snapshot(spark, os.path.join(sf, "orders.parquet"))
 
 
+def _read_landed(spark, sf, after=None) -> DataFrame:
+    """The feed as landed files, through the batch reader."""
+    path = scratch_path(spark, "feed")
+    _ch(spark, sf).write.parquet(path)
+    return read_feed(spark, path, FEED_SCHEMA, after=after)
+
+
 def feed_scan(spark, sf):
-    return (_ch(spark, sf).groupBy("_op")
-            .agg(F.count(F.lit(1)).alias("n")))
+    return _read_landed(spark, sf).select(*CHANGE_COLS)
+
+
+def feed_stream(spark, sf):
+    """S3 as a stream: everything that has landed, appended to a table."""
+    out = scratch_path(spark, "feed_copy")
+    feed = stream_feed(spark, _landed_feed(spark, sf), FEED_SCHEMA, max_files=3)
+    q = (feed.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema(FEED_SCHEMA).parquet(out).select(*CHANGE_COLS)
 
 
 def route_by_op_q(spark, sf):
-    appends, deletes = route_by_op(_ch(spark, sf))
-    a = appends.groupBy("_op").agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("side", F.lit("append"))
-    d = deletes.groupBy("_op").agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("side", F.lit("delete"))
-    return a.unionByName(d).select("side", "_op", "n")
+    appends, deletes = route_by_op(_read_landed(spark, sf))
+    return (appends.withColumn("side", F.lit("append"))
+            .unionByName(deletes.withColumn("side", F.lit("delete")))
+            .select("side", *CHANGE_COLS))
 
 
 def read_from_position_q(spark, sf):
-    ch = _ch(spark, sf)
     pos = table(spark, sf, "events").select(
         F.floor(F.max("event_id") / 2).cast("bigint")).scalar()
-    return read_from_position(ch, pos).select(*CHANGE_COLS)
+    whole = read_from_position(_ch(spark, sf), pos).select(*CHANGE_COLS)
+    landed = _read_landed(spark, sf, after=pos).select(*CHANGE_COLS)
+    return whole.intersectAll(landed)
 
 
 def copy_text_decode(spark, sf):
@@ -142,6 +162,22 @@ def lsn_parse(spark, sf):
                     parse_position(F.col("lsn_text")).alias("lsn"))
 
 
+def clock_parse(spark, sf):
+    """The feed's clock (microseconds since 2000) there and back."""
+    clock = timestamp_to_clock(F.col("ts").cast("timestamp"))
+    ev = table(spark, sf, "events").select("event_id", clock.alias("clock"))
+    return ev.select("event_id", "clock",
+                     clock_to_timestamp(F.col("clock")).cast("timestamp_ntz").alias("ts"))
+
+
+def positional_names_q(spark, sf):
+    """A dump without names takes the target's, in order."""
+    cu, lines = _customer_text(spark, sf)
+    plain = lines.select(F.split("value", ",").alias("v")).select(
+        *[F.get("v", F.lit(i)).alias(f"_c{i}") for i in range(len(cu.columns))])
+    return R.conform(R.positional_names(plain, cu.schema), cu.schema, mode="strict")
+
+
 def _customer_text(spark, sf):
     cu = table(spark, sf, "customer")
     return cu, cu.select(F.concat_ws(",", *[F.col(c).cast("string")
@@ -167,18 +203,27 @@ def route_by_table_q(spark, sf):
     return routed["employee"]
 
 
+def _labelled(spark, sf):
+    """Documents with their labels, NULL where there are none; the language
+    is known for documents that are labelled or long."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    both = docs.join(table(spark, sf, "labels"), "doc_id", "left")
+    lang = F.when(F.col("quality").isNotNull() | (F.col("n_chars") > 1000), F.col("lang"))
+    return both.select("doc_id", lang.alias("lang"), "quality", "toxic")
+
+
 def required_any(spark, sf):
-    return _decoded_out(R.require(_decoded(spark, sf), ["name", "salary"], "any"))
+    return R.require(_labelled(spark, sf), ["lang", "quality"], "any")
 
 
 def required_all(spark, sf):
-    return _decoded_out(R.require(_decoded(spark, sf), ["name", "salary"], "all"))
+    return R.require(_labelled(spark, sf), ["lang", "quality"], "all")
 
 
 def required_default_keys(spark, sf):
     # No NOT NULL field in this schema, so the key fields are required.
-    req = R.required_fields(EMPLOYEE, keys=["id", "name"])
-    return _decoded_out(R.require(_decoded(spark, sf), req, "all"))
+    rows = _labelled(spark, sf)
+    return R.require(rows, R.required_fields(rows.schema, keys=["doc_id", "quality"]), "all")
 
 
 # -- net change and apply ------------------------------------------------------
@@ -293,6 +338,22 @@ def file_sink_rows(spark, sf):
                                    StructField("name", StringType())]))
 
 
+def file_sink_deletes(spark, sf):
+    """K2: deletes go to the file sink as their key only."""
+    ch = _ch(spark, sf).select("_seq", "_op", "id", "name", "salary")
+    target = CsvTarget(spark, scratch_path(spark, "csv_sink"), keys=EMPLOYEE_KEYS)
+    target.write_batch(ch)
+    return target.read(StructType([f for f in FEED_SCHEMA.fields if f.name != "_sub"]))
+
+
+def file_sink_text(spark, sf):
+    """K1 with any text: commas, quotes, line feeds, empty values."""
+    docs = table(spark, sf, "documents")
+    target = CsvTarget(spark, scratch_path(spark, "csv_sink"))
+    target.write_batch(docs)
+    return target.read(docs.schema)
+
+
 def stream_csv_sink(spark, sf):
     """K1 in a stream: the landed feed appended to CSV through the file
     sink, whose own log makes a replayed micro-batch write once."""
@@ -406,6 +467,28 @@ def stream_resume(spark, sf):
     return t.current()
 
 
+def stream_new_checkpoint(spark, sf):
+    """Half the feed through one stream, a compaction, then the rest through
+    another stream with a checkpoint of its own."""
+    ch = _ch(spark, sf)
+    half = F.floor(F.lit(_max_seq(spark, sf)) / 2)
+    t = _seeded_target(spark, sf)
+    for cond in (F.col("_seq") <= half, F.col("_seq") > half):
+        path = scratch_path(spark, "feed")
+        ch.where(cond).write.parquet(path)
+        run_available(_stream(spark, path), t, EMPLOYEE_KEYS,
+                      checkpoint=scratch_path(spark, "ckpt"))
+        t.compact()
+    return t.current()
+
+
+def snapshot_once(spark, sf):
+    """A second snapshot of a seeded target changes nothing."""
+    t = _seeded_target(spark, sf)
+    again = t.seed(_base(spark, sf).withColumn("salary", F.lit(0.0)))
+    return t.current().withColumn("seeded_again", F.lit(again))
+
+
 def stream_decode_apply(spark, sf):
     """Captured messages landed as STREAM_FILES files in position order,
     streamed one file per batch through decode into a file target seeded
@@ -458,15 +541,16 @@ def select_where_limit(spark, sf):
 
 
 def insert_from_range(spark, sf):
-    """CREATE TABLE, then INSERT a generated series as long as ``customer``."""
-    n = table(spark, sf, "customer").select(F.count(F.lit(1))).first()[0]
+    """CREATE TABLE, then INSERT a generated series for every order: the
+    numbers 1 to its last line."""
+    last = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.max("l_linenumber").alias("n"))
     loc = scratch_path(spark, "tables")
     name = f"foo_{os.path.basename(loc)}"
     spark.sql(f"CREATE TABLE {name} (id BIGINT, k BIGINT) USING parquet "
               f"LOCATION '{loc}'")
-    start = 1002
-    series = spark.range(start, start + n).select(
-        (F.col("id") - start + 1).alias("id"), F.col("id").alias("k"))
+    series = last.select(F.col("l_orderkey").alias("id"), F.explode(
+        F.sequence(F.lit(1).cast("bigint"), F.col("n").cast("bigint"))).alias("k"))
     series.write.insertInto(name)
     return spark.table(name)
 
@@ -480,6 +564,13 @@ def render_rows(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_scan": snapshot_scan,
     "feed_scan": feed_scan,
+    "feed_stream": feed_stream,
+    "clock_parse": clock_parse,
+    "positional_names": positional_names_q,
+    "file_sink_deletes": file_sink_deletes,
+    "file_sink_text": file_sink_text,
+    "stream_new_checkpoint": stream_new_checkpoint,
+    "snapshot_once": snapshot_once,
     "route_by_op": route_by_op_q,
     "read_from_position": read_from_position_q,
     "copy_text_decode": copy_text_decode,
