@@ -31,6 +31,7 @@ MIN_WORDS = 10
 REPEAT_SHARE = 20  # per cent
 WINDOW = 5
 SLICE = 4 << 20
+TRAIN_SLICE = 1 << 20
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -84,20 +85,25 @@ def train(rows: list, *, rounds: int = 100, rate: float = 0.5, decay: float = 1e
     y = np.array([r.label for r in rows], np.float64)
     if len(set(y.tolist())) < 2:
         return QualityModel(np.zeros(3 << BITS, np.float32), 0.0, 0.0, 30.0)
-    t = Texts(pa.array([r.text for r in rows], pa.large_string()))
-    doc, slot, value = [], [], []
-    for s, first in _features(t, t.words()):
-        size = np.diff(first)
-        d = np.repeat(np.arange(t.n), size)
-        key, count = np.unique(d.astype(np.int64) << 32 | s, return_counts=True)
-        doc.append(key >> 32)
-        slot.append(key & 0xFFFFFFFF)
-        value.append(count / size[key >> 32])
+    doc, slot, value, done = [], [], [], 0
+    texts = pa.RecordBatch.from_arrays([pa.array([r.text for r in rows], pa.large_string())],
+                                       names=["text"])
+    for b in slices([texts], most=TRAIN_SLICE):
+        t = Texts(b.column(0))
+        for s, first in _features(t, t.words()):
+            size = np.diff(first)
+            d = np.repeat(np.arange(t.n), size)
+            key, count = np.unique(d.astype(np.int64) << 32 | s, return_counts=True)
+            doc.append((done + (key >> 32)).astype(np.int32))
+            slot.append((key & 0xFFFFFFFF).astype(np.int32))
+            value.append((count / size[key >> 32]).astype(np.float32))
+        done += t.n
     doc, slot, value = map(np.concatenate, (doc, slot, value))
     fit = np.arange(len(y)) % 5 != 0
     used = fit[doc]
     d, s, v = doc[used], slot[used], value[used]
     names, s = np.unique(s, return_inverse=True)
+    s = s.astype(np.int32)
     w, b = np.zeros(len(names)), float(np.log((y[fit].mean() + 1e-3) / (1 - y[fit].mean() + 1e-3)))
     m, u = np.zeros(len(w)), np.zeros(len(w))
     for k in range(1, rounds + 1):

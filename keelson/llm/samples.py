@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import id_text
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 3000
 SAMPLE_BYTES = 48 << 20
 
 
