@@ -39,6 +39,7 @@ from keelson.llm.common import id_text, persisted, scratch, slices
 MAGIC = b"KWM1"
 BLOCK_BITS = 1 << 18
 SHARD_TOKENS = 8_000_000
+SLICE = 4 << 20
 MANIFEST = "part int, sub int, path string, n_docs long, n_tokens long"
 
 
@@ -266,9 +267,10 @@ def write_shards(docs: DataFrame, facts: BpeFile, folder: str, *, end_id: int |
             sub, rows, names, held = sub + 1, [], [], 0
             return out
 
-        for b in slices(batches):
-            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = enc.encode(t) + tail
+        for b in slices(batches, most=SLICE):
+            for i, ids in zip(b.column("doc_id").to_pylist(),
+                              enc.encode_many(b.column("text").to_pylist())):
+                ids += tail
                 if rows and held + len(ids) // 4 > shard_tokens:
                     yield close()
                 rows.append(ids)
