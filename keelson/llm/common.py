@@ -45,11 +45,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def persisted(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: computed once, no lineage."""
+#: Rows of an Arrow batch while a table is written for the operators.
+BATCH_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def persisted(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS,
+              narrow: int = 1) -> DataFrame:
+    """Write to the shared folder and read back: computed once, no lineage.
+
+    ``narrow``: the last stage gets one task for so many shuffle partitions.
+
+    Python stages of the write get batches of at most ``batch_rows`` rows, so
+    rows that carry whole texts do not pile up in a task's memory.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    if narrow > 1:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.coalesce(max(1, parts // narrow))
+    before = spark.conf.get(_ROWS)
+    spark.conf.set(_ROWS, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,8 +7,10 @@ against the bucket's members of other classes. Tested leaders leave the
 bucket, and a bucket is done when its members are all of one class. So at the
 end any two nodes of a bucket either were tested or are in the same class
 already: no link between classes is lost, and a bucket of n similar nodes
-costs n - 1 tests instead of n * (n - 1) / 2. The number of leaders doubles
-each round, which bounds the rounds by the logarithm of the largest bucket.
+costs about n tests for each first leader instead of n * (n - 1) / 2. The
+number of leaders grows by ``GROWTH`` each round, which bounds the rounds by
+the logarithm of the largest bucket. How many there are at first trades tests
+for rounds and changes no result.
 
 Everything is a DataFrame; rounds are cut by tables in the shared folder.
 """
@@ -24,6 +26,10 @@ from pyspark.sql import functions as F
 from keelson.llm.common import persisted
 
 SIEVE_BITS = 22
+GROWTH = 4
+#: Tables of the rounds are far narrower than documents, so they are written by
+#: one task for so many shuffle partitions.
+NARROW = 8
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,59 +40,71 @@ def components(edges: DataFrame) -> DataFrame:
     """
     cur = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")) \
         .where("u <> v").distinct()
-    mark = None
+    mark, of_u = None, Window.partitionBy("u")
     while True:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = (both.join(least, "u").where("v > u")
-                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u")
+        large = (both.withColumn("m", F.least(F.min("v").over(of_u), "u")).where("v > u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        small = (large.withColumn("m", F.min("v").over(of_u))
                  .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
                          .alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
-        cur = persisted(small, "components")
+        cur = persisted(small, "components", narrow=NARROW)
         now = cur.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == mark or not now[0]:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = now
 
 
-def linked_classes(rows: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def shared(rows: DataFrame) -> DataFrame:
+    """The distinct (key, node) rows whose key has several nodes."""
+    ends = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    rows = rows.join(ends.where("lo <> hi").select("key"), "key", "left_semi").distinct()
+    return persisted(rows, "shared")
+
+
+def linked_classes(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                   leaders: int = 2, near: Callable[[str, str], Column] | None = None
+                   ) -> DataFrame:
     """(node, root) of the nodes that are not their class's least node.
 
-    ``rows``: key, node (long). ``verify`` gets a DataFrame of pairs (a, b)
-    with a < b and returns those that are linked.
+    ``rows``: key, node (long), distinct (``shared``). ``verify`` gets a DataFrame of pairs (a, b)
+    with a < b and returns those that are linked. ``leaders``: of each bucket
+    in the first round. ``near``: a necessary condition of a link, on more
+    columns of ``rows`` (it gets the aliases of the two sides); pairs that fail
+    it are settled inside the join and never made.
     """
-    ends = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    rows = rows.join(ends.where("lo <> hi").select("key"), "key", "left_semi").distinct()
-    rows = persisted(rows.select("key", "node", F.col("node").alias("class")), "buckets")
-    edges = roots = tested = None
-    leaders = 1
+    more = [c for c in rows.columns if c not in ("key", "node")]
+    rows = persisted(rows.select("key", "node", F.col("node").alias("class"), *more), "buckets")
+    roots = tested = None
     while not rows.isEmpty():
-        size = rows.groupBy("key", "class").agg(F.count("*").alias("size"))
-        sized = rows.join(size, ["key", "class"])
-        order = Window.partitionBy("key").orderBy("size", "class", "node")
+        sized = rows.withColumn("class_size", F.count("*").over(
+            Window.partitionBy("key", "class")) if tested is not None else F.lit(1))
+        order = Window.partitionBy("key").orderBy("class_size", "class", "node")
         lead = (sized.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders)
-                .select("key", F.col("node").alias("lead"), F.col("class").alias("lead_class")))
-        lead = persisted(lead, "leaders")
-        pairs = (rows.join(lead, "key").where("class <> lead_class")
+                .select("key", F.col("node").alias("lead"), F.col("class").alias("lead_class"), *more))
+        lead = persisted(lead, "leaders", narrow=NARROW)
+        meet = (F.col("r.key") == F.col("l.key")) & (F.col("class") != F.col("lead_class"))
+        if near is not None:
+            meet = meet & near("r", "l")
+        pairs = (rows.alias("r").join(lead.alias("l"), meet)
                  .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
                  .distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = persisted(pairs, "pairs")
+        pairs = persisted(pairs, "pairs", narrow=NARROW)
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = persisted(verify(pairs), "links")
-        edges = found if edges is None else edges.unionByName(found)
+        edges = found if roots is None else found.unionByName(
+            roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
         roots = components(edges)
         left = rows.join(lead.select("key", F.col("lead").alias("node")), ["key", "node"],
                          "left_anti").drop("class").join(roots, "node", "left")
-        left = left.select("key", "node", F.coalesce("root", "node").alias("class"))
+        left = left.select("key", "node", F.coalesce("root", "node").alias("class"), *more)
         open_ = left.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
         rows = persisted(left.join(open_.where("lo <> hi").select("key"), "key", "left_semi"),
-                         "buckets")
-        leaders *= 2
+                         "buckets", narrow=NARROW)
+        leaders *= GROWTH
     if roots is None:
         return rows.select("node", F.col("class").alias("root"))
     return roots

@@ -9,8 +9,9 @@ the index with the few substrings that can match, for each length from its own
 down to LIMIT less. Entries travel as packed arrays, one for each bucket and
 slice; a bucket keeps only keys that join different lines.
 
-Such keys are the buckets of ``linked_classes``; pairs are verified by a banded
-bit-parallel edit distance. A class of lines is a connected component of the
+Such keys are the buckets of ``linked_classes``; parities of characters and
+character pairs rule out most pairs inside its joins (they cannot rule out a
+linked pair), and the rest are verified by a banded bit-parallel edit distance. A class of lines is a connected component of the
 links (equal lines are one node). Of each class the first line in the order
 (doc_id, line number) stays, all others go.
 
@@ -39,6 +40,8 @@ LEAST = 24
 SLICE = 4 << 20
 FLUSH = 24 << 20
 BUCKETS_PER_PARTITION = 2
+#: Lines are cheap to compare, so few rounds are worth more than few tests.
+LEADERS = 16
 
 
 class Lines:
@@ -63,6 +66,17 @@ class Lines:
     def long(self, least: int) -> np.ndarray:
         return np.flatnonzero(self.end - self.start >= least)
 
+    def parities(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parity bits of the characters and of the character pairs of lines."""
+        p, one = self.points.astype(np.uint64), np.uint64(1)
+        out = []
+        for size, code in ((1, p), (2, p[:-1] * np.uint64(0x9E3779B1) + p[1:])):
+            acc = np.zeros(len(code) + 1, np.uint64)
+            np.bitwise_xor.accumulate(one << (mix(code + one) & np.uint64(63)), out=acc[1:])
+            first = np.minimum(self.start[at], len(code))
+            out.append(acc[np.maximum(self.end[at] - size + 1, first)] ^ acc[first])
+        return out[0], out[1]
+
     def text(self, i: int) -> str:
         return self.points[self.start[i]:self.end[i]].tobytes().decode("utf-32-le",
                                                                        "surrogatepass")
@@ -231,11 +245,10 @@ def _distinct(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return key[new], node[new]
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, limit: int, least: int) -> DataFrame:
-    """The pairs (a, b) of line hashes whose lines are linked."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(
-        pairs.select(F.col("b").alias("node"))).distinct()
-    nodes = persisted(nodes, "nodes")
+def _texts(docs: DataFrame, rows: DataFrame, least: int) -> DataFrame:
+    """(node, line, chars, pairs) of the lines in ``rows``. The last two hold a
+    parity bit for each of 64 classes of characters and of character pairs."""
+    nodes = persisted(rows.select("node").distinct(), "nodes")
     flags = groups.sieve(nodes, hashed=True)
 
     def fetch(batches):
@@ -245,13 +258,29 @@ def _verified(docs: DataFrame, pairs: DataFrame, limit: int, least: int) -> Data
             node = lines.hash(lines.start[at], lines.end[at])
             node, one = np.unique(node, return_index=True)
             keep = flags[(node & np.uint64(len(flags) - 1)).astype(np.int64)]
+            at = at[one[keep]]
+            chars, pairs = lines.parities(at)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[keep].view(np.int64)),
-                 pa.array([lines.text(i) for i in at[one[keep]]], pa.string())],
-                names=["node", "line"])
+                 pa.array([lines.text(i) for i in at], pa.string()),
+                 pa.array(chars.view(np.int64)), pa.array(pairs.view(np.int64))],
+                names=["node", "line", "chars", "pairs"])
+
+    return persisted(docs.mapInArrow(fetch, "node long, line string, chars long, pairs long")
+                     .join(nodes, "node", "left_semi").dropDuplicates(["node"]), "lines")
+
 
-    texts = persisted(docs.mapInArrow(fetch, "node long, line string")
-                      .join(nodes, "node", "left_semi").dropDuplicates(["node"]), "lines")
+def _near(limit: int):
+    """What every linked pair fulfils: an edit changes at most 2 characters and
+    4 character pairs, so at most that many parity bits."""
+    def condition(a: str, b: str):
+        apart = lambda c: F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")))
+        return (apart("chars") <= 2 * limit) & (apart("pairs") <= 4 * limit)
+    return condition
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
+    """The pairs (a, b) of line hashes whose lines are linked."""
     joined = (pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a")
               .join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
               .select("a", "b", "x", "y"))
@@ -281,9 +310,11 @@ def repeats(docs: DataFrame, *, limit: int = LIMIT, least: int = LEAST) -> DataF
                  pa.array(node.view(np.int64))], names=["doc_id", "line", "node"])
 
     places = persisted(known.mapInArrow(place, "doc_id long, line int, node long"), "places")
+    rows = persisted(_candidates(known, limit, least), "candidates")
+    texts = _texts(known, rows, least)
     roots = groups.linked_classes(
-        _candidates(known, limit, least),
-        lambda pairs: _verified(known, pairs, limit, least))
+        rows.join(texts.select("node", "chars", "pairs"), "node"),
+        lambda pairs: _verified(pairs, texts, limit), leaders=LEADERS, near=_near(limit))
     at = F.struct("doc_id", "line")
     firsts = places.groupBy("node").agg(F.min(at).alias("own"), F.count("*").alias("n"))
     firsts = persisted(firsts.join(roots, "node", "left")
