@@ -222,4 +222,5 @@ def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD,
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no leaked passage, with all columns."""
     leaked = find(docs, benchmark, threshold=threshold).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    # grows with the corpus, so it is never broadcast
+    return docs.join(leaked.hint("merge"), "doc_id", "left_anti").select(*docs.columns)

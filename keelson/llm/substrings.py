@@ -262,7 +262,8 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, group: int = GROUP)
     flags = persisted(repeated_windows(docs, window=window, group=group), "repeated-windows")
     ranges = (flags.groupBy(F.col("doc_id").alias("other"))
               .agg(F.collect_list(F.struct("first", "count")).alias("ranges")))
-    joined = (id_text(docs).join(ranges, F.col("doc_id") == F.col("other"), "left")
+    # grows with the corpus, so it is never broadcast
+    joined = (id_text(docs).join(ranges.hint("merge"), F.col("doc_id") == F.col("other"), "left")
               .select("doc_id", "text", "ranges"))
 
     def run(batches):
