@@ -12,7 +12,9 @@ weights are equal.
 Equal texts are one node from the start (128 bits of hash). ``BANDS`` bands of
 ``SIZE / BANDS`` components make the candidate buckets; ``linked_classes``
 tests them, by the exact Jaccard similarity of the shingle sets against
-``THRESHOLD``, without ever listing all pairs of a bucket. Classes are the
+``THRESHOLD``, without ever listing all pairs of a bucket; parity bits of the
+sets settle most dissimilar pairs inside its joins (they cannot rule out a
+similar one). Classes are the
 connected components of the links; a class's id is its least doc_id.
 
 Texts of 1 to 4 words have one shingle, all their words; texts without a word
@@ -37,7 +39,10 @@ SHINGLE = 5
 SIZE = 64
 BANDS = 16
 THRESHOLD = 0.8
-SLICE = 4 << 20
+#: Longs of parity bits for each text.
+PARITY = 16
+PARITIES = [f"p{k}" for k in range(PARITY)]
+SLICE = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,14 +73,14 @@ def prob_minhash(text: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int,
     time = np.full(n * size, np.inf)
     value = np.zeros(n * size, np.uint64)
     at = np.zeros(len(key))
+    latest = np.full(n, np.inf)
     turn = 0
     while len(key):
         turn += 1
         g = mix(key + np.uint64(turn * int(_STEP) % (1 << 64)))
         at = at - np.log(((g >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / weight
-        if turn > 1:
-            live = at < latest[text]  # noqa: F821 - set in the round before
-            text, key, weight, at, g = text[live], key[live], weight[live], at[live], g[live]
+        live = at < latest[text]
+        text, key, weight, at, g = text[live], key[live], weight[live], at[live], g[live]
         cell = text * size + (g % np.uint64(size)).astype(np.int64)
         np.minimum.at(time, cell, at)
         won = time[cell] == at
@@ -94,7 +99,9 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, h1, h2, bands): the two hashes name the text."""
+    """(doc_id, h1, h2, bands, size, p0 ...): the two hashes name the text;
+    ``size`` counts its distinct shingles, and the p columns hold the parity of
+    its shingles in each of ``64 * PARITY`` classes."""
     source = docs.select("doc_id", F.xxhash64("text").alias("h1"),
                          F.xxhash64(F.lit(1), "text").alias("h2"), "text")
 
@@ -104,15 +111,41 @@ def _signatures(docs: DataFrame) -> DataFrame:
             text, key, weight = shingles(t)
             bands = band_keys(prob_minhash(text, key, weight.astype(np.float64), t.n))
             bands = bands.view(np.int64)
+            odd = parities(text, key, t.n)
             some = np.diff(t.first) > 0
             size = np.where(some, BANDS, 0)
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[some].ravel()))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("h1"), b.column("h2"), lists],
-                names=["doc_id", "h1", "h2", "bands"])
+                [b.column("doc_id"), b.column("h1"), b.column("h2"), lists,
+                 pa.array(np.bincount(text, minlength=t.n)),
+                 *[pa.array(odd[:, k]) for k in range(PARITY)]],
+                names=["doc_id", "h1", "h2", "bands", "size", *PARITIES])
 
-    return source.mapInArrow(run, "doc_id long, h1 long, h2 long, bands array<long>")
+    return source.mapInArrow(run, "doc_id long, h1 long, h2 long, bands array<long>, size long, "
+                             + ", ".join(f"{p} long" for p in PARITIES))
+
+
+def parities(text: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
+    """Parity bits of each text's distinct shingles, [n, PARITY] long."""
+    bits = 64 * PARITY
+    cell = text * bits + (key >> np.uint64(32)).astype(np.int64) % bits
+    odd = np.bincount(cell, minlength=n * bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(n, PARITY)
+
+
+def _near(threshold: float):
+    """What every similar pair fulfils: sets of a and b elements with Jaccard
+    similarity s differ in (a + b)(1 - s) / (1 + s) elements, and each changes
+    one parity bit at most."""
+    most = (1 - threshold) / (1 + threshold)
+
+    def condition(a: str, b: str):
+        apart = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}")))
+                     for p in PARITIES[1:]),
+                    F.bit_count(F.col(f"{a}.{PARITIES[0]}").bitwiseXOR(F.col(f"{b}.{PARITIES[0]}"))))
+        return apart <= (F.col(f"{a}.size") + F.col(f"{b}.size")) * most + 1e-6
+    return condition
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -137,7 +170,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 names=["node", "items"])
 
     return (source.mapInArrow(run, "node long, items binary")
-            .join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+            .join(nodes, "node", "left_semi"))
 
 
 def similar(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
@@ -168,9 +201,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     marks = persisted(_signatures(known), "signatures")
     # the least id names a text; partial aggregation keeps copies out of the shuffle
     texts = persisted(marks.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("node"), F.min("bands").alias("bands")), "texts")
-    rows = texts.select(F.explode("bands").alias("key"), "node")
-    roots = groups.linked_classes(rows, lambda pairs: similar(known, pairs, threshold))
+        F.min("doc_id").alias("node"),
+        *[F.min(c).alias(c) for c in ("bands", "size", *PARITIES)]), "texts")
+    rows = groups.shared(texts.select(F.explode("bands").alias("key"), "node"))
+    rows = rows.join(texts.select("node", "size", *PARITIES).dropDuplicates(["node"]), "node")
+    roots = groups.linked_classes(rows, lambda pairs: similar(known, pairs, threshold),
+                                  near=_near(threshold))
     named = (texts.select("h1", "h2", "node").join(roots, "node", "left")
              .select("h1", "h2", F.coalesce("root", "node").alias("class_id")))
     out = marks.select("doc_id", "h1", "h2").join(named, ["h1", "h2"]).select("doc_id", "class_id")
@@ -186,4 +222,5 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     name = free_name(docs.columns, "gone")
     gone = (classes(docs, threshold).where("doc_id <> class_id")
             .select(F.col("doc_id").alias(name)).distinct())
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")
+    # grows with the corpus, so it is never broadcast
+    return docs.join(gone.hint("merge"), docs["doc_id"].cast("long") == F.col(name), "left_anti")

@@ -333,6 +333,17 @@ def test_edit_distance():
             assert lines.within(a, b, limit) == (distance(a, b) <= limit), (a, b, limit)
 
 
+def test_parities_bound_the_distance():
+    r = random.Random(12)
+    for _ in range(3000):
+        a = "".join(r.choice("abc") for _ in range(r.randrange(1, 20)))
+        b = edited(r, a, r.randrange(4))
+        d = distance(a, b)
+        chars, pairs = lines.Lines([a, b]).parities(np.array([0, 1]))
+        assert int(chars[0] ^ chars[1]).bit_count() <= 2 * d
+        assert int(pairs[0] ^ pairs[1]).bit_count() <= 4 * d
+
+
 def test_lines_of_a_chain_and_families(spark):
     r = random.Random(6)
     table = []
@@ -400,6 +411,18 @@ def test_prob_minhash_estimates_probability_jaccard():
     assert abs(np.mean(errors)) < 0.025 and np.std(errors) < 0.09
 
 
+def test_shingle_parities_bound_the_difference():
+    r = np.random.default_rng(5)
+    key = r.integers(1, 1 << 62, 900).astype(np.uint64)
+    for n in (3, 100, 600):
+        a, b = np.unique(r.choice(key, n)), np.unique(r.choice(key, n))
+        text = np.repeat([0, 1], [len(a), len(b)])
+        odd = near.parities(text, np.concatenate([a, b]), 2).view(np.uint64)
+        apart = sum(int(x ^ y).bit_count() for x, y in zip(odd[0], odd[1]))
+        assert apart <= len(np.setxor1d(a, b))
+        assert near.parities(text, np.concatenate([a, b]), 3)[2].tolist() == [0] * near.PARITY
+
+
 def brute_classes(table, threshold=0.8):
     sets = {}
     for i, t in table:
@@ -527,7 +550,14 @@ def test_byte_ids_are_the_librarys():
     facts = byte_bpe.BpeFile(public_tokenizers.path("byte_bpe_50k.json"))
     enc = byte_bpe.encoder(facts)
     r = random.Random(9)
-    for _ in range(4000):
-        t = "".join(r.choice("aB é's 'll't.!?1½ \n\n \t\x85\x1c\xa0日<|endoftext|>  ") for _ in range(r.randrange(14)))
-        assert np.frombuffer(enc.encode(t), "<u4").tolist() == \
-            enc.tok.encode(t, add_special_tokens=False).ids, repr(t)
+    texts, ids = [], []
+    for k in range(6000):
+        some = "aB é's 'll't.!?1½ \n\n \t\x85\x1c\xa0日<|endoftext|>  " if k % 3 == 0 else "abé.!1½  \n\n\t\xa0"
+        t = "".join(r.choice(some) for _ in range(r.randrange(14)))
+        want = enc.tok.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == want, repr(t)
+        texts.append(t)
+        ids.append(want)
+    for some in (slice(None), slice(0, 1), slice(5, 5)):
+        got = enc.encode_many(texts[some])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == ids[some]
