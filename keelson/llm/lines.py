@@ -338,7 +338,9 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     gone = persisted(gone, "removed-lines")
     added = ["n_lines", "n_removed", "n_near"]
     kept = [c for c in docs.columns if c not in added]
-    joined = docs.select(*kept).join(gone, docs[id_col].cast("long") == F.col(own), "left")
+    # grows with the corpus, so it is never broadcast
+    joined = docs.select(*kept).join(gone.hint("merge"),
+                                     docs[id_col].cast("long") == F.col(own), "left")
     joined = joined.select(*kept, lost_lines, F.coalesce(near, F.lit(0)).alias(near))
     schema = T.StructType([f for f in docs.select(*kept).schema.fields]
                           + [T.StructField(c, T.LongType()) for c in added])
