@@ -1,19 +1,19 @@
-"""Operator 5: benchmark decontamination by rare seeds and local alignment.
+"""Operator 5: benchmark decontamination by word trigrams and local alignment.
 
 Test items are read in blocks of bounded size, so the item side of every job
-is small whatever the benchmark's size. For each block:
-
-1. one pass over the corpus counts, for each word trigram of the items, the
-   documents that hold it (summed inside a task, then over tasks);
-2. each item keeps the rarer half of its trigrams that the corpus holds (at
-   least ``LEAST_SEEDS``) as seeds. Rarity is relative to the item's own trigrams, so an item that
-   has leaked a million times keeps its seeds too;
-3. a second pass joins passages to items by their seeds. A seed at word p of a
-   text and word q of an item speaks for a copy that begins near p - q; such
-   begins fall in cells as long as the item, and each (text, item, cell) gives
-   one passage that holds every copy beginning in that cell;
+is small whatever the benchmark's size. For each block, in one pass:
+
+1. every trigram of an item is a seed, however often the corpus holds it, so
+   no group of copies can take another copy's seeds away;
+2. a seed at word p of a text and word q of an item speaks for a copy that
+   begins near p - q; such begins fall in cells as long as the item, and each
+   (text, item, cell) gives one passage that holds every copy beginning in that
+   cell;
+3. an alignment matches each word of the item once at most, so a passage that
+   holds too few of the item's words cannot reach ``THRESHOLD``. Common
+   trigrams mostly give such passages, which are left out here;
 4. Smith-Waterman alignment on words (match 2, mismatch -1, gap -1) scores the
-   passage, divided by the score of an exact copy. Passages at or above
+   others, divided by the score of an exact copy. Passages at or above
    ``THRESHOLD`` are leaks.
 
 Words are lower-cased runs of letters and digits. Items with fewer than
@@ -31,10 +31,9 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import id_text, slices
 from keelson.llm.toxicity import LETTERS
-from keelson.llm.vectors import Texts, window_hashes
+from keelson.llm.vectors import Texts, mix, window_hashes
 
 SEED = 3
-LEAST_SEEDS = 8
 LEAST_WORDS = 8
 THRESHOLD = 0.5
 MARGIN = 8
@@ -44,6 +43,8 @@ SLICE = 4 << 20
 CHUNK_CELLS = 1 << 21
 #: Slots of the table that rules out most trigrams with one look.
 SIEVE_BITS = 20
+#: Flags of a passage's words, by hash; a clash only makes the bound looser.
+FLAGS = 1 << 12
 
 
 class Items:
@@ -63,29 +64,11 @@ class Items:
         item = t.doc_of_word()
         use = fits & (size[item] >= LEAST_WORDS) if len(words) else fits
         at = np.flatnonzero(use)
+        at = at[np.argsort(key[at], kind="stable")]
         self.item, self.place, self.key = item[at], at - t.first[item[at]], key[at]
-        self.seeds = np.unique(self.key)
-        self._index()
-
-    def _index(self) -> None:
-        order = np.argsort(self.key, kind="stable")
-        self.item, self.place, self.key = self.item[order], self.place[order], self.key[order]
         self.sieve = np.zeros(1 << SIEVE_BITS, bool)
         self.sieve[self.key >> np.uint64(64 - SIEVE_BITS)] = True
 
-    def keep_rare(self, seen: dict[int, int]) -> None:
-        """Keep the rarer half of each item's trigrams that occur at all."""
-        count = np.array([seen.get(int(k), 0) for k in self.seeds.view(np.int64)], np.int64)
-        n = count[np.searchsorted(self.seeds, self.key)]
-        self.item, self.place, self.key, n = (
-            x[n > 0] for x in (self.item, self.place, self.key, n))
-        order = np.lexsort((self.key, n, self.item))
-        rank = np.arange(len(order)) - np.searchsorted(self.item[order], self.item[order])
-        total = np.bincount(self.item, minlength=len(self.ids))
-        keep = order[rank < np.maximum(LEAST_SEEDS, -(-total[self.item[order]] // 2))]
-        self.item, self.place, self.key = self.item[keep], self.place[keep], self.key[keep]
-        self._index()
-
     def hits(self, key: np.ndarray) -> np.ndarray:
         """Places of ``key`` that hold a seed."""
         at = np.flatnonzero(self.sieve[key >> np.uint64(64 - SIEVE_BITS)])
@@ -122,8 +105,18 @@ def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return best, where
 
 
-def _passages(items: Items, t: Texts, words: np.ndarray, key: np.ndarray):
-    """(text, item, first word, score, end word) of the passages in a slice."""
+def _held(items: np.ndarray, passages: np.ndarray) -> np.ndarray:
+    """Of each row pair, how many words of the item the passage holds, or more."""
+    n = len(items)
+    slot = lambda x: (mix(x) % np.uint64(FLAGS)).astype(np.int64)
+    flags = np.zeros((n, FLAGS), bool)
+    flags[np.arange(n)[:, None], slot(passages)] = True
+    return (flags[np.arange(n)[:, None], slot(items)] & (items != 0)).sum(1)
+
+
+def _passages(items: Items, t: Texts, words: np.ndarray, key: np.ndarray, threshold: float):
+    """(text, item, first word, score, end word) of the passages in a slice. The
+    score is 0 where it cannot reach the threshold."""
     at = items.hits(key)
     lo = np.searchsorted(items.key, key[at], side="left")
     count = np.searchsorted(items.key, key[at], side="right") - lo
@@ -153,7 +146,10 @@ def _passages(items: Items, t: Texts, words: np.ndarray, key: np.ndarray):
         inside = col < end[pick, None]
         index = np.minimum(col + t.first[text[pick], None], max(len(words) - 1, 0))
         passage = np.where(inside, words[index], np.uint64(0))
-        value, where = align(items.words[item[pick], :longest], passage)
+        rows = items.words[item[pick], :longest]
+        may = _held(rows, passage) / size[pick] >= threshold
+        pick = pick[may]
+        value, where = align(rows[may], passage[may])
         score[pick] = value / (MATCH * size[pick])
         stop[pick] = first[pick] + where
     return text, item, first, score, stop
@@ -182,28 +178,10 @@ def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD,
     out = docs.sparkSession.createDataFrame([], schema)
 
     for items in _blocks(benchmark, item_id, item_text):
-        def count(batches, items=items):
-            seen = np.zeros(len(items.seeds), np.int64)
-            for b in slices(batches, most=SLICE):
-                t, _, key = _trigrams(b.column("text"))
-                at = items.hits(key)
-                pair = np.unique(np.stack([np.searchsorted(t.first, at, side="right"),
-                                           np.searchsorted(items.seeds, key[at])], 1), axis=0)
-                seen += np.bincount(pair[:, 1], minlength=len(seen))
-            some = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(items.seeds.view(np.int64)[some]), pa.array(seen[some])],
-                names=["seed", "n"])
-
-        # at most one row for each trigram of the block
-        items.keep_rare({r["seed"]: r["n"] for r in
-                         docs.mapInArrow(count, "seed long, n long").groupBy("seed")
-                         .agg(F.sum("n").alias("n")).collect()})
-
         def match(batches, items=items):
             for b in slices(batches, most=SLICE):
                 t, words, key = _trigrams(b.column("text"))
-                text, item, first, score, stop = _passages(items, t, words, key)
+                text, item, first, score, stop = _passages(items, t, words, key, threshold)
                 ok = np.flatnonzero(score >= threshold)
                 ok = ok[np.lexsort((first[ok], -score[ok], item[ok], text[ok]))]
                 new = np.ones(len(ok), bool)

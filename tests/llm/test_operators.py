@@ -221,6 +221,36 @@ def test_leaks_found_exact_and_edited(spark, messy, nothing):
     assert leaks.find(df, bench.limit(0)).count() == 0
 
 
+def test_leaks_in_a_hot_group_of_edited_copies(spark):
+    """A hot group of edited or partial copies is found beside one fuller copy."""
+    w = prose(61_000, 40).split()
+    edited_copy = " ".join("other" if k % 5 == 4 else x for k, x in enumerate(w))
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    for hot in (edited_copy, " ".join(w[:21])):
+        table = [(0, prose(1, 50) + " " + " ".join(w))]
+        table += [(k, f"{prose(100 + k, 30)} {hot} {prose(5000 + k, 30)}") for k in range(1, 201)]
+        table += [(k, prose(9000 + k, 90)) for k in range(300, 320)]
+        df = spark.createDataFrame(table, "doc_id long, text string")
+        assert {x.doc_id for x in leaks.find(df, bench).collect()} == set(range(201))
+
+
+def test_leaks_below_the_bound_are_not_aligned_and_none_above_is_lost():
+    r = random.Random(11)
+    items = leaks.Items([1, 2], [prose(62_000, 24), prose(62_001, 9)])
+    texts = []
+    for k in range(200):
+        w = prose(62_000 + k % 2, 24 if k % 2 == 0 else 9).split()
+        for j in r.sample(range(len(w)), r.randrange(len(w))):
+            w[j] = r.choice(["other", w[0], "more"])
+        texts.append(" ".join(prose(k, 5).split() + w + prose(k + 7, 5).split()))
+    t, words, key = leaks._trigrams(pa.array(texts))
+    loose = leaks._passages(items, t, words, key, 0.0)
+    tight = leaks._passages(items, t, words, key, 0.5)
+    above = lambda x: {tuple(v) for v in zip(*(c.tolist() for c in x)) if v[3] >= 0.5}
+    assert above(loose) == above(tight) and 0 < len(above(loose)) < len(loose[0])
+    assert (tight[3] == 0).any()
+
+
 def test_leaks_in_the_given_table(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     found = {(x.doc_id, x.item_id) for x in leaks.find(docs, bench).collect()}
