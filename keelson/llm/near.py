@@ -9,9 +9,14 @@ termination). Two texts agree in a component with the probability Jaccard
 similarity of their weighted shingles, which is the Jaccard similarity when
 weights are equal.
 
+Links go by the Jaccard similarity of the shingle sets, from which the one of
+the weighted shingles parts widely where a text repeats some of them often. So
+a text with a repeated shingle has a second signature, of its shingles with
+equal weights. For other texts both are the same.
+
 Equal texts are one node from the start (128 bits of hash). ``BANDS`` bands of
-``SIZE / BANDS`` components make the candidate buckets; ``linked_classes``
-tests them, by the exact Jaccard similarity of the shingle sets against
+``SIZE / BANDS`` components of each signature make the candidate buckets;
+``linked_classes`` tests them, by the exact Jaccard similarity of the shingle sets against
 ``THRESHOLD``, without ever listing all pairs of a bucket; parity bits of the
 sets settle most dissimilar pairs inside its joins (they cannot rule out a
 similar one). Classes are the
@@ -98,6 +103,23 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return mix(out + np.arange(1, bands + 1, dtype=np.uint64))
 
 
+def text_bands(text: np.ndarray, key: np.ndarray, count: np.ndarray, n: int
+               ) -> tuple[np.ndarray, np.ndarray]:
+    """(bands, how many of each text): those of the weighted signature, behind
+    them those of the unweighted one where some shingle occurs twice."""
+    bands = band_keys(prob_minhash(text, key, count.astype(np.float64), n))
+    some = np.bincount(text, minlength=n) > 0
+    twice = np.unique(text[count > 1])
+    at = np.flatnonzero(np.isin(text, twice))
+    equal = np.zeros_like(bands)
+    equal[twice] = band_keys(prob_minhash(np.searchsorted(twice, text[at]), key[at],
+                                          np.ones(len(at)), len(twice)))
+    repeats = np.zeros(n, bool)
+    repeats[twice] = True
+    use = np.repeat(np.stack([some, repeats], 1), BANDS, axis=1)
+    return np.concatenate([bands, equal], axis=1)[use], use.sum(1)
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, h1, h2, bands, size, p0 ...): the two hashes name the text;
     ``size`` counts its distinct shingles, and the p columns hold the parity of
@@ -109,13 +131,10 @@ def _signatures(docs: DataFrame) -> DataFrame:
         for b in slices(batches, most=SLICE):
             t = Texts(b.column("text"))
             text, key, weight = shingles(t)
-            bands = band_keys(prob_minhash(text, key, weight.astype(np.float64), t.n))
-            bands = bands.view(np.int64)
+            bands, size = text_bands(text, key, weight, t.n)
             odd = parities(text, key, t.n)
-            some = np.diff(t.first) > 0
-            size = np.where(some, BANDS, 0)
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[some].ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("h1"), b.column("h2"), lists,
                  pa.array(np.bincount(text, minlength=t.n)),

@@ -489,6 +489,19 @@ def test_near_classes(docs, messy, nothing):
     assert near.classes(nothing).count() == 0
 
 
+def test_near_classes_with_unequal_repeat_counts(spark):
+    """Links go by shingle sets, however often one side repeats a shingle."""
+    table = []
+    for k in range(30):
+        base, spam = prose(70_000 + k, 104), prose(80_000 + k, 12)
+        times = (2, 10, 50)[k % 3]
+        table += [(2 * k, base), (2 * k + 1, base + f" {spam}" * times)]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    want = brute_classes(table)
+    assert all(want[2 * k + 1] == 2 * k for k in range(30))
+    assert {r.doc_id: r.class_id for r in near.classes(df).collect()} == want
+
+
 def test_linked_classes_miss_no_link(spark):
     """Every pair of a bucket is tested or already of one class."""
     from keelson.llm.groups import linked_classes
