@@ -41,7 +41,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = {c: free_name(docs.columns, f"__{c}") for c in ("n_lines", "n_removed", "n_near")
            if c in docs.columns}
     docs = docs.withColumnsRenamed(own)
-    out = lines.remove(docs)
+    out = lines.remove(docs, bounds=lines.BOUNDS)
     empty = (F.col("n_removed") > 0) & (F.trim("text", F.lit(" \t\n\x0b\x0c\r")) == "")
     out = out.where(~F.coalesce(empty, F.lit(False)))
     if "n_chars" in docs.columns:

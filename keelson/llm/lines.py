@@ -1,12 +1,13 @@
 """Operator 7: line dedup by a segment-partition edit join.
 
-Two lines are linked when at most ``LIMIT`` single-character edits turn one
-into the other. A line of n characters is split into LIMIT + 1 even segments;
+Two lines are linked when so many single-character edits turn one into the
+other as the shorter's length allows (``BOUNDS``): short lines differ by a word
+at few edits. A line with a limit of k edits is split into k + 1 even segments;
 of two linked lines the longer holds some segment of the shorter unchanged, at
 a place that their lengths narrow down. So each distinct line enters its own
 segments into an index keyed by (length, segment number, segment), and probes
 the index with the few substrings that can match, for each length from its own
-down to LIMIT less. Entries travel as packed arrays, one for each bucket and
+down to the limit less. Equal lines need no join, whatever their length. Entries travel as packed arrays, one for each bucket and
 slice; a bucket keeps only keys that join different lines.
 
 Such keys are the buckets of ``linked_classes``; parities of characters and
@@ -15,11 +16,12 @@ linked pair), and the rest are verified by a banded bit-parallel edit distance.
 links (equal lines are one node). Of each class the first line in the order
 (doc_id, line number) stays, all others go.
 
-Lines are parted by ``\\n``. Lines shorter than ``LEAST`` characters are never
-compared and always stay, so headings and one-word lines are left alone. NULL
-and empty texts have no lines to remove. Rows without a doc_id have no place
-in the order: they are left whole and remove nothing. Rows that share a doc_id
-are one document.
+Lines are parted by ``\\n``. The query and the pipeline pass ``BOUNDS``, so that
+every line with a word (characters besides white space) can go; without bounds
+only lines of ``LEAST`` characters or more can. Lines under ``LEAST`` characters
+without a word always stay. NULL and empty texts have no lines to remove. Rows
+without a doc_id have no place in the order: they are left whole and remove
+nothing. Rows that share a doc_id are one document.
 """
 
 from __future__ import annotations
@@ -31,12 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.llm import groups
-from keelson.llm.common import free_name, id_text, persisted, slices
+from keelson.llm.common import SPACE_BYTES, free_name, id_text, persisted, slices
 from keelson.llm.substrings import _unzip, _zip
 from keelson.llm.vectors import BASE, mix, powers, range_hashes
 
 LIMIT = 2
 LEAST = 24
+#: (characters, edits): from so many characters on, so many edits.
+BOUNDS = ((1, 0), (12, 1), (LEAST, LIMIT))
+LONG = ((LEAST, LIMIT),)
 SLICE = 4 << 20
 FLUSH = 24 << 20
 BUCKETS_PER_PARTITION = 2
@@ -64,7 +69,18 @@ class Lines:
         return range_hashes(self.sums, start, end)
 
     def long(self, least: int) -> np.ndarray:
-        return np.flatnonzero(self.end - self.start >= least)
+        """Lines of ``least`` characters or more; those under LEAST with a word."""
+        size = self.end - self.start
+        at = np.flatnonzero(size >= least)
+        short = size[at] < LEAST
+        n = size[at[short]]
+        first = np.cumsum(n) - n
+        place = np.arange(n.sum()) + np.repeat(self.start[at[short]] - first, n)
+        inside = np.zeros(len(place) + 1, np.int64)
+        np.cumsum(~np.isin(self.points[place], SPACE_BYTES), out=inside[1:])
+        keep = ~short
+        keep[short] = inside[first + n] > inside[first]
+        return at[keep]
 
     def parities(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Parity bits of the characters and of the character pairs of lines."""
@@ -95,23 +111,37 @@ def _key(piece: np.ndarray, length: np.ndarray, i: int) -> np.ndarray:
                + np.uint64(i * 0x9FB21C651E98DF25 % (1 << 64)))
 
 
-def entries(lines: Lines, at: np.ndarray, limit: int, least: int):
+def allowed(size: np.ndarray, bounds) -> np.ndarray:
+    """Edits that lines of so many characters are given."""
+    least, limit = np.array(bounds).T
+    return limit[np.searchsorted(least, size, side="right") - 1]
+
+
+def compared(bounds) -> int:
+    """The least length that any edit is allowed at."""
+    return min((least for least, limit in bounds if limit), default=1 << 31)
+
+
+def entries(lines: Lines, at: np.ndarray, bounds):
     """((key, line) to index, (key, line) to probe) for the lines ``at``."""
     start, end = lines.start[at], lines.end[at]
     size = end - start
     index, probe = [], []
-    for i in range(limit + 1):
-        p, n = segment(size, limit + 1, i)
-        index.append((_key(lines.hash(start + p, start + p + n), size, i), np.arange(len(at))))
-        for less in range(limit + 1):
-            short = size - less
-            p, n = segment(short, limit + 1, i)
-            # shifts that leave i edits to the left and limit - i to the right
-            for shift in range(max(-i, less - (limit - i)), min(i, less + limit - i) + 1):
-                q = p + shift
-                ok = np.flatnonzero((short >= least) & (q >= 0) & (q + n <= size))
-                piece = lines.hash(start[ok] + q[ok], start[ok] + q[ok] + n[ok])
-                probe.append((_key(piece, short[ok], i), ok))
+    for (least, limit), above in zip(bounds, [b[0] for b in bounds[1:]] + [1 << 62]):
+        for i in range(limit + 1 if limit else 0):
+            own = np.flatnonzero((size >= least) & (size < above))
+            p, n = segment(size[own], limit + 1, i)
+            index.append((_key(lines.hash(start[own] + p, start[own] + p + n), size[own], i), own))
+            for less in range(limit + 1):
+                short = size - less
+                p, n = segment(short, limit + 1, i)
+                # shifts that leave i edits to the left and limit - i to the right
+                for shift in range(max(-i, less - (limit - i)), min(i, less + limit - i) + 1):
+                    q = p + shift
+                    ok = np.flatnonzero((short >= least) & (short < above)
+                                        & (q >= 0) & (q + n <= size))
+                    piece = lines.hash(start[ok] + q[ok], start[ok] + q[ok] + n[ok])
+                    probe.append((_key(piece, short[ok], i), ok))
     join = lambda xs: tuple(np.concatenate([x[k] for x in xs]) for k in (0, 1))
     return join(index), join(probe)
 
@@ -152,7 +182,7 @@ def within(a: str, b: str, limit: int) -> bool:
     return bool(reach[limit] >> (len(a) - len(b) + limit) & 1)
 
 
-def _candidates(docs: DataFrame, limit: int, least: int) -> DataFrame:
+def _candidates(docs: DataFrame, bounds) -> DataFrame:
     """(key, node): segment keys that join different lines; a node is a line's hash."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = parts * BUCKETS_PER_PARTITION
@@ -185,11 +215,11 @@ def _candidates(docs: DataFrame, limit: int, least: int) -> DataFrame:
 
         for b in slices(batches, most=SLICE):
             lines = Lines(b.column("text").to_pylist())
-            at = lines.long(least)
+            at = lines.long(compared(bounds))
             node = lines.hash(lines.start[at], lines.end[at])
             node, one = np.unique(node, return_index=True)
             if len(node):
-                index, probe = entries(lines, at[one], limit, least)
+                index, probe = entries(lines, at[one], bounds)
                 held.append(((index[0], node[index[1]]), (probe[0], node[probe[1]])))
             size += len(lines.points)
             if size >= FLUSH and held:
@@ -245,16 +275,16 @@ def _distinct(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return key[new], node[new]
 
 
-def _texts(docs: DataFrame, rows: DataFrame, least: int) -> DataFrame:
-    """(node, line, chars, pairs) of the lines in ``rows``. The last two hold a
-    parity bit for each of 64 classes of characters and of character pairs."""
+def _texts(docs: DataFrame, rows: DataFrame, bounds) -> DataFrame:
+    """(node, line, chars, pairs, edits) of the lines in ``rows``: a parity bit for
+    each of 64 classes of characters and of character pairs, and the edits allowed."""
     nodes = persisted(rows.select("node").distinct(), "nodes")
     flags = groups.sieve(nodes, hashed=True)
 
     def fetch(batches):
         for b in slices(batches, most=SLICE):
             lines = Lines(b.column("text").to_pylist())
-            at = lines.long(least)
+            at = lines.long(compared(bounds))
             node = lines.hash(lines.start[at], lines.end[at])
             node, one = np.unique(node, return_index=True)
             keep = flags[(node & np.uint64(len(flags) - 1)).astype(np.int64)]
@@ -263,45 +293,48 @@ def _texts(docs: DataFrame, rows: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[keep].view(np.int64)),
                  pa.array([lines.text(i) for i in at], pa.string()),
-                 pa.array(chars.view(np.int64)), pa.array(pairs.view(np.int64))],
-                names=["node", "line", "chars", "pairs"])
+                 pa.array(chars.view(np.int64)), pa.array(pairs.view(np.int64)),
+                 pa.array(allowed(lines.end[at] - lines.start[at], bounds), pa.int32())],
+                names=["node", "line", "chars", "pairs", "edits"])
 
-    return persisted(docs.mapInArrow(fetch, "node long, line string, chars long, pairs long")
+    schema = "node long, line string, chars long, pairs long, edits int"
+    return persisted(docs.mapInArrow(fetch, schema)
                      .join(nodes, "node", "left_semi").dropDuplicates(["node"]), "lines")
 
 
-def _near(limit: int):
+def _near(a: str, b: str):
     """What every linked pair fulfils: an edit changes at most 2 characters and
     4 character pairs, so at most that many parity bits."""
-    def condition(a: str, b: str):
-        apart = lambda c: F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")))
-        return (apart("chars") <= 2 * limit) & (apart("pairs") <= 4 * limit)
-    return condition
+    apart = lambda c: F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")))
+    most = F.least(f"{a}.edits", f"{b}.edits")
+    return (apart("chars") <= 2 * most) & (apart("pairs") <= 4 * most)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, limit: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of line hashes whose lines are linked."""
-    joined = (pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a")
-              .join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
-              .select("a", "b", "x", "y"))
+    joined = (pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x"),
+                                          F.col("edits").alias("x_edits")), "a")
+              .join(texts.select(F.col("node").alias("b"), F.col("line").alias("y"),
+                                 F.col("edits").alias("y_edits")), "b")
+              .select("a", "b", "x", "y", F.least("x_edits", "y_edits").alias("most")))
 
     def run(batches):
         for b in batches:
-            ok = [within(x, y, limit) for x, y in
-                  zip(b.column("x").to_pylist(), b.column("y").to_pylist())]
+            ok = [within(x, y, most) for x, y, most in
+                  zip(*(b.column(c).to_pylist() for c in ("x", "y", "most")))]
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return joined.mapInArrow(run, "a long, b long")
 
 
-def repeats(docs: DataFrame, *, limit: int = LIMIT, least: int = LEAST) -> DataFrame:
+def repeats(docs: DataFrame, *, bounds=LONG) -> DataFrame:
     """(doc_id, line, near): lines that go; ``near`` if no earlier line is equal."""
     known = id_text(docs).where("doc_id is not null")
 
     def place(batches):
         for b in slices(batches, most=SLICE):
             lines = Lines(b.column("text").to_pylist())
-            at = lines.long(least)
+            at = lines.long(bounds[0][0])
             text = np.searchsorted(lines.first, at, side="right") - 1
             node = lines.hash(lines.start[at], lines.end[at])
             yield pa.RecordBatch.from_arrays(
@@ -310,11 +343,11 @@ def repeats(docs: DataFrame, *, limit: int = LIMIT, least: int = LEAST) -> DataF
                  pa.array(node.view(np.int64))], names=["doc_id", "line", "node"])
 
     places = persisted(known.mapInArrow(place, "doc_id long, line int, node long"), "places")
-    rows = persisted(_candidates(known, limit, least), "candidates")
-    texts = _texts(known, rows, least)
+    rows = persisted(_candidates(known, bounds), "candidates")
+    texts = _texts(known, rows, bounds)
     roots = groups.linked_classes(
-        rows.join(texts.select("node", "chars", "pairs"), "node"),
-        lambda pairs: _verified(pairs, texts, limit), leaders=LEADERS, near=_near(limit))
+        rows.join(texts.select("node", "chars", "pairs", "edits"), "node"),
+        lambda pairs: _verified(pairs, texts), leaders=LEADERS, near=_near)
     at = F.struct("doc_id", "line")
     firsts = places.groupBy("node").agg(F.min(at).alias("own"), F.count("*").alias("n"))
     firsts = persisted(firsts.join(roots, "node", "left")
@@ -327,12 +360,12 @@ def repeats(docs: DataFrame, *, limit: int = LIMIT, least: int = LEAST) -> DataF
 
 
 def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-           limit: int = LIMIT, least: int = LEAST) -> DataFrame:
+           bounds=LONG) -> DataFrame:
     """``docs`` with the repeated lines cut out of the text, and three columns:
     lines, removed lines, and removed lines that had no equal line before."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     own, lost_lines, near = (free_name(docs.columns, c) for c in ("__id", "__gone", "__near"))
-    gone = (repeats(source, limit=limit, least=least).distinct()
+    gone = (repeats(source, bounds=bounds).distinct()
             .groupBy(F.col("doc_id").alias(own))
             .agg(F.collect_list("line").alias(lost_lines), F.count_if("near").alias(near)))
     gone = persisted(gone, "removed-lines")

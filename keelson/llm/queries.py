@@ -74,7 +74,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.remove(id_text(table(spark, sf_dir, "documents")))
+    out = lines.remove(id_text(table(spark, sf_dir, "documents")), bounds=lines.BOUNDS)
     return out.select("doc_id", "n_lines", "n_removed", "n_near",
                       F.sha2("text", 256).alias("kept_sha256"))
 

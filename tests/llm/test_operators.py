@@ -13,8 +13,8 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from keelson.llm import (byte_bpe, leaks, licenses, lines, near, pieces, quality, samples,
-                         substrings, token_count, toxicity, wavelet)
+from keelson.llm import (byte_bpe, leaks, licenses, lines, near, pieces, quality, queries,
+                         samples, substrings, token_count, toxicity, wavelet)
 from tests.llm.texts import prose
 
 SF = "/root/testdata/sf0.001"
@@ -424,6 +424,57 @@ def test_lines_of_odd_tables(messy, nothing):
     assert lines.remove(nothing).count() == 0
 
 
+def test_short_lines_go_in_the_query(spark, tmp_path):
+    """Equal lines go whatever their length; lines of 12 to 23 characters go at
+    one edit, shorter ones only when equal; lines without a word stay."""
+    table = [(1, "Menu\n}\n\n \t\nRights held by us\ncat"),
+             (2, "Menu\n}\n\n \t\nRights held by us.\ncut\nMenu"),
+             (3, "menu\nRights held by us!\nRight held by uss!\n" + "a" * 22 + "bc"),
+             (4, "a" * 22 + "b"), (5, "a" * 22), (None, "Menu"), (6, None)]
+    spark.createDataFrame(table, "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_near, r.kept_sha256)
+           for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {1: (6, 0, 0, sha(table[0][1])), 2: (7, 4, 1, sha("\n \t\ncut")),
+                   3: (4, 1, 1, sha("menu\nRight held by uss!\n" + "a" * 22 + "bc")), 4: (1, 1, 1, sha("")),
+                   5: (1, 1, 1, sha("")), None: (1, 0, 0, sha("Menu")), 6: (0, 0, 0, sha(""))}
+
+
+def test_short_lines_equal_brute_force(spark):
+    r = random.Random(13)
+    table = []
+    families = ["".join(r.choice("abc ") for _ in range(n)) for n in range(1, 29) for _ in range(2)]
+    for k in range(80):
+        table.append((k, "\n".join(edited(r, families[r.randrange(len(families))],
+                                          r.randrange(3)) for _ in range(6))))
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    got = {x.doc_id: x.text for x in lines.remove(df, bounds=lines.BOUNDS).collect()}
+    edits = lambda n: max([e for least, e in lines.BOUNDS if n >= least], default=0)
+    first = {}
+    for i, t in table:
+        for k, x in enumerate(t.split("\n")):
+            if WORD.search(x):
+                first.setdefault(x, (i, k))
+    names = list(first)
+    root = {x: x for x in names}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a in range(len(names)):
+        for b in range(a):
+            if distance(names[a], names[b]) <= edits(min(len(names[a]), len(names[b]))):
+                root[find(names[a])] = find(names[b])
+    head = defaultdict(lambda: (1 << 60, 0))
+    for x in names:
+        head[find(x)] = min(head[find(x)], first[x])
+    for i, t in table:
+        assert got[i] == "\n".join(x for k, x in enumerate(t.split("\n"))
+                                   if not WORD.search(x) or head[find(x)] == (i, k))
+
+
 # 8 near duplicates
 
 def test_prob_minhash_estimates_probability_jaccard():
