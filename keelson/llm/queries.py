@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm import (byte_bpe, leaks, licenses, lines, near, pieces, quality, substrings,
-                         token_count, toxicity, wavelet)
+from keelson.llm import (byte_bpe, leaks, licenses, lines, merge_replay, near, phrases, pieces,
+                         quality, runs, substrings, token_count, toxicity, wavelet)
 from keelson.llm.common import id_text, table
 from keelson.llm.samples import labelled_sample
 
@@ -94,6 +94,24 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(spark, manifest)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.with_echo(id_text(table(spark, sf_dir, "documents")))
+    return runs.summary(runs.runs(docs))
+
+
+def op12_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = merge_replay.Vocabulary(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = merge_replay.encode(table(spark, sf_dir, "documents"), facts)
+    packed = merge_replay.little_endian(merge_replay.decode(encoded, facts))
+    return packed.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"),
+                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_sentencepiece": op2_sentencepiece,
@@ -105,8 +123,12 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_license_scan": op9_license_scan,
     "op10_token_shards": op10_token_shards,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merge_replay": op12_merge_replay,
+    "op13_collocations": op13_collocations,
 }
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": OP4_SQL,
     "op9_license_scan": licenses.scan_sql(),
+    "op13_collocations": phrases.collocations_sql(),
 }
