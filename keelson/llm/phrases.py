@@ -173,7 +173,7 @@ def bucket_of(columns: list[np.ndarray], buckets: int) -> np.ndarray:
 
 def _window_rows(buckets: int, wide: bool):
     kind = np.dtype("<i8" if wide else "<i4")
-    schema = pa.schema([("bucket", pa.int64()), ("n", pa.int64()), ("payload", pa.large_binary())])
+    schema = pa.schema([("bucket", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
 
     def work(codes: pa.Table, words: pa.Table) -> pa.Table:
         bucket, size, payload = [], [], []
@@ -191,7 +191,7 @@ def _window_rows(buckets: int, wide: bool):
                 size.append(b - a)
                 payload.append(b"".join(c[a:b].tobytes() for c in columns))
         return pa.Table.from_arrays([pa.array(bucket, pa.int64()), pa.array(size, pa.int64()),
-                                     pa.array(payload, pa.large_binary())], schema=schema)
+                                     pa.array(payload, pa.binary())], schema=schema)
     return work
 
 
@@ -257,10 +257,10 @@ def count_stripes(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET,
     words, size = _with_ids(persisted(
         sums.withColumn("mark", F.monotonically_increasing_id()), "phrase-words"))
     own = distinct.select("slice", "lang", "local", "word").join(words, ["lang", "word"]).select(
-        "slice", "local", (2 * F.col("id") + (F.col("f") > bucket).cast("long")).alias("id"))
+        F.col("slice").alias("of"), "local", (2 * F.col("id") + (F.col("f") > bucket).cast("long")).alias("id"))
     codes = table.where(F.col("codes").isNotNull()).select("slice", "codes")
     buckets, wide = max(1, math.ceil(n / bucket)), size >= 1 << 30
-    blobs = codes.groupBy("slice").cogroup(own.groupBy("slice")).applyInArrow(
+    blobs = codes.groupBy("slice").cogroup(own.groupBy("of")).applyInArrow(
         _window_rows(buckets, wide), "bucket long, n long, payload binary")
     found = persisted(blobs.groupBy("bucket").applyInArrow(
         _stripe_rows(least, wide), "prefix array<long>, next long, f long, shared boolean"),
