@@ -22,11 +22,11 @@ results, a NULL id stays NULL; other columns are never looked at.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 
 from keelson.llm.byte_bpe import LETTER, NUMBER, OTHER, SPACE, WHITE_KIND, token_starts
@@ -34,10 +34,12 @@ from keelson.llm.common import id_text, slices, text_bytes
 from keelson.llm.vectors import gathered
 
 #: Text bytes cut at once, and text bytes whose pre-tokens are replayed together.
-SLICE = 4 << 20
-CORPUS = 32 << 20
+SLICE = 2 << 20
+CORPUS = 8 << 20
 #: Documents of a result batch.
 ROWS = 500
+#: Pairs whose rank a task remembers.
+PAIRS = 1 << 18
 
 CODE_POINTS = 0x110000
 #: What may follow an apostrophe to make a pre-token (fixed by the pattern).
@@ -74,6 +76,8 @@ def char_kinds(pattern: str) -> list[tuple[int, int]]:
     for a number, ".c" for another character. Planes without characters (4 to
     13) or for private use (15, 16) hold neither letters, numbers nor spaces.
     """
+    import tiktoken  # on the driver only
+
     ranks = {bytes([b]): b for b in range(256)}
     for lead in b"a1.":
         ranks |= {bytes([lead, b]): len(ranks) + b for b in range(256)}
@@ -148,11 +152,12 @@ class Merger:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
-        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.known: dict[int, int] = {}
 
     def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank each two tokens merge to, -1 for none."""
+        a, b = a.astype(np.int64), b.astype(np.int64)
         if len(a) > 64:
             keys, which = np.unique(a << 32 | b, return_inverse=True)
             return np.array([self.rank(k) for k in keys.tolist()], np.int64)[which.reshape(-1)]
@@ -161,6 +166,8 @@ class Merger:
     def rank(self, key: int) -> int:
         found = self.known.get(key)
         if found is None:
+            if len(self.known) >= PAIRS:
+                self.known.clear()
             pair = self.bytes_of[key >> 32] + self.bytes_of[key & 0xFFFFFFFF]
             found = self.known[key] = self.ranks.get(pair, -1)
         return found
@@ -176,7 +183,7 @@ class Merger:
                                      for p, w in zip(pieces, whole.tolist())), np.uint8)
         token = self.single[raw]
         token[at[:-1][whole >= 0]] = whole[whole >= 0]
-        piece = np.repeat(np.arange(len(pieces)), size)
+        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), size)
         odd = self._replay(token, piece)
         for k in odd.tolist():
             ids = self.merge_alone(pieces[k])
@@ -189,11 +196,11 @@ class Merger:
         """Merge in place: the left place of a pair takes the rank, the right
         one -1. Returns the pieces to merge alone."""
         n = len(token)
-        after = np.arange(1, n + 1)
+        after = np.arange(1, n + 1, dtype=token.dtype)
         after[np.append(piece[1:] != piece[:-1], True)[:n]] = n  # n: none
-        before = np.arange(-1, n - 1)
+        before = np.arange(-1, n - 1, dtype=token.dtype)
         before[np.append(True, piece[1:] != piece[:-1])[:n]] = n
-        before, after = np.append(before, n), np.append(after, n)
+        before, after = (np.append(x, token.dtype.type(n)) for x in (before, after))
         odd = np.zeros(len(piece) and int(piece[-1]) + 1, bool)
         index: dict[int, list[np.ndarray]] = {}
         queue: list[int] = []
@@ -317,43 +324,50 @@ def encode(docs: DataFrame, facts: Vocabulary, corpus: int = CORPUS) -> DataFram
     return id_text(docs).mapInArrow(_encode_rows(facts, corpus), "doc_id long, ids array<int>")
 
 
+def _decoded(batch: pa.RecordBatch, table: np.ndarray, at: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray]:
+    """(ids of all rows, offset of each row's, their bytes, offset of each row's)."""
+    ids = batch.column("ids")
+    edges = ids.offsets.to_numpy().astype(np.int64)
+    flat = ids.values.to_numpy(zero_copy_only=False)[edges[0]:edges[-1]]
+    data, byte_at = gathered(table, at[flat], at[flat + 1], None)
+    edges = edges - edges[0]
+    return flat, edges, data.tobytes(), byte_at[edges]
+
+
 def decode(encoded: DataFrame, facts: Vocabulary) -> DataFrame:
-    """doc_id, ids and the bytes they stand for."""
+    """doc_id and the bytes that the ids stand for."""
     table, at = facts.token_table()
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())),
-                        ("decoded", pa.large_binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("decoded", pa.large_binary())])
 
     def work(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column("ids")
-            edges = ids.offsets.to_numpy().astype(np.int64)
-            flat = ids.values.to_numpy(zero_copy_only=False)[edges[0]:edges[-1]].astype(np.int64)
-            data, byte_at = gathered(table, at[flat], at[flat + 1], None)
-            raw, ends = data.tobytes(), byte_at[edges - edges[0]].tolist()
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), ids,
-                pa.array([raw[a:b] for a, b in zip(ends[:-1], ends[1:])], pa.large_binary())],
-                schema=schema)
-    return encoded.select("doc_id", "ids").mapInArrow(
-        work, "doc_id long, ids array<int>, decoded binary")
+            _, _, raw, ends = _decoded(batch, table, at)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(
+                [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())],
+                pa.large_binary())], schema=schema)
+    return encoded.select("doc_id", "ids").mapInArrow(work, "doc_id long, decoded binary")
 
 
-def little_endian(decoded: DataFrame) -> DataFrame:
-    """``decode``'s rows with the ids packed as little-endian unsigned 32-bit."""
+def digests(docs: DataFrame, facts: Vocabulary, corpus: int = CORPUS) -> DataFrame:
+    """doc_id, n_tokens, and the sha256 of the ids (as little-endian unsigned
+    32-bit integers) and of the bytes they decode to: ``encode`` and ``decode``
+    one after the other in the same worker."""
+    table, at = facts.token_table()
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
-                        ("packed", pa.large_binary()), ("decoded", pa.large_binary())])
+                        ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    encoder = _encode_rows(facts, corpus)
+
+    def sums(raw: bytes, edges: np.ndarray) -> pa.Array:
+        view = memoryview(raw)
+        return pa.array([hashlib.sha256(view[a:b]).hexdigest()
+                         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], pa.string())
 
     def work(batches):
-        for batch in batches:
-            ids = batch.column("ids")
-            edges = ids.offsets.to_numpy().astype(np.int64)
-            raw = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+        for batch in encoder(batches):
+            flat, edges, raw, ends = _decoded(batch, table, at)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(np.diff(edges)),
-                pa.array([raw[4 * a:4 * b] for a, b in zip(edges[:-1].tolist(),
-                                                           edges[1:].tolist())],
-                         pa.large_binary()),
-                batch.column("decoded").cast(pa.large_binary())], schema=schema)
-    return decoded.mapInArrow(work, "doc_id long, n_tokens long, packed binary, decoded binary")
+                sums(flat.astype("<u4").tobytes(), 4 * edges), sums(raw, ends)], schema=schema)
+    return id_text(docs).mapInArrow(
+        work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

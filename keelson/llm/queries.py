@@ -102,10 +102,7 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = merge_replay.Vocabulary(
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = merge_replay.encode(table(spark, sf_dir, "documents"), facts)
-    packed = merge_replay.little_endian(merge_replay.decode(encoded, facts))
-    return packed.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"),
-                         F.sha2("decoded", 256).alias("decoded_sha256"))
+    return merge_replay.digests(table(spark, sf_dir, "documents"), facts)
 
 
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
