@@ -43,8 +43,10 @@ from keelson.llm.vectors import gathered, mix
 LEAST = 100
 WORDS = 5
 TOP = 2000
-#: Windows of a bucket; a word that occurs more often is hot.
+#: A word that occurs more often is hot: no key brings more windows to a bucket.
 BUCKET = 500_000
+#: Buckets for each ``BUCKET`` words, so that tasks get about equal shares.
+SHARES = 5
 #: Text bytes whose distinct words are counted together.
 SLICE = 16 << 20
 #: Parts of a language that are ranked before the last ranking.
@@ -259,7 +261,7 @@ def count_stripes(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET,
     own = distinct.select("slice", "lang", "local", "word").join(words, ["lang", "word"]).select(
         F.col("slice").alias("of"), "local", (2 * F.col("id") + (F.col("f") > bucket).cast("long")).alias("id"))
     codes = table.where(F.col("codes").isNotNull()).select("slice", "codes")
-    buckets, wide = max(1, math.ceil(n / bucket)), size >= 1 << 30
+    buckets, wide = max(1, math.ceil(SHARES * n / bucket)), size >= 1 << 30
     blobs = codes.groupBy("slice").cogroup(own.groupBy("of")).applyInArrow(
         _window_rows(buckets, wide), "bucket long, n long, payload binary")
     found = persisted(blobs.groupBy("bucket").applyInArrow(
