@@ -22,3 +22,11 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "staged")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size of a staged table is within the session's
+    broadcast threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return limit >= 0 and int(str(size)) <= limit

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from functools import reduce
 
-from .changes import DELETE, OP, SEQ, SUB, order_columns
+from .asof import carry_forward
+from .changes import DELETE, OP, SEQ, order_columns
 from .sizing import materialize
 
 UNCHANGED = "_unchanged"
@@ -103,51 +104,110 @@ def fill_moved(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> Data
 
     ``_from`` (struct of the keys) names the row an insert was moved from. A
     column it did not send has the value which that row had just before: set
-    by the newest earlier change of the old key, else the base value. A row
-    moved several times is completed one move at a time, so the number of
-    rounds is the longest chain of moves that all leave a column out.
+    by the newest earlier change of the old key, else the base value. That
+    change may itself be a move that left the column out. So:
+
+    1. the newest change of the old key that says something about the column
+       is carried forward to the move (``asof``: linear in the changes of a
+       key) - a value, a delete, or another waiting move;
+    2. pointers from move to move are doubled until each ends at a value, a
+       delete or the base: rounds grow with the logarithm of the longest
+       chain, and a round reads only the pointers that are still open;
+    3. the values are fetched where the pointers end.
+
+    The changes are staged once, before anything is asked of them.
     """
     if MOVED_FROM not in changes.columns:
         return changes
     keys = list(keys)
     cols = [c for c in base.columns if c not in keys]
     rest = [c for c in changes.columns if c != MOVED_FROM]
-    open_ = F.col(MOVED_FROM).isNotNull() & (F.size(UNCHANGED) > 0)
-    if changes.where(open_).isEmpty():
-        return changes.select(*rest)
     cur = materialize(changes)
-    order = F.struct(*[F.col(f"h.{c}") for c in order_columns(cur)])
+    if not cols or cur.where(_waits()).isEmpty():
+        return cur.select(*rest)
+    ends = resolve_pointers(move_pointers(cur, keys, cols))
+    ids = order_columns(cur)
+    event = cur.select(*[F.col(c).alias(f"_end{c}") for c in ids],
+                       *[F.col(c).alias(f"_e_{c}") for c in cols])
+    old = base.select(F.struct(*keys).alias("_base"), *[F.col(c).alias(f"_b_{c}") for c in cols])
+    fetched = ends.join(event, [f"_end{c}" for c in ids], "left").join(old, "_base", "left")
+    value = {c: F.when(F.col("_end" + SEQ).isNotNull(), F.col(f"_e_{c}")).otherwise(
+        F.col(f"_b_{c}")) for c in cols}
+    values = fetched.groupBy(*[F.col(f"_node{c}").alias(c) for c in ids]).agg(*[
+        F.first(F.when(F.col("_column") == c, value[c]), ignorenulls=True).alias(f"_v_{c}")
+        for c in cols])
+    joined = cur.join(values, ids, "left")
+    none = F.array().cast("array<string>")
+    return joined.withColumns({
+        **{c: F.when(_waits() & F.array_contains(UNCHANGED, c), F.col(f"_v_{c}"))
+           .otherwise(F.col(c)) for c in cols},
+        UNCHANGED: F.when(_waits(), none).otherwise(F.col(UNCHANGED))}).select(*rest)
+
+
+def _waits() -> Column:
+    """A moved row that leaves a column out."""
+    return F.coalesce(F.col(MOVED_FROM).isNotNull() & (F.size(UNCHANGED) > 0), F.lit(False))
+
+
+def move_pointers(cur: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """For each waiting move and each column it leaves out, where the value is:
+    ``_node*`` (the move's position), ``_column``, and one of ``_to*`` (another
+    waiting move), ``_end*`` (a change that sent it) or ``_base`` (the key of a
+    base row); none of them if the row was deleted."""
+    ids = order_columns(cur)
+    spot = F.struct(*ids)
+    probes = cur.where(_waits()).select(
+        *[F.col(f"{MOVED_FROM}.{k}").alias(k) for k in keys],
+        *[F.col(c).alias(f"_node{c}") for c in ids], UNCHANGED,
+        *[(F.col(c) if c == SEQ else F.lit(-1).cast(cur.schema[c].dataType)).alias(c)
+          for c in ids])
+    deleted = F.col(OP) == DELETE
+    said = {c: F.when(deleted, F.struct(F.lit("gone").alias("kind"), spot.alias("spot")))
+            .when(~F.coalesce(F.array_contains(UNCHANGED, c), F.lit(False)),
+                  F.struct(F.lit("sent").alias("kind"), spot.alias("spot")))
+            .when(_waits(), F.struct(F.lit("moved").alias("kind"), spot.alias("spot")))
+            .alias(f"_said_{c}") for c in cols}
+    heard = cur.join(probes.select(*keys).distinct(), list(keys), "left_semi").select(
+        *keys, *ids, *said.values())
+    names = [f"_said_{c}" for c in cols]
+    known = carry_forward(probes, heard, keys, ids, names, inclusive=False)
+
+    def pointer(c: str) -> Column:
+        last = F.col(f"_said_{c}")
+        return F.when(F.array_contains(UNCHANGED, c), F.struct(
+            F.lit(c).alias("_column"),
+            *[F.when(last["kind"] == "moved", last["spot"][i]).alias(f"_to{i}") for i in ids],
+            *[F.when(last["kind"] == "sent", last["spot"][i]).alias(f"_end{i}") for i in ids],
+            F.when(last.isNull(), F.struct(*keys)).alias("_base")))
+
+    return known.select(*[f"_node{c}" for c in ids], F.inline(F.array_compact(
+        F.array(*[pointer(c) for c in cols])))).dropDuplicates(
+        [*[f"_node{c}" for c in ids], "_column"])
+
+
+def resolve_pointers(pointers: DataFrame, on_round=None) -> DataFrame:
+    """Double the ``_to*`` pointers until none is left. ``on_round`` is called
+    with the number of each round."""
+    to = [c for c in pointers.columns if c.startswith("_to")]
+    ids = [c.removeprefix("_to") for c in to]
+    rest = [c for c in pointers.columns if not c.startswith(("_node", "_to")) and c != "_column"]
+    open_ = F.col("_to" + SEQ).isNotNull()
+    done, rounds = [], 0
+    live = materialize(pointers)
+    every = live
     while True:
-        wait = cur.where(open_)
-        if wait.isEmpty():
-            return cur.select(*rest)
-        m, h = wait.alias("m"), cur.alias("h")
-        before = reduce(lambda a, b: a & b, [
-            F.col(f"h.{k}") == F.col(f"m.{MOVED_FROM}.{k}") for k in keys]
-            + [F.col(f"h.{SEQ}") < F.col(f"m.{SEQ}")])
-        ident = [SEQ, *[c for c in (SUB,) if c in cur.columns]]
-        aggs = []
-        for c in cols:
-            sent = (F.col(f"h.{OP}") == DELETE) | ~F.array_contains(F.col(f"h.{UNCHANGED}"), c)
-            aggs.append(F.max_by(F.when(sent, F.struct(
-                (F.col(f"h.{OP}") == DELETE).alias("gone"), F.col(f"h.{c}").alias("v"))),
-                F.when(sent, order)).alias(f"_v_{c}"))
-        # an older move of the same row that still waits comes first
-        waits = F.max(F.coalesce(F.col(f"h.{MOVED_FROM}").isNotNull()
-                                 & (F.size(f"h.{UNCHANGED}") > 0), F.lit(False)))
-        found = (m.join(h, before, "left")
-                 .groupBy(*[F.col(f"m.{c}").alias(c) for c in ident],
-                          *[F.col(f"m.{MOVED_FROM}.{k}").alias(f"_k_{k}") for k in keys])
-                 .agg(waits.alias("_waits"), *aggs).where(~F.col("_waits")))
-        old = base.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                          *[F.col(c).alias(f"_b_{c}") for c in cols])
-        found = found.join(old, [f"_k_{k}" for k in keys], "left").drop(*[f"_k_{k}" for k in keys])
-        joined = cur.join(found.withColumn("_found", F.lit(True)), ident, "left")
-        ready = open_ & F.coalesce("_found", F.lit(False))
-        values = {c: F.when(ready & F.array_contains(UNCHANGED, c), F.when(
-            F.col(f"_v_{c}").isNull(), F.col(f"_b_{c}")).when(
-            ~F.col(f"_v_{c}.gone"), F.col(f"_v_{c}.v"))).otherwise(F.col(c)) for c in cols}
-        none = F.array().cast("array<string>")
-        cur = materialize(joined.withColumns(
-            {**values, UNCHANGED: F.when(ready, none).otherwise(F.col(UNCHANGED))})
-            .select(*changes.columns))
+        done.append(live.where(~open_))
+        going = live.where(open_)
+        if going.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        rounds += 1
+        if on_round:
+            on_round(rounds)
+        far = every.select("_column", *[F.col(f"_node{i}").alias(f"_to{i}") for i in ids],
+                           *[F.col(c).alias(f"_far{c}") for c in (*to, *rest)])
+        doubled = materialize(going.drop(*rest).join(far, ["_column", *to]).select(
+            *[f"_node{i}" for i in ids], "_column",
+            *[F.col(f"_far{c}").alias(c) for c in (*to, *rest)]))
+        # nodes settled in earlier rounds are still pointed at
+        every = reduce(DataFrame.unionByName, [*done, doubled])
+        live = doubled

@@ -28,9 +28,10 @@ from pyspark.sql.types import StructType
 
 from ..functions.binary import (byte_at, char_at, cstring_end, int16_be,
                                 int32_be, latin1, uint_be, utf8_at)
+from ..operators.asof import carry_forward
 from ..operators.changes import DELETE, INSERT, UPDATE
 from ..operators.partitioning import spread
-from ..operators.sizing import materialize
+from ..operators.sizing import fits_broadcast, materialize
 
 ROW_KINDS = ("I", "U", "D")
 TRUNCATE = "T"
@@ -168,15 +169,31 @@ def collect_versions(relations: DataFrame) -> DataFrame:
     return materialize(relation_versions(relations))
 
 
+#: Versions of one relation up to which rows are held against all of them.
+FEW_VERSIONS = 64
+
+
 def relation_as_of(rows: DataFrame, relations: DataFrame,
-                   versions: DataFrame | None = None) -> DataFrame:
+                   versions: DataFrame | None = None,
+                   carry: bool | None = None) -> DataFrame:
     """Attach to each row message the relation in force at its position.
 
-    One join for any number of versions: equal oid and a position range. The
-    staged versions are broadcast while their bytes allow it (then the rows
-    are not shuffled), else the join is shuffled on the oid.
+    Two ways, of the same result. A staged version table that may be broadcast
+    and has few versions of any relation is joined on oid and position range:
+    the rows are not shuffled. Otherwise versions are carried forward along the
+    feed (``asof``): the cost is rows plus versions, and the rows of one oid,
+    however many, are spread over all tasks. ``carry`` decides by hand.
     """
     vers = versions if versions is not None else collect_versions(relations)
+    if carry is None:
+        carry = not fits_broadcast(vers) or most_versions(vers) > FEW_VERSIONS
+    values = ["_rel_seq", "namespace", "table", "cols", "keys"]
+    if carry:
+        force = vers.select("oid", F.col("_from").alias("_seq"), F.struct(
+            F.col("_from").alias("_rel_seq"), "namespace", F.col("name").alias("table"),
+            "cols", "keys").alias("_rel"))
+        out = carry_forward(rows, force, ["oid"], ["_seq"], ["_rel"])
+        return out.select(*rows.columns, *[F.col(f"_rel.{c}").alias(c) for c in values])
     in_range = ((F.col("r._seq") >= F.col("v._from")) &
                 (F.col("v._to").isNull() | (F.col("r._seq") < F.col("v._to"))))
     out_cols = [F.col(f"r.{c}") for c in rows.columns] + [
@@ -187,6 +204,11 @@ def relation_as_of(rows: DataFrame, relations: DataFrame,
                                 "left").select(*out_cols)
 
 
+def most_versions(versions: DataFrame) -> int:
+    """The largest number of versions that one relation has."""
+    return versions.groupBy("oid").count().agg(F.max("count")).first()[0] or 0
+
+
 def _of_table(table: str | None, namespace: str | None, name_col: str) -> Column:
     wanted = F.lit(True)
     if table is not None:
