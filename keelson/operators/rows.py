@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .changes import META, net_changes
 
 UNCHANGED = "_unchanged"
+MOVED_FROM = "_from"
 
 
 def ddl(schema: StructType) -> str:
@@ -73,7 +74,7 @@ def conform(rows: DataFrame, schema: StructType, mode: str = "strict",
     have = set(rows.columns)
     cols: list[Column] = []
     if keep_meta:
-        cols += [F.col(c) for c in (*META, UNCHANGED) if c in have]
+        cols += [F.col(c) for c in (*META, UNCHANGED, MOVED_FROM) if c in have]
     bad: list[Column] = []
     for f in schema.fields:
         if f.name not in have:

@@ -14,7 +14,10 @@ Variations that exercise the decoder:
 
 * update with ``event_id % 13 = 0``: the key moves to ``id + 1000000``
   (old key sent as ``K``);
-* other updates of ``view`` events: ``name`` is sent as unchanged (``u``);
+* other updates with ``event_id % 11 = 0``: the full old row is sent (``O``),
+  here with the values of the new one;
+* updates of ``view`` events, moves too: ``name`` is sent as unchanged
+  (``u``); beside ``O`` it can be read from the old row;
 * delete with an even ``event_id``: the full old row is sent (``O``),
   otherwise the key only (``K``).
 """
@@ -36,6 +39,7 @@ NAMESPACE = "public"
 TABLE = "employee"
 KEY_MOVE_EVERY = 13
 KEY_SHIFT = 1000000
+OLD_ROW_EVERY = 11
 UNCHANGED_EVENT = "view"
 LSN_BASE = 94489280512   # position 16/0
 LSN_STEP = 24
@@ -91,6 +95,7 @@ def captured_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     key_only = {c: (text[c] if c in KEY_COLUMNS else F.lit(None).cast("string"))
                 for c in text}
     key_move = (op == "U") & (seq % KEY_MOVE_EVERY == 0)
+    old_row = (op == "U") & (seq % OLD_ROW_EVERY == 0)
     unchanged = {"name": F.col("name") == F.lit(UNCHANGED_EVENT)}
     oid = int32_bytes(F.lit(OID))
     N, K, O = ascii_bytes("N"), ascii_bytes("K"), ascii_bytes("O")
@@ -100,7 +105,9 @@ def captured_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(op == "I", F.concat(ascii_bytes("I"), oid, N, _tuple(order, text)))
             .when(key_move, F.concat(ascii_bytes("U"), oid,
                                      K, _tuple(order, key_only),
-                                     N, _tuple(order, moved)))
+                                     N, _tuple(order, moved, unchanged)))
+            .when(old_row, F.concat(ascii_bytes("U"), oid, O, _tuple(order, text),
+                                    N, _tuple(order, text, unchanged)))
             .when(op == "U", F.concat(ascii_bytes("U"), oid, N,
                                       _tuple(order, text, unchanged)))
             .when(seq % 2 == 0, F.concat(ascii_bytes("D"), oid, O,

@@ -27,23 +27,25 @@ LATEST = """latest AS (
     FROM ch) x WHERE rn = 1)"""
 
 # The decoded capture: positions 4 * event_id + 2; key moves on updates
-# with event_id % 13 = 0; 'view' updates leave name unchanged.
+# with event_id % 13 = 0; 'view' updates leave name unchanged, except beside a
+# full old row (event_id % 11 = 0), which has it. ``moved`` is the old key.
 DEC = """dec AS (
   SELECT 4 * seq + 2 AS _seq, 0 AS _sub, 94489280512 + (4 * seq + 2) * 24 AS _lsn,
          'D' AS _op, id, CAST(NULL AS VARCHAR) AS name,
-         CAST(NULL AS DOUBLE) AS salary, '' AS unchanged
+         CAST(NULL AS DOUBLE) AS salary, '' AS unchanged, NULL AS moved
   FROM ch WHERE op = 'D'
   UNION ALL
-  SELECT 4 * seq + 2, 0, 94489280512 + (4 * seq + 2) * 24, 'D', id, NULL, NULL, ''
+  SELECT 4 * seq + 2, 0, 94489280512 + (4 * seq + 2) * 24, 'D', id, NULL, NULL, '', NULL
   FROM ch WHERE op = 'U' AND seq % 13 = 0
   UNION ALL
   SELECT 4 * seq + 2, 1, 94489280512 + (4 * seq + 2) * 24, 'I', id + 1000000,
-         name, salary, ''
+         CASE WHEN name = 'view' THEN NULL ELSE name END, salary,
+         CASE WHEN name = 'view' THEN 'name' ELSE '' END, id
   FROM ch WHERE op = 'U' AND seq % 13 = 0
   UNION ALL
   SELECT 4 * seq + 2, 0, 94489280512 + (4 * seq + 2) * 24, op, id,
-         CASE WHEN op = 'U' AND name = 'view' THEN NULL ELSE name END, salary,
-         CASE WHEN op = 'U' AND name = 'view' THEN 'name' ELSE '' END
+         CASE WHEN op = 'U' AND name = 'view' AND seq % 11 <> 0 THEN NULL ELSE name END, salary,
+         CASE WHEN op = 'U' AND name = 'view' AND seq % 11 <> 0 THEN 'name' ELSE '' END, NULL
   FROM ch WHERE op = 'I' OR (op = 'U' AND seq % 13 <> 0))"""
 
 APPLY_IN_ORDER = f"""WITH {CH}, {BASE}, {LATEST}
@@ -87,16 +89,34 @@ g AS (
   FROM s)"""
 
 
+# A moved row without its name takes the one its old key had just before (no
+# row is moved twice here, so one step back is enough): the newest earlier
+# change of the old key that sent it or deleted the row, else the base row's.
+FILLED = """hist AS (
+  SELECT id, _seq, _op, name FROM dec WHERE _op = 'D' OR unchanged = ''),
+named AS (
+  SELECT m._seq, CASE WHEN h.id IS NULL THEN b.name WHEN h._op = 'D' THEN NULL
+                      ELSE h.name END AS name
+  FROM dec m ASOF LEFT JOIN hist h ON h.id = m.moved AND h._seq < m._seq
+  LEFT JOIN base b ON b.id = m.moved
+  WHERE m.moved IS NOT NULL AND m.unchanged = 'name'),
+full_ AS (
+  SELECT d._seq, d._sub, d._op, d.id, d.salary,
+         CASE WHEN n._seq IS NULL THEN d.name ELSE n.name END AS name,
+         CASE WHEN n._seq IS NULL THEN d.unchanged ELSE '' END AS unchanged
+  FROM dec d LEFT JOIN named n ON n._seq = d._seq AND d._sub = 1)"""
+
+
 def _unchanged_fill() -> str:
     def last_set(col: str, alias: str) -> str:
         return f"""{alias} AS (
   SELECT id, _op AS {alias}_op, {col} AS {alias}_v FROM (
     SELECT id, _op, {col}, ROW_NUMBER() OVER (
       PARTITION BY id ORDER BY _seq DESC, _sub DESC) AS rn
-    FROM dec
+    FROM full_
     WHERE _op = 'D' OR NOT list_contains(string_split(unchanged, ','), '{col}')
   ) x WHERE rn = 1)"""
-    return f"""WITH {CH}, {BASE}, {DEC},
+    return f"""WITH {CH}, {BASE}, {DEC}, {FILLED},
 lastop AS (
   SELECT id, _op FROM (
     SELECT id, _op, ROW_NUMBER() OVER (
@@ -121,6 +141,32 @@ UNION ALL
 SELECT id, name, salary FROM touched"""
 
 
+# Sequential fill of 64 KiB segments with a header of 4096 bytes: from the
+# start of a segment, the next one starts at the first row that does not fit.
+FILL = f"""{SEG.replace("r AS (", "RECURSIVE r AS (", 1)},
+st AS (
+  SELECT 0 AS n, CAST(0 AS BIGINT) AS beg
+  UNION ALL
+  SELECT n + 1, x FROM (
+    SELECT n, (SELECT MIN(_running - _bytes) FROM s
+               WHERE _running > beg + 61440 AND _running - _bytes > beg) AS x FROM st) y
+  WHERE x IS NOT NULL),
+f AS (
+  SELECT _seq, _bytes, _running,
+         CAST((SELECT MAX(n) FROM st WHERE beg <= _running - _bytes) AS BIGINT) AS segment_id
+  FROM s)"""
+
+RELATION_AS_OF = """WITH d AS (
+  SELECT event_id, datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS day
+  FROM events),
+f AS (SELECT day, MIN(event_id) AS first_id FROM d GROUP BY day)
+SELECT 4 * d.event_id + 2 AS _seq, 4 * f.first_id + 1 AS rel_seq,
+       'employee' AS "table",
+       CASE WHEN d.day % 2 = 0 THEN 'id,name,salary' ELSE 'salary,id,name' END
+         AS cols
+FROM d JOIN f ON d.day = f.day"""
+
+
 ORACLES: dict[str, str] = {
     "snapshot_scan": "SELECT * FROM orders",
 
@@ -155,17 +201,10 @@ WHERE seq > (SELECT CAST(FLOOR(MAX(event_id) / 2) AS BIGINT) FROM events)""",
     "snapshot_copy_dump": "SELECT doc_id, text, lang, source, n_chars FROM documents",
 
     "pgoutput_decode": f"""WITH {CH}, {DEC}
-SELECT * FROM dec""",
+SELECT * EXCLUDE (moved) FROM dec""",
 
-    "relation_as_of": """WITH d AS (
-  SELECT event_id, datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS day
-  FROM events),
-f AS (SELECT day, MIN(event_id) AS first_id FROM d GROUP BY day)
-SELECT 4 * d.event_id + 2 AS _seq, 4 * f.first_id + 1 AS rel_seq,
-       'employee' AS "table",
-       CASE WHEN d.day % 2 = 0 THEN 'id,name,salary' ELSE 'salary,id,name' END
-         AS cols
-FROM d JOIN f ON d.day = f.day""",
+    "relation_as_of": RELATION_AS_OF,
+    "relation_as_of_carry": RELATION_AS_OF,
 
     "lsn_parse": """SELECT event_id,
   printf('%X/%X', (94489280512 + event_id * 24) >> 32,
@@ -277,6 +316,32 @@ FROM g GROUP BY segment_id""",
     "segment_rows": f"""WITH {SEG}
 SELECT _seq, _bytes, _running, segment_id FROM g""",
 
+    "segment_fill": f"""WITH {FILL}
+SELECT segment_id, COUNT(*) AS n_rows, CAST(SUM(_bytes) AS BIGINT) AS n_bytes,
+       MIN(_seq) AS first_seq, MAX(_seq) AS last_seq
+FROM f GROUP BY segment_id""",
+
+    "segment_fill_rows": f"""WITH {FILL}
+SELECT _seq, _bytes, _running, segment_id FROM f""",
+
+    "key_lineage": """WITH moved AS (
+  SELECT user_id, MAX(event_id) AS last,
+         MAX(CASE WHEN event_id % 7 = 0 THEN event_id END) AS sent,
+         ARG_MAX(value, event_id) AS salary
+  FROM events GROUP BY user_id)
+SELECT 1000000000 + last AS id,
+       CASE WHEN sent IS NULL THEN c_name ELSE event_type END AS name, salary
+FROM moved LEFT JOIN customer ON c_custkey = user_id
+LEFT JOIN events e ON e.event_id = sent
+UNION ALL
+SELECT c_custkey, c_name, c_acctbal FROM customer
+WHERE c_custkey NOT IN (SELECT user_id FROM events)""",
+
+    "value_as_of": """SELECT p.event_id, p.user_id, s.event_id AS signup, s.value AS signup_value
+FROM (SELECT event_id, user_id, MAX(CASE WHEN event_type = 'signup' THEN event_id END) OVER (
+        ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS last FROM events) p
+LEFT JOIN events s ON s.event_id = p.last""",
+
     "tombstone_rows": f"""WITH {CH}
 SELECT seq AS _seq, op AS _op, id, CAST(NULL AS VARCHAR) AS name,
        CAST(NULL AS DOUBLE) AS salary
@@ -305,6 +370,16 @@ SELECT seq AS _seq, op AS _op, id, name, salary FROM (
   SELECT p.*, ROW_NUMBER() OVER (PARTITION BY part, id ORDER BY seq DESC) AS rn
   FROM p) x WHERE rn = 1""",
 
+    "stream_direct_batches": f"""WITH {CH},
+m AS (SELECT MAX(event_id) AS top FROM events),
+p AS (SELECT id, CAST(FLOOR(seq * 10 / (m.top + 1)) AS INTEGER) AS part, MAX(seq) AS seq
+      FROM ch, m GROUP BY ALL)
+SELECT COUNT(*) AS n_rows, MIN(seq) AS first_seq, MAX(seq) AS last_seq FROM p GROUP BY part""",
+
+    "stream_reused_checkpoint": APPLY_IN_ORDER,
+    "file_sink_replay": f"""WITH {CH}
+SELECT seq AS _seq, op AS _op, id, name FROM ch""",
+
     "stream_apply": APPLY_IN_ORDER,
     "stream_apply_direct": APPLY_IN_ORDER,
     "stream_apply_buffered": APPLY_IN_ORDER,

@@ -19,7 +19,9 @@ from ..functions.positions import (clock_to_timestamp, format_position,
 from ..functions.render import render_row
 from ..operators import apply as A
 from ..operators import rows as R
-from ..operators.batches import SEGMENT_BYTES, batch_summary, plan_batches
+from ..operators.asof import carry_forward
+from ..operators.batches import (SEGMENT_BYTES, SEGMENT_HEADER, batch_summary, fill_segments,
+                                 plan_batches)
 from ..operators.changes import net_changes, tombstones
 from ..operators.route import (check_source_identity, read_from_position,
                                route_by_op, route_by_table)
@@ -45,6 +47,8 @@ EMPLOYEE_KEYED = StructType([StructField("id", LongType(), False),
                              StructField("salary", DoubleType(), True)])
 CHANGE_COLS = ["_seq", "_op", "id", "name", "salary"]
 SEGMENT_CAP = 1024 * 1024  # batch cap used by segment_plan (bytes)
+FILL_CAP = 64 * 1024       # cap used by segment_fill (bytes)
+NAME_EVERY = 7             # key_lineage sends the name with every seventh event
 STREAM_FILES = 10          # the landed feed is cut into this many files
 
 
@@ -142,18 +146,36 @@ def pgoutput_decode(spark, sf):
     return _decoded_out(_decoded(spark, sf))
 
 
-def relation_as_of_q(spark, sf):
+def relation_as_of_q(spark, sf, carry=None):
     """Per row message: its position, and the position, table and column
     list of the relation version in force there."""
     msgs = _landed_capture(spark, sf)
     rels = parse_relations(msgs)
     vers = collect_versions(rels)
     width = vers.agg(F.max(F.size("cols"))).first()[0] or 0
-    att = relation_as_of(parse_rows(msgs, width), rels, versions=vers)
+    att = relation_as_of(parse_rows(msgs, width), rels, versions=vers, carry=carry)
     return att.select("_seq", F.col("_rel_seq").alias("rel_seq"), "table",
                       F.array_join("cols", ",").alias("cols"))
 
 
+def relation_as_of_carry(spark, sf):
+    """The same by carry-forward along the feed, as for a relation with many
+    versions or more rows than one task should hold."""
+    return relation_as_of_q(spark, sf, carry=True)
+
+
+def value_as_of(spark, sf):
+    """Each event with the newest signup up to it: one key holds all rows, a
+    fifth of them versions."""
+    ev = table(spark, sf, "events").withColumn("all", F.lit(0))
+    signups = ev.where("event_type = 'signup'").select(
+        "all", "event_id", F.struct(F.col("event_id").alias("signup"), "value").alias("last"))
+    found = carry_forward(ev.select("all", "event_id", "user_id"), signups,
+                          ["all"], ["event_id"], ["last"])
+    return found.select("event_id", "user_id", "last.signup",
+                        F.col("last.value").alias("signup_value"))
+
+
 def lsn_parse(spark, sf):
     ev = table(spark, sf, "events").select("event_id")
     lsn = F.lit(capture.LSN_BASE) + F.col("event_id") * capture.LSN_STEP
@@ -313,6 +335,20 @@ def segment_rows(spark, sf):
                           F.col("_batch").alias("segment_id"))
 
 
+def _filled(spark, sf):
+    return fill_segments(_doc_lines(spark, sf), "_bytes", FILL_CAP, header=SEGMENT_HEADER)
+
+
+def segment_fill(spark, sf):
+    """O5 by sequential fill: a segment rolls before the cap is passed."""
+    return batch_summary(_filled(spark, sf), "_bytes").withColumnRenamed("_batch", "segment_id")
+
+
+def segment_fill_rows(spark, sf):
+    return _filled(spark, sf).select("_seq", "_bytes", "_running",
+                                     F.col("_batch").alias("segment_id"))
+
+
 def tombstone_rows(spark, sf):
     return tombstones(_ch(spark, sf), EMPLOYEE_KEYS).select(*CHANGE_COLS)
 
@@ -326,6 +362,31 @@ def unchanged_fill(spark, sf):
     return apply_with_unchanged(_base(spark, sf), _decoded(spark, sf), EMPLOYEE_KEYS)
 
 
+def key_lineage(spark, sf):
+    """X1 in long chains: each event moves its user's row to a key of its own
+    and sends the name every seventh time only."""
+    ev = table(spark, sf, "events")
+    before = carry_forward(ev, ev.select("user_id", "event_id", F.col("event_id").alias("prior")),
+                           ["user_id"], ["event_id"], ["prior"], inclusive=False)
+    key = F.col("event_id") + feeds.NEW_KEY
+    old = F.coalesce(F.col("prior") + feeds.NEW_KEY, F.col("user_id"))
+    sent = F.col("event_id") % NAME_EVERY == 0
+    none = F.array().cast("array<string>")
+    nothing = F.lit(None).cast("struct<id: long>")
+    names = ["_sub", "_op", "id", "name", "salary", "_unchanged", "_from"]
+
+    def change(*values):
+        return F.struct(*[v.alias(n) for v, n in zip(values, names)])
+
+    moves = before.select(F.col("event_id").alias("_seq"), F.inline(F.array(
+        change(F.lit(0), F.lit("D"), old, F.lit(None).cast("string"),
+               F.lit(None).cast("double"), none, nothing),
+        change(F.lit(1), F.lit("I"), key, F.when(sent, F.col("event_type")), F.col("value"),
+               F.when(sent, none).otherwise(F.array(F.lit("name"))),
+               F.struct(old.alias("id"))))))
+    return apply_with_unchanged(_base(spark, sf), moves, EMPLOYEE_KEYS)
+
+
 # -- sinks, targets, client ---------------------------------------------------
 
 def file_sink_rows(spark, sf):
@@ -437,11 +498,53 @@ def stream_compact_vacuum(spark, sf):
 def stream_apply_direct(spark, sf):
     path = _landed_feed(spark, sf)
     t = _seeded_target(spark, sf)
-    run_available(_stream(spark, path, max_files=STREAM_FILES), t, EMPLOYEE_KEYS,
+    run_available(_stream(spark, path), t, EMPLOYEE_KEYS,
                   checkpoint=scratch_path(spark, "ckpt"), direct=True)
     return t.current()
 
 
+def stream_direct_batches(spark, sf):
+    """Each landed file is a batch of its own, applied as it comes: rows and
+    positions of every batch's net change."""
+    path = _landed_feed(spark, sf)
+    t = _seeded_target(spark, sf)
+    run_available(_stream(spark, path), t, EMPLOYEE_KEYS,
+                  checkpoint=scratch_path(spark, "ckpt"), direct=True)
+    log = spark.read.parquet(os.path.join(t.path, "log"))
+    batches = log.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("_seq").alias("first_seq"),
+        F.max("_seq").alias("last_seq"))
+    return batches.select("n_rows", "first_seq", "last_seq")
+
+
+def stream_reused_checkpoint(spark, sf):
+    """T5: half the feed, then the checkpoint folder is emptied and used again
+    for the rest, whose batches are numbered from 0 again; none may be lost."""
+    ch = _ch(spark, sf)
+    half = F.floor(F.lit(_max_seq(spark, sf)) / 2)
+    t = _seeded_target(spark, sf)
+    ckpt = scratch_path(spark, "ckpt")
+    for cond in (F.col("_seq") <= half, F.col("_seq") > half):
+        path = scratch_path(spark, "feed")
+        ch.where(cond).write.parquet(path)
+        run_available(_stream(spark, path), t, EMPLOYEE_KEYS, checkpoint=ckpt)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ckpt)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return t.current()
+
+
+def file_sink_replay(spark, sf):
+    """K1: a batch that is written again is there once."""
+    ch = _ch(spark, sf).select("_seq", "_op", "id", "name")
+    target = CsvTarget(spark, scratch_path(spark, "csv_sink"))
+    half = F.floor(F.lit(_max_seq(spark, sf)) / 2)
+    for batch, cond in ((0, F.col("_seq") <= half), (1, F.col("_seq") > half),
+                        (1, F.col("_seq") > half), (0, F.col("_seq") <= half)):
+        target.write_batch(ch.where(cond), batch)
+    return target.read(StructType([f for f in FEED_SCHEMA.fields
+                                   if f.name not in ("_sub", "salary")]))
+
+
 def staged_log(spark, sf):
     path = _landed_feed(spark, sf)
     t = _seeded_target(spark, sf)
@@ -577,6 +680,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_copy_dump": snapshot_copy_dump,
     "pgoutput_decode": pgoutput_decode,
     "relation_as_of": relation_as_of_q,
+    "relation_as_of_carry": relation_as_of_carry,
+    "value_as_of": value_as_of,
     "lsn_parse": lsn_parse,
     "typed_parse": typed_parse,
     "cast_to_target": cast_to_target,
@@ -596,9 +701,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_keys": duplicate_keys,
     "segment_plan": segment_plan,
     "segment_rows": segment_rows,
+    "segment_fill": segment_fill,
+    "segment_fill_rows": segment_fill_rows,
     "tombstone_rows": tombstone_rows,
     "key_change_update": key_change_update,
     "unchanged_fill": unchanged_fill,
+    "key_lineage": key_lineage,
     "file_sink_rows": file_sink_rows,
     "stream_csv_sink": stream_csv_sink,
     "staged_log": staged_log,
@@ -607,6 +715,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_apply_buffered": stream_apply_buffered,
     "stream_compact_vacuum": stream_compact_vacuum,
     "stream_resume": stream_resume,
+    "stream_direct_batches": stream_direct_batches,
+    "stream_reused_checkpoint": stream_reused_checkpoint,
+    "file_sink_replay": file_sink_replay,
     "stream_decode_apply": stream_decode_apply,
     "source_identity": source_identity,
     "target_filter_scan": target_filter_scan,

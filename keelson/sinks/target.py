@@ -38,7 +38,7 @@ from pyspark.sql.utils import AnalysisException
 from ..operators.changes import DELETE, META, OP, SEQ, SUB, net_changes
 from ..functions.copytext import encode_line
 from ..operators.unchanged import MOVED_FROM, UNCHANGED, fill_moved, net_with_unchanged
-from ..sources.snapshot import read_copy_text
+from ..sources.snapshot import copy_lines_to_rows
 
 MIN_SEQ = -(2 ** 63)
 LEDGER_SCHEMA = StructType([
@@ -171,20 +171,11 @@ class FileTarget:
             raise ValueError("seed the target before the first batch")
         fs, path = self._fs("log", f"run={run}", f"batch_id={batch_id}")
         if self._committed(fs, path):
+            self._expect_replay(self._staged(changes), run, batch_id)
             return
         if self.unchanged and MOVED_FROM in changes.columns:
             changes = fill_moved(self.current(), changes, self.keys)
-        if self.unchanged:
-            sub = F.col(SUB) if SUB in changes.columns else F.lit(0)
-            unch = (F.col(UNCHANGED) if UNCHANGED in changes.columns
-                    else F.array().cast("array<string>"))
-            net = changes.select(SEQ, sub.cast("int").alias(SUB), OP,
-                                 *[F.col(c) for c in self.columns],
-                                 unch.alias(UNCHANGED))
-        else:
-            changes = _refuse_unchanged(changes)
-            net = net_changes(changes, self.keys).select(
-                SEQ, OP, *[F.col(c) for c in self.columns])
+        net = self._staged(changes)
         out = self._p("log", f"run={run}", f"batch_id={batch_id}")
         # Batch statistics ride along with the write (no second pass).
         obs = Observation(f"keelson_batch_{batch_id}")
@@ -203,6 +194,28 @@ class FileTarget:
                          first_seq=stats["lo"], last_seq=stats["hi"],
                          system_id=system_id)
 
+    def _staged(self, changes: DataFrame) -> DataFrame:
+        """The rows of a batch's log."""
+        if not self.unchanged:
+            return net_changes(_refuse_unchanged(changes), self.keys).select(
+                SEQ, OP, *[F.col(c) for c in self.columns])
+        sub = F.col(SUB) if SUB in changes.columns else F.lit(0)
+        unch = (F.col(UNCHANGED) if UNCHANGED in changes.columns
+                else F.array().cast("array<string>"))
+        return changes.select(SEQ, sub.cast("int").alias(SUB), OP,
+                              *[F.col(c) for c in self.columns], unch.alias(UNCHANGED))
+
+    def _expect_replay(self, net: DataFrame, run: str, batch_id: int) -> None:
+        """A batch that is there already may only come again as it was; another
+        batch of its name must not vanish."""
+        def mark(df: DataFrame):
+            return df.agg(F.count(F.lit(1)), F.min(SEQ), F.max(SEQ),
+                          F.bit_xor(F.xxhash64(SEQ, OP, *self.keys))).first()
+        there = mark(self._logs([(run, batch_id)]))
+        if mark(net) != there:
+            raise ValueError(f"batch {batch_id} of run {run!r} is committed with other changes "
+                             f"(positions {there[1]} to {there[2]})")
+
     # -- reads --------------------------------------------------------
     def _base(self, gen: int) -> DataFrame:
         return self.spark.read.parquet(self._p("base", f"gen={gen}"))
@@ -440,9 +453,14 @@ class CsvTarget:
 
     def write_batch(self, changes: DataFrame, batch_id: int | None = None,
                     system_id: str | None = None, run: str = "direct") -> None:
-        """Batch append. In a stream use ``stream_sink`` instead: the file
-        sink's own log makes a replayed micro-batch write once."""
-        self._lines(changes).write.mode("append").option("lineSep", "\n").text(self.path)
+        """Without ``batch_id`` the lines are appended. With one they go to a
+        folder of that batch, which a replay writes again, so a batch is there
+        once. A folder counts when its write has committed."""
+        lines = self._lines(changes).write.option("lineSep", "\n")
+        if batch_id is None:
+            lines.mode("append").text(self.path)
+        else:
+            lines.mode("overwrite").text(os.path.join(self.path, f"run-{run}-batch-{batch_id}"))
 
     def stream_sink(self, changes: DataFrame, checkpoint: str):
         return (self._lines(changes).writeStream.format("text")
@@ -450,7 +468,8 @@ class CsvTarget:
                 .option("checkpointLocation", checkpoint))
 
     def read(self, schema: StructType) -> DataFrame:
-        return read_copy_text(self.spark, self.path, schema, self.sep)
+        lines = self.spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
+        return copy_lines_to_rows(lines.text(self.path), schema, "value", self.sep)
 
 
 def target_schema(df: DataFrame, keys: Sequence[str]) -> StructType:

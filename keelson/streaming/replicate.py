@@ -6,13 +6,13 @@
 * T2: buffered flush - ``trigger={'processingTime': '120 seconds'}`` plus a
   size bound on the source (``maxBytesPerTrigger``/``maxFilesPerTrigger``);
   ``{'availableNow': True}`` drains what has landed and stops.
-* T3: direct flush - ``direct=True`` uses the default trigger: a batch is
-  visible as soon as it has landed. It is staged like any other; the table
-  is never rewritten for a batch.
+* T3: direct flush - ``direct=True`` uses the default trigger, so what arrives
+  is applied at once; it cannot be combined with a trigger.
 * T4: staged logs - the file target's per-batch log directories.
-* T5: resume - the checkpoint holds source offsets. A restarted query
-  replays at most the last batch, whose write is idempotent per stream and
-  batch. A fresh checkpoint is another stream: its batches have names of
+* T5: resume - the checkpoint holds source offsets, and the stream's own name
+  (``run_name``). A restarted query replays at most the last batch, whose
+  write is idempotent per stream and batch. A fresh checkpoint, also one that
+  was emptied and used anew, is another stream: its batches have names of
   their own and are applied by position like all others.
 * T6: snapshot once - ``seed`` writes generation 0 only if the ledger has
   no snapshot.
@@ -22,10 +22,10 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -78,6 +78,28 @@ def _rejected_rows(batch: DataFrame, schema: StructType) -> DataFrame:
     return batch.where(bad)
 
 
+RUN_FILE = "keelson-run"
+
+
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream that ``checkpoint`` belongs to: made on first use
+    and kept inside the folder, so it goes when the folder's offsets go."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(checkpoint, RUN_FILE)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        stored = fs.open(path)
+        try:
+            return stored.readUTF()
+        finally:
+            stored.close()
+    name = uuid.uuid4().hex[:16]
+    out = fs.create(path, False)
+    out.writeUTF(name)
+    out.close()
+    return name
+
+
 def replicate(feed: DataFrame, target, keys: Sequence[str],
               schema: StructType | None = None, checkpoint: str | None = None,
               trigger: dict | None = None, direct: bool = False,
@@ -97,8 +119,10 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
     """
     spark = feed.sparkSession
     schema = schema or getattr(target, "schema", None)
+    if direct and trigger is not None:
+        raise ValueError("a direct stream applies what arrives at once: give no trigger")
     checkpoint = checkpoint or scratch_path(spark, "streams")
-    run = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    run = run_name(spark, checkpoint)
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         # A transform reads the batch more than once (relations, rows):
@@ -127,7 +151,7 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
 
     writer = (feed.writeStream.foreachBatch(apply_batch)
               .option("checkpointLocation", checkpoint))
-    trig = trigger if trigger is not None else ({} if direct else DEFAULT_TRIGGER)
+    trig = {} if direct else (DEFAULT_TRIGGER if trigger is None else trigger)
     if trig:
         writer = writer.trigger(**trig)
     if query_name:
@@ -137,7 +161,15 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
 
 def run_available(feed: DataFrame, target, keys: Sequence[str], **kwargs
                   ) -> StreamingQuery:
-    """Drain everything that has landed, then stop (``availableNow``)."""
+    """Drain everything that has landed, then stop (``availableNow``; with
+    ``direct=True`` batch after batch as they come)."""
+    if kwargs.get("direct"):
+        q = replicate(feed, target, keys, **kwargs)
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        return q
     q = replicate(feed, target, keys, trigger={"availableNow": True}, **kwargs)
     q.awaitTermination()
     if q.exception():
