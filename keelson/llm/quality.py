@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from keelson.llm.common import id_text, slices
-from keelson.llm.vectors import Texts, covered, mix, repeated
+from keelson.llm.samples import fitted, sample_frame
+from keelson.llm.vectors import Texts, covered, exact_names, mix, named, repeated
 
 BITS = 18
 KEEP = 0.5
@@ -120,6 +121,11 @@ def train(rows: list, *, rounds: int = 100, rate: float = 0.5, decay: float = 1e
     return QualityModel(full.astype(np.float32), b, scale, shift)
 
 
+def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """Train on a bounded sample of the labelled rows, in an executor."""
+    return fitted(sample_frame(docs, labels, "quality"), train)
+
+
 def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Newton steps for sigmoid(scale * z + shift) on smoothed targets."""
     pos, neg = y.sum(), len(y) - y.sum()
@@ -150,13 +156,26 @@ def _line_repeats(t: Texts) -> np.ndarray:
     end = end - ((end > start) & (t.raw[end - 1] == 0x0A))
     has = np.searchsorted(t.start, end) > np.searchsorted(t.start, start)
     start, end, doc = start[has], end[has], doc[has]
-    key = t.hashes(start, end) + mix(doc.astype(np.uint64))
+    key, _ = named(exact_names(t.raw, start, end) << 32 | doc)
     order = np.argsort(key, kind="stable")
     same = np.zeros(len(key), bool)
     same[order[1:]] = key[order[1:]] == key[order[:-1]]
     return np.bincount(doc[same], minlength=t.n)
 
 
+def _again(t: Texts) -> np.ndarray:
+    """Windows of ``WINDOW`` words that occur twice or more in their text. Names
+    are equal where words are, not where hashes are."""
+    n = len(t.start)
+    last = np.repeat(t.first[1:], np.diff(t.first))
+    at = np.flatnonzero(np.arange(n) + WINDOW <= last)
+    words = exact_names(t.raw, t.start, t.end)
+    key = t.doc_of_word()[at]
+    for j in range(WINDOW):
+        key, _ = named(key << 32 | words[at + j])
+    return at[repeated(key)]
+
+
 COLUMNS = {"n_words": pa.int64(), "word_chars": pa.int64(), "n_symbols": pa.int64(),
            "n_dup_lines": pa.int64(), "n_repeat_words": pa.int64(),
            "base_failed": pa.bool_(), "kept": pa.bool_(), "quality": pa.float64()}
@@ -170,10 +189,7 @@ def measure(column: pa.Array, model: QualityModel) -> dict[str, np.ndarray]:
     n_words = np.diff(t.first)
     solid = np.concatenate([[0], np.cumsum(t.solid & ((t.raw & 0xC0) != 0x80))])
     marks = np.concatenate([[0], np.cumsum(SYMBOLS[t.raw])])
-    five, fits = t.windows(words, WINDOW)
-    at = np.flatnonzero(fits)
-    key = five[at] + mix(t.doc_of_word()[at].astype(np.uint64))
-    again = covered(at[repeated(key)], WINDOW, len(words))
+    again = covered(_again(t), WINDOW, len(words))
     n_repeat = t.per_text(again)
     failed = (n_words < MIN_WORDS) | (100 * n_repeat > REPEAT_SHARE * n_words)
     quality = model.probability(_features(t, words))

@@ -13,15 +13,13 @@ from pyspark.sql import functions as F
 from keelson.llm import (byte_bpe, leaks, licenses, lines, merge_replay, near, phrases, pieces,
                          quality, runs, substrings, token_count, toxicity, wavelet)
 from keelson.llm.common import id_text, table
-from keelson.llm.samples import labelled_sample
 
 MAX_TOKENS = 2048
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = quality.train(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality"))
-    return quality.score(docs, model)
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

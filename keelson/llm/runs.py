@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.common import id_text, slices
-from keelson.llm.vectors import Texts, gathered, mix
+from keelson.llm.vectors import Texts, exact_names, gathered, mix, named
 
 LEAST = 12
 SLICE = 4 << 20
@@ -46,20 +46,6 @@ RUNS = ("doc_id long, n_words long, "
         "runs array<struct<start: long, length: long, period: long>>, collapsed string")
 
 
-def named(keys: np.ndarray) -> tuple[np.ndarray, int]:
-    """Equal keys to equal numbers from 0 on, and how many there are."""
-    found, name = np.unique(keys, return_inverse=True)
-    return name.reshape(-1), len(found)
-
-
-def exact_names(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A number for each byte range; two are equal where the bytes are."""
-    data, at = gathered(raw, start, end, None)
-    words = pa.Array.from_buffers(pa.large_binary(), len(start), [
-        None, pa.py_buffer(np.ascontiguousarray(at, np.int64)), pa.py_buffer(data.tobytes())])
-    return words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-
-
 class Grammar:
     """Run-length grammar of one sequence; ``marks`` flags the marks in it.
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.llm.common import filled, id_text, slices
-from keelson.llm.samples import label_odds, labelled_sample
+from keelson.llm.samples import fitted, label_odds, sample_frame
 from keelson.llm.vectors import Texts, mix
 
 LENGTH = 32
@@ -288,9 +288,10 @@ def train(rows: list, odds: float | None = None, *, epochs: int = 5, batch: int
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Train on a bounded sample of the rows that are not held out."""
-    rows = labelled_sample(docs, labels, "toxic", rows=TRAIN_ROWS, ones=TRAIN_TOXIC,
-                           where=~held_out())
-    return train(rows, label_odds(labels, "toxic", ~held_out()))
+    sample = sample_frame(docs, labels, "toxic", rows=TRAIN_ROWS, ones=TRAIN_TOXIC,
+                          where=~held_out())
+    odds = label_odds(labels, "toxic", ~held_out())
+    return fitted(sample, lambda rows: train(rows, odds))
 
 
 def held_out() -> Column:

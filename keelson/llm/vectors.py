@@ -9,6 +9,7 @@ one product; they are mixed before use as a key.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 from keelson.llm.common import SPACE_BYTES, text_bytes
 
@@ -76,6 +77,20 @@ def gathered(raw: np.ndarray, start: np.ndarray, end: np.ndarray,
     return out, at
 
 
+def named(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """Equal keys to equal numbers from 0 on, and how many there are."""
+    found, name = np.unique(keys, return_inverse=True)
+    return name.reshape(-1).astype(np.int64), len(found)
+
+
+def exact_names(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for each byte range; two are equal where the bytes are."""
+    data, at = gathered(raw, start, end, None)
+    ranges = pa.Array.from_buffers(pa.large_binary(), len(start), [
+        None, pa.py_buffer(np.ascontiguousarray(at, np.int64)), pa.py_buffer(data.tobytes())])
+    return ranges.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 class Texts:
     """The texts of one Arrow slice.
 
