@@ -15,8 +15,9 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 
-from keelson.llm.vectors import BASE, gathered, mix, powers, range_hashes
+from keelson.llm.vectors import gathered
 from keelson.llm.token_count import LAST_CHECKED, WHITE, _byte_chars, _classes, _tokenizer
 
 TABLE_ROWS = 700_000
@@ -104,21 +105,14 @@ class Encoder(dict):
         points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         at = np.cumsum([0] + [len(t) for t in texts])
         start = token_starts(self.kind[points], at)
-        end = np.append(start[1:], len(points))
         if not len(start):
             return [b""] * len(texts)
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(points)),
-                  out=sums[1:])
-        # pre-tokens are told apart by 64 bits of hash, within one slice
-        key = range_hashes(sums, start, end)
-        order = np.argsort(key)
-        new = np.append(True, key[order[1:]] != key[order[:-1]])
-        first = order[new]
-        which = np.empty(len(order), np.int64)
-        which[order] = np.cumsum(new) - 1
-        whole = "".join(texts)
-        ids = [self[whole[a:b]] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        # distinct by their characters, not by a hash: pre-tokens tile the texts
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(start), [
+            None, pa.py_buffer(4 * np.append(start, len(points)).astype(np.int64)),
+            pa.py_buffer(points)]).dictionary_encode()
+        which = pieces.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = [self[x.decode("utf-32-le")] for x in pieces.dictionary.to_pylist()]
         size = np.array([len(x) // 4 for x in ids])
         flat = np.frombuffer(b"".join(ids), "<u4")
         place = np.cumsum(size) - size

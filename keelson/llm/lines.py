@@ -26,6 +26,8 @@ nothing. Rows that share a doc_id are one document.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,6 +70,14 @@ class Lines:
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return range_hashes(self.sums, start, end)
 
+    def names(self, at: np.ndarray) -> np.ndarray:
+        """64 bits of a cryptographic hash of each of the lines ``at``: what lines
+        are told apart by."""
+        view = memoryview(self.points.tobytes())
+        digest = [blake2b(view[4 * a:4 * b], digest_size=8).digest()
+                  for a, b in zip(self.start[at].tolist(), self.end[at].tolist())]
+        return np.frombuffer(b"".join(digest), np.uint64)
+
     def long(self, least: int) -> np.ndarray:
         """Lines of ``least`` characters or more; those under LEAST with a word."""
         size = self.end - self.start
@@ -183,7 +193,7 @@ def within(a: str, b: str, limit: int) -> bool:
 
 
 def _candidates(docs: DataFrame, bounds) -> DataFrame:
-    """(key, node): segment keys that join different lines; a node is a line's hash."""
+    """(key, node): segment keys that join different lines; a node is a line's name."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = parts * BUCKETS_PER_PARTITION
 
@@ -216,7 +226,7 @@ def _candidates(docs: DataFrame, bounds) -> DataFrame:
         for b in slices(batches, most=SLICE):
             lines = Lines(b.column("text").to_pylist())
             at = lines.long(compared(bounds))
-            node = lines.hash(lines.start[at], lines.end[at])
+            node = lines.names(at)
             node, one = np.unique(node, return_index=True)
             if len(node):
                 index, probe = entries(lines, at[one], bounds)
@@ -285,7 +295,7 @@ def _texts(docs: DataFrame, rows: DataFrame, bounds) -> DataFrame:
         for b in slices(batches, most=SLICE):
             lines = Lines(b.column("text").to_pylist())
             at = lines.long(compared(bounds))
-            node = lines.hash(lines.start[at], lines.end[at])
+            node = lines.names(at)
             node, one = np.unique(node, return_index=True)
             keep = flags[(node & np.uint64(len(flags) - 1)).astype(np.int64)]
             at = at[one[keep]]
@@ -336,7 +346,7 @@ def repeats(docs: DataFrame, *, bounds=LONG) -> DataFrame:
             lines = Lines(b.column("text").to_pylist())
             at = lines.long(bounds[0][0])
             text = np.searchsorted(lines.first, at, side="right") - 1
-            node = lines.hash(lines.start[at], lines.end[at])
+            node = lines.names(at)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(pa.array(text)),
                  pa.array((at - lines.first[text]).astype(np.int32)),
