@@ -156,6 +156,24 @@ f AS (
          CAST((SELECT MAX(n) FROM st WHERE beg <= _running - _bytes) AS BIGINT) AS segment_id
   FROM s)"""
 
+APPLY_WIDE_KEYS = """WITH n AS (SELECT COUNT(*) AS n FROM orders),
+oc AS (
+  SELECT event_id AS seq,
+         CASE WHEN event_id % 97 = 0 THEN 'D'
+              WHEN event_type = 'signup' THEN 'I' ELSE 'U' END AS op,
+         (event_id * 7919) % (n.n + n.n // 4) AS o_orderkey, user_id AS o_custkey,
+         substr(event_type, 1, 1) AS o_orderstatus, value AS o_totalprice,
+         ts AS o_orderdate, event_type AS o_orderpriority
+  FROM events, n),
+latest AS (
+  SELECT * FROM (SELECT oc.*, ROW_NUMBER() OVER (
+    PARTITION BY o_orderkey ORDER BY seq DESC) AS rn FROM oc) x WHERE rn = 1)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority FROM latest WHERE op <> 'D'
+UNION ALL
+SELECT * FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.o_orderkey = o.o_orderkey)"""
+
 RELATION_AS_OF = """WITH d AS (
   SELECT event_id, datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS day
   FROM events),
@@ -246,23 +264,8 @@ merged AS (
 SELECT * FROM merged m
 WHERE NOT EXISTS (SELECT 1 FROM ch WHERE ch.op = 'D' AND ch.id = m.id)""",
 
-    "apply_wide_keys": """WITH n AS (SELECT COUNT(*) AS n FROM orders),
-oc AS (
-  SELECT event_id AS seq,
-         CASE WHEN event_id % 97 = 0 THEN 'D'
-              WHEN event_type = 'signup' THEN 'I' ELSE 'U' END AS op,
-         (event_id * 7919) % (n.n + n.n // 4) AS o_orderkey, user_id AS o_custkey,
-         substr(event_type, 1, 1) AS o_orderstatus, value AS o_totalprice,
-         ts AS o_orderdate, event_type AS o_orderpriority
-  FROM events, n),
-latest AS (
-  SELECT * FROM (SELECT oc.*, ROW_NUMBER() OVER (
-    PARTITION BY o_orderkey ORDER BY seq DESC) AS rn FROM oc) x WHERE rn = 1)
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-       o_orderpriority FROM latest WHERE op <> 'D'
-UNION ALL
-SELECT * FROM orders o
-WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.o_orderkey = o.o_orderkey)""",
+    "apply_wide_keys": APPLY_WIDE_KEYS,
+    "apply_bucketed": APPLY_WIDE_KEYS,
 
     "upsert_by_key": f"""WITH {CH}, {BASE},
 ups AS (
@@ -380,6 +383,21 @@ SELECT COUNT(*) AS n_rows, MIN(seq) AS first_seq, MAX(seq) AS last_seq FROM p GR
     "file_sink_replay": f"""WITH {CH}
 SELECT seq AS _seq, op AS _op, id, name FROM ch""",
 
+    "catalog_apply": APPLY_IN_ORDER,
+    "catalog_apply_stream": APPLY_IN_ORDER,
+    "catalog_key_scan": f"""SELECT * FROM ({APPLY_IN_ORDER}) t WHERE id = 2""",
+    "catalog_unchanged_moves": _unchanged_fill(),
+    "source_identity": """SELECT DISTINCT '7412345678901234567' AS system_id FROM events""",
+    "source_identity_feeds": f"""WITH {CH}, {BASE},
+h AS (SELECT CAST(FLOOR(MAX(event_id) / 2) AS BIGINT) AS half FROM events),
+one AS (SELECT ch.* FROM ch, h WHERE seq <= half),
+last AS (SELECT id, ARG_MAX(op, seq) AS op FROM one GROUP BY id),
+n AS (SELECT (SELECT COUNT(*) FROM last WHERE op <> 'D')
+           + (SELECT COUNT(*) FROM base WHERE id NOT IN (SELECT id FROM last)) AS n_rows)
+SELECT CASE WHEN seq <= half THEN 'first' ELSE 'second' END AS feed, COUNT(*) AS n_changes,
+       BOOL_AND(seq <= half) AS taken, ANY_VALUE(n_rows) AS n_rows
+FROM ch, h, n GROUP BY 1""",
+
     "stream_apply": APPLY_IN_ORDER,
     "stream_apply_direct": APPLY_IN_ORDER,
     "stream_apply_buffered": APPLY_IN_ORDER,

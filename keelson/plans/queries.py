@@ -28,12 +28,14 @@ from ..operators.route import (check_source_identity, read_from_position,
 from ..operators.partitioning import spread
 from ..operators.unchanged import apply_with_unchanged
 from ..session import scratch_path
+from ..sinks.partitioned import RangeTarget, bucketed_table
 from ..sinks.target import CsvTarget, FileTarget
 from ..sources.feed import read_feed, stream_feed
 from ..sources.messages import (collect_versions, decode_messages,
                                 parse_relations, parse_rows, relation_as_of)
 from ..sources.snapshot import (copy_lines_to_rows, read_snapshot, to_copy_lines,
                                 write_copy_text)
+from ..streaming.keyed import newest
 from ..streaming.messages import replicate_messages
 from ..streaming.replicate import run_available
 from . import capture, feeds
@@ -49,6 +51,8 @@ CHANGE_COLS = ["_seq", "_op", "id", "name", "salary"]
 SEGMENT_CAP = 1024 * 1024  # batch cap used by segment_plan (bytes)
 FILL_CAP = 64 * 1024       # cap used by segment_fill (bytes)
 NAME_EVERY = 7             # key_lineage sends the name with every seventh event
+RANGES = 16                # key ranges of the partitioned target
+BUCKETS = 16               # buckets of the bucketed target
 STREAM_FILES = 10          # the landed feed is cut into this many files
 
 
@@ -432,6 +436,72 @@ def stream_csv_sink(spark, sf):
                                    StructField("name", StringType())]))
 
 
+def _range_target(spark, sf) -> RangeTarget:
+    loc = scratch_path(spark, "tables")
+    return RangeTarget.create(f"ranges_{os.path.basename(loc)}", _base(spark, sf),
+                              EMPLOYEE_KEYS, RANGES, loc)
+
+
+def catalog_apply(spark, sf):
+    """K3, K4 on a plain catalog table: the feed in one batch, only the touched
+    key ranges are read and written."""
+    t = _range_target(spark, sf)
+    t.write_batch(_ch(spark, sf))
+    return t.current()
+
+
+def catalog_apply_stream(spark, sf):
+    """The same through a stream, a batch a file, whose files come in any order:
+    keyed state keeps late older changes out."""
+    path = _landed_feed(spark, sf)
+    t = _range_target(spark, sf)
+    run_available(newest(_stream(spark, path), EMPLOYEE_KEYS), t, EMPLOYEE_KEYS,
+                  checkpoint=scratch_path(spark, "ckpt"), output_mode="update")
+    return t.current()
+
+
+def catalog_key_scan(spark, sf):
+    """The row of one key, from the partition that can hold it."""
+    t = _range_target(spark, sf)
+    t.write_batch(_ch(spark, sf))
+    return t.where_key(2)
+
+
+def catalog_unchanged_moves(spark, sf):
+    """X1 and X3 on a catalog table: decoded messages with moves between key
+    ranges and values that were not sent."""
+    t = _range_target(spark, sf)
+    t.write_batch(_decoded(spark, sf))
+    return t.current()
+
+
+def apply_bucketed(spark, sf):
+    """J1, J3 on a table bucketed by its key, which is joined in place."""
+    loc = scratch_path(spark, "tables")
+    base = bucketed_table(f"buckets_{os.path.basename(loc)}", feeds.order_base(spark, sf),
+                          feeds.ORDER_KEYS, BUCKETS, loc)
+    return A.apply_changes(base, feeds.order_changes(spark, sf), feeds.ORDER_KEYS)
+
+
+def source_identity_feeds(spark, sf):
+    """Two feeds, the second from another system: what each would change
+    and whether the target took it."""
+    t = _range_target(spark, sf)
+    ch = _ch(spark, sf)
+    half = F.floor(F.lit(_max_seq(spark, sf)) / 2)
+    out = []
+    for name, cond in (("first", F.col("_seq") <= half), ("second", F.col("_seq") > half)):
+        feed = ch.where(cond).withColumn("system_id", F.lit(name))
+        try:
+            t.write_batch(feed)
+            taken = True
+        except ValueError:
+            taken = False
+        out.append(feed.groupBy(F.col("system_id").alias("feed")).agg(
+            F.count(F.lit(1)).alias("n_changes")).withColumn("taken", F.lit(taken)))
+    return out[0].unionByName(out[1]).withColumn("n_rows", F.lit(t.current().count()))
+
+
 def _landed_feed(spark, sf) -> str:
     """Write the derived feed as STREAM_FILES files cut by position."""
     ch = _ch(spark, sf)
@@ -715,6 +785,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_apply_buffered": stream_apply_buffered,
     "stream_compact_vacuum": stream_compact_vacuum,
     "stream_resume": stream_resume,
+    "catalog_apply": catalog_apply,
+    "catalog_apply_stream": catalog_apply_stream,
+    "catalog_key_scan": catalog_key_scan,
+    "catalog_unchanged_moves": catalog_unchanged_moves,
+    "apply_bucketed": apply_bucketed,
+    "source_identity_feeds": source_identity_feeds,
     "stream_direct_batches": stream_direct_batches,
     "stream_reused_checkpoint": stream_reused_checkpoint,
     "file_sink_replay": file_sink_replay,

@@ -107,7 +107,8 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
               transform: Callable[[DataFrame, int], DataFrame] | None = None,
               query_name: str | None = None,
               compact_every: int | None = None,
-              rejects_path: str | None = None) -> StreamingQuery:
+              rejects_path: str | None = None,
+              output_mode: str = "append") -> StreamingQuery:
     """Start replicating a streaming change feed into ``target``.
 
     ``transform(batch, batch_id)`` runs first on each micro-batch (e.g.
@@ -149,7 +150,7 @@ def replicate(feed: DataFrame, target, keys: Sequence[str],
         if due and hasattr(target, "compact"):
             target.compact()
 
-    writer = (feed.writeStream.foreachBatch(apply_batch)
+    writer = (feed.writeStream.outputMode(output_mode).foreachBatch(apply_batch)
               .option("checkpointLocation", checkpoint))
     trig = {} if direct else (DEFAULT_TRIGGER if trigger is None else trigger)
     if trig:
