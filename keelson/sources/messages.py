@@ -22,6 +22,8 @@ for each column, carrying the byte offset.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -47,8 +49,10 @@ def _walk(df: DataFrame, payload: Column, start: Column, max_cols: int,
     compiles into the surrounding generated code.
     """
     p = f"_{name}_"
+    keep = df.columns
     n = int16_be(payload, start)
-    df = df.select("*", F.when(start.isNotNull(), n).alias(f"{p}n"),
+    made = [f"{p}n"]
+    df = df.select(*keep, F.when(start.isNotNull(), n).alias(f"{p}n"),
                    (start + 2).cast("int").alias(f"{p}o0"))
     cnt = F.col(f"{p}n")
     for i in range(max_cols):
@@ -56,12 +60,12 @@ def _walk(df: DataFrame, payload: Column, start: Column, max_cols: int,
         active = F.lit(i) < cnt
         kb = payload.substr(off, F.lit(1))
         sized = active & ((kb == F.lit(b"t")) | (kb == F.lit(b"b")))
-        # Kind and length first, so the length is parsed once per column.
-        df = df.select("*", F.when(active, F.decode(kb, "ISO-8859-1")).alias(f"{p}k{i}"),
-                       F.when(sized, uint_be(payload, off + 1, 4).cast("int"))
-                       .alias(f"{p}l{i}"))
-        ln = F.col(f"{p}l{i}")
-        df = df.select("*", F.when(sized, utf8_at(payload, off + 5, ln)).alias(f"{p}v{i}"),
+        ln = uint_be(payload, off + 1, 4).cast("int")
+        made += [f"{p}k{i}", f"{p}v{i}"]
+        # only the next offset is carried on, the last ones are done with
+        df = df.select(*keep, *made[:-2],
+                       F.when(active, F.decode(kb, "ISO-8859-1")).alias(f"{p}k{i}"),
+                       F.when(sized, utf8_at(payload, off + 5, ln)).alias(f"{p}v{i}"),
                        F.when(sized, off + 5 + ln).when(active, off + 1)
                        .otherwise(off).alias(f"{p}o{i + 1}"))
     size = F.coalesce(cnt, F.lit(0)).cast("int")
@@ -71,8 +75,7 @@ def _walk(df: DataFrame, payload: Column, start: Column, max_cols: int,
         F.col(f"{p}o{max_cols}").alias("end"),
         (arr("k") if max_cols else F.array().cast("array<string>")).alias("kinds"),
         (arr("v") if max_cols else F.array().cast("array<string>")).alias("vals")))
-    temp = [c for c in df.columns if c.startswith(p)]
-    return df.withColumn(name, out).drop(*temp)
+    return df.select(*keep, out.alias(name))
 
 
 def parse_rows(messages: DataFrame, max_cols: int,
@@ -186,7 +189,7 @@ def relation_as_of(rows: DataFrame, relations: DataFrame,
     """
     vers = versions if versions is not None else collect_versions(relations)
     if carry is None:
-        carry = not fits_broadcast(vers) or most_versions(vers) > FEW_VERSIONS
+        carry = not fits_broadcast(vers) or most_versions(version_facts(vers)) > FEW_VERSIONS
     values = ["_rel_seq", "namespace", "table", "cols", "keys"]
     if carry:
         force = vers.select("oid", F.col("_from").alias("_seq"), F.struct(
@@ -204,9 +207,12 @@ def relation_as_of(rows: DataFrame, relations: DataFrame,
                                 "left").select(*out_cols)
 
 
-def most_versions(versions: DataFrame) -> int:
-    """The largest number of versions that one relation has."""
-    return versions.groupBy("oid").count().agg(F.max("count")).first()[0] or 0
+def most_versions(facts: list) -> int:
+    """The largest number of versions that one relation has (of ``version_facts``)."""
+    count = Counter()
+    for r in facts:
+        count[r["oid"]] += r["n"]
+    return max(count.values(), default=0)
 
 
 def _of_table(table: str | None, namespace: str | None, name_col: str) -> Column:
@@ -218,21 +224,31 @@ def _of_table(table: str | None, namespace: str | None, name_col: str) -> Column
     return wanted
 
 
-def resolve_keys(versions: DataFrame, schema: StructType, table: str | None = None,
+def version_facts(versions: DataFrame) -> list:
+    """One row for each relation and key that was announced: (oid, namespace,
+    name, keys, n versions, most columns). As many rows as tables are replicated
+    (more only where a table's key changed) come to the driver."""
+    return versions.groupBy("oid", "namespace", "name", "keys").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("cols")).alias("width")).collect()
+
+
+def resolve_keys(versions: DataFrame | list, schema: StructType, table: str | None = None,
                  namespace: str | None = None) -> list[str]:
     """The key columns that the relations of one table announce - the same
     way for any number of them. None announced (replica identity full or
     nothing): every target column is the key, as for a key-less target.
 
     Relations of one name in several namespaces are different tables: then
-    ``namespace`` must say which one is meant.
+    ``namespace`` must say which one is meant. ``versions`` or their
+    ``version_facts``.
     """
-    mine = versions.where(_of_table(table, namespace, "name"))
+    facts = versions if isinstance(versions, list) else version_facts(versions)
+    mine = [r for r in facts if table in (None, r["name"]) and namespace in (None, r["namespace"])]
     if table is not None and namespace is None:
-        spaces = [r[0] for r in mine.select("namespace").distinct().limit(2).collect()]
+        spaces = sorted({r["namespace"] for r in mine})
         if len(spaces) > 1:
             raise ValueError(f"table {table!r} stands in several namespaces: {spaces}")
-    found = [tuple(r[0]) for r in mine.select("keys").distinct().limit(2).collect()]
+    found = sorted({tuple(r["keys"]) for r in mine})
     if len(found) > 1:
         raise ValueError(f"relation versions disagree on the key: {found}")
     return list(found[0]) if found and found[0] else [f.name for f in schema.fields]
@@ -343,8 +359,10 @@ def decode_messages(messages: DataFrame, schema: StructType,
     """
     rels = relations if relations is not None else parse_relations(messages)
     vers = versions if versions is not None else collect_versions(rels)
-    widest = vers.agg(F.max(F.size("cols"))).first()[0] or 0
-    keys = keys or resolve_keys(vers, schema, table, namespace)
+    facts = version_facts(vers)
+    widest = max((r["width"] for r in facts), default=0)
+    keys = keys or resolve_keys(facts, schema, table, namespace)
     rows = parse_rows(messages, widest, partitions)
-    return to_changes(relation_as_of(rows, rels, versions=vers), schema,
+    carry = not fits_broadcast(vers) or most_versions(facts) > FEW_VERSIONS
+    return to_changes(relation_as_of(rows, rels, versions=vers, carry=carry), schema,
                       keys=keys, table=table, namespace=namespace)
