@@ -307,6 +307,7 @@ WHERE NOT EXISTS (SELECT 1 FROM dels d WHERE d.l_orderkey = l.l_orderkey
                   AND d.l_linenumber = l.l_linenumber)""",
 
     "bootstrap_overlap": APPLY_IN_ORDER,
+    "bootstrap_chunked": APPLY_IN_ORDER,
 
     "duplicate_keys": f"""WITH {CH}
 SELECT id, COUNT(*) AS n FROM ch GROUP BY id HAVING COUNT(*) > 1""",

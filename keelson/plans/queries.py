@@ -20,9 +20,10 @@ from ..functions.render import render_row
 from ..operators import apply as A
 from ..operators import rows as R
 from ..operators.asof import carry_forward
-from ..operators.batches import (SEGMENT_BYTES, SEGMENT_HEADER, batch_summary, fill_segments,
+from ..operators.batches import (SEGMENT_HEADER, batch_summary, fill_segments,
                                  plan_batches)
 from ..operators.changes import net_changes, tombstones
+from ..operators.chunks import interleave
 from ..operators.route import (check_source_identity, read_from_position,
                                route_by_op, route_by_table)
 from ..operators.partitioning import spread
@@ -51,7 +52,9 @@ CHANGE_COLS = ["_seq", "_op", "id", "name", "salary"]
 SEGMENT_CAP = 1024 * 1024  # batch cap used by segment_plan (bytes)
 FILL_CAP = 64 * 1024       # cap used by segment_fill (bytes)
 NAME_EVERY = 7             # key_lineage sends the name with every seventh event
+CHUNKS = 4                 # chunks of bootstrap_chunked
 RANGES = 16                # key ranges of the partitioned target
+FLUSH_CAP = 64 * 1024      # bytes of a batch in stream_apply_buffered
 BUCKETS = 16               # buckets of the bucketed target
 STREAM_FILES = 10          # the landed feed is cut into this many files
 
@@ -317,6 +320,23 @@ def bootstrap_overlap(spark, sf):
     return A.bootstrap(snapshot, ch.where(F.col("_seq") > from_pos), EMPLOYEE_KEYS)
 
 
+def bootstrap_chunked(spark, sf):
+    """J5 in chunks: four key ranges are read at four moments of the feed, each
+    between two positions; one feed of chunks and changes fills an empty table."""
+    ch, base = _ch(spark, sf), _base(spark, sf)
+    top = _max_seq(spark, sf)
+    chunks = None
+    for k in range(CHUNKS):
+        low, high = (F.floor(top * (2 * k + n) / (2 * CHUNKS + 1)).cast("bigint") for n in (1, 2))
+        read = F.floor((low + high) / 2)
+        state = A.apply_changes(base, ch.where(F.col("_seq") <= read), EMPLOYEE_KEYS)
+        part = state.where(F.pmod("id", F.lit(CHUNKS)) == k).select(
+            "*", low.alias("_low"), high.alias("_high"))
+        chunks = part if chunks is None else chunks.unionByName(part)
+    feed = interleave(chunks, ch, EMPLOYEE_KEYS)
+    return A.apply_changes(base.limit(0), feed, EMPLOYEE_KEYS)
+
+
 def duplicate_keys(spark, sf):
     return R.duplicate_keys(_ch(spark, sf), EMPLOYEE_KEYS)
 
@@ -543,12 +563,12 @@ def stream_apply(spark, sf):
 
 
 def stream_apply_buffered(spark, sf):
-    """Buffered flush (T2): micro-batches bounded by bytes - the 10 MB
-    segment cap - rather than by file count."""
+    """Buffered flush (T2): micro-batches bounded by bytes rather than by file
+    count; the cap is far below the feed's size, so it cuts."""
     path = _landed_feed(spark, sf)
     t = _seeded_target(spark, sf)
     feed = (spark.readStream.schema(FEED_SCHEMA)
-            .option("maxBytesPerTrigger", SEGMENT_BYTES)
+            .option("maxBytesPerTrigger", FLUSH_CAP)
             .option("recursiveFileLookup", "true").parquet(path))
     run_available(feed, t, EMPLOYEE_KEYS, checkpoint=scratch_path(spark, "ckpt"))
     return t.current()
@@ -768,6 +788,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delete_by_key": delete_by_key,
     "delete_by_composite_key": delete_by_composite_key,
     "bootstrap_overlap": bootstrap_overlap,
+    "bootstrap_chunked": bootstrap_chunked,
     "duplicate_keys": duplicate_keys,
     "segment_plan": segment_plan,
     "segment_rows": segment_rows,

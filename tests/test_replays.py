@@ -74,3 +74,18 @@ def test_direct_takes_no_trigger_and_one_file_a_batch(spark, tmp):
     run_available(stream(spark, tmp + "/f"), t, ["id"], checkpoint=os.path.join(tmp, "c"), direct=True)
     assert len(t.staged_batches()) == 3
     assert sorted(map(tuple, t.current().collect())) == [(1, "v2"), (2, "b")]
+
+
+def test_buffered_flush_cuts_by_bytes(spark, tmp):
+    """The cap is below the feed's size: several batches, none above the cap by
+    more than a file."""
+    for k in range(6):
+        changes(spark, *[(100 * k + i, "U", 1, f"v{i}" * 9) for i in range(100)]).coalesce(1) \
+            .write.mode("append").parquet(tmp + "/f")
+    sizes = [os.path.getsize(os.path.join(tmp, "f", x)) for x in os.listdir(tmp + "/f")
+             if x.endswith(".parquet")]
+    feed = (spark.readStream.schema(FEED).option("maxBytesPerTrigger", 2 * max(sizes) + 1)
+            .parquet(tmp + "/f"))
+    t = target(spark, tmp + "/t")
+    run_available(feed, t, ["id"], checkpoint=tmp + "/c")
+    assert len(t.staged_batches()) == 3
