@@ -2,11 +2,11 @@
 
 Every operator is an anti join plus a union - never a full outer join of
 the target. The change side is reduced first (one row per key, or
-distinct keys), materialised once in the shared checkpoint folder, and
-broadcast when a bounded count proves it small (``sizing``): the target
-is then streamed through a hash lookup and never shuffled. Beyond the
-bound the join is a sort-merge join on the key; a hot key cannot reach it
-because the change side has one row per key.
+distinct keys) and staged once in the shared folder, so the planner knows its
+bytes (``sizing``) and broadcasts it up to the session's threshold: the target
+is then streamed through a hash lookup and never shuffled. Beyond that the join
+is a sort-merge join on the key, in place if the target is bucketed on it; a
+hot key cannot reach it because the change side has one row per key.
 """
 
 from __future__ import annotations
@@ -14,11 +14,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .changes import DELETE, OP, net_changes
-from .sizing import materialize
+from .sizing import fits_broadcast, materialize
 
 
 def _project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -53,24 +53,46 @@ def _null_safe(left: str, right: str, cols: Sequence[str]):
                    for c in cols])
 
 
+def fingerprint(cols: Sequence[str]) -> list[Column]:
+    """128 bits of a row, NULLs told apart from values and from each other."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+    return [F.xxhash64(F.lit(seed), nulls, *[F.col(c) for c in cols]).alias(name)
+            for seed, name in ((1, "_f1"), (2, "_f2"))]
+
+
 def insert_if_absent(base: DataFrame, rows: DataFrame,
                      once: bool = True) -> DataFrame:
     """Key = all columns: append source rows that are not already there.
 
     NULL equals NULL here, as it does for a whole-row key. The source rows
     are made distinct first (partial aggregation: a group of identical
-    copies collapses map-side). An inner join finds the ones the target
-    already holds: when the source side is small the target is streamed past
-    it and never shuffled.
+    copies collapses map-side). A source side that may be broadcast meets the
+    target in one inner join, which never shuffles the target. A larger one is
+    held against 128-bit fingerprints of the target's rows, which are all that
+    moves of it; the few rows whose fingerprint is in both are then compared
+    column by column.
     """
     cols = base.columns
     new = _once(_project(rows, cols).distinct(), once)
+    if once and not fits_broadcast(new):
+        return base.unionByName(_absent_by_fingerprint(base, new))
     present = (base.alias("b").join(new.alias("n"), _null_safe("n", "b", cols), "inner")
                .select(*[F.col(f"n.{c}").alias(c) for c in cols]).distinct())
     missing = new.alias("n").join(present.alias("p"), _null_safe("n", "p", cols), "left_anti")
     return base.unionByName(missing.select(*[F.col(f"n.{c}").alias(c) for c in cols]))
 
 
+def _absent_by_fingerprint(base: DataFrame, new: DataFrame) -> DataFrame:
+    cols, marks = base.columns, ["_f1", "_f2"]
+    new = new.select(*cols, *fingerprint(cols))
+    both = materialize(new.select(*marks).join(
+        base.select(*fingerprint(cols)), marks, "left_semi").distinct())
+    hit = base.select(*cols, *fingerprint(cols)).join(both, marks, "left_semi")
+    same = reduce(lambda a, b: a & b, [F.col(f"n.{m}") == F.col(f"b.{m}") for m in marks])
+    return new.alias("n").join(hit.alias("b"), same & _null_safe("n", "b", cols),
+                               "left_anti").select(*cols)
+
+
 def delete(base: DataFrame, rows: DataFrame, keys: Sequence[str],
            once: bool = True) -> DataFrame:
     """Remove base rows whose key appears in ``rows`` (J3, J4 composite).
