@@ -107,12 +107,15 @@ class Encoder(dict):
         start = token_starts(self.kind[points], at)
         if not len(start):
             return [b""] * len(texts)
-        # distinct by their characters, not by a hash: pre-tokens tile the texts
-        pieces = pa.Array.from_buffers(pa.large_binary(), len(start), [
-            None, pa.py_buffer(4 * np.append(start, len(points)).astype(np.int64)),
-            pa.py_buffer(points)]).dictionary_encode()
-        which = pieces.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = [self[x.decode("utf-32-le")] for x in pieces.dictionary.to_pylist()]
+        # distinct by their bytes, not by a hash: pre-tokens tile the texts
+        raw = np.frombuffer("".join(texts).encode(), np.uint8)
+        edges = np.append(start, len(points))
+        if len(raw) > len(points):
+            edges = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))[edges]
+        pieces = pa.Array.from_buffers(pa.large_string(), len(start), [
+            None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(raw)]).dictionary_encode()
+        which = pieces.indices.to_numpy(zero_copy_only=False)
+        ids = [self[x] for x in pieces.dictionary.to_pylist()]
         size = np.array([len(x) // 4 for x in ids])
         flat = np.frombuffer(b"".join(ids), "<u4")
         place = np.cumsum(size) - size
