@@ -36,7 +36,7 @@ def canon(cols, rows):
 def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert {n for n in set(q) - set(o) if n in QUERIES} == {"source_identity"}
+    assert {n for n in set(q) - set(o) if n in QUERIES} == set()
 
 
 def test_entry(spark):
