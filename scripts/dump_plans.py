@@ -19,27 +19,39 @@ from keelson.session import get_session  # noqa: E402
 
 NOTES = {
     "apply_in_order": "Feed reduced per key by a partial WindowGroupLimit "
-    "below the exchange, checkpointed once (the Scan ExistingRDD), proven "
-    "small by a bounded count and broadcast; the base scan prunes to the "
-    "three target columns and is never shuffled.",
+    "below the exchange, staged once as Parquet, whose bytes let the planner "
+    "broadcast it; the base scan prunes to the three target columns and is "
+    "never shuffled.",
     "apply_wide_keys": "Same shape over the orders table; 7919 is coprime "
     "with the order count, so each event lands on its own order key (two "
     "thirds of the keys at this scale).",
-    "insert_if_absent": "Source rows made distinct (partial HashAggregate), "
-    "checkpointed, proven small and broadcast; the target is streamed "
-    "through a null-safe inner join to find rows it already holds.",
+    "apply_bucketed": "The target is a table bucketed by its key: the base scan "
+    "is read in place whatever the size of the change side.",
+    "insert_if_absent": "Source rows made distinct (partial HashAggregate) and "
+    "staged; within the broadcast threshold the target is streamed through a "
+    "null-safe inner join to find rows it already holds, beyond it only "
+    "fingerprints of the target's rows move.",
     "delete_by_composite_key": "Delete keys made distinct map-side, then a "
     "broadcast anti join; lineitem's duplicate composite keys stay on the "
     "streamed side, where AQE skew handling can split them.",
-    "pgoutput_decode": "Relation versions broadcast (bounded, checkpointed "
-    "once); the tuple walk is a chain of projections inside one codegen "
+    "pgoutput_decode": "Relation versions staged once, few and small enough to "
+    "broadcast; the tuple walk is a chain of projections inside one codegen "
     "stage; no Python.",
+    "value_as_of": "All rows have one key. Rows and versions stand staged in "
+    "ranges of (key, position); one row a range carries the last version over, "
+    "a window looks back inside a range. No join on the key.",
     "unchanged_fill": "One grouped max_by aggregate per key (partial "
-    "SortAggregate before the exchange), checkpointed once, broadcast into "
+    "SortAggregate before the exchange), staged once, broadcast into "
     "two passes over the streamed target.",
-    "segment_plan": "Quantile ranges (literal boundaries, JVM binary search), "
-    "checkpointed once; per-range totals (partial aggregate), broadcast "
-    "offsets, running sum per range.",
+    "catalog_apply": "The result's scan of the table after a batch; the batch "
+    "itself read and wrote the touched partitions only.",
+    "catalog_key_scan": "One key: a literal partition filter and a pushed "
+    "filter on the key.",
+    "segment_plan": "Ranges of feed order, staged once; per-range totals "
+    "(partial aggregate), offsets of one row a range, running sum per range.",
+    "segment_fill": "Starts were found by doubled pointers and staged; what is "
+    "left is a join of the rows with the starts of their range and a running "
+    "count inside a range.",
 }
 
 
