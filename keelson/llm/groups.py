@@ -8,10 +8,14 @@ bucket, and a bucket is done when its members are all of one class. So at the
 end any two nodes of a bucket either were tested or are in the same class
 already: no link between classes is lost, and a bucket of n similar nodes
 costs about n tests for each first leader instead of n * (n - 1) / 2. The
-number of leaders grows by ``GROWTH`` each round, which bounds the rounds by
+number of leaders grows by a factor each round, which bounds the rounds by
 the logarithm of the largest bucket. How many there are at first trades tests
 for rounds and changes no result.
 
+``first_links`` is a cheaper pass before the rounds: it finds most of a large
+group of similar nodes, and the buckets that hold only that group (``mixed``
+tells) never enter a round.
+
 Everything is a DataFrame; rounds are cut by tables in the shared folder.
 """
 
@@ -63,23 +67,50 @@ def shared(rows: DataFrame) -> DataFrame:
     return persisted(rows, "shared")
 
 
+def first_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                near: Callable[[str, str], Column]) -> DataFrame:
+    """(node, root) after each node of a bucket was tested against the least one.
+
+    ``rows``: key, node and the columns that ``near`` looks at. One partial
+    aggregate names the leaders, and a group of similar nodes costs one pair
+    for each node and leader, whatever the number of its buckets.
+    """
+    more = [c for c in rows.columns if c not in ("key", "node")]
+    lead = rows.groupBy("key").agg(F.min(F.struct("node", *more)).alias("lead"),
+                                   F.max("node").alias("hi")).where("lead.node <> hi")
+    lead = lead.select("key", "lead.*")
+    meet = (F.col("r.key") == F.col("l.key")) & (F.col("r.node") != F.col("l.node"))
+    pairs = (rows.alias("r").join(lead.alias("l"), meet & near("r", "l"))
+             .select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct())
+    return components(persisted(verify(persisted(pairs, "pairs", narrow=NARROW)), "links"))
+
+
+def mixed(rows: DataFrame) -> DataFrame:
+    """The distinct rows of (key, node, class, ...) whose key has several classes."""
+    ends = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+    return rows.join(ends.where("lo <> hi").select("key"), "key", "left_semi").distinct()
+
+
 def linked_classes(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                   leaders: int = 2, near: Callable[[str, str], Column] | None = None
-                   ) -> DataFrame:
+                   leaders: int = 2, near: Callable[[str, str], Column] | None = None,
+                   growth: int = GROWTH, roots: DataFrame | None = None) -> DataFrame:
     """(node, root) of the nodes that are not their class's least node.
 
     ``rows``: key, node (long), distinct (``shared``). ``verify`` gets a DataFrame of pairs (a, b)
     with a < b and returns those that are linked. ``leaders``: of each bucket
-    in the first round. ``near``: a necessary condition of a link, on more
-    columns of ``rows`` (it gets the aliases of the two sides); pairs that fail
-    it are settled inside the join and never made.
+    in the first round; ``growth``: how many times as many in the next. ``near``: a necessary
+    condition of a link, on more columns of ``rows`` (it gets the aliases of the two sides); pairs
+    that fail it are settled inside the join and never made. ``roots``: links known already, as
+    (node, root) of ``first_links``; then ``rows`` has the column class too (``mixed``).
     """
-    more = [c for c in rows.columns if c not in ("key", "node")]
-    rows = persisted(rows.select("key", "node", F.col("node").alias("class"), *more), "buckets")
-    roots = tested = None
+    known = roots is not None
+    more = [c for c in rows.columns if c not in ("key", "node", "class")]
+    rows = persisted(rows.select("key", "node", F.col("class" if known else "node").alias("class"),
+                                 *more), "buckets")
+    tested = None
     while not rows.isEmpty():
         sized = rows.withColumn("class_size", F.count("*").over(
-            Window.partitionBy("key", "class")) if tested is not None else F.lit(1))
+            Window.partitionBy("key", "class")) if tested is not None or known else F.lit(1))
         order = Window.partitionBy("key").orderBy("class_size", "class", "node")
         lead = (sized.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders)
                 .select("key", F.col("node").alias("lead"), F.col("class").alias("lead_class"), *more))
@@ -104,7 +135,7 @@ def linked_classes(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
         open_ = left.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
         rows = persisted(left.join(open_.where("lo <> hi").select("key"), "key", "left_semi"),
                          "buckets", narrow=NARROW)
-        leaders *= GROWTH
+        leaders *= growth
     if roots is None:
         return rows.select("node", F.col("class").alias("root"))
     return roots

@@ -15,8 +15,10 @@ a text with a repeated shingle has a second signature, of its shingles with
 equal weights. For other texts both are the same.
 
 Equal texts are one node from the start (128 bits of hash). ``BANDS`` bands of
-``SIZE / BANDS`` components of each signature make the candidate buckets;
-``linked_classes`` tests them, by the exact Jaccard similarity of the shingle sets against
+``SIZE / BANDS`` components of each signature make the candidate buckets. A
+first pass tests the texts of ``FIRST_BANDS`` bands against the least of their
+bucket, which makes one class of most of a large group; then only the buckets
+(of all bands) that hold several classes are left. ``linked_classes`` tests them, by the exact Jaccard similarity of the shingle sets against
 ``THRESHOLD``, without ever listing all pairs of a bucket; parity bits of the
 sets settle most dissimilar pairs inside its joins (they cannot rule out a
 similar one). Classes are the
@@ -44,6 +46,9 @@ SHINGLE = 5
 SIZE = 64
 BANDS = 16
 THRESHOLD = 0.8
+#: Bands of the pass before the rounds, and how the leaders of the rounds grow.
+FIRST_BANDS = 4
+GROWTH = 8
 #: Longs of parity bits for each text.
 PARITY = 16
 PARITIES = [f"p{k}" for k in range(PARITY)]
@@ -222,10 +227,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = persisted(marks.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("node"),
         *[F.min(c).alias(c) for c in ("bands", "size", *PARITIES)]), "texts")
-    rows = groups.shared(texts.select(F.explode("bands").alias("key"), "node"))
-    rows = rows.join(texts.select("node", "size", *PARITIES).dropDuplicates(["node"]), "node")
-    roots = groups.linked_classes(rows, lambda pairs: similar(known, pairs, threshold),
-                                  near=_near(threshold))
+    verify = lambda pairs: similar(known, pairs, threshold)
+    extra, near = ("size", *PARITIES), _near(threshold)
+    some = F.explode(F.slice("bands", 1, FIRST_BANDS))
+    roots = groups.first_links(texts.select(some.alias("key"), "node", *extra), verify, near)
+    classed = texts.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
+    rows = groups.mixed(classed.select(F.explode("bands").alias("key"), "node", "class", *extra))
+    roots = groups.linked_classes(rows.dropDuplicates(["key", "node"]), verify, near=near,
+                                  growth=GROWTH, roots=roots)
     named = (texts.select("h1", "h2", "node").join(roots, "node", "left")
              .select("h1", "h2", F.coalesce("root", "node").alias("class_id")))
     out = marks.select("doc_id", "h1", "h2").join(named, ["h1", "h2"]).select("doc_id", "class_id")

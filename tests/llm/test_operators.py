@@ -553,6 +553,22 @@ def test_near_classes_with_unequal_repeat_counts(spark):
     assert {r.doc_id: r.class_id for r in near.classes(df).collect()} == want
 
 
+def test_near_classes_of_a_large_group(spark):
+    """A large group of near copies, some of which are linked by others only."""
+    r = random.Random(21)
+    base = prose(90_000, 120).split()
+    table = [(k, prose(91_000 + k, 60)) for k in range(40)]
+    for k in range(600):
+        w = list(base)
+        for j in r.sample(range(120), r.choice((1, 2, 3, 5, 8))):
+            w[j] = f"other{r.randrange(400)}"
+        table.append((1000 + k, " ".join(w[:r.choice((120, 118, 105))])))
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    got = {x.doc_id: x.class_id for x in near.classes(df).collect()}
+    want = brute_classes(table)
+    assert len(set(want.values())) > 42 and got == want
+
+
 def test_linked_classes_miss_no_link(spark):
     """Every pair of a bucket is tested or already of one class."""
     from keelson.llm.groups import linked_classes
