@@ -1,25 +1,30 @@
-"""Operator 5: benchmark decontamination by word trigrams and local alignment.
+"""Operator 5: benchmark decontamination by rare word n-grams and local alignment.
 
 Test items are read in blocks of bounded size, so the item side of every job
-is small whatever the benchmark's size. For each block, in one pass:
+is small whatever the benchmark's size. For each block, in two passes:
 
-1. every trigram of an item is a seed, however often the corpus holds it, so
-   no group of copies can take another copy's seeds away;
+1. seeds are three words of an item, next to each other or with one word
+   between (``PATTERNS``), so a copy with every third word replaced has some;
 2. a seed at word p of a text and word q of an item speaks for a copy that
    begins near p - q; such begins fall in cells as long as the item, and each
    (text, item, cell) gives one passage that holds every copy beginning in that
    cell;
-3. an alignment matches each word of the item once at most, so a passage that
-   holds too few of the item's words cannot reach ``THRESHOLD``. Common
-   trigrams mostly give such passages, which are left out here;
-4. Smith-Waterman alignment on words (match 2, mismatch -1, gap -1) scores the
+3. the first pass counts how often each seed stands alone, without another seed
+   of the item in its cell or the cells beside it. A copy, exact or edited, has
+   several, so no group of copies makes its own seeds common. Seeds that stand
+   alone often are phrases of the language: they ask for a second seed. Rare
+   seeds speak alone;
+4. an alignment matches each word of the item once at most, so a passage that
+   holds too few of the item's words cannot reach ``THRESHOLD``;
+5. Smith-Waterman alignment on words (match 2, mismatch -1, gap -1) scores the
    others, divided by the score of an exact copy. Passages at or above
    ``THRESHOLD`` are leaks.
 
 Words are lower-cased runs of letters and digits. Items with fewer than
-``LEAST_WORDS`` words cannot be told from chance and never match. No shuffle
-of texts; memory is a slice of texts and one chunk of alignments. NULL ids
-are kept as they are, NULL and empty texts hold no passage.
+``LEAST_WORDS`` words leak by exact copies only, and items with fewer than
+three never match. No shuffle of texts; memory is a slice of texts and one
+chunk of alignments, whatever the longest item. NULL ids are kept as they are,
+NULL and empty texts hold no passage.
 """
 
 from __future__ import annotations
@@ -29,43 +34,54 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import id_text, slices
+from keelson.llm.common import id_text, persisted, slices
 from keelson.llm.toxicity import LETTERS
-from keelson.llm.vectors import Texts, mix, window_hashes
+from keelson.llm.vectors import STEP, Texts, mix
 
-SEED = 3
+#: Which words of a stretch make a seed.
+PATTERNS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 LEAST_WORDS = 8
+#: A seed is rare that stands alone so many times, or in that share of the documents.
+LONE, LONE_SHARE = 8, 0.001
 THRESHOLD = 0.5
 MARGIN = 8
 MATCH = 2
 BLOCK_BYTES = 4 << 20
 SLICE = 4 << 20
 CHUNK_CELLS = 1 << 21
-#: Slots of the table that rules out most trigrams with one look.
+#: Slots of the table that rules out most seeds with one look.
 SIEVE_BITS = 20
 #: Flags of a passage's words, by hash; a clash only makes the bound looser.
 FLAGS = 1 << 12
 
 
+def _seeds(words: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of the seed at each word, one row a pattern; 0 where it does not fit."""
+    n = len(words)
+    out = np.zeros((len(PATTERNS), n), np.uint64)
+    for k, pattern in enumerate(PATTERNS):
+        m = max(n - pattern[-1], 0)
+        h = np.full(m, k + 1, np.uint64)
+        for j in pattern:
+            h = mix(h * np.uint64(STEP) + words[j:j + m])
+        out[k, :m] = np.where(np.arange(m) + pattern[-1] < last[:m], h, 0)
+    return out
+
+
 class Items:
-    """One block of test items: words, and a sorted table of trigrams."""
+    """One block of test items: words one after another, and a sorted table of seeds."""
 
     def __init__(self, ids: list[int], texts: list[str]):
-        t = Texts(pa.array(texts, pa.large_string()), LETTERS)
-        words = t.words()
-        size = np.diff(t.first)
+        t, self.words, key = _trigrams(pa.array(texts, pa.large_string()))
         self.ids = np.array(ids, np.int64)
-        self.size = size
-        self.longest = int(size.max()) if len(size) else 0
-        self.words = np.zeros((len(ids), self.longest), np.uint64)  # 0 stands for no word
-        for k in range(len(ids)):
-            self.words[k, :size[k]] = words[t.first[k]:t.first[k + 1]]
-        key, fits = t.windows(words, SEED) if len(words) else (words, np.zeros(0, bool))
-        item = t.doc_of_word()
-        use = fits & (size[item] >= LEAST_WORDS) if len(words) else fits
-        at = np.flatnonzero(use)
-        at = at[np.argsort(key[at], kind="stable")]
-        self.item, self.place, self.key = item[at], at - t.first[item[at]], key[at]
+        self.first, self.size = t.first[:-1], np.diff(t.first)
+        k, at = np.nonzero(key)
+        key = key[k, at]
+        order = np.argsort(key, kind="stable")
+        self.key, at = key[order], at[order]
+        self.item = t.doc_of_word()[at]
+        self.place = at - self.first[self.item]
+        self.common = np.zeros(len(self.key), bool)
         self.sieve = np.zeros(1 << SIEVE_BITS, bool)
         self.sieve[self.key >> np.uint64(64 - SIEVE_BITS)] = True
 
@@ -76,14 +92,52 @@ class Items:
         left = np.minimum(left, max(len(self.key) - 1, 0))
         return at[self.key[left] == key[at]] if len(self.key) else at[:0]
 
+    def least(self, threshold: float) -> np.ndarray:
+        """The score that makes a leak, of each item."""
+        return np.where(self.size < LEAST_WORDS, 1.0, threshold)
+
+    def rows(self, pick: np.ndarray) -> np.ndarray:
+        """Words of some items, one row each; 0 stands for no word."""
+        col = np.arange(int(self.size[pick].max()))
+        index = np.minimum(self.first[pick, None] + col, len(self.words) - 1)
+        return np.where(col < self.size[pick, None], self.words[index], np.uint64(0))
+
 
 def _trigrams(column: pa.Array):
     t = Texts(column, LETTERS)
     words = t.words()
-    key = window_hashes(words, SEED)
-    last = np.repeat(t.first[1:], np.diff(t.first))
-    key[np.arange(len(words)) + SEED > last] = 0
-    return t, words, key
+    return t, words, _seeds(words, np.repeat(t.first[1:], np.diff(t.first)))
+
+
+def _cells(items: Items, t: Texts, key: np.ndarray):
+    """(item, text, cell), seeds in and beside each, whether one is rare, and the
+    table place of a seed in it."""
+    hit = items.hits(key.ravel())
+    value, at = key.ravel()[hit], hit % max(key.shape[1], 1)
+    lo = np.searchsorted(items.key, value, side="left")
+    count = np.searchsorted(items.key, value, side="right") - lo
+    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    seed = np.repeat(lo, count)
+    entry = seed + step
+    at = np.repeat(at, count)
+    text = np.searchsorted(t.first, at, side="right") - 1
+    item = items.item[entry]
+    begin = at - t.first[text] - items.place[entry]
+    cell = np.floor_divide(begin, items.size[item])
+    order = np.lexsort((cell, text, item))
+    cells = np.stack([item, text, cell], 1)[order]
+    new = np.ones(len(cells), bool)
+    new[1:] = (cells[1:] != cells[:-1]).any(1)
+    head = np.flatnonzero(new)
+    cells = cells[head]
+    inside = np.diff(np.append(head, len(new)))
+    seeds = inside.copy()
+    beside = (cells[1:, :2] == cells[:-1, :2]).all(1) & (cells[1:, 2] == cells[:-1, 2] + 1)
+    seeds[1:] += np.where(beside, inside[:-1], 0)
+    seeds[:-1] += np.where(beside, inside[1:], 0)
+    rare = ~items.common[seed[order]]
+    rare = np.logical_or.reduceat(rare, head) if len(head) else rare
+    return cells, seeds, rare, seed[order][head]
 
 
 def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,41 +171,31 @@ def _held(items: np.ndarray, passages: np.ndarray) -> np.ndarray:
 def _passages(items: Items, t: Texts, words: np.ndarray, key: np.ndarray, threshold: float):
     """(text, item, first word, score, end word) of the passages in a slice. The
     score is 0 where it cannot reach the threshold."""
-    at = items.hits(key)
-    lo = np.searchsorted(items.key, key[at], side="left")
-    count = np.searchsorted(items.key, key[at], side="right") - lo
-    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    entry = np.repeat(lo, count) + step
-    at = np.repeat(at, count)
-    text = np.searchsorted(t.first, at, side="right") - 1
-    item = items.item[entry]
-    begin = at - t.first[text] - items.place[entry]
-    cell = np.floor_divide(begin, items.size[item])
-    cells = np.unique(np.stack([item, text, cell], 1), axis=0) if len(at) else \
-        np.zeros((0, 3), np.int64)
-    item, text, cell = cells.T
-    size = items.size[item]
+    cells, seeds, rare, _ = _cells(items, t, key)
+    item, text, cell = cells[rare | (seeds > 1)].T
+    size, least = items.size[item], items.least(threshold)[item]
     first = np.maximum(cell * size - MARGIN, 0)
     end = np.minimum((cell + 2) * size + MARGIN, np.diff(t.first)[text])
-    order = np.argsort(size, kind="stable")
     score, stop = np.zeros(len(item)), np.zeros(len(item), np.int64)
+    order = np.argsort(size, kind="stable")
+    order = order[(end - first)[order] >= least[order] * size[order]]
     i = 0
     while i < len(order):
         longest = int(size[order[i:i + 4096]].max())
         n = max(1, CHUNK_CELLS // (2 * longest + 2 * MARGIN))
         pick = order[i:i + min(n, 4096)]
         i += len(pick)
-        longest = int(size[pick].max())
-        col = first[pick, None] + np.arange(2 * longest + 2 * MARGIN)
+        col = first[pick, None] + np.arange(int((end - first)[pick].max()))
         inside = col < end[pick, None]
         index = np.minimum(col + t.first[text[pick], None], max(len(words) - 1, 0))
         passage = np.where(inside, words[index], np.uint64(0))
-        rows = items.words[item[pick], :longest]
-        may = _held(rows, passage) / size[pick] >= threshold
+        rows = items.rows(item[pick])
+        may = _held(rows, passage) / size[pick] >= least[pick]
         pick = pick[may]
-        value, where = align(rows[may], passage[may])
-        score[pick] = value / (MATCH * size[pick])
-        stop[pick] = first[pick] + where
+        if len(pick):
+            value, where = align(rows[may], passage[may])
+            score[pick] = value / (MATCH * size[pick])
+            stop[pick] = first[pick] + where
     return text, item, first, score, stop
 
 
@@ -169,6 +213,29 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
             yield Items([r.item_id for r in rows], [r.text for r in rows])
 
 
+def _mark_common(docs: DataFrame, items: Items) -> None:
+    """Tell the seeds that often stand alone in ``docs``; -1 counts the documents."""
+    def count(batches):
+        alone, total = np.zeros(len(items.key), np.int64), 0
+        for b in slices(batches, most=SLICE):
+            t, _, key = _trigrams(b.column("text"))
+            _, seeds, _, seed = _cells(items, t, key)
+            alone += np.bincount(seed[seeds == 1], minlength=len(alone))
+            total += t.n
+        at = np.flatnonzero(alone)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(at, -1)), pa.array(np.append(alone[at], total))],
+            names=["seed", "n"])
+
+    counts = persisted(docs.select("text").mapInArrow(count, "seed long, n long")
+                       .groupBy("seed").agg(F.sum("n").alias("n")), "seeds")
+    total = counts.where("seed = -1").first()
+    bound = max(LONE, LONE_SHARE * (total.n if total else 0))
+    # at most one row for each seed of the block
+    for r in counts.where((F.col("seed") >= 0) & (F.col("n") > bound)).collect():
+        items.common[r.seed] = True
+
+
 def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD,
          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, score, first_word, end_word): the best passage of each
@@ -178,11 +245,13 @@ def find(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD,
     out = docs.sparkSession.createDataFrame([], schema)
 
     for items in _blocks(benchmark, item_id, item_text):
+        _mark_common(docs, items)
+
         def match(batches, items=items):
             for b in slices(batches, most=SLICE):
                 t, words, key = _trigrams(b.column("text"))
                 text, item, first, score, stop = _passages(items, t, words, key, threshold)
-                ok = np.flatnonzero(score >= threshold)
+                ok = np.flatnonzero(score >= items.least(threshold)[item])
                 ok = ok[np.lexsort((first[ok], -score[ok], item[ok], text[ok]))]
                 new = np.ones(len(ok), bool)
                 new[1:] = (text[ok[1:]] != text[ok[:-1]]) | (item[ok[1:]] != item[ok[:-1]])

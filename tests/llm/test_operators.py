@@ -251,6 +251,62 @@ def test_leaks_below_the_bound_are_not_aligned_and_none_above_is_lost():
     assert (tight[3] == 0).any()
 
 
+def test_leaks_with_every_third_word_replaced_and_short_items(spark):
+    items = [(k, prose(63_000 + k, 36)) for k in range(8)] + [(50, "amber kites drift over quiet harbours")]
+    table = []
+    for k, t in items[:8]:
+        w = [f"x{j}" if j % 3 == k % 3 else x for j, x in enumerate(t.split())]
+        table.append((k, " ".join(prose(64_000 + k, 80).split() + w + prose(65_000 + k, 30).split())))
+    table += [(20, "Once amber kites drift, over quiet harbours."),
+              (21, "Once amber kites drift over some quiet harbours.")]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(x.doc_id, x.item_id) for x in leaks.find(df, bench).collect()}
+    assert found == {(k, k) for k in range(8)} | {(20, 50)}
+
+
+def test_leaks_recall_by_edits(spark):
+    """Copies that still align at the threshold are found, by brute force over all words."""
+    r = random.Random(77)
+    items = [(k, prose(66_000 + k, 20 + k)) for k in range(20)]
+    table, want = [], set()
+    for k, t in items:
+        for rate in (0.1, 0.2, 0.3):
+            w = [f"y{r.randrange(99)}" if r.random() < rate else x for x in t.split()]
+            d = len(table)
+            table.append((d, " ".join(prose(67_000 + d, 40).split() + w + prose(68_000 + d, 20).split())))
+            if brute_align(t.split(), table[-1][1].lower().split()) >= len(t.split()):
+                want.add((d, k))
+    found = {(x.doc_id, x.item_id) for x in leaks.find(
+        spark.createDataFrame(table, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) > 30 and len(found & want) >= 0.95 * len(want)
+    assert all(d // 3 == k for d, k in found)
+
+
+def test_common_seeds_ask_for_a_second_one(spark):
+    """A phrase that often stands alone is common; a hot group of copies is not."""
+    item = "on the other hand " + prose(69_000, 20)
+    items = leaks.Items([1], [item])
+    table = [(k, f"{prose(69_100 + k, 9)} on the other {prose(69_300 + k, 9)}") for k in range(60)]
+    table += [(100 + k, prose(69_500 + k, 9) + " " + item) for k in range(60)]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    leaks._mark_common(df, items)
+    assert items.common.sum() == 1
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {x.doc_id for x in leaks.find(df, bench).collect()} == set(range(100, 160))
+
+
+def test_leaks_beside_a_very_long_item(spark):
+    """Memory follows what is aligned, not the longest item of the block."""
+    long = " ".join(f"w{k}" for k in range(180_000))
+    items = [(k, prose(71_000 + k, 12)) for k in range(300)] + [(999, long)]
+    df = spark.createDataFrame([(1, "so " + items[5][1] + " then"), (2, prose(72_000, 50))],
+                               "doc_id long, text string")
+    found = leaks.find(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [(x.doc_id, x.item_id) for x in found] == [(1, 5)]
+
+
 def test_leaks_in_the_given_table(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     found = {(x.doc_id, x.item_id) for x in leaks.find(docs, bench).collect()}
