@@ -18,7 +18,7 @@ is reduced map-side like any other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,7 +99,8 @@ def apply_with_unchanged(base: DataFrame, changes: DataFrame,
     return kept.unionByName(with_base.unionByName(without).select(*base.columns))
 
 
-def fill_moved(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def fill_moved(base: DataFrame | Callable[[DataFrame], DataFrame], changes: DataFrame,
+               keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Complete rows whose key moved and that left columns unchanged.
 
     ``_from`` (struct of the keys) names the row an insert was moved from. A
@@ -115,12 +116,15 @@ def fill_moved(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> Data
        chain, and a round reads only the pointers that are still open;
     3. the values are fetched where the pointers end.
 
-    The changes are staged once, before anything is asked of them.
+    The changes are staged once, before anything is asked of them. ``base`` may
+    be a function from a frame of keys to the base rows of these keys (with
+    ``columns``, those of the base): only pointers that end at the base are
+    looked up then, and without any the base is not read.
     """
     if MOVED_FROM not in changes.columns:
         return changes
     keys = list(keys)
-    cols = [c for c in base.columns if c not in keys]
+    cols = [c for c in (base.columns if columns is None else columns) if c not in keys]
     rest = [c for c in changes.columns if c != MOVED_FROM]
     cur = materialize(changes)
     if not cols or cur.where(_waits()).isEmpty():
@@ -129,10 +133,16 @@ def fill_moved(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> Data
     ids = order_columns(cur)
     event = cur.select(*[F.col(c).alias(f"_end{c}") for c in ids],
                        *[F.col(c).alias(f"_e_{c}") for c in cols])
-    old = base.select(F.struct(*keys).alias("_base"), *[F.col(c).alias(f"_b_{c}") for c in cols])
-    fetched = ends.join(event, [f"_end{c}" for c in ids], "left").join(old, "_base", "left")
+    fetched = ends.join(event, [f"_end{c}" for c in ids], "left")
+    if callable(base):
+        asked = materialize(ends.where(F.col("_base").isNotNull()).select("_base.*").distinct())
+        base = None if asked.isEmpty() else base(asked)
+    if base is not None:
+        old = base.select(F.struct(*keys).alias("_base"),
+                          *[F.col(c).alias(f"_b_{c}") for c in cols])
+        fetched = fetched.join(old, "_base", "left")
     value = {c: F.when(F.col("_end" + SEQ).isNotNull(), F.col(f"_e_{c}")).otherwise(
-        F.col(f"_b_{c}")) for c in cols}
+        F.lit(None) if base is None else F.col(f"_b_{c}")) for c in cols}
     values = fetched.groupBy(*[F.col(f"_node{c}").alias(c) for c in ids]).agg(*[
         F.first(F.when(F.col("_column") == c, value[c]), ignorenulls=True).alias(f"_v_{c}")
         for c in cols])

@@ -683,34 +683,34 @@ def snapshot_once(spark, sf):
 
 
 def stream_decode_apply(spark, sf):
-    """Captured messages landed as STREAM_FILES files in position order,
-    streamed one file per batch through decode into a file target seeded
-    from ``customer``; unchanged columns keep their last value."""
+    """Captured messages landed in STREAM_FILES parts in position order, each
+    streamed as one batch through decode into a file target seeded from
+    ``customer``; unchanged columns keep their last value."""
     msgs = capture.captured_messages(spark, sf)
     top = table(spark, sf, "events").select(F.max("event_id")).first()[0]
-    # Files land in feed order, one write after the other (the stream
-    # picks them up oldest first); a file holds at most ~1M messages.
-    parts = max(STREAM_FILES, top // 1_000_000 + 1)
-    part = F.floor(F.col("_seq") * parts / (top * 4 + 4)).cast("int")
+    part = F.floor(F.col("_seq") * STREAM_FILES / (top * 4 + 4)).cast("int")
     path = scratch_path(spark, "capture_feed")
     stage = scratch_path(spark, "capture_stage")
+    ckpt = scratch_path(spark, "ckpt")
     msgs.withColumn("_part", part).write.partitionBy("_part").parquet(stage)
-    for i in range(parts):
-        src = os.path.join(stage, f"_part={i}")
-        (spark.read.schema(msgs.schema).parquet(src).repartition(1)
-         .sortWithinPartitions("_seq").write.parquet(
-             os.path.join(path, f"part={i:03d}")))
     t = FileTarget(spark, scratch_path(spark, "target"), EMPLOYEE_KEYS,
                    EMPLOYEE_KEYED, unchanged=True)
     t.seed(_base(spark, sf))
-    feed = (spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1)
-            .option("recursiveFileLookup", "true").parquet(path))
-    q = replicate_messages(feed, t, EMPLOYEE_KEYS, EMPLOYEE_KEYED,
-                           checkpoint=scratch_path(spark, "ckpt"),
-                           trigger={"availableNow": True})
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    # A part lands as files of at most ~1M messages, written side by side, and
+    # is drained before the next one lands: so a row never comes in an earlier
+    # batch than its relation, and the number of batches does not grow.
+    files = 1 + top // (STREAM_FILES * 1_000_000)
+    for i in range(STREAM_FILES):
+        src = spark.read.schema(msgs.schema).parquet(os.path.join(stage, f"_part={i}"))
+        (src.repartitionByRange(files, "_seq").sortWithinPartitions("_seq")
+         .write.parquet(os.path.join(path, f"part={i:03d}")))
+        feed = (spark.readStream.schema(msgs.schema)
+                .option("recursiveFileLookup", "true").parquet(path))
+        q = replicate_messages(feed, t, EMPLOYEE_KEYS, EMPLOYEE_KEYED, checkpoint=ckpt,
+                               trigger={"availableNow": True})
+        q.awaitTermination()
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
     return t.current()
 
 

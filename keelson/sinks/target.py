@@ -59,6 +59,14 @@ def _key_match(left: str, right: str, keys: Sequence[str]):
                   [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])
 
 
+def _rows_of(rows: DataFrame, asked: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """``rows`` of the keys in ``asked`` (None: all rows)."""
+    if asked is None:
+        return rows
+    wanted = asked.select(F.struct(*keys).alias("_wanted"))
+    return rows.join(wanted, F.struct(*keys) == F.col("_wanted"), "left_semi")
+
+
 class FileTarget:
     """``unchanged=True``: changes may carry ``_unchanged`` (columns the
     source did not send); such a column keeps its last known value. The
@@ -174,7 +182,7 @@ class FileTarget:
             self._expect_replay(self._staged(changes), run, batch_id)
             return
         if self.unchanged and MOVED_FROM in changes.columns:
-            changes = fill_moved(self.current(), changes, self.keys)
+            changes = fill_moved(self.rows_of, changes, self.keys, self.columns)
         net = self._staged(changes)
         out = self._p("log", f"run={run}", f"batch_id={batch_id}")
         # Batch statistics ride along with the write (no second pass).
@@ -224,17 +232,19 @@ class FileTarget:
         return self.spark.read.parquet(
             *[self._p("log", f"run={r}", f"batch_id={b}") for r, b in batches])
 
-    def _merged(self, st: dict, batches: list[tuple[str, int]] | None = None) -> DataFrame:
-        """Base + logs that are not folded, with tombstones and ``_seq`` kept.
+    def _merged(self, st: dict, batches: list[tuple[str, int]] | None = None,
+                asked: DataFrame | None = None) -> DataFrame:
+        """Base + logs that are not folded, with tombstones and ``_seq`` kept;
+        with ``asked`` (a frame of keys), only rows of these keys.
 
         Nothing is computed here: a filter on the keys reaches the scans of
         the base and of the logs."""
-        base = self._base(st["gen"])
+        base = _rows_of(self._base(st["gen"]), asked, self.keys)
         if batches is None:
             batches = [x for x in self.staged_batches() if f"{x[0]}/{x[1]}" not in st["folded"]]
         if not batches:
             return base
-        logs = self._logs(batches)
+        logs = _rows_of(self._logs(batches), asked, self.keys)
         if self.unchanged:
             return self._merged_unchanged(base, logs)
         net = net_changes(logs, self.keys)
@@ -289,6 +299,12 @@ class FileTarget:
         cols = self.columns + ([SEQ] if with_seq else [])
         return m.select(*cols)
 
+    def rows_of(self, asked: DataFrame) -> DataFrame:
+        """The rows of ``current`` whose keys are in ``asked``. Base and logs are
+        scanned, but only rows of these keys are merged."""
+        merged = self._merged(self.state(), asked=asked).where(~F.col("_deleted"))
+        return merged.select(*self.columns)
+
     def compact(self, purge_tombstones_through: int | None = None) -> int:
         """Fold staged batches into a new base generation.
 
@@ -384,7 +400,7 @@ class CatalogTarget:
         value. Replaying a batch converges to the same table. The source's
         identity is kept as a table property."""
         if MOVED_FROM in changes.columns:
-            changes = fill_moved(self.current(), changes, self.keys)
+            changes = fill_moved(self.rows_of, changes, self.keys, self.columns)
         if UNCHANGED not in changes.columns:
             changes = changes.withColumn(UNCHANGED, F.array().cast("array<string>"))
         data = [c for c in self.columns if c not in self.keys]
@@ -421,6 +437,10 @@ class CatalogTarget:
     def current(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def rows_of(self, asked: DataFrame) -> DataFrame:
+        """The rows of ``current`` whose keys are in ``asked``."""
+        return _rows_of(self.current(), asked, self.keys)
+
 
 class CsvTarget:
     """Append-only delimited text files (K1, K2).
