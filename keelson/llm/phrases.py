@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.llm.common import persisted, slices, text_bytes
-from keelson.llm.vectors import gathered, mix
+from keelson.llm.vectors import mix
 
 LEAST = 100
 WORDS = 5
@@ -69,19 +69,26 @@ def coded(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     raw = LOWER[raw[offsets[0]:offsets[-1]]]
     n = len(raw)
     kind = KIND[raw]
-    piece = np.bincount(offsets[:-1] - offsets[0], minlength=n + 1)
-    edge = piece[:n] > 0
-    piece = np.cumsum(piece[:n] + (kind == BREAK))
+    texts = offsets[:-1] - offsets[0]
+    edge = np.zeros(n + 1, bool)
+    edge[texts] = True
+    edge = edge[:n]
     solid = kind == WORD
     begin, stop = solid.copy(), solid.copy()
     begin[1:] &= ~solid[:-1] | edge[1:]
     stop[:-1] &= ~solid[1:] | edge[1:]
     start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    data, at = gathered(raw, start, end, None)
+    del begin, stop
+    at = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=at[1:])
+    # words are the runs of solid bytes, so these are their bytes in order
     words = pa.Array.from_buffers(pa.large_string(), len(start), [
-        None, pa.py_buffer(np.ascontiguousarray(at, np.int64)), pa.py_buffer(data.tobytes())])
+        None, pa.py_buffer(at), pa.py_buffer(raw[solid])])
     words = words.dictionary_encode()
-    apart = np.cumsum(np.append(False, np.diff(piece[start]) > 0)[:len(start)])
+    # texts and breaks up to each word; a number for each byte would take eight times the text
+    piece = (np.searchsorted(texts, start, side="right")
+             + np.searchsorted(np.flatnonzero(kind == BREAK), start))
+    apart = np.cumsum(np.append(False, np.diff(piece) > 0)[:len(start)])
     out = np.full(len(start) + int(apart[-1] if len(apart) else 0), -1, np.int32)
     out[np.arange(len(start)) + apart] = words.indices.to_numpy(zero_copy_only=False)
     return out, words.dictionary
@@ -153,10 +160,15 @@ def windows(codes: np.ndarray, ids: np.ndarray) -> tuple[list[np.ndarray], np.nd
         after[columns[-1] < 0] = -1
         columns.append(after)
     some = columns[1] >= 0
-    columns = [c[some] for c in columns]
+    # one column after the other: only one of them is held twice
+    for k in range(WORDS):
+        columns[k] = columns[k][some]
     order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    new = np.append(True, np.any([c[1:] != c[:-1] for c in columns], axis=0))[:len(order)]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in range(WORDS):
+        columns[k] = columns[k][order]
+        new[1:] |= columns[k][1:] != columns[k][:-1]
     at = np.flatnonzero(new)
     return [c[at] for c in columns], np.diff(np.append(at, len(order)))
 
@@ -187,7 +199,9 @@ def _window_rows(buckets: int, wide: bool):
             to = bucket_of(columns, buckets)
             order = np.argsort(to, kind="stable")
             cuts = np.append(np.flatnonzero(np.diff(to[order], prepend=-1)), len(order))
-            columns = [c[order] for c in columns] + [count[order].astype(kind)]
+            for k in range(WORDS):
+                columns[k] = columns[k][order]
+            columns.append(count[order].astype(kind))
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 bucket.append(int(to[order[a]]))
                 size.append(b - a)
