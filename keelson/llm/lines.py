@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from keelson.llm import groups
 from keelson.llm.common import SPACE_BYTES, free_name, id_text, persisted, slices
 from keelson.llm.substrings import _unzip, _zip
-from keelson.llm.vectors import BASE, mix, powers, range_hashes
+from keelson.llm.vectors import mix, power_sums, range_hashes
 
 LIMIT = 2
 LEAST = 24
@@ -63,9 +63,7 @@ class Lines:
         self.end = stop
         at = np.cumsum([0] + [len(t) + 1 for t in texts])
         self.first = np.searchsorted(self.start, at)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(mix(self.points.astype(np.uint64) + np.uint64(1)) * powers(BASE, n),
-                  out=self.sums[1:])
+        self.sums = power_sums(self.points, lambda p: mix(p.astype(np.uint64) + np.uint64(1)))
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return range_hashes(self.sums, start, end)

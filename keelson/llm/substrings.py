@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.common import id_text, persisted, slices
-from keelson.llm.vectors import (BASE, INVERSE, Texts, byte_sums, gathered, mix,
-                                 powers, range_hashes, window_hashes)
+from keelson.llm.vectors import (INVERSE, Texts, byte_sums, gathered, mix, power_sums,
+                                 powers_at, range_hashes, window_hashes)
 
 WINDOW = 13
 GROUP = 3
@@ -106,9 +106,8 @@ class _Cut:
             return
         doc = np.searchsorted(t.first, first, side="right") - 1
         stop = first + count + window - 1
-        sums = np.zeros(len(words) + 1, np.uint64)
-        np.cumsum(words * powers(BASE, len(words)), out=sums[1:])
-        same = mix((sums[stop] - sums[first]) * powers(INVERSE, len(words) + 1)[first]
+        sums = power_sums(words)
+        same = mix((sums[stop] - sums[first]) * powers_at(INVERSE, first)
                    + count.astype(np.uint64))
         text, at = gathered(t.raw, t.start, t.end)
         self.parts.append((doc_ids[doc], first - t.first[doc], count, key, same,

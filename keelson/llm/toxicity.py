@@ -241,6 +241,21 @@ def _gradients(model: ToxicityModel, words: Words, docs: np.ndarray, label: np.n
     return g
 
 
+def _vocabulary(texts: list[str], batch: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words in ``MIN_COUNT`` texts or more, sorted; the texts that
+    have a word), so many texts at once as in a step of the training."""
+    keys, seen, some = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+    for i in range(0, len(texts), batch):
+        words = Words(pa.array(texts[i:i + batch], pa.large_string()))
+        n = np.diff(words.first)
+        some.append(i + np.flatnonzero(n > 0))
+        pairs = np.unique(words.place.astype(np.int64) << 32 | np.repeat(np.arange(len(n)), n))
+        found = np.bincount(pairs >> 32, minlength=len(words.key))
+        keys, at = np.unique(np.concatenate([keys, words.key]), return_inverse=True)
+        seen = np.bincount(at.reshape(-1), np.concatenate([seen, found]), len(keys)).astype(np.int64)
+    return keys[seen >= MIN_COUNT], np.concatenate([np.zeros(0, np.int64), *some])
+
+
 def train(rows: list, odds: float | None = None, *, epochs: int = 5, batch: int = 96,
           rate: float = 0.01) -> ToxicityModel:
     """Fit on Row(label, text); a single label gives a constant score.
@@ -255,14 +270,10 @@ def train(rows: list, odds: float | None = None, *, epochs: int = 5, batch: int
         model.p["o"][:] = 0
         model.p["b"][:] = -8 if not len(label) or label[0] == 0 else 8
         return model
-    every = Words(pa.array(texts, pa.large_string()))
-    owner = np.repeat(np.arange(len(texts)), np.diff(every.first))
-    pairs = np.unique(every.place.astype(np.int64) << 32 | owner)
-    seen = np.bincount(pairs >> 32, minlength=len(every.key))
-    model = ToxicityModel(every.key[seen >= MIN_COUNT])
+    vocabulary, some = _vocabulary(texts, batch)
+    model = ToxicityModel(vocabulary)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
     r = np.random.default_rng(5)
-    some = np.flatnonzero(np.diff(every.first) > 0)
     turns = -(-len(some) // batch)
     epochs = max(epochs, -(-LEAST_STEPS // turns))
     step, total = 0, epochs * turns

@@ -18,6 +18,8 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 STEP = 0xD1B54A32D192ED03
 _VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: Positions whose powers are kept; others are a product of two of them.
+BLOCK = 1 << 16
 _powers: dict[int, np.ndarray] = {}
 
 IS_SPACE = np.zeros(256, bool)
@@ -50,15 +52,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def byte_sums(raw: np.ndarray) -> np.ndarray:
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_VALUES[raw] * powers(BASE, len(raw)), out=sums[1:])
+def powers_at(base: int, at: np.ndarray) -> np.ndarray:
+    """base**at modulo 2**64, from two tables of ``BLOCK`` powers."""
+    high = powers(pow(base, BLOCK, 1 << 64), int(at.max(initial=0)) // BLOCK + 1)
+    return powers(base, BLOCK)[at % BLOCK] * high[at // BLOCK]
+
+
+def power_sums(values: np.ndarray, code=None) -> np.ndarray:
+    """Prefix sums of value * BASE**position, of ``code(values)`` if given. Works
+    block by block, so nothing but the sums is as long as the input."""
+    n = len(values)
+    sums = np.zeros(n + 1, np.uint64)
+    for a in range(0, n, BLOCK):
+        part = values[a:a + BLOCK]
+        part = (part if code is None else code(part)) * powers(BASE, BLOCK)[:len(part)]
+        part *= np.uint64(pow(BASE, a, 1 << 64))
+        out = sums[a + 1:a + 1 + len(part)]
+        np.cumsum(part, out=out)
+        out += sums[a]
     return sums
 
 
+def byte_sums(raw: np.ndarray) -> np.ndarray:
+    return power_sums(raw, lambda part: _VALUES[part])
+
+
 def range_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Mixed hash of the byte ranges [start, end) of ``byte_sums``' bytes."""
-    h = (sums[end] - sums[start]) * powers(INVERSE, len(sums))[start]
+    h = (sums[end] - sums[start]) * powers_at(INVERSE, start)
     return mix(h + (end - start).astype(np.uint64))
 
 
