@@ -3,9 +3,10 @@
 1. Texts become slices: for each language of a task's texts the words as
    numbers, -1 between pieces, and the distinct words with their counts. Word
    totals of the corpus are summed from the distinct words only.
-2. Words that occur ``LEAST`` times or more get an id; ids are joined to the
-   distinct words of each slice and replace the slice's numbers. A rarer word
-   is in no candidate, so it parts the text like a piece's end.
+2. The distinct words of all slices are dealt by word, once: equal words are
+   summed there, and those that occur ``LEAST`` times or more get an id, which
+   goes back to each slice and replaces the slice's number. A rarer word is in
+   no candidate, so it parts the text like a piece's end.
 3. From each place of a slice goes the window of the (up to) five words from
    there on, equal windows as one with a count, packed into a blob for each
    bucket. A bucket holds the stripes of its prefixes: windows are grouped by
@@ -49,6 +50,8 @@ BUCKET = 500_000
 SHARES = 5
 #: Text bytes whose distinct words are counted together.
 SLICE = 16 << 20
+#: Parts of the words; each is summed and numbered by itself.
+WORD_PARTS = 4096
 #: Parts of a language that are ranked before the last ranking.
 RANK_PARTS = 64
 
@@ -132,19 +135,26 @@ def _slice_rows(most: int):
     return work
 
 
-def _with_ids(frequent: DataFrame) -> tuple[DataFrame, int]:
-    """``frequent`` (as stored, with a ``mark`` of monotonically_increasing_id)
-    with dense ids, and the number of rows. One row for each partition that
-    wrote it comes to the driver."""
-    part, row = F.shiftright("mark", 33), F.col("mark").bitwiseAND((1 << 33) - 1)
-    sizes = sorted(map(tuple, frequent.groupBy(part.alias("part")).count().collect()))
-    begin, total = [], 0
-    for number, size in sizes:
-        begin.append((number, total))
-        total += size
-    begins = frequent.sparkSession.createDataFrame(begin, "part long, begin long")
-    ids = frequent.withColumn("part", part).join(F.broadcast(begins), "part")
-    return ids.withColumn("id", F.col("begin") + row).drop("part", "begin", "mark"), total
+def numbered(distinct: DataFrame, least: int = LEAST) -> DataFrame:
+    """slice, local, f, id, lang, word: the rows of ``distinct`` (slice, local, lang, word, n)
+    whose word occurs ``least`` times or more in its language.
+
+    ``f`` is that count and ``id`` the word's number, about dense. Words are dealt once by their
+    hash; there the sorted rows are summed and numbered in place, so nothing is looked up. Only
+    the first row of a word carries ``lang`` and ``word``.
+    """
+    part = F.pmod(F.xxhash64("lang", "word"), F.lit(WORD_PARTS))
+    dealt = distinct.select("slice", "local", "lang", "word", "n", part.alias("part")).repartition("part")
+    sums = dealt.withColumn("f", F.sum("n").over(Window.partitionBy("part", "lang", "word")))
+    order = Window.partitionBy("part").orderBy("lang", "word")
+    first = F.row_number().over(order) == F.rank().over(order)
+    ranks = sums.where(F.col("f") >= least).select(
+        "slice", "local", "f", "part", F.dense_rank().over(order).cast("long").alias("rank"),
+        "lang", "word", first.alias("first"))
+    return ranks.select("slice", "local", "f",
+                        ((F.col("rank") - 1) * WORD_PARTS + F.col("part")).alias("id"),
+                        F.when(F.col("first"), F.col("lang")).alias("lang"),
+                        F.when(F.col("first"), F.col("word")).alias("word"))
 
 
 def windows(codes: np.ndarray, ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -269,11 +279,11 @@ def count_stripes(docs: DataFrame, least: int = LEAST, bucket: int = BUCKET,
     distinct = table.where(F.col("word").isNotNull())
     totals = distinct.groupBy("lang").agg(F.sum("n").alias("n"))
     n = totals.agg(F.sum("n")).first()[0] or 0
-    sums = distinct.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    words, size = _with_ids(persisted(
-        sums.withColumn("mark", F.monotonically_increasing_id()), "phrase-words"))
-    own = distinct.select("slice", "lang", "local", "word").join(words, ["lang", "word"]).select(
-        F.col("slice").alias("of"), "local", (2 * F.col("id") + (F.col("f") > bucket).cast("long")).alias("id"))
+    rows = persisted(numbered(distinct, least), "phrase-words")
+    words = rows.where(F.col("word").isNotNull()).select("lang", "word", "f", "id")
+    size = (words.agg(F.max("id")).first()[0] or 0) + 1
+    own = rows.select(F.col("slice").alias("of"), "local",
+                      (2 * F.col("id") + (F.col("f") > bucket).cast("long")).alias("id"))
     codes = table.where(F.col("codes").isNotNull()).select("slice", "codes")
     buckets, wide = max(1, math.ceil(SHARES * n / bucket)), size >= 1 << 30
     blobs = codes.groupBy("slice").cogroup(own.groupBy("of")).applyInArrow(

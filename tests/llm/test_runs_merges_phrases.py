@@ -238,6 +238,27 @@ def test_phrases_of_tables(docs, messy, nothing):
     assert phrases.collocations(nothing).collect() == []
 
 
+def test_words_of_slices_are_dealt_once(spark):
+    """Counts and ids of the slices' words come from one exchange, without a join;
+    each word has one id, and its name once. A word of two languages is two."""
+    rnd = random.Random(13)
+    rows = [(s, k, "en" if s < 30 else "de", f"w{k}", rnd.randint(1, 3))
+            for s in range(40) for k in range(300) if rnd.random() < 5 / (k + 1)]
+    df = spark.createDataFrame(rows, "slice long, local int, lang string, word string, n long")
+    f = Counter()
+    for _, _, lang, word, n in rows:
+        f[lang, word] += n
+    out = phrases.numbered(df, 9)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    got = out.collect()
+    of = {r.id: (r.lang, r.word) for r in got if r.word is not None}
+    assert len(of) == len(set(of.values())) == sum(r.word is not None for r in got)
+    same([(r.slice, r.local, *of[r.id], r.f) for r in got],
+         [(s, k, lang, word, f[lang, word]) for s, k, lang, word, _ in rows if f[lang, word] >= 9])
+    assert phrases.numbered(df.limit(0), 1).collect() == []
+
+
 def test_hot_prefixes_are_dealt_by_further_words():
     """Windows that begin with one hot pair go to many buckets; a pair with a
     word that is not hot goes to one."""
